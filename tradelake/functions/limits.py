@@ -1,0 +1,38 @@
+"""Row limits of the two read answers."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+# Fixed values.
+JSON_DEFAULT_ROWS = 1_000
+JSON_MAX_ROWS = 10_000
+ARROW_DEFAULT_ROWS = 50_000
+ARROW_MAX_ROWS = 1_000_000
+ARROW_ROWS_PER_MB = 2_500
+MB_PER_QUERY = 512
+MAX_CONCURRENT_QUERIES = 4
+
+
+@dataclass(frozen=True)
+class QueryBudget:
+    max_arrow_rows: int
+    concurrency: int
+
+
+def query_budget(memory_mb: int) -> QueryBudget:
+    """Export rows and concurrent reads allowed by a memory limit; 0 means no limit."""
+    if memory_mb == 0:
+        return QueryBudget(ARROW_MAX_ROWS, MAX_CONCURRENT_QUERIES)
+    rows = min(max(memory_mb * ARROW_ROWS_PER_MB, ARROW_DEFAULT_ROWS), ARROW_MAX_ROWS)
+    reads = min(max(memory_mb // MB_PER_QUERY, 1), MAX_CONCURRENT_QUERIES)
+    return QueryBudget(rows, reads)
+
+
+def json_rows(limit: int | None) -> int:
+    return min(JSON_DEFAULT_ROWS if limit is None else limit, JSON_MAX_ROWS)
+
+
+def arrow_rows(limit: int | None, memory_mb: int = 0) -> int:
+    asked = ARROW_DEFAULT_ROWS if limit is None else limit
+    return min(asked, query_budget(memory_mb).max_arrow_rows)
