@@ -1,0 +1,220 @@
+"""Health folds against sequential code, with one key holding most rows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import folds
+from tradelake.operators import access, admission, feeds, pipeline
+from tradelake.operators.ordered import Side
+
+KINDS = ["connected", "disconnected", "restarting", "stopped", "data"]
+
+
+def by_key(rows, key=0):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[key], []).append(row)
+    return groups
+
+
+def hot(rng, n, keys):
+    """Key of each row: the first key takes a good third of them."""
+    return [0 if rng.random() < 0.4 else rng.randrange(keys) for _ in range(n)]
+
+
+def test_feed_health_equals_fold(spark):
+    rng = random.Random(1)
+    rows = [
+        (key, rng.randrange(500), seq, rng.choice(KINDS), "x" * rng.choice([3, 600]))
+        for seq, key in enumerate(hot(rng, 3_000, 200))
+    ]
+    events = spark.createDataFrame(
+        rows, "exchange int, at_ms bigint, seq bigint, kind string, reason string"
+    )
+    found = {row["exchange"]: row.asDict() for row in feeds.feed_health(events).collect()}
+    groups = by_key(rows)
+    assert set(found) == set(groups)
+    for key, group in groups.items():
+        wanted = folds.feed([row[1:] for row in sorted(group, key=lambda r: r[1:3])])
+        assert {name: found[key][name] for name in wanted} == wanted
+
+
+def test_merging_partials_in_two_steps_changes_nothing(spark):
+    rng = random.Random(2)
+    rows = [
+        (key, seq, seq, rng.choice(KINDS), str(seq))
+        for seq, key in enumerate(hot(rng, 600, 5))
+    ]
+    events = spark.createDataFrame(
+        rows, "exchange int, at_ms bigint, seq bigint, kind string, reason string"
+    )
+    keys = ["exchange"]
+    parts = []
+    for stretch, low in enumerate(range(0, 600, 100)):
+        part = events.filter(F.col("seq").between(low, low + 99))
+        one = feeds.merge_partials(feeds.feed_partials(part, keys), keys)
+        parts.append(one.withColumn("stretch", F.lit(stretch).cast("bigint")))
+
+    def merged(some):
+        union = some[0]
+        for part in some[1:]:
+            union = union.unionByName(part)
+        return feeds.merge_partials(union, keys)
+
+    halves = [
+        merged(half).withColumn("stretch", F.lit(i).cast("bigint"))
+        for i, half in enumerate((parts[:3], parts[3:]))
+    ]
+    whole = feeds.feed_health(events)
+    two_steps = feeds.health_of(halves[0].unionByName(halves[1]), keys)
+    assert sorted(whole.collect()) == sorted(two_steps.select(*whole.columns).collect())
+
+
+def test_events_of_several_streams_count_once_per_exchange(spark):
+    events = spark.sql("SELECT 1 AS seq, array('a', 'b', 'a') AS exchanges")
+    rows = feeds.per_exchange(events).collect()
+    assert sorted(row["exchange"] for row in rows) == ["a", "b"]
+
+
+def flush_rows(seed, servers=400):
+    rng = random.Random(seed)
+    rows = []
+    for server in range(servers):
+        for _ in range(rng.randrange(1, 9)):
+            kind = rng.choices(["ok", "retry_ok", "failed", "dropped"], [4, 1, 3, 2])[0]
+            n = rng.choice([0, 0, 0, 1, 2])
+            rows.append((server, rng.randrange(6), len(rows), kind, n, f"e{len(rows)}"))
+    for _ in range(2_000):
+        rows.append((0, rng.randrange(50), len(rows), "ok", 0, "none"))
+    return rows
+
+
+FLUSH = "server_id int, at_ms bigint, seq bigint, kind string, n bigint, error string"
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_pipeline_health_equals_fold(spark, monkeypatch, seed, small):
+    if not small:
+        real = pipeline.measured
+        monkeypatch.setattr(pipeline, "measured", lambda df: Side(real(df).rows, False))
+    rows = flush_rows(seed)
+    events = spark.createDataFrame(rows, FLUSH)
+    found = {
+        row["server_id"]: row.asDict() for row in pipeline.pipeline_health(events).collect()
+    }
+    for key, group in by_key(rows).items():
+        wanted = folds.pipeline([row[1:] for row in sorted(group, key=lambda r: r[1:3])])
+        assert {name: found[key][name] for name in wanted} == wanted, key
+
+
+def test_shared_latches_ignore_the_exchange(spark):
+    rows = [
+        (1, 1, 1, "persist_channel", "a", "drop", 5),
+        (1, 2, 2, "persist_channel", "b", "recovered", 0),
+        (1, 1, 3, "event_channel", "a", "drop", 2),
+        (1, 2, 4, "event_channel", "b", "recovered", 0),
+        (2, 1, 5, "data_buffer", "a", "drop", 1),
+    ]
+    events = spark.createDataFrame(
+        rows,
+        "server_id int, at_ms bigint, seq bigint, stage string, exchange string, "
+        "kind string, n bigint",
+    )
+    found = {row["server_id"]: row for row in pipeline.saturation(events).collect()}
+    assert found[1]["persist_channel_saturated"] is False
+    assert found[1]["event_channel_saturated"] is True
+    assert found[2]["data_buffer_saturated"] is True
+    assert found[2]["event_channel_saturated"] is False
+
+
+@pytest.mark.parametrize(
+    ("healthy", "pending", "state", "database", "status"),
+    [
+        (True, 0, "connected", True, "healthy"),
+        (True, 0, "starting", True, "starting"),
+        (True, 0, "stopped", True, "degraded"),
+        (True, 0, "connected", False, "degraded"),
+        (False, 0, "starting", True, "degraded"),
+        (True, 3, "connected", True, "degraded"),
+        (True, 0, None, True, "healthy"),
+    ],
+)
+def test_overall_status(spark, healthy, pending, state, database, status):
+    writes = spark.createDataFrame(
+        [(1, healthy, pending, 0)],
+        "server_id int, persistence_healthy boolean, flush_retry_pending_trades bigint, "
+        "flush_dropped_trades bigint",
+    )
+    latches = spark.createDataFrame(
+        [(1, False, False, False)],
+        "server_id int, event_channel_saturated boolean, persist_channel_saturated boolean, "
+        "data_buffer_saturated boolean",
+    )
+    states = spark.createDataFrame(
+        [(1, "a", state)] if state else [], "server_id int, exchange string, state string"
+    )
+    found = pipeline.overall_status(writes, latches, states, database).collect()
+    assert [tuple(row) for row in found] == [(1, status)]
+
+
+ACCESS = "seq bigint, server_id int, client int, at_ms bigint, kind string"
+
+
+def access_rows(seed, n=4_000, span=40_000):
+    rng = random.Random(seed)
+    kinds = list(access.COUNTERS)
+    return [
+        (seq, key, key, rng.randrange(span), rng.choice(kinds))
+        for seq, key in enumerate(hot(rng, n, 12))
+    ]
+
+
+@pytest.mark.parametrize(("window", "limit"), [(60, 2), (1_000, 5), (100_000, 3)])
+def test_sample_equals_fold_across_chunks(spark, window, limit):
+    rows = access_rows(5)
+    events = spark.createDataFrame(rows, ACCESS)
+    # 4,000 rows in 40 chunks; the hot server spans a dozen of them.
+    found = access.access_sample(events, 0, window, limit, rows_per_chunk=100).collect()
+    wanted = []
+    for group in by_key(rows, 1).values():
+        ordered = sorted((row[3], row[0], row[4]) for row in group)
+        wanted += folds.sample(ordered, 0, window, limit)
+    assert sorted((r["seq"], r["window_start_ms"], r["nth"]) for r in found) == sorted(wanted)
+
+
+def test_sample_keeps_real_defaults(spark):
+    rows = [(i, 1, 1, 1_000 * i, "rate_limited") for i in range(130)]
+    found = access.access_sample(spark.createDataFrame(rows, ACCESS), 0).collect()
+    assert sorted(r["seq"] for r in found) == [0, 1, 2, 3, 4, *range(60, 65), *range(120, 125)]
+
+
+@pytest.mark.parametrize(
+    ("capacity", "window", "span"),
+    [(3, 100, 40_000), (7, 1_000, 40_000), (5, 50, 2_000), (500, 10_000, 40_000)],
+)
+def test_limiter_equals_fold_across_chunks(spark, capacity, window, span):
+    rows = access_rows(6, span=span)
+    requests = spark.createDataFrame(rows, ACCESS)
+    flagged = admission.rate_limit_flags(requests, capacity, window, rows_per_chunk=100)
+    found = {row["seq"]: row["allowed"] for row in flagged.collect()}
+    assert len(found) == len(rows)
+    for group in by_key(rows, 2).values():
+        ordered = sorted((row[3], row[0]) for row in group)
+        flags = folds.bucket([at for at, _ in ordered], capacity, window)
+        assert [found[seq] for _, seq in ordered] == flags
+
+
+def test_limiter_passes_loopback_and_keeps_null_payload(spark):
+    rows = [(i, None if i % 2 else 7, 0, i == 3, None) for i in range(6)]
+    requests = spark.createDataFrame(
+        rows, "seq bigint, client int, at_ms bigint, loopback boolean, note bigint"
+    )
+    flagged = admission.rate_limit_flags(requests, 1, 1_000).orderBy("seq").collect()
+    assert [row["allowed"] for row in flagged] == [True, True, False, True, False, False]
+    assert all(row["note"] is None for row in flagged)
+    assert admission.rate_limit_flags(requests, 0).filter("allowed").count() == 6

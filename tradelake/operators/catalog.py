@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions.symbols import ascii_upper, shown_name, ticker_format
-from tradelake.operators.ordered import join_by_size
+from tradelake.operators.ordered import join_side, measured
 from tradelake.sources.exchanges import exchanges
 
 PAIR = ["exchange", "symbol"]
@@ -102,31 +102,36 @@ def resolve_pairs(bases: DataFrame, whitelist: DataFrame, catalog: DataFrame) ->
     ticker or display symbol starts with the base. Tickers without trading
     information are never taken.
     """
-    assets = bases.select(F.upper("base").alias("base")).distinct()
-    quotes = wanted_quotes(whitelist)
-    named = quotes.filter("quote <> ''")
+    assets = measured(bases.select(F.upper("base").alias("base")).distinct())
+    quotes = measured(wanted_quotes(whitelist))
+    named = quotes.keep(lambda rows: rows.filter("quote <> ''"))
     names = _names(catalog)
 
+    # Lists of exchanges are at most as long as the exchange dimension.
+    named_exchanges = named.rows.select("exchange").distinct()
+    open_exchanges = quotes.rows.filter("quote = ''").select("exchange")
+
     parts = _taken_apart(names)
-    with_quote = join_by_size(parts.filter("quote IS NOT NULL"), named, ["exchange", "quote"])
-    alone = join_by_size(
-        parts.filter("quote IS NULL"), named.select("exchange").distinct(), ["exchange"]
+    with_quote = join_side(
+        parts.filter("quote IS NOT NULL"), named, ["exchange", "quote"], "left_semi"
+    )
+    alone = parts.filter("quote IS NULL").join(
+        F.broadcast(named_exchanges), "exchange", "left_semi"
     )
-    fitting = join_by_size(with_quote.unionByName(alone), assets, ["base"], "left_semi")
+    fitting = join_side(with_quote.unionByName(alone), assets, ["base"], "left_semi")
     best = fitting.groupBy("exchange", "base", "quote").agg(
         F.min(F.struct((~F.col("exact")).alias("inexact"), "symbol")).alias("best")
     )
     templated = best.select("exchange", F.col("best.symbol").alias("symbol"))
 
-    open_exchanges = quotes.filter("quote = ''").select("exchange")
-    open_names = join_by_size(names, open_exchanges, ["exchange"], "left_semi")
+    open_names = names.join(F.broadcast(open_exchanges), "exchange", "left_semi")
     starts = open_names.select(
         *PAIR,
         F.explode(
             F.expr("transform(sequence(0, length(name)), i -> left(upper(name), i))")
         ).alias("base"),
     )
-    wild = join_by_size(starts, assets, ["base"], "left_semi").select(*PAIR)
+    wild = join_side(starts, assets, ["base"], "left_semi").select(*PAIR)
     return templated.unionByName(wild).distinct()
 
 

@@ -9,6 +9,8 @@ few summaries, and so never sort or hold a whole key in one place.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,28 +76,35 @@ def repeat_rows(df: DataFrame, copies: Column, block: int = 4_096) -> DataFrame:
     )
 
 
-def join_by_size(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+@dataclass(frozen=True)
+class Side:
+    """A join side that has been written out and counted."""
+
+    rows: DataFrame
+    small: bool
+
+    def keep(self, change: Callable[[DataFrame], DataFrame]) -> Side:
+        """The side after a change that cannot add rows."""
+        return Side(change(self.rows), self.small)
+
+
+def measured(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Side:
+    written = materialize(df)
+    return Side(written, written.count() <= broadcast_rows)
+
+
+def join_side(
+    big: DataFrame, side: Side, on: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Equi-join a large, possibly skewed side to a side of unknown size.
+    """Equi-join a large, possibly skewed DataFrame to a measured side.
 
-    ``small`` is written out and counted. Up to ``broadcast_rows`` it is broadcast;
-    beyond that the join shuffles, with every key spread over ``salts`` tasks.
-    Only joins that keep or drop rows of ``big`` are allowed.
+    A small side is broadcast. For any other the join shuffles, with every key of
+    ``big`` spread over ``salts`` tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join_by_size does not support {how!r}")
-    small = materialize(small)
-    if small.count() <= broadcast_rows:
-        return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts))
-    salted = big.withColumn("_salt", salt)
-    copies = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")
-    )
+        raise ValueError(f"join_side does not support {how!r}")
+    if side.small:
+        return big.join(F.broadcast(side.rows), on, how)
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+    copies = side.rows.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.operators.feeds import ERROR_CHARS
-from tradelake.operators.ordered import join_by_size
+from tradelake.operators.ordered import Side, join_side, measured
 
 STAGES = ["event_channel", "persist_channel", "data_buffer"]
 
@@ -96,9 +96,10 @@ def pipeline_health(events: DataFrame) -> DataFrame:
         "fault",
         "first_drop",
     )
-    cleared = _cleared_faults(events, summary)
+    servers = measured(summary)
+    cleared = _cleared_faults(events, servers)
     standing = (F.col("fault.kind") == "failed") & F.col("_cleared").isNull()
-    return summary.join(cleared, "server_id", "left").select(
+    return servers.rows.join(cleared, "server_id", "left").select(
         "server_id",
         "persistence_healthy",
         "last_flush_at",
@@ -109,7 +110,7 @@ def pipeline_health(events: DataFrame) -> DataFrame:
     )
 
 
-def _cleared_faults(events: DataFrame, summary: DataFrame) -> DataFrame:
+def _cleared_faults(events: DataFrame, servers: Side) -> DataFrame:
     """Servers whose last failure was cleared by a plain ``ok``.
 
     Between the failure and the first loss of trades, an ``ok`` clears at once if
@@ -117,27 +118,22 @@ def _cleared_faults(events: DataFrame, summary: DataFrame) -> DataFrame:
     """
     place = F.struct("at_ms", "seq")
     fault = F.struct("fault.at_ms", "fault.seq")
-    open_faults = summary.filter(
-        (F.col("fault.kind") == "failed")
-        & (F.col("first_drop").isNull() | (fault < F.col("first_drop")))
-    ).select(
-        "server_id",
-        fault.alias("_fault"),
-        F.col("fault.n").alias("_waiting"),
-        F.col("first_drop").alias("_first_drop"),
+    no_drop = F.col("first_drop").isNull()
+    open_faults = servers.keep(
+        lambda rows: rows.filter(
+            (F.col("fault.kind") == "failed") & (no_drop | (fault < F.col("first_drop")))
+        ).select(
+            "server_id", fault.alias("_fault"), F.col("fault.n").alias("waiting"), "first_drop"
+        )
     )
-    after = join_by_size(
-        events.filter(F.col("kind").isin("ok", "dropped")).select(
-            "server_id", "at_ms", "seq", "kind"
-        ),
-        open_faults,
-        ["server_id"],
-    ).filter(
-        (place > F.col("_fault"))
-        & (F.col("_first_drop").isNull() | (place < F.col("_first_drop")))
+    candidates = events.filter(F.col("kind").isin("ok", "dropped")).select(
+        "server_id", "at_ms", "seq", "kind"
+    )
+    after = join_side(candidates, open_faults, ["server_id"]).filter(
+        (place > F.col("_fault")) & (no_drop | (place < F.col("first_drop")))
     )
     ends = after.groupBy("server_id").agg(
-        F.max("_waiting").alias("waiting"),
+        F.max("waiting").alias("waiting"),
         F.max(F.when(F.col("kind") == "ok", place)).alias("last_ok"),
         F.min(F.when(F.col("kind") == "dropped", place)).alias("wait_over"),
     )

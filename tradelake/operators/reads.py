@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.limits import arrow_rows, json_rows
 from tradelake.functions.symbols import stored_symbol
+from tradelake.operators.cuts import time_cut
 from tradelake.schemas import ANSWER_COLUMNS, TRADE_COLUMNS
 from tradelake.sources.exchanges import exchange_filter
 
+NARROW_ABOVE = 100_000
+
 
 @dataclass(frozen=True)
 class TradeQuery:
@@ -57,10 +60,20 @@ def matching_trades(trades: DataFrame, query: TradeQuery) -> DataFrame:
 
 
 def _first_rows(found: DataFrame, query: TradeQuery, rows: int) -> DataFrame:
-    # Oldest first only when a lower bound is given; the rest breaks ties.
+    """Oldest first only when a lower bound is given; the rest breaks ties.
+
+    A top-N sends N rows of every task to one. That is fine for a small N; for a
+    large one the time of the last row is found first, and only rows up to it go.
+    """
+    oldest_first = query.from_ms is not None
     order = [F.col(name) for name in ANSWER_COLUMNS]
-    if query.from_ms is None:
+    if not oldest_first:
         order = [column.desc() for column in order]
+    if rows > NARROW_ABOVE:
+        cut = time_cut(found, rows, newest=not oldest_first)
+        if cut is not None:
+            near = F.col("ts") <= cut.ts if oldest_first else F.col("ts") >= cut.ts
+            found = found.filter(near)
     return found.orderBy(*order).limit(rows)
 
 

@@ -7,13 +7,12 @@ before a time goes, and some of the rows at that very time.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions.times import retention_cutoff
+from tradelake.operators.cuts import Cut, oldest_cut
 from tradelake.operators.ordered import repeat_rows, running_total
 from tradelake.schemas import TRADE_COLUMNS
 from tradelake.sources.table import MetadataTable, TradeTable
@@ -29,9 +28,6 @@ MIN_BATCH_ROWS = 1_000
 MAX_BATCH_ROWS = 100_000
 MAX_ROUNDS = 200
 
-FAN_OUT = 65_536
-Between = Callable[[int, int], DataFrame]
-
 
 def retention_keep(trades: DataFrame, now_ms: int, hours: int) -> DataFrame:
     """Rows that survive the age rule; 0 hours keeps all, the cutoff itself stays."""
@@ -77,42 +73,6 @@ def rows_to_delete(row_count: int, max_rows: int, batch_rows: int) -> int:
     return min(row_count, min(rounds, MAX_ROUNDS) * batch_rows)
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Rows before ``ts`` go, and the first ``ties`` of the rows at ``ts``."""
-
-    ts: int
-    ties: int
-
-
-def oldest_cut(trades: DataFrame, n: int, between: Between | None = None) -> Cut | None:
-    """The cut that takes the ``n`` oldest rows; None if there are not so many.
-
-    Finds the time by narrowing a histogram: each pass counts rows in at most
-    65,536 equal slices of the slice found before, down to one millisecond.
-    ``between`` reads a time range where the stored layout can skip the rest.
-    """
-    between = between or (lambda low, high: trades.filter(F.col("ts").between(low, high)))
-    ends = trades.agg(F.min("ts"), F.max("ts")).first()
-    if n <= 0:
-        return None
-    low, high, left = ends[0], ends[1], n
-    while low is not None:
-        width = max(1, -(-(high - low + 1) // FAN_OUT))
-        slice_no = F.expr(f"(ts - {low}L) div {width}L").alias("slice")
-        counts = sorted(between(low, high).groupBy(slice_no).count().collect())
-        for slice_, count in counts:
-            if left <= count:
-                break
-            left -= count
-        else:
-            return None
-        low, high = low + slice_ * width, min(high, low + (slice_ + 1) * width - 1)
-        if width == 1:
-            return Cut(low, left)
-    return None
-
-
 def _tie_order(trades: DataFrame) -> list[str]:
     rest = [name for name in trades.columns if name not in TRADE_COLUMNS]
     return ["exchange", "symbol", "price", "qty", "is_sell", *rest]

@@ -313,6 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "trades_export": _read(
             "Okex Linear", "xrpusdt", f"AND ts >= {FROM_MS}", "ASC", 50_000, answer
         ),
+        "trades_export_files": _trades(f"SELECT {answer} FROM trades"),
+        "trades_stored_latest": _read("Bybit Spot", "solusdt", "", "DESC", 50),
         "trades_json": _trades("SELECT * FROM trades"),
         "venue_market_exchange": _with(
             "exchanges",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.functions.times import DAY_MS, HOUR_MS
+from tradelake.functions.times import DAY_MS, HOUR_MS, utc_day
 from tradelake.operators import access, admission, bounds, feeds, pipeline, reads, retention
 from tradelake.operators import catalog as cat
 from tradelake.operators.upserts import latest, metadata_value, upsert
@@ -127,6 +127,22 @@ def trades_export(spark, sf_dir):
     return reads.export_trades(_trades(spark, sf_dir), query)
 
 
+@registered
+def trades_export_files(spark, sf_dir):
+    """All trades written as time-ordered files, read back."""
+    path = scratch_path(spark, "export")
+    exports.write_export(_trades(spark, sf_dir), path, files=8)
+    return spark.read.parquet(path)
+
+
+@registered
+def trades_stored_latest(spark, sf_dir):
+    """The newest rows of a pair from the stored table, reading few periods."""
+    table = TradeTable(spark, scratch_path(spark, "stored"), "year")
+    table.append(_trades(spark, sf_dir), batch_id=0, flushed_at=NOW_MS)
+    return table.read_trades(reads.TradeQuery("bybit", "solusdt", "spot", limit=50))
+
+
 @registered
 def trades_json(spark, sf_dir):
     """Trades written as JSON text and read back."""
@@ -156,10 +172,9 @@ def pair_bounds(spark, sf_dir):
 @registered
 def pair_bounds_by_day(spark, sf_dir):
     """Bounds kept per day, as the flush log keeps them, merged into one row a pair."""
-    day = F.expr(f"ts div {DAY_MS}L")
     daily = (
         _trades(spark, sf_dir)
-        .groupBy(day.alias("day"), "exchange", "symbol")
+        .groupBy(utc_day(F.col("ts")).alias("day"), "exchange", "symbol")
         .agg(F.min("ts").alias("earliest"), F.max("ts").alias("latest"))
     )
     return bounds.merge_bounds(daily.drop("day"))

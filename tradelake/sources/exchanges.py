@@ -23,16 +23,18 @@ EXCHANGES = [
     ("Okex Linear", "okex", "linear", "-", "-SWAP"),
     ("Okex Inverse", "okex", "inverse", "-", "-SWAP"),
 ]
-EXCHANGE_SCHEMA = (
-    "exchange string, venue string, market string, joiner string, suffix string"
-)
+EXCHANGE_COLUMNS = ["exchange", "venue", "market", "joiner", "suffix"]
 VENUES = sorted({row[1] for row in EXCHANGES})
 MARKETS = ["spot", "linear", "inverse"]
 _BY_VENUE_MARKET = {(row[1], row[2]): row[0] for row in EXCHANGES}
 
 
 def exchanges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXCHANGES, EXCHANGE_SCHEMA)
+    def literal(value: str | None) -> str:
+        return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
+
+    rows = ", ".join(f"({', '.join(map(literal, row))})" for row in EXCHANGES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(EXCHANGE_COLUMNS)})")
 
 
 def exchange_filter(venue: str, market: str) -> str:

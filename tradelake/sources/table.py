@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake import schemas
+from tradelake.functions.limits import arrow_rows, json_rows
 from tradelake.functions.times import period_of_ms, period_start, utc_day
+from tradelake.operators import reads
 from tradelake.operators.bounds import merge_bounds, pair_bounds
+from tradelake.operators.reads import TradeQuery
 from tradelake.operators.upserts import latest, metadata_value
+from tradelake.sources.exchanges import exchange_filter
 
 
 @dataclass(frozen=True)
@@ -38,26 +42,62 @@ class TradeTable:
         return f"{self.root}/rejects"
 
     def read(self) -> DataFrame:
-        if not self._exists(self.data):
+        return self._read(self.periods())
+
+    def _read(self, periods: list[dt.date]) -> DataFrame:
+        # Naming the directories spares Spark from listing the whole table.
+        if not periods:
             return self.spark.createDataFrame([], schemas.STORED_TRADES)
-        return self.spark.read.schema(schemas.STORED_TRADES).parquet(self.data)
+        paths = [f"{self.data}/dt={start}" for start in periods]
+        reader = self.spark.read.schema(schemas.STORED_TRADES)
+        return reader.option("basePath", self.data).parquet(*paths)
 
     def between(self, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
         """Trades within inclusive bounds, reading only the periods they touch."""
-        rows = self.read()
+        first = dt.date.min if from_ms is None else self.period_of(from_ms)
+        last = dt.date.max if to_ms is None else self.period_of(to_ms)
+        rows = self._read([start for start in self.periods() if first <= start <= last])
         if from_ms is not None:
-            rows = rows.filter(F.col("dt") >= F.lit(self.period_of(from_ms)))
             rows = rows.filter(F.col("ts") >= from_ms)
         if to_ms is not None:
-            rows = rows.filter(F.col("dt") <= F.lit(self.period_of(to_ms)))
             rows = rows.filter(F.col("ts") <= to_ms)
         return rows
 
+    def for_query(self, query: TradeQuery, rows: int) -> DataFrame:
+        """The fewest periods sure to hold a query's first ``rows`` rows.
+
+        The flush log knows how many trades a pair has per period. The period that
+        a bound cuts, and the oldest one, which a deletion may have cut, count as
+        empty, so no period is left out that could matter.
+        """
+        wanted = (F.col("exchange") == exchange_filter(query.venue, query.market)) & (
+            F.col("symbol") == query.symbol.lower()
+        )
+        per_period = self.read_flushes().filter(wanted).groupBy("dt").agg(F.sum("trades"))
+        counts = dict(per_period.collect())
+        live = self.periods()
+        ends = [self.period_of(ms) for ms in (query.from_ms, query.to_ms) if ms is not None]
+        first = dt.date.min if query.from_ms is None else ends[0]
+        last = dt.date.max if query.to_ms is None else ends[-1]
+        needed, found = [], 0
+        for start in sorted(live, reverse=query.from_ms is None):
+            if first <= start <= last and found < rows:
+                needed.append(start)
+                found += 0 if start in (*ends, live[0]) else counts.get(start, 0)
+        return self._read(needed)
+
+    def read_trades(self, query: TradeQuery) -> DataFrame:
+        return reads.read_trades(self.for_query(query, json_rows(query.limit)), query)
+
+    def export_trades(self, query: TradeQuery, memory_mb: int = 0) -> DataFrame:
+        rows = arrow_rows(query.limit, memory_mb)
+        return reads.export_trades(self.for_query(query, rows), query, memory_mb)
+
     def period_of(self, ms: int) -> dt.date:
         return period_of_ms(ms, self.period_length)
 
     def period(self, start: dt.date) -> DataFrame:
-        return self.read().filter(F.col("dt") == F.lit(start))
+        return self._read([start])
 
     def read_flushes(self) -> DataFrame:
         """What each batch committed, per day and pair."""
@@ -105,6 +145,8 @@ class TradeTable:
 
     def stored_bytes(self) -> int:
         """Size of the live data files."""
+        if not self.periods():
+            return 0
         files = self.read().select("_metadata.file_path", "_metadata.file_size").distinct()
         return files.agg(F.sum("file_size")).first()[0] or 0
 
