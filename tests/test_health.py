@@ -174,8 +174,14 @@ def access_rows(seed, n=4_000, span=40_000):
     ]
 
 
+@pytest.fixture(params=["at once", "in blocks"])
+def chaining(request, monkeypatch):
+    if request.param == "in blocks":
+        monkeypatch.setattr(admission, "CHAIN_AT_ONCE", 1)
+
+
 @pytest.mark.parametrize(("window", "limit"), [(60, 2), (1_000, 5), (100_000, 3)])
-def test_sample_equals_fold_across_chunks(spark, window, limit):
+def test_sample_equals_fold_across_chunks(spark, chaining, window, limit):
     rows = access_rows(5)
     events = spark.createDataFrame(rows, ACCESS)
     # 4,000 rows in 40 chunks; the hot server spans a dozen of them.
@@ -197,7 +203,7 @@ def test_sample_keeps_real_defaults(spark):
     ("capacity", "window", "span"),
     [(3, 100, 40_000), (7, 1_000, 40_000), (5, 50, 2_000), (500, 10_000, 40_000)],
 )
-def test_limiter_equals_fold_across_chunks(spark, capacity, window, span):
+def test_limiter_equals_fold_across_chunks(spark, chaining, capacity, window, span):
     rows = access_rows(6, span=span)
     requests = spark.createDataFrame(rows, ACCESS)
     flagged = admission.rate_limit_flags(requests, capacity, window, rows_per_chunk=100)

@@ -18,68 +18,174 @@ once.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tradelake.operators.ordered import ROWS_PER_CHUNK, chunk_count, ordered_chunks
 from tradelake.session import materialize
 
 FULL = -(1 << 62)
+EFFECT = "low array<bigint>, move array<bigint>, fixed array<boolean>"
+CHAIN_AT_ONCE = 1_000
 
 
-class Effect:
+class Effect(NamedTuple):
     """What a run of requests does to ``open``, as pieces over its value before.
 
     Piece i covers values from ``low[i]`` up to the next piece; there ``open``
     becomes ``move[i]`` if ``fixed[i]``, else grows by ``move[i]``.
     """
 
-    def __init__(self, step: int, capacity: int):
-        self.step, self.burst = step, (capacity - 1) * step
-        self.low = np.array([FULL], dtype=np.int64)
-        self.move = np.array([0], dtype=np.int64)
-        self.fixed = np.array([False])
+    low: np.ndarray
+    move: np.ndarray
+    fixed: np.ndarray
+
+    def of(self, value: int) -> int:
+        piece = int(np.searchsorted(self.low, value, side="right")) - 1
+        return int(self.move[piece]) + (0 if self.fixed[piece] else value)
+
+    def then(self, other: Effect) -> Effect:
+        """This effect followed by another, pieces split where the other's begin."""
+        start = np.where(self.fixed, self.move, self.low + self.move)
+        last = np.append(self.low[1:], -FULL) + self.move - 1
+        last = np.where(self.fixed, self.move, last)
+        begin = np.searchsorted(other.low, start, side="right") - 1
+        count = np.searchsorted(other.low, last, side="right") - begin
+        mine = np.repeat(np.arange(len(self.low)), count)
+        nth = np.arange(len(mine)) - np.repeat(np.cumsum(count) - count, count)
+        theirs = begin[mine] + nth
+        low = np.where(nth == 0, self.low[mine], other.low[theirs] - self.move[mine])
+        stays = other.fixed[theirs]
+        move = other.move[theirs] + np.where(stays, 0, self.move[mine])
+        return _joined(low, move, stays | self.fixed[mine])
+
+
+def _joined(low: np.ndarray, move: np.ndarray, fixed: np.ndarray) -> Effect:
+    """Neighbouring pieces that do the same become one."""
+    new = np.append(True, (move[1:] != move[:-1]) | (fixed[1:] != fixed[:-1]))
+    return Effect(low[new], move[new], fixed[new])
+
+
+def effect_of(times: np.ndarray, step: int, capacity: int, first_open: int) -> Effect:
+    """Effect of a run of requests, given its scaled times in order.
+
+    ``open`` is never more than one step after a request that passed, so values
+    beyond that, and beyond ``first_open``, need not be covered.
+    """
+    end = max(int(times[0]) + step, first_open) + 1
+    if capacity == 1:
+        return _jumps(times, step, end)
+    return _Pieces(step, capacity, end).feed(times.tolist())
+
+
+def _jumps(times: np.ndarray, step: int, end: int) -> Effect:
+    """Capacity 1: from any request the next to pass is known at once."""
+    n = len(times)
+    following = np.searchsorted(times, times + step)
+    last = np.where(following < n, following, np.arange(n))
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    low = np.concatenate([[FULL], times + 1])
+    move = np.append(times[last] + step, 0)
+    fixed = np.append(np.ones(n, dtype=bool), False)
+    return _joined(*(part[low < end] for part in (low, move, fixed)))
+
+
+class _Pieces:
+    """Pieces (low, high, move, fixed) of the effect, taken from request to request.
+
+    Many pieces come to lead to the same few values. Then the effect so far is put
+    aside and the walk goes on from those values; the parts are chained at the end.
+    """
+
+    LOOK_EVERY = 128
 
-    def feed(self, times: list[int]) -> None:
-        i = 0
+    def __init__(self, step: int, capacity: int, end: int):
+        self.step, self.capacity, self.burst = step, capacity, (capacity - 1) * step
+        self.done: list[Effect] = []
+        self.pieces = [(FULL, end, 0, False)]
+
+    def feed(self, times: list[int]) -> Effect:
+        i = steps = 0
         while i < len(times):
+            if len(self.pieces) == 1 and self.pieces[0][3]:
+                # What came before no longer matters.
+                low, high, value, _ = self.pieces[0]
+                _, value = replay(times[i:], value, self.step, self.capacity)
+                self.pieces = [(low, high, value, True)]
+                break
             # Requests before the earliest possible ``open`` change nothing.
-            soonest = np.where(self.fixed, self.move, self.low + self.move).min()
-            i = bisect_left(times, soonest, i)
-            if i < len(times):
-                self._request(times[i])
-            i += 1
+            soonest = min(move if fixed else low + move for low, _, move, fixed in self.pieces)
+            if times[i] < soonest:
+                i = bisect_left(times, soonest, i)
+                continue
+            self._request(times[i])
+            i, steps = i + 1, steps + 1
+            if steps % self.LOOK_EVERY == 0:
+                self._put_aside()
+        whole = self._effect()
+        for part in reversed(self.done):
+            whole = part.then(whole)
+        return whole
+
+    def _effect(self) -> Effect:
+        low, _, move, fixed = zip(*self.pieces, strict=True)
+        return Effect(np.array(low), np.array(move), np.array(fixed))
 
     def _request(self, t: int) -> None:
-        floor = t - self.burst
-        high = np.append(self.low[1:], -FULL)
-        edges = np.concatenate([floor - self.move, t + 1 - self.move])
-        inside = ~np.tile(self.fixed, 2)
-        inside &= (edges > np.tile(self.low, 2)) & (edges < np.tile(high, 2))
-        low = np.unique(np.concatenate([self.low, edges[inside]]))
-        piece = np.searchsorted(self.low, low, side="right") - 1
-        move, fixed = self.move[piece], self.fixed[piece]
-
-        value = np.where(fixed, move, low + move)
-        passes = value <= t
-        fixed = fixed | (passes & (value < floor))
-        after = np.where(fixed, np.maximum(value, floor), move) + self.step
-        move = np.where(passes, after, move)
-
-        new = np.append(True, (move[1:] != move[:-1]) | (fixed[1:] != fixed[:-1]))
-        self.low, self.move, self.fixed = low[new], move[new], fixed[new]
-
-
-def chain(value: int, low, move, fixed) -> int:
-    """``open`` after a chunk, from the one before it and the chunk's effect."""
-    piece = int(np.searchsorted(low, value, side="right")) - 1
-    return int(move[piece]) if fixed[piece] else value + int(move[piece])
+        floor, step, pieces = t - self.burst, self.step, []
+        for low, high, move, fixed in self.pieces:
+            if fixed:
+                if move <= t:
+                    move = max(move, floor) + step
+                _add(pieces, low, high, move, True)
+                continue
+            if low + move <= floor:
+                cut = min(high, floor + 1 - move)
+                _add(pieces, low, cut, floor + step, True)
+                low = cut
+            if low < high and low + move <= t:
+                cut = min(high, t + 1 - move)
+                _add(pieces, low, cut, move + step, False)
+                low = cut
+            if low < high:
+                _add(pieces, low, high, move, False)
+        self.pieces = pieces
+
+    def _put_aside(self) -> None:
+        values = sorted(
+            (move, move + 1) if fixed else (low + move, high + move)
+            for low, high, move, fixed in self.pieces
+        )
+        merged = []
+        for low, high in values:
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        if 2 * len(merged) <= len(self.pieces):
+            self.done.append(self._effect())
+            self.pieces = [(low, high, 0, False) for low, high in merged]
+
+
+def _add(pieces: list, low: int, high: int, move: int, fixed: bool) -> None:
+    """Append a piece, or extend the last one if it does the same."""
+    if pieces and pieces[-1][2] == move and pieces[-1][3] == fixed:
+        pieces[-1] = (pieces[-1][0], high, move, fixed)
+    else:
+        pieces.append((low, high, move, fixed))
 
 
 def replay(times: list[int], value: int, step: int, capacity: int):
@@ -106,16 +212,21 @@ def _runs(batch: pa.RecordBatch, key: str) -> Iterator[tuple[object, int, int]]:
         yield column[int(start)].as_py(), int(start), int(end)
 
 
-def _effects(key: str, capacity: int, window_ms: int, schema: pa.Schema):
+def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _effects(key: str, capacity: int, window_ms: int, first_open: int, schema: pa.Schema):
+    """One effect per key and chunk, of rows sorted by them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, effect = None, None
+        at, parts = None, []
 
         def row() -> pa.RecordBatch:
-            values = [[at[0]], [at[1]], [effect.low], [effect.move], [effect.fixed]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, f.type) for v, f in zip(values, schema, strict=True)],
-                schema=schema,
-            )
+            times = np.concatenate(parts)
+            effect = effect_of(times, window_ms, capacity, first_open)
+            return _batch(schema, *([value] for value in (*at, *effect)))
 
         for batch in batches:
             times = batch.column("at_ms").to_numpy() * capacity
@@ -123,38 +234,61 @@ def _effects(key: str, capacity: int, window_ms: int, schema: pa.Schema):
             for value, start, end in _runs(batch, key):
                 here = (value, chunks[start].as_py())
                 if here != at:
-                    if effect is not None:
+                    if parts:
                         yield row()
-                    at, effect = here, Effect(window_ms, capacity)
-                effect.feed(times[start:end].tolist())
-        if effect is not None:
+                    at, parts = here, []
+                parts.append(times[start:end])
+        if parts:
             yield row()
 
     return run
 
 
-def _openings(key: str, first_open: int, schema: pa.Schema):
+def _rows(batches: Iterator[pa.RecordBatch], key: str, place: str):
+    """Key, place, effect and, where there is one, the ``open`` before it."""
+    for batch in batches:
+        opens = batch.column("open") if "open" in batch.schema.names else None
+        for i in range(batch.num_rows):
+            effect = Effect(
+                *(np.asarray(batch.column(n)[i].values) for n in Effect._fields)
+            )
+            known = opens[i].as_py() if opens is not None else None
+            yield batch.column(key)[i].as_py(), batch.column(place)[i].as_py(), effect, known
+
+
+def _blocks(key: str, schema: pa.Schema):
+    """One effect per key and block, of chunk effects sorted by key and chunk."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, value = object(), first_open
-        for batch in batches:
-            keys, chunks, opens = [], [], []
-            for row in range(batch.num_rows):
-                this = batch.column(key)[row].as_py()
-                if this != current:
-                    current, value = this, first_open
-                keys.append(this)
-                chunks.append(batch.column("chunk")[row].as_py())
-                opens.append(value)
-                pieces = [
-                    np.asarray(batch.column(name)[row].values)
-                    for name in ("low", "move", "fixed")
-                ]
-                value = chain(value, *pieces)
-            arrays = [
-                pa.array(v, f.type)
-                for v, f in zip((keys, chunks, opens), schema, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        at, whole = None, None
+        for this, block, effect, _ in _rows(batches, key, "block"):
+            if at == (this, block):
+                whole = whole.then(effect)
+                continue
+            if whole is not None:
+                yield _batch(schema, *([value] for value in (*at, *whole)))
+            at, whole = (this, block), effect
+        if whole is not None:
+            yield _batch(schema, *([value] for value in (*at, *whole)))
+
+    return run
+
+
+def _openings(key: str, place: str, first_open: int, schema: pa.Schema):
+    """The ``open`` before every place, of effects sorted by key and place.
+
+    A key begins with ``first_open``, unless the rows bring the ``open`` that holds
+    before the first place of their block.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, value, given = object(), first_open, None
+        for this, where, effect, known in _rows(batches, key, place):
+            if this != current or known != given:
+                current, given = this, known
+                value = first_open if known is None else known
+            yield _batch(schema, [this], [where], [value])
+            value = effect.of(value)
 
     return run
 
@@ -219,32 +353,11 @@ def admit(
     split = chunked.select(key, "chunk", "at_ms").join(
         F.broadcast(spanning.select(F.col(key).alias("k"))), same_key, "left_semi"
     )
-    key_type = log.schema[key].dataType
-    long, longs = T.LongType(), T.ArrayType(T.LongType())
-    effect_schema = T.StructType(
-        [
-            T.StructField(key, key_type),
-            T.StructField("chunk", T.IntegerType()),
-            T.StructField("low", longs),
-            T.StructField("move", longs),
-            T.StructField("fixed", T.ArrayType(T.BooleanType())),
-        ]
-    )
-    opening_schema = T.StructType(
-        [
-            T.StructField(key, key_type),
-            T.StructField("chunk", T.IntegerType()),
-            T.StructField("open", long),
-        ]
-    )
     effects = split.mapInArrow(
-        _effects(key, capacity, window_ms, _arrow(effect_schema)), effect_schema
+        *_stage(_effects, log, key, "chunk", EFFECT, capacity, window_ms, first_open)
     )
-    openings = (
-        effects.repartition(key)
-        .sortWithinPartitions(key, "chunk")
-        .mapInArrow(_openings(key, first_open, _arrow(opening_schema)), opening_schema)
-        .select(F.col(key).alias("k"), F.col("chunk").alias("c"), "open")
+    openings = _chunk_openings(effects, log, key, chunks, first_open).select(
+        F.col(key).alias("k"), F.col("chunk").alias("c"), "open"
     )
     opened = chunked.join(
         F.broadcast(openings), same_key & (F.col("c") == F.col("chunk")), "left"
@@ -253,7 +366,7 @@ def admit(
         [
             *log.schema.fields,
             T.StructField("admitted", T.BooleanType()),
-            T.StructField("window_start_ms", long),
+            T.StructField("window_start_ms", T.LongType()),
         ]
     )
     return opened.mapInArrow(
@@ -261,10 +374,42 @@ def admit(
     )
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+def _stage(make, log: DataFrame, key: str, place: str, rest: str, *arguments):
+    """A function for mapInArrow and its schema: key, place and ``rest``."""
+    schema = T.StructType(
+        [log.schema[key], T.StructField(place, T.LongType()), *T._parse_datatype_string(rest)]
+    )
+    return make(key, *arguments, to_arrow_schema(schema)), schema
+
 
-    return to_arrow_schema(schema)
+def _chunk_openings(
+    effects: DataFrame, log: DataFrame, key: str, chunks: int, first_open: int
+) -> DataFrame:
+    """The ``open`` before every chunk of the keys that span chunks.
+
+    A few chunks are chained in one go. Many are chained in blocks: first each block
+    is made one effect, then the blocks are chained, then the chunks in each block,
+    so no task sees more than the square root of a key's chunks.
+    """
+    def chained(rows: DataFrame, place: str, *by: str) -> DataFrame:
+        placed = rows.repartition(key, *by).sortWithinPartitions(key, place)
+        return placed.mapInArrow(
+            *_stage(_openings, log, key, place, "open bigint", place, first_open)
+        )
+
+    if chunks <= CHAIN_AT_ONCE:
+        return chained(effects, "chunk")
+    size = math.isqrt(chunks)
+    blocked = materialize(effects.withColumn("block", F.expr(f"chunk div {size}L")))
+    spread = blocked.repartition(key, "block").sortWithinPartitions(key, "chunk")
+    blocks = spread.mapInArrow(*_stage(_blocks, log, key, "block", EFFECT))
+    before = chained(blocks, "block").select(
+        F.col(key).alias("k"), F.col("block").alias("b"), "open"
+    )
+    same = F.col("k").eqNullSafe(F.col(key)) & (F.col("b") == F.col("block"))
+    # At most two rows per chunk, as for the chunks themselves.
+    known = blocked.join(F.broadcast(before), same).select(*blocked.columns, "open")
+    return chained(known, "chunk", "block")
 
 
 def rate_limit_flags(

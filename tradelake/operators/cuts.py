@@ -37,14 +37,15 @@ def time_cut(
     while low is not None:
         width = max(1, -(-(high - low + 1) // FAN_OUT))
         slice_no = F.expr(f"(ts - {low}L) div {width}L").alias("slice")
-        counts = between(low, high).groupBy(slice_no).count().collect()
-        for slice_, count in sorted(counts, reverse=newest):
-            if left <= count:
-                break
-            left -= count
-        else:
+        counts = between(low, high).groupBy(slice_no).count().toPandas()
+        counts = counts.sort_values("slice", ascending=not newest)
+        reached = counts["count"].cumsum().to_numpy()
+        place = int(reached.searchsorted(left))
+        if place == len(reached):
             return None
-        low, high = low + slice_ * width, min(high, low + (slice_ + 1) * width - 1)
+        left -= int(reached[place] - counts["count"].iloc[place])
+        start = low + int(counts["slice"].iloc[place]) * width
+        low, high = start, min(high, start + width - 1)
         if width == 1:
             return Cut(low, left)
     return None

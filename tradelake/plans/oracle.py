@@ -43,9 +43,8 @@ PARTS = {
     "trades": """trades AS (SELECT exchange, lower(coalesce(display_symbol, ticker))
         AS symbol, ts, price, qty, is_sell FROM raw)""",
     "routed": """routed AS (SELECT exchange,
-        lower(coalesce(display_symbol, ticker)) AS symbol, ts + i AS ts,
-        price + i AS price, qty, is_sell
-        FROM (SELECT *, unnest(generate_series(0, seq % 3)) AS i FROM raw
+        lower(coalesce(display_symbol, ticker)) AS symbol, ts, price, qty, is_sell
+        FROM (SELECT *, unnest(generate_series(0, seq % 3)) FROM raw
             WHERE seq % 17 NOT IN (0, 1, 2)))""",
     "whitelist": """whitelist AS (SELECT config_id, venue, market, unnest(quotes) AS quote
         FROM (SELECT *, (['binance', 'bybit', 'mexc', 'hyperliquid', 'okex', 'kraken',

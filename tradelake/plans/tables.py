@@ -27,16 +27,25 @@ def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def _pick(key: str, *names: str) -> str:
+    listed = ", ".join(f"'{name}'" for name in names)
+    return f"element_at(array({listed}), int(pmod({key}, {len(names)})) + 1)"
+
+
 def traded_exchange(key: str) -> str:
-    return f"""CASE pmod({key}, 6) WHEN 0 THEN 'Binance Spot'
-        WHEN 1 THEN 'Binance Linear' WHEN 2 THEN 'Bybit Linear'
-        WHEN 3 THEN 'Okex Linear' WHEN 4 THEN 'Bybit Spot'
-        ELSE 'Hyperliquid Linear' END"""
+    return _pick(
+        key,
+        "Binance Spot",
+        "Binance Linear",
+        "Bybit Linear",
+        "Okex Linear",
+        "Bybit Spot",
+        "Hyperliquid Linear",
+    )
 
 
 def any_exchange(key: str) -> str:
-    names = ", ".join(f"'{row[0]}'" for row in EXCHANGES)
-    return f"element_at(array({names}), int(pmod({key}, {len(EXCHANGES)})) + 1)"
+    return _pick(key, *[row[0] for row in EXCHANGES])
 
 
 def _at_ms(column: str) -> str:
@@ -48,8 +57,7 @@ def raw_trades(lineitem: DataFrame) -> DataFrame:
     named = lineitem.selectExpr(
         "l_orderkey * 10 + l_linenumber AS seq",
         f"{traded_exchange('l_suppkey')} AS exchange",
-        """CASE pmod(l_partkey, 5) WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT'
-            WHEN 2 THEN 'SOLUSDT' WHEN 3 THEN 'XRPUSDT' ELSE 'BTCUSDC' END AS name""",
+        _pick("l_partkey", "BTCUSDT", "ETHUSDT", "SOLUSDT", "XRPUSDT", "BTCUSDC") + " AS name",
         "l_partkey",
         f"""{_at_ms('l_shipdate')} + pmod(l_orderkey * 7919 + l_partkey * 104729
             + l_suppkey * 31 + l_linenumber, 86400000) AS ts""",
@@ -70,16 +78,15 @@ def raw_trades(lineitem: DataFrame) -> DataFrame:
 
 
 def market_events(lineitem: DataFrame) -> DataFrame:
-    """Events with one to three trades each, and events that carry none to store."""
+    """Events with one to three equal trades each, and events not to be stored."""
     return raw_trades(lineitem).selectExpr(
         "seq",
         "ts AS at_ms",
         "exchange",
-        """CASE pmod(seq, 17) WHEN 0 THEN 'depth' WHEN 1 THEN 'kline'
-            WHEN 2 THEN 'connected' ELSE 'trades' END AS kind""",
-        """transform(sequence(0, int(pmod(seq, 3))), i -> named_struct(
-            'ticker', ticker, 'display_symbol', display_symbol, 'ts', ts + i,
-            'price', price + i, 'qty', qty, 'is_sell', is_sell)) AS trades""",
+        _pick("seq", "depth", "kline", "connected", *["trades"] * 14) + " AS kind",
+        """array_repeat(named_struct('ticker', ticker, 'display_symbol', display_symbol,
+            'ts', ts, 'price', price, 'qty', qty, 'is_sell', is_sell),
+            int(pmod(seq, 3)) + 1) AS trades""",
     )
 
 
@@ -171,10 +178,9 @@ def access_events(events: DataFrame) -> DataFrame:
 def read_requests(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "event_id",
-        """element_at(array('binance', 'Bybit', 'mexc', 'HYPERLIQUID', 'okex', 'kraken',
-            'binance'), int(pmod(user_id, 7)) + 1) AS venue""",
-        """element_at(array('spot', 'linear', 'inverse', 'Spot', 'futures'),
-            int(pmod(event_id, 5)) + 1) AS market""",
+        _pick("user_id", "binance", "Bybit", "mexc", "HYPERLIQUID", "okex", "kraken", "binance")
+        + " AS venue",
+        _pick("event_id", "spot", "linear", "inverse", "Spot", "futures") + " AS market",
     )
 
 
@@ -196,7 +202,7 @@ def catalog(part: DataFrame) -> DataFrame:
         "p_partkey AS k",
         f"{any_exchange('p_partkey')} AS exchange",
         "'A' || (p_partkey div 42) AS base",
-        "element_at(array('USDT', 'USDC', 'USD'), int(pmod(p_partkey div 14, 3)) + 1) AS quote",
+        _pick("p_partkey div 14", "USDT", "USDC", "USD") + " AS quote",
     )
     return candidate_tickers(pairs).selectExpr(
         "k",

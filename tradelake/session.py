@@ -23,6 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small data on one machine: cut it finer, so that every core gets some.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
