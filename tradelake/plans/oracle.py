@@ -30,8 +30,8 @@ PARTS = {
     "exchanges": """exchanges(exchange, venue, market, joiner, suffix) AS (VALUES
         {})""".format(", ".join(f"({', '.join(map(_text, row))})" for row in EXCHANGES)),
     "raw": f"""raw AS (SELECT seq, exchange, ts, price, qty, is_sell,
-        CASE WHEN ts % 2 = 0 THEN '@' || l_partkey ELSE name END AS ticker,
-        CASE WHEN ts % 2 = 0 THEN name END AS display_symbol
+        CASE WHEN l_partkey % 2 = 0 THEN '@' || l_partkey ELSE name END AS ticker,
+        CASE WHEN l_partkey % 2 = 0 THEN name END AS display_symbol
         FROM (SELECT l_orderkey * 10 + l_linenumber AS seq, l_partkey,
             {_traded('l_suppkey')} AS exchange,
             CASE l_partkey % 5 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT'

@@ -68,8 +68,8 @@ def raw_trades(lineitem: DataFrame) -> DataFrame:
     return named.selectExpr(
         "seq",
         "exchange",
-        "CASE WHEN ts % 2 = 0 THEN '@' || l_partkey ELSE name END AS ticker",
-        "CASE WHEN ts % 2 = 0 THEN name END AS display_symbol",
+        "CASE WHEN l_partkey % 2 = 0 THEN '@' || l_partkey ELSE name END AS ticker",
+        "CASE WHEN l_partkey % 2 = 0 THEN name END AS display_symbol",
         "ts",
         "price",
         "qty",
