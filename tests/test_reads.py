@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import json
 
 import pyarrow as pa
 import pytest
@@ -99,9 +100,21 @@ def test_export_files_are_ordered_and_counted(spark, scratch):
     assert stats == exports.ExportStats(5_000, 4)
 
 
+def test_export_files_share_a_group_of_copies(spark, scratch):
+    same = spark.range(8_000).selectExpr("1L AS ts", "1.0D AS price", "1.0D AS qty", "true AS is_sell")
+    exports.write_export(same, f"{scratch}/export", files=4)
+    written = spark.read.parquet(f"{scratch}/export")
+    sizes = [r["count"] for r in written.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 8_000
+    assert max(sizes) < 4_000
+
+
 def test_json_answers(spark):
     text = exports.trades_json(ramp(spark, 1)).first()["json"]
     assert text == '{"ts":0,"price":0.0,"qty":1.0,"is_sell":true}'
+    query = reads.TradeQuery("binance", "btcusdt", "spot", limit=2)
+    answer = exports.trades_document(reads.read_trades(ramp(spark, 5), query))
+    assert [t["ts"] for t in json.loads(answer)["trades"]] == [4, 3]
 
 
 # The inline dimensions of the fixture notes.
@@ -206,6 +219,10 @@ def test_configured_pairs_keep_order_and_spelling(spark):
     texts = [r["json"] for r in exports.pairs_json(pairs).orderBy("pos").collect()]
     assert texts[0] == '{"ticker":"BinanceSpot:btcusdt","earliest":1,"latest":9}'
     assert texts[2].endswith('"earliest":null,"latest":null}')
+    answer = json.loads(exports.pairs_document(pairs))
+    assert answer["tracked_count"] == len(answer["pairs"]) == 3
+    with pytest.raises(ValueError, match="files"):
+        exports.pairs_document(pairs, max_pairs=2)
 
 
 def test_upsert_last_write_wins(spark):

@@ -177,11 +177,12 @@ def test_interrupted_swap_is_finished_or_undone(spark, scratch):
     fs, path = table._fs(), table._path
     first, second = table.periods()
     # A complete staged day whose old rows have moved away already.
-    fs.mkdirs(path(f"{table.root}/staging"))
-    fs.rename(path(f"{table.data}/dt={first}"), path(f"{table.root}/staging/dt={first}"))
-    fs.create(path(f"{table.root}/staging/dt={first}/_SUCCESS")).close()
+    staging = f"{table.root}/staging/data"
+    fs.mkdirs(path(staging))
+    fs.rename(path(f"{table.data}/dt={first}"), path(f"{staging}/dt={first}"))
+    fs.create(path(f"{staging}/dt={first}/_SUCCESS")).close()
     # A half-written one whose old rows are still there.
-    fs.mkdirs(path(f"{table.root}/staging/dt={second}"))
+    fs.mkdirs(path(f"{staging}/dt={second}"))
     table.recover()
     assert rows_of(table) == sorted(rows)
-    assert table._children(f"{table.root}/staging") == []
+    assert table._children(staging) == []

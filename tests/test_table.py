@@ -110,6 +110,10 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     after = table.read().select("_metadata.file_path").distinct().count()
     assert rows_of(table.read()) == sorted(rows * 4)
     assert after < before
+    flushes = table.read_flushes().collect()
+    assert sum(r["trades"] for r in flushes) == len(rows) * 4
+    assert {r["flushed_at"] for r in flushes} == {3}
+    assert len(flushes) == 4
 
 
 def test_files_prune_by_period_exchange_symbol_and_time(spark, scratch):

@@ -22,11 +22,9 @@ BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
-def chunk_count(df: DataFrame, rows_per_chunk: int | None = None) -> int:
-    """Enough chunks to use every core, or to bound the rows in each."""
+def chunk_count(df: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
+    """Enough chunks to use every core and to bound the rows in each."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows_per_chunk is None:
-        return max(cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(cores, math.ceil(df.count() / rows_per_chunk))
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tradelake.functions.limits import JSON_MAX_ROWS
 from tradelake.schemas import ANSWER_COLUMNS
 
 TRADE_JSON = "ts bigint, price double, qty double, is_sell boolean"
@@ -40,6 +41,23 @@ def pairs_json(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("json", F.to_json(shown, {"ignoreNullFields": "false"}))
 
 
+def _document(rows: DataFrame, name: str, max_rows: int, rest: str = "") -> str:
+    texts = [row["json"] for row in rows.select("json").limit(max_rows + 1).collect()]
+    if len(texts) > max_rows:
+        raise ValueError(f"more than {max_rows} {name}: write them as files instead")
+    return f'{{"{name}":[{",".join(texts)}]{rest.format(len(texts))}}}'
+
+
+def trades_document(answer: DataFrame) -> str:
+    """The JSON answer of a read, which has at most 10,000 rows."""
+    return _document(trades_json(answer), "trades", JSON_MAX_ROWS)
+
+
+def pairs_document(pairs: DataFrame, max_pairs: int = 100_000) -> str:
+    """The JSON answer listing the configured pairs."""
+    return _document(pairs_json(pairs), "pairs", max_pairs, ',"tracked_count":{}')
+
+
 def write_arrow_stream(answer: DataFrame, sink: BinaryIO, rows_per_batch: int = 10_000):
     """Write a limited answer as an Arrow IPC stream and report its size.
 
@@ -55,12 +73,17 @@ def write_arrow_stream(answer: DataFrame, sink: BinaryIO, rows_per_batch: int =
 
 
 def write_export(trades: DataFrame, path: str, files: int) -> ExportStats:
-    """Write any number of trades as time-ordered Parquet files."""
+    """Write any number of trades as time-ordered Parquet files.
+
+    ``trades`` should come from a scan: a row's place in it lets the files share
+    one large group of equal rows.
+    """
     seen = Observation()
+    placed = trades.select(*ANSWER_COLUMNS, F.monotonically_increasing_id().alias("place"))
     (
-        trades.select(*ANSWER_COLUMNS)
-        .repartitionByRange(files, *ANSWER_COLUMNS)
+        placed.repartitionByRange(files, *ANSWER_COLUMNS, "place")
         .sortWithinPartitions(*ANSWER_COLUMNS)
+        .select(*ANSWER_COLUMNS)
         .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("errorifexists")
         .parquet(path)

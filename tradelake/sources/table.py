@@ -139,7 +139,9 @@ class TradeTable:
                 F.max("ts").alias("latest"),
                 F.lit(flushed_at).cast("bigint").alias("flushed_at"),
             )
-            self._overwrite(committed.select("*", stamped), self.flushes, ["batch_id"])
+            self._overwrite(
+                committed.select("*", stamped), self.flushes, ["dt", "batch_id"]
+            )
         finally:
             batch.unpersist()
 
@@ -151,44 +153,56 @@ class TradeTable:
         return files.agg(F.sum("file_size")).first()[0] or 0
 
     def periods(self) -> list[dt.date]:
-        names = self._children(self.data)
-        return sorted(dt.date.fromisoformat(name[3:]) for name in names if name[:3] == "dt=")
+        return self._starts(self.data)
 
     def drop_period(self, start: dt.date) -> None:
-        self._fs().delete(self._path(f"{self.data}/dt={start}"), True)
+        for part in (self.data, self.flushes):
+            self._fs().delete(self._path(f"{part}/dt={start}"), True)
 
-    def replace_period(self, start: dt.date, rows: DataFrame) -> None:
+    def replace_period(self, start: dt.date, rows: DataFrame, part: str = "data") -> None:
         """Swap a period's rows for ``rows``, which may read the table itself.
 
         The new rows are complete in a staging folder before the old ones move
         away, so :meth:`recover` can finish a swap that was cut short.
         """
-        staged = f"{self.root}/staging/dt={start}"
-        self._overwrite(rows.drop("dt"), staged, ["exchange", "batch_id"], dynamic=False)
-        self._swap(start)
+        levels = ["exchange", "batch_id"] if part == "data" else ["batch_id"]
+        live, staged, old = (
+            f"{self.root}/{folder}/dt={start}"
+            for folder in (part, f"staging/{part}", f"replaced/{part}")
+        )
+        self._overwrite(rows.drop("dt"), staged, levels, dynamic=False)
+        fs = self._fs()
+        fs.mkdirs(self._path(old).getParent())
+        fs.rename(self._path(live), self._path(old))
+        fs.rename(self._path(staged), self._path(live))
+        fs.delete(self._path(old), True)
 
     def recover(self) -> None:
         """Finish or undo swaps that stopped half-way."""
-        for name in self._children(f"{self.root}/staging"):
-            live, staged = f"{self.data}/{name}", f"{self.root}/staging/{name}"
-            if self._exists(f"{staged}/_SUCCESS") and not self._exists(live):
-                self._fs().rename(self._path(staged), self._path(live))
-            else:
-                self._fs().delete(self._path(staged), True)
-        self._fs().delete(self._path(f"{self.root}/replaced"), True)
+        fs = self._fs()
+        for part in ("data", "flushes"):
+            for start in self._starts(f"{self.root}/staging/{part}"):
+                live = f"{self.root}/{part}/dt={start}"
+                staged = f"{self.root}/staging/{part}/dt={start}"
+                if self._exists(f"{staged}/_SUCCESS") and not self._exists(live):
+                    fs.rename(self._path(staged), self._path(live))
+                else:
+                    fs.delete(self._path(staged), True)
+        fs.delete(self._path(f"{self.root}/replaced"), True)
 
     def compact_period(self, start: dt.date) -> None:
         """Merge a closed period's many small batch files into few sorted ones."""
-        merged = self.period(start).withColumn("batch_id", F.lit(-1).cast("bigint"))
-        self.replace_period(start, merged)
-
-    def _swap(self, start: dt.date) -> None:
-        fs = self._fs()
-        live, old = self._path(f"{self.data}/dt={start}"), f"{self.root}/replaced"
-        fs.mkdirs(self._path(old))
-        fs.rename(live, self._path(f"{old}/dt={start}"))
-        fs.rename(self._path(f"{self.root}/staging/dt={start}"), live)
-        fs.delete(self._path(old), True)
+        merged = F.lit(-1).cast("bigint").alias("batch_id")
+        trades = self.period(start).withColumn("batch_id", merged)
+        self.replace_period(start, trades)
+        flushes = self.read_flushes().filter(F.col("dt") == F.lit(start))
+        totals = flushes.groupBy("exchange", "symbol").agg(
+            F.sum("trades").alias("trades"),
+            F.min("earliest").alias("earliest"),
+            F.max("latest").alias("latest"),
+            F.max("flushed_at").alias("flushed_at"),
+        )
+        self.replace_period(start, totals.select("*", merged), "flushes")
 
     @staticmethod
     def _overwrite(
@@ -216,6 +230,10 @@ class TradeTable:
     def _exists(self, path: str) -> bool:
         return self._fs().exists(self._path(path))
 
+    def _starts(self, path: str) -> list[dt.date]:
+        names = self._children(path)
+        return sorted(dt.date.fromisoformat(name[3:]) for name in names if name[:3] == "dt=")
+
     def _children(self, path: str) -> list[str]:
         if not self._exists(path):
             return []
