@@ -52,10 +52,10 @@ def test_cut_narrows_over_several_passes(spark):
     rng = random.Random(3)
     times = [rng.randrange(10**12) for _ in range(300)]
     df = trades(spark, [("a", "x", t, 1.0, 1.0, True) for t in times])
-    assert cuts.oldest_cut(df, 120).ts == sorted(times)[119]
-    assert cuts.newest_cut(df, 120).ts == sorted(times)[-120]
-    assert cuts.newest_cut(df, 301) is None
-    assert cuts.oldest_cut(df.limit(0), 1) is None
+    assert cuts.time_cut(df, 120).ts == sorted(times)[119]
+    assert cuts.time_cut(df, 120, newest=True).ts == sorted(times)[-120]
+    assert cuts.time_cut(df, 301, newest=True) is None
+    assert cuts.time_cut(df.limit(0), 1) is None
 
 
 def test_running_total_and_repeat(spark):

@@ -49,11 +49,3 @@ def time_cut(
         if width == 1:
             return Cut(low, left)
     return None
-
-
-def oldest_cut(trades: DataFrame, n: int, between: Between | None = None) -> Cut | None:
-    return time_cut(trades, n, between=between)
-
-
-def newest_cut(trades: DataFrame, n: int, between: Between | None = None) -> Cut | None:
-    return time_cut(trades, n, newest=True, between=between)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions.times import retention_cutoff
-from tradelake.operators.cuts import Cut, oldest_cut
+from tradelake.operators.cuts import Cut, time_cut
 from tradelake.operators.ordered import repeat_rows, running_total
 from tradelake.schemas import TRADE_COLUMNS
 from tradelake.sources.table import MetadataTable, TradeTable
@@ -95,7 +95,7 @@ def _split_ties(trades: DataFrame, cut: Cut, oldest: bool) -> DataFrame:
 
 def oldest_trades(trades: DataFrame, n: int) -> DataFrame:
     """The ``n`` globally oldest rows; ties go by the remaining columns."""
-    cut = oldest_cut(trades, n)
+    cut = time_cut(trades, n)
     if cut is None:
         return trades if n > 0 else trades.limit(0)
     older = trades.filter(F.col("ts") < cut.ts)
@@ -104,7 +104,7 @@ def oldest_trades(trades: DataFrame, n: int) -> DataFrame:
 
 def purge_keep(trades: DataFrame, n: int) -> DataFrame:
     """All but the ``n`` globally oldest rows."""
-    cut = oldest_cut(trades, n)
+    cut = time_cut(trades, n)
     if cut is None:
         return trades.limit(0) if n > 0 else trades
     newer = trades.filter(F.col("ts") > cut.ts)
@@ -151,7 +151,7 @@ def purge_by_size(table: TradeTable, cap_bytes: int) -> int:
         "size_bytes bigint, row_count bigint, cap_bytes bigint",
     )
     plan = with_purge_plan(sizes).first()
-    cut = oldest_cut(trades, plan["to_delete"], table.between)
+    cut = time_cut(trades, plan["to_delete"], between=table.between)
     if cut is not None:
         start = table.period_of(cut.ts)
         boundary = table.period(start)

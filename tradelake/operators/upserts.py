@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradelake.functions.symbols import stored_symbol
+
 
 def latest(log: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The last row of each key, by one mergeable aggregate."""
@@ -24,6 +26,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], seq: str) -> DataFra
     return latest(ranked, keys, "_rank")
 
 
+def store_ticker_infos(stored: DataFrame, infos: DataFrame, seq: str) -> DataFrame:
+    """Stored ticker sizes with those of resolved pairs written over them.
+
+    ``infos`` have a ``ticker`` and an optional ``display_symbol``; they are stored
+    under the spelling that trades are stored under.
+    """
+    symbol = stored_symbol(F.col("ticker"), F.col("display_symbol"))
+    rows = infos.withColumn("symbol", symbol).select(*stored.columns, seq)
+    return upsert(stored, rows, ["exchange", "symbol"], seq)
+
+
 def metadata_value(metadata: DataFrame, key: str) -> DataFrame:
     """The value of one key; no row when absent."""
     return metadata.filter(F.col("key") == key).select("value")

@@ -74,12 +74,12 @@ PARTS = {
                 'A' || (p_partkey // 42) AS base,
                 (['USDT', 'USDC', 'USD'])[(p_partkey // 14) % 3 + 1] AS quote FROM part)
             JOIN exchanges USING (exchange)))""",
-    "wanted": """wanted AS (SELECT DISTINCT upper(CASE WHEN c_custkey % 10 = 1 THEN 'a'
-            ELSE 'A' END || (c_custkey // 10)) AS base, exchange, joiner, suffix,
-            upper(quote) AS quote
-        FROM customer, whitelist JOIN exchanges ON exchanges.venue = lower(whitelist.venue)
-            AND exchanges.market = lower(whitelist.market)
-        WHERE c_custkey % 10 < 2)""",
+    "wanted": """assets AS (SELECT DISTINCT upper(CASE WHEN c_custkey % 2 = 0 THEN 'a'
+            ELSE 'A' END || (c_custkey // 10)) AS base FROM customer),
+        templates AS (SELECT DISTINCT exchange, joiner, suffix, upper(quote) AS quote
+            FROM whitelist JOIN exchanges ON exchanges.venue = lower(whitelist.venue)
+            AND exchanges.market = lower(whitelist.market)),
+        wanted AS (SELECT * FROM assets CROSS JOIN templates)""",
     "candidates": """candidates AS (SELECT DISTINCT exchange, CASE WHEN joiner IS NULL
         THEN base ELSE base || joiner || quote || suffix END AS ticker
         FROM wanted WHERE quote <> '')""",
@@ -142,8 +142,8 @@ PARTS = {
         epoch_us(ts) // 1000 AS at_ms, CASE event_id % 3 WHEN 0 THEN 'event_channel'
             WHEN 1 THEN 'persist_channel' ELSE 'data_buffer' END AS stage,
         {_traded('user_id')} AS exchange,
-        CASE WHEN event_type = 'signup' THEN 'recovered' ELSE 'drop' END AS kind,
-        event_id % 50 AS n FROM events WHERE event_type IN ('click', 'error', 'signup'))""",
+        CASE WHEN event_type IN ('click', 'error') THEN 'drop' ELSE 'recovered' END AS kind,
+        event_id % 50 AS n FROM events)""",
     "access_events": """access_events AS (SELECT event_id AS seq, user_id % 10 AS server_id,
         user_id AS client, epoch_us(ts) // 1000 AS at_ms, CASE event_type
             WHEN 'click' THEN 'auth_failure' WHEN 'error' THEN 'admission_blocked'

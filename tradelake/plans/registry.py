@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tradelake.functions.times import DAY_MS, HOUR_MS, utc_day
 from tradelake.operators import access, admission, bounds, feeds, pipeline, reads, retention
 from tradelake.operators import catalog as cat
-from tradelake.operators.upserts import latest, metadata_value, upsert
+from tradelake.operators.upserts import latest, metadata_value, store_ticker_infos, upsert
 from tradelake.plans import tables as t
-from tradelake.schemas import TRADE_COLUMNS
+from tradelake.schemas import TICKER_INFO, TRADE_COLUMNS
 from tradelake.session import prepare, scratch_path
 from tradelake.sources import exports
 from tradelake.sources.exchanges import exchanges, with_exchange_filter
@@ -252,10 +252,9 @@ def exchange_symbol_lists(spark, sf_dir):
 @registered
 def upsert_latest(spark, sf_dir):
     updates = t.ticker_updates(t.given(spark, sf_dir, "lineitem"))
-    keys = ["exchange", "symbol"]
-    old = latest(updates.filter("NOT is_new").drop("is_new"), keys, "place")
-    new = updates.filter("is_new").drop("is_new")
-    return upsert(old, new, keys, "place")
+    nothing = spark.createDataFrame([], TICKER_INFO)
+    stored = store_ticker_infos(nothing, updates.filter("NOT is_new"), "place")
+    return store_ticker_infos(stored, updates.filter("is_new"), "place")
 
 
 @registered

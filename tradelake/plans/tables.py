@@ -93,7 +93,8 @@ def market_events(lineitem: DataFrame) -> DataFrame:
 def ticker_updates(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(
         f"{traded_exchange('l_suppkey')} AS exchange",
-        "'t' || pmod(l_partkey, 500) AS symbol",
+        "CASE WHEN l_linenumber % 2 = 1 THEN 'T' || pmod(l_partkey, 500) ELSE '@1' END AS ticker",
+        "CASE WHEN l_linenumber % 2 = 0 THEN 'T' || pmod(l_partkey, 500) END AS display_symbol",
         "-l_linenumber AS min_ticksize",
         "-int(pmod(l_suppkey, 5)) AS min_qty",
         "CASE WHEN pmod(l_partkey, 3) > 0 THEN int(pmod(l_partkey, 4)) END AS contract_size",
@@ -152,14 +153,13 @@ def flush_outcomes(events: DataFrame) -> DataFrame:
 
 
 def drop_events(events: DataFrame) -> DataFrame:
-    kinds = events.filter("event_type IN ('click', 'error', 'signup')")
     return _events(
-        kinds,
+        events,
         "pmod(user_id, 10) AS server_id",
         """CASE pmod(event_id, 3) WHEN 0 THEN 'event_channel'
             WHEN 1 THEN 'persist_channel' ELSE 'data_buffer' END AS stage""",
         f"{traded_exchange('user_id')} AS exchange",
-        "CASE WHEN event_type = 'signup' THEN 'recovered' ELSE 'drop' END AS kind",
+        "CASE WHEN event_type IN ('click', 'error') THEN 'drop' ELSE 'recovered' END AS kind",
         "event_id % 50 AS n",
     )
 
@@ -216,9 +216,9 @@ def catalog(part: DataFrame) -> DataFrame:
 
 
 def bases(customer: DataFrame) -> DataFrame:
-    some = customer.filter("c_custkey % 10 < 2")
-    return some.selectExpr(
-        "CASE WHEN c_custkey % 10 = 1 THEN 'a' ELSE 'A' END || (c_custkey div 10) AS base"
+    """Assets in mixed case, each wanted by several customers."""
+    return customer.selectExpr(
+        _pick("c_custkey", "a", "A") + " || (c_custkey div 10) AS base"
     )
 
 
