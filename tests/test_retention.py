@@ -130,6 +130,7 @@ def rows_of(table):
 def test_cleanup_pass_on_the_stored_table(spark, scratch, monkeypatch):
     table, rows = stored(spark, scratch)
     metadata = MetadataTable(spark, f"{scratch}/metadata")
+    assert metadata.get("last_cleanup") is None
     cutoff = 2 * DAY + 7_000_000
     now = cutoff + 24 * 3_600_000
     assert retention.run_cleanup(table, metadata, now, 24) == now
@@ -174,15 +175,14 @@ def test_failed_size_rule_still_records_the_pass(spark, scratch, monkeypatch):
 
 def test_interrupted_swap_is_finished_or_undone(spark, scratch):
     table, rows = stored(spark, scratch, days=2)
-    fs, path = table._fs(), table._path
-    first, second = table.periods()
+    files, first, second = table._files(), *table.periods()
     # A complete staged day whose old rows have moved away already.
     staging = f"{table.root}/staging/data"
-    fs.mkdirs(path(staging))
-    fs.rename(path(f"{table.data}/dt={first}"), path(f"{staging}/dt={first}"))
-    fs.create(path(f"{staging}/dt={first}/_SUCCESS")).close()
+    files.move(f"{table.data}/dt={first}", f"{staging}/dt={first}")
+    spark.range(1).write.parquet(f"{scratch}/written")
+    files.move(f"{scratch}/written/_SUCCESS", f"{staging}/dt={first}/_SUCCESS")
     # A half-written one whose old rows are still there.
-    fs.mkdirs(path(f"{staging}/dt={second}"))
+    table.period(second).limit(5).drop("dt").write.parquet(f"{staging}/dt={second}/part")
     table.recover()
     assert rows_of(table) == sorted(rows)
-    assert table._children(staging) == []
+    assert files.children(staging) == []

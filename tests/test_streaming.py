@@ -8,6 +8,7 @@ import pytest
 
 import folds
 from tradelake.operators import access
+from tradelake.sources.files import Files
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health
 
@@ -76,7 +77,7 @@ def test_summary_reports_the_open_interval(spark, scratch, landed):
     )
 
 
-def test_feed_partials_over_batches(spark, scratch):
+def test_feed_health_over_batches(spark, scratch):
     rng = random.Random(2)
     kinds = ["connected", "disconnected", "restarting", "stopped", "data"]
     rows = [
@@ -92,12 +93,13 @@ def test_feed_partials_over_batches(spark, scratch):
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{scratch}/landing")
     )
-    health.start_feed_partials(
-        stream, f"{scratch}/partials", f"{scratch}/offsets"
+    health.start_feed_health(
+        stream, f"{scratch}/health", f"{scratch}/offsets"
     ).awaitTermination()
+    assert sorted(Files(spark, scratch).children(f"{scratch}/health")) == ["batch=2", "batch=3"]
     found = {
         r["exchange"]: r.asDict()
-        for r in health.read_feed_health(spark, f"{scratch}/partials").collect()
+        for r in health.read_feed_health(spark, f"{scratch}/health").collect()
     }
     for key, group in by_key(rows, 1).items():
         wanted = folds.feed([(row[2], row[0], row[3], row[4]) for row in group])

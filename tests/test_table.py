@@ -110,6 +110,8 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     after = table.read().select("_metadata.file_path").distinct().count()
     assert rows_of(table.read()) == sorted(rows * 4)
     assert after < before
+    # The marker that a staged period is complete came along.
+    assert table._files().exists(f"{table.data}/dt={day}/_SUCCESS")
     flushes = table.read_flushes().collect()
     assert sum(r["trades"] for r in flushes) == len(rows) * 4
     assert {r["flushed_at"] for r in flushes} == {3}

@@ -14,10 +14,11 @@ Between = Callable[[int, int], DataFrame]
 
 @dataclass(frozen=True)
 class Cut:
-    """All rows on the near side of ``ts``, and ``ties`` of the rows at ``ts``."""
+    """All rows on the near side of ``ts``, and ``ties`` of the ``rows`` at ``ts``."""
 
     ts: int
     ties: int
+    rows: int
 
 
 def time_cut(
@@ -43,9 +44,10 @@ def time_cut(
         place = int(reached.searchsorted(left))
         if place == len(reached):
             return None
-        left -= int(reached[place] - counts["count"].iloc[place])
+        rows = int(counts["count"].iloc[place])
+        left -= int(reached[place]) - rows
         start = low + int(counts["slice"].iloc[place]) * width
         low, high = start, min(high, start + width - 1)
         if width == 1:
-            return Cut(low, left)
+            return Cut(low, left, rows)
     return None

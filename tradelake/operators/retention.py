@@ -39,7 +39,7 @@ def retention_keep(trades: DataFrame, now_ms: int, hours: int) -> DataFrame:
 def retention_deleted(trades: DataFrame, now_ms: int, hours: int) -> DataFrame:
     """How many rows the age rule deletes."""
     old = F.lit(False) if hours == 0 else F.col("ts") < retention_cutoff(now_ms, hours)
-    return trades.agg(F.count_if(old).alias("deleted"))
+    return trades.filter(old).agg(F.count(F.lit(1)).alias("deleted"))
 
 
 def with_purge_plan(sizes: DataFrame) -> DataFrame:
@@ -98,6 +98,8 @@ def oldest_trades(trades: DataFrame, n: int) -> DataFrame:
     cut = time_cut(trades, n)
     if cut is None:
         return trades if n > 0 else trades.limit(0)
+    if cut.ties == cut.rows:
+        return trades.filter(F.col("ts") <= cut.ts)
     older = trades.filter(F.col("ts") < cut.ts)
     return older.unionByName(_split_ties(trades, cut, oldest=True))
 
@@ -108,6 +110,8 @@ def purge_keep(trades: DataFrame, n: int) -> DataFrame:
     if cut is None:
         return trades.limit(0) if n > 0 else trades
     newer = trades.filter(F.col("ts") > cut.ts)
+    if cut.ties == cut.rows:
+        return newer
     return newer.unionByName(_split_ties(trades, cut, oldest=False))
 
 
@@ -135,9 +139,9 @@ def _delete_before(table: TradeTable, cut_ms: int, boundary_rows: DataFrame) ->
 
 
 def purge_by_age(table: TradeTable, now_ms: int, hours: int) -> int:
-    deleted = retention_deleted(table.read(), now_ms, hours).first()[0]
+    cutoff = retention_cutoff(now_ms, hours)
+    deleted = 0 if hours == 0 else table.between(to_ms=cutoff - 1).count()
     if deleted:
-        cutoff = retention_cutoff(now_ms, hours)
         boundary = table.period(table.period_of(cutoff))
         _delete_before(table, cutoff, boundary.filter(F.col("ts") >= cutoff))
     return deleted

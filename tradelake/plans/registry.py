@@ -332,9 +332,9 @@ def feed_health(spark, sf_dir):
 def feed_health_stream(spark, sf_dir):
     root = scratch_path(spark, "feeds")
     stream = t.feed_events(t.given_stream(spark, sf_dir, "events"))
-    run = health_stream.start_feed_partials(stream, f"{root}/partials", f"{root}/offsets")
+    run = health_stream.start_feed_health(stream, f"{root}/health", f"{root}/offsets")
     run.awaitTermination()
-    rows = health_stream.read_feed_health(spark, f"{root}/partials")
+    rows = health_stream.read_feed_health(spark, f"{root}/health")
     return _with_rest(spark, rows, _events(spark, sf_dir))
 
 

@@ -21,6 +21,7 @@ from tradelake.operators.bounds import merge_bounds, pair_bounds
 from tradelake.operators.reads import TradeQuery
 from tradelake.operators.upserts import latest, metadata_value
 from tradelake.sources.exchanges import exchange_filter
+from tradelake.sources.files import Files
 
 
 @dataclass(frozen=True)
@@ -101,7 +102,7 @@ class TradeTable:
 
     def read_flushes(self) -> DataFrame:
         """What each batch committed, per day and pair."""
-        if not self._exists(self.flushes):
+        if not self._files().exists(self.flushes):
             return self.spark.createDataFrame([], schemas.FLUSH_LOG)
         return self.spark.read.schema(schemas.FLUSH_LOG).parquet(self.flushes)
 
@@ -157,7 +158,7 @@ class TradeTable:
 
     def drop_period(self, start: dt.date) -> None:
         for part in (self.data, self.flushes):
-            self._fs().delete(self._path(f"{part}/dt={start}"), True)
+            self._files().delete(f"{part}/dt={start}")
 
     def replace_period(self, start: dt.date, rows: DataFrame, part: str = "data") -> None:
         """Swap a period's rows for ``rows``, which may read the table itself.
@@ -171,24 +172,23 @@ class TradeTable:
             for folder in (part, f"staging/{part}", f"replaced/{part}")
         )
         self._overwrite(rows.drop("dt"), staged, levels, dynamic=False)
-        fs = self._fs()
-        fs.mkdirs(self._path(old).getParent())
-        fs.rename(self._path(live), self._path(old))
-        fs.rename(self._path(staged), self._path(live))
-        fs.delete(self._path(old), True)
+        files = self._files()
+        files.move(live, old)
+        files.move(staged, live)
+        files.delete(old)
 
     def recover(self) -> None:
         """Finish or undo swaps that stopped half-way."""
-        fs = self._fs()
+        files = self._files()
         for part in ("data", "flushes"):
             for start in self._starts(f"{self.root}/staging/{part}"):
                 live = f"{self.root}/{part}/dt={start}"
                 staged = f"{self.root}/staging/{part}/dt={start}"
-                if self._exists(f"{staged}/_SUCCESS") and not self._exists(live):
-                    fs.rename(self._path(staged), self._path(live))
+                if files.exists(f"{staged}/_SUCCESS") and not files.exists(live):
+                    files.move(staged, live)
                 else:
-                    fs.delete(self._path(staged), True)
-        fs.delete(self._path(f"{self.root}/replaced"), True)
+                    files.delete(staged)
+        files.delete(f"{self.root}/replaced")
 
     def compact_period(self, start: dt.date) -> None:
         """Merge a closed period's many small batch files into few sorted ones."""
@@ -220,24 +220,12 @@ class TradeTable:
             .parquet(path)
         )
 
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _fs(self):
-        conf = self.spark._jsc.hadoopConfiguration()
-        return self._path(self.root).getFileSystem(conf)
-
-    def _exists(self, path: str) -> bool:
-        return self._fs().exists(self._path(path))
-
     def _starts(self, path: str) -> list[dt.date]:
-        names = self._children(path)
+        names = self._files().children(path)
         return sorted(dt.date.fromisoformat(name[3:]) for name in names if name[:3] == "dt=")
 
-    def _children(self, path: str) -> list[str]:
-        if not self._exists(path):
-            return []
-        return [s.getPath().getName() for s in self._fs().listStatus(self._path(path))]
+    def _files(self) -> Files:
+        return Files(self.spark, self.root)
 
 
 @dataclass(frozen=True)
@@ -255,6 +243,8 @@ class MetadataTable:
 
     def get(self, key: str) -> str | None:
         schema = "key string, value string, seq bigint"
+        if not Files(self.spark, self.path).exists(self.path):
+            return None
         log = self.spark.read.schema(schema).parquet(self.path)
         found = metadata_value(latest(log, ["key"], "seq"), key).first()
         return found and found["value"]

@@ -7,28 +7,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradelake.operators.feeds import feed_partials, health_of, merge_partials
+from tradelake.sources.files import Files
 
 
-def start_feed_partials(
+def start_feed_health(
     events: DataFrame, path: str, checkpoint: str, keys: list[str] | None = None
 ) -> StreamingQuery:
-    """Fold every micro-batch to one partial per feed and store the partials.
+    """Keep one partial per feed, as of the last micro-batch.
 
-    The batch is folded over order chunks, so a feed that sends most of the events
-    does not end up in one task. A retried batch overwrites its own partials.
+    A micro-batch is folded over order chunks, so a feed that sends most of the
+    events does not end up in one task. The result is merged with what the batch
+    before it stored, and stored under its own number: a retried batch starts from
+    the same place and replaces only itself.
     """
     keys = keys or ["exchange"]
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        # The range partitioner samples the batch before it reads it.
+        spark = batch.sparkSession
+        files = Files(spark, path)
+        # The batch is counted and sampled before it is folded.
         batch = batch.persist()
         try:
-            merged = merge_partials(feed_partials(batch, keys), keys)
-            merged.drop("stretch").write.mode("overwrite").parquet(
-                f"{path}/stretch={batch_id}"
-            )
+            parts = merge_partials(feed_partials(batch, keys), keys)
+            parts = parts.withColumn("stretch", F.lit(batch_id).cast("bigint"))
+            before = _stored(path, batch_id - 1)
+            if files.exists(before):
+                parts = parts.unionByName(spark.read.schema(parts.schema).parquet(before))
+            merged = merge_partials(parts, keys)
+            merged.write.mode("overwrite").parquet(_stored(path, batch_id))
         finally:
             batch.unpersist()
+        files.delete(_stored(path, batch_id - 2))
 
     return (
         events.writeStream.foreachBatch(fold)
@@ -38,12 +47,14 @@ def start_feed_partials(
     )
 
 
+def _stored(path: str, batch_id: int) -> str:
+    return f"{path}/batch={batch_id}"
+
+
 def read_feed_health(
     spark: SparkSession, path: str, keys: list[str] | None = None
 ) -> DataFrame:
     """Health as of the last stored micro-batch."""
-    partials = spark.read.parquet(path)
-    return health_of(
-        partials.withColumn("stretch", F.col("stretch").cast("bigint")),
-        keys or ["exchange"],
-    )
+    stored = Files(spark, path).children(path)
+    last = max(int(name.removeprefix("batch=")) for name in stored)
+    return health_of(spark.read.parquet(_stored(path, last)), keys or ["exchange"])
