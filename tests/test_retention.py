@@ -7,6 +7,7 @@ import pytest
 import folds
 from tradelake.operators import cuts, retention
 from tradelake.operators.ordered import repeat_rows, running_total
+from tradelake.operators.reads import TradeQuery, read_trades
 from tradelake.schemas import TRADE_COLUMNS, TRADES
 from tradelake.sources.table import MetadataTable, TradeTable
 
@@ -159,6 +160,23 @@ def test_cleanup_pass_on_the_stored_table(spark, scratch, monkeypatch):
     assert bounds == wanted
 
 
+def test_late_trades_after_a_pass_are_found(spark, scratch):
+    table, rows = stored(spark, scratch)
+    metadata = MetadataTable(spark, f"{scratch}/metadata")
+    cutoff = 3 * DAY + 45_000_000
+    retention.run_cleanup(table, metadata, cutoff + 3_600_000, 1)
+    late = [("Binance Spot", "x", DAY + 5, 1.0, 1.0, True)]
+    table.append(trades(spark, late), 1, 2)
+    left = [r for r in rows if r[2] >= cutoff] + late
+    assert rows_of(table) == sorted(left)
+    bounds = {(r[0], r[1]): r[2] for r in table.read_bounds().collect()}
+    wanted = {pair: min(r[2] for r in left if r[:2] == pair) for pair in {r[:2] for r in left}}
+    assert bounds == wanted
+    for limit in (1, 5, 20, 100):
+        query = TradeQuery("binance", "x", "spot", from_ms=0, limit=limit)
+        assert table.read_trades(query).collect() == read_trades(table.read(), query).collect()
+
+
 def test_failed_size_rule_still_records_the_pass(spark, scratch, monkeypatch):
     table, _ = stored(spark, scratch, days=1)
     metadata = MetadataTable(spark, f"{scratch}/metadata")

@@ -136,6 +136,7 @@ def _delete_before(table: TradeTable, cut_ms: int, boundary_rows: DataFrame) ->
             table.drop_period(start)
         elif start == boundary:
             table.replace_period(start, boundary_rows)
+            table.relog_period(start)
 
 
 def purge_by_age(table: TradeTable, now_ms: int, hours: int) -> int:

@@ -134,11 +134,8 @@ class TradeTable:
             )
             bad = batch.filter(~whole).select("*", stamped)
             self._overwrite(bad, self.rejects, ["batch_id"])
-            committed = good.groupBy("dt", "exchange", "symbol").agg(
-                F.count(F.lit(1)).alias("trades"),
-                F.min("ts").alias("earliest"),
-                F.max("ts").alias("latest"),
-                F.lit(flushed_at).cast("bigint").alias("flushed_at"),
+            committed = self._committed(good).withColumn(
+                "flushed_at", F.lit(flushed_at).cast("bigint")
             )
             self._overwrite(
                 committed.select("*", stamped), self.flushes, ["dt", "batch_id"]
@@ -190,19 +187,30 @@ class TradeTable:
                     files.delete(staged)
         files.delete(f"{self.root}/replaced")
 
+    def relog_period(self, start: dt.date) -> None:
+        """Bring a period's flush log in line with its rows, merging its batches."""
+        logged = self.read_flushes().filter(F.col("dt") == F.lit(start))
+        flushed = logged.groupBy("exchange", "symbol").agg(
+            F.max("flushed_at").alias("flushed_at")
+        )
+        held = self._committed(self.period(start)).drop("dt")
+        merged = F.lit(-1).cast("bigint").alias("batch_id")
+        totals = held.join(flushed, ["exchange", "symbol"], "left").select("*", merged)
+        self.replace_period(start, totals, "flushes")
+
     def compact_period(self, start: dt.date) -> None:
         """Merge a closed period's many small batch files into few sorted ones."""
-        merged = F.lit(-1).cast("bigint").alias("batch_id")
-        trades = self.period(start).withColumn("batch_id", merged)
+        trades = self.period(start).withColumn("batch_id", F.lit(-1).cast("bigint"))
         self.replace_period(start, trades)
-        flushes = self.read_flushes().filter(F.col("dt") == F.lit(start))
-        totals = flushes.groupBy("exchange", "symbol").agg(
-            F.sum("trades").alias("trades"),
-            F.min("earliest").alias("earliest"),
-            F.max("latest").alias("latest"),
-            F.max("flushed_at").alias("flushed_at"),
+        self.relog_period(start)
+
+    @staticmethod
+    def _committed(trades: DataFrame) -> DataFrame:
+        return trades.groupBy("dt", "exchange", "symbol").agg(
+            F.count(F.lit(1)).alias("trades"),
+            F.min("ts").alias("earliest"),
+            F.max("ts").alias("latest"),
         )
-        self.replace_period(start, totals.select("*", merged), "flushes")
 
     @staticmethod
     def _overwrite(
