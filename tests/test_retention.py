@@ -160,6 +160,17 @@ def test_cleanup_pass_on_the_stored_table(spark, scratch, monkeypatch):
     assert bounds == wanted
 
 
+def test_cutoff_may_fall_into_a_gap(spark, scratch):
+    table, rows = stored(spark, scratch, days=2)
+    metadata = MetadataTable(spark, f"{scratch}/metadata")
+    table.append(trades(spark, [("Okex Linear", "x", 9 * DAY, 1.0, 1.0, True)]), 1, 2)
+    assert retention.run_cleanup(table, metadata, 5 * DAY + 3_600_000, 1) is not None
+    assert [row[2] for row in rows_of(table)] == [9 * DAY]
+    # A pass that deletes every row leaves an empty table that can be read.
+    assert retention.run_cleanup(table, metadata, 99 * DAY, 1) is not None
+    assert rows_of(table) == []
+
+
 def test_late_trades_after_a_pass_are_found(spark, scratch):
     table, rows = stored(spark, scratch)
     metadata = MetadataTable(spark, f"{scratch}/metadata")

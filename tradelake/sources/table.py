@@ -98,7 +98,7 @@ class TradeTable:
         return period_of_ms(ms, self.period_length)
 
     def period(self, start: dt.date) -> DataFrame:
-        return self._read([start])
+        return self._read([held for held in self.periods() if held == start])
 
     def read_flushes(self) -> DataFrame:
         """What each batch committed, per day and pair."""
