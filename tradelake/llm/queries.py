@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import mixing, packing
+from tradelake.llm import compression, mixing, packing, url_templates, warc
 from tradelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,20 @@ def op2_pack_sequences(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_compression_bands(spark, sf_dir):
+    found = compression.compression_rules(table(spark, sf_dir, "documents"))
+    return found.drop("ratio", "bad_chunks")
+
+
+def op4_warc_archives(spark, sf_dir):
+    return warc.pages_through_archives(table(spark, sf_dir, "pages")).drop("error")
+
+
+def op8_url_templates(spark, sf_dir):
+    found = url_templates.judge(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "host", "path", "rule", "template", "verdict")
+
+
 def op9_mix_sources(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select(
@@ -23,12 +37,27 @@ def op9_mix_sources(spark, sf_dir):
     )
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha256(html) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+    CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first < page_id THEN first END AS refers_to FROM f"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_pack_sequences": op2_pack_sequences,
+        "op3_compression_bands": op3_compression_bands,
+        "op4_warc_archives": op4_warc_archives,
+        "op8_url_templates": op8_url_templates,
         "op9_mix_sources": op9_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_warc_archives": WARC_SQL,
+        "op8_url_templates": url_templates.oracle_sql(),
+    }
