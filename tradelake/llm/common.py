@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +34,17 @@ def word_count(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn labels from: crc32 of the id as text is 2 mod 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts in runs of about ``limit`` characters, to be worked on together."""
+    run: list[str] = []
+    size = 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= limit:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tradelake.llm.common import runs
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
 END_ID = 1
@@ -93,24 +95,10 @@ def _split(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").split(" ")
 
 
-def _runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in runs of about ``limit`` characters."""
-    run: list[str] = []
-    size = 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= limit:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
     """Little-endian unsigned 32-bit ids of each text."""
     known = _words(path)
-    for run in _runs(texts):
+    for run in runs(texts):
         split = [_split(text) for text in run]
         known.prepare(set().union(*split))
         for words in split:
