@@ -22,18 +22,18 @@ END_ID = 1
 #: Pieces that one task packs together; the number of groups follows the table.
 GROUP = 16_384
 #: Words remembered by a worker; a full memory is emptied and filled anew.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 
-#: Letters whose lower case is one letter for every library, then plain punctuation.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-^`{-~]*)")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 class _Words(dict):
     """Token ids, as little-endian bytes, of each blank-free run of characters.
 
     The tokenizer drops blanks and never joins across them, so the ids of a text are
-    those of its words in turn. A word with plain letters is looked up again in lower
-    case without the punctuation behind it: most new words differ in these only.
+    those of its words in turn. New words mostly differ in the punctuation behind
+    them: ``parts`` has those of letters only, and of punctuation only.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,13 +70,14 @@ class _Words(dict):
             self[""] = b""
         if len(self.parts) > REMEMBERED:
             self.parts = {"": b""}
-        new = [word for word in words if word not in self]
-        plain = [(word, match) for word in new if (match := _PLAIN.fullmatch(word))]
-        parts = {match[1].lower() for _, match in plain}.difference(self.parts)
+        new = list(words.difference(self))
+        cores = [word.rstrip(PUNCTUATION) for word in new]
+        parts = [part for part in set(cores).difference(self.parts) if _LETTERS.fullmatch(part)]
         if parts:
-            self._learn(list(parts))
-        for word, match in plain:
-            self[word] = self.parts[match[1].lower()] + self._part(match[2])
+            self._learn(parts)
+        for word, core, ids in zip(new, cores, map(self.parts.get, cores), strict=True):
+            if ids is not None:
+                self[word] = ids if len(core) == len(word) else ids + self._part(word[len(core) :])
 
     def __missing__(self, word: str) -> bytes:
         found = self[word] = self._encode(word)
@@ -92,6 +93,17 @@ def _words(path: str) -> _Words:
 
 
 def _split(text: str) -> list[str]:
+    """Its words; in lower case where that is sure to be what the tokenizer does.
+
+    Latin-1 letters have one lower-case letter each. The marks of special tokens keep
+    their case, since only these very strings are special.
+    """
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
     return text.replace("\n", " ").replace("\t", " ").split(" ")
 
 
