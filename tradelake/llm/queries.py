@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradelake.llm import compression, mixing, packing, url_templates, warc
-from tradelake.llm.common import table
+from tradelake.llm import compression, language, mixing, packing, quality, url_templates, warc
+from tradelake.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,29 @@ def op4_warc_archives(spark, sf_dir):
     return warc.pages_through_archives(table(spark, sf_dir, "pages")).drop("error")
 
 
+def op5_identify_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
+def op6_score_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        "predicted",
+    )
+
+
 def op8_url_templates(spark, sf_dir):
     found = url_templates.judge(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "host", "path", "rule", "template", "verdict")
@@ -51,6 +75,8 @@ def queries() -> dict[str, Query]:
         "op2_pack_sequences": op2_pack_sequences,
         "op3_compression_bands": op3_compression_bands,
         "op4_warc_archives": op4_warc_archives,
+        "op5_identify_language": op5_identify_language,
+        "op6_score_quality": op6_score_quality,
         "op8_url_templates": op8_url_templates,
         "op9_mix_sources": op9_mix_sources,
     }
