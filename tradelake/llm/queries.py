@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import compression, language, mixing, packing, quality, url_templates, warc
+from tradelake.llm import compression, language, mixing, packing, quality, url_templates, vectors, warc
 from tradelake.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_vectors(spark, sf_dir):
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_pack_sequences(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_near_vectors": op1_near_vectors,
         "op2_pack_sequences": op2_pack_sequences,
         "op3_compression_bands": op3_compression_bands,
         "op4_warc_archives": op4_warc_archives,
