@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import compression, language, mixing, packing, quality, url_templates, vectors, warc
+from tradelake.llm import (
+    compression,
+    language,
+    lsh_forest,
+    mixing,
+    packing,
+    quality,
+    url_templates,
+    vectors,
+    warc,
+)
 from tradelake.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +84,11 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
     CASE WHEN first < page_id THEN first END AS refers_to FROM f"""
 
 
+def op10_jaccard_join(spark, sf_dir):
+    found = lsh_forest.jaccard_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -84,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op6_score_quality": op6_score_quality,
         "op8_url_templates": op8_url_templates,
         "op9_mix_sources": op9_mix_sources,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
