@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradelake.llm import (
     compression,
     language,
+    lm,
     lsh_forest,
     mixing,
     packing,
@@ -63,6 +64,12 @@ def op6_score_quality(spark, sf_dir):
     )
 
 
+def op7_cross_entropy_difference(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = lm.score(docs, lm.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("row.doc_id", "n_words", "target_loss", "background_loss", "difference")
+
+
 def op8_url_templates(spark, sf_dir):
     found = url_templates.judge(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "host", "path", "rule", "template", "verdict")
@@ -97,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op4_warc_archives": op4_warc_archives,
         "op5_identify_language": op5_identify_language,
         "op6_score_quality": op6_score_quality,
+        "op7_cross_entropy_difference": op7_cross_entropy_difference,
         "op8_url_templates": op8_url_templates,
         "op9_mix_sources": op9_mix_sources,
         "op10_jaccard_join": op10_jaccard_join,
