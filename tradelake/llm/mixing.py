@@ -219,3 +219,39 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
          if name in changed else F.col("row")[name]).alias(name)
         for name in docs.columns
     ])
+
+
+#: The mix of ``documents`` with its production parameters, in DuckDB SQL.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS turn,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+    FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
+c AS (SELECT *, [3, 1, 2][(sid - 1) % 3 + 1] AS weight, 2e0 * source_size AS cap FROM s),
+r AS (SELECT *, cap / weight AS ratio FROM c),
+l AS (SELECT *, (1.5e0 * (SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER (ORDER BY ratio, sid
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY ratio, sid
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
+t AS (SELECT *, least(cap, coalesce((SELECT max(level) FROM l WHERE level <= ratio) * weight, cap))
+    AS target FROM l),
+g AS (SELECT *, least(round(target), floor(cap))::BIGINT AS goal FROM t),
+u AS (SELECT *, sum(goal) OVER (ORDER BY sid)::BIGINT AS upto FROM g),
+n AS (SELECT coalesce(sum(goal), 0) AS total, CASE WHEN coalesce(sum(goal), 0) = 0 THEN 0 ELSE
+    floor(sum(ceil(goal / 256e0)) * 1.02e0)::BIGINT + 64 * count(*) END AS slots FROM u),
+p AS (SELECT slot, total * (((slot % {1 << LOW_BITS}) * {GOLDEN!r}::DOUBLE
+    + (slot // {1 << LOW_BITS}) * {GOLDEN_HIGH!r}::DOUBLE) % 1e0) AS place
+    FROM (SELECT unnest(range(slots)) AS slot, total FROM n)),
+k AS (SELECT sid, slot, goal, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block
+    FROM p JOIN u ON place >= upto - goal AND place < upto),
+o AS (SELECT d.*, sid, source_size, target, goal, sum(size) OVER (PARTITION BY sid
+    ORDER BY turn, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start
+    FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source),
+e AS (SELECT sid, start, first + start AS lo, least(first + start + size, goal) AS hi
+    FROM (SELECT *, unnest([0, source_size]) AS first FROM o WHERE size > 0)),
+b AS (SELECT *, unnest(range(lo // 256, (hi - 1) // 256 + 1)) AS block FROM e WHERE lo < hi),
+a AS (SELECT b.sid, start, sum(least(hi, (block + 1) * 256) - greatest(lo, block * 256))::BIGINT AS taken,
+    min(slot) AS first_slot FROM b LEFT JOIN (SELECT * FROM k WHERE block * 256 < goal) k USING (sid, block)
+    GROUP BY ALL)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
+FROM o LEFT JOIN a ON o.sid = a.sid AND o.start = a.start AND size > 0"""

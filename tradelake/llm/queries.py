@@ -115,4 +115,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_warc_archives": WARC_SQL,
         "op8_url_templates": url_templates.oracle_sql(),
+        "op9_mix_sources": mixing.ORACLE_SQL,
     }
