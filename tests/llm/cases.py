@@ -51,3 +51,20 @@ def shingles(text):
     if len(own) < 5:
         return {tuple(own)} if own else set()
     return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+
+
+def near_free(sets):
+    """Whether no two different sets have a Jaccard similarity of 0.8."""
+    places = {}
+    for i, own in enumerate(sets):
+        for shingle in own:
+            places.setdefault(shingle, []).append(i)
+    for i, own in enumerate(sets):
+        shared = {}
+        for shingle in own:
+            for j in places[shingle]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        if any(10 * n >= 8 * (len(own) + len(sets[j]) - n) for j, n in shared.items()):
+            return False
+    return True

@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import runs, written
-from tradelake.llm.hashing import mixed, word_hashes
+from tradelake.llm.hashing import word_hashes
 
-#: The most frequent words of all documents are the vocabulary; the rest is one word.
+#: The models know at most this many words, the most frequent ones of all documents;
+#: the rest is one unknown word.
 VOCABULARY = 1 << 16
-#: Word pairs are counted in this many cells, so that a model has a fixed size.
-PAIR_CELLS = 1 << 20
+#: And at most this many pairs of known words; other pairs are judged by their second word.
+PAIRS = 1 << 20
 #: Weight of the pair estimate, and what is added to every word count.
 PAIR_WEIGHT = 0.7
 ADDED = 0.1
-#: Distinct words, or pair cells, that a task adds up before it hands them on.
+#: Distinct words or pairs that a task adds up before it hands them on.
 HELD = 1 << 20
 
 
@@ -79,22 +80,26 @@ def tokens(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _pairs(numbers: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """What comes before each word (``size + 1`` at a text's start), and the pair's cell."""
+    """The word before each word (``size + 1`` at a text's start), and the pair's code.
+
+    A pair with an unknown word has the code -1.
+    """
     before = np.empty_like(numbers)
     before[1:] = numbers[:-1]
     before[starts[:-1][np.diff(starts) > 0]] = size + 1
-    code = before.astype(np.uint64) * np.uint64(size + 2) + numbers.astype(np.uint64)
-    return before, (mixed(code + np.uint64(1)) % np.uint64(PAIR_CELLS)).astype(np.int64)
+    code = before * (size + 2) + numbers
+    return before, np.where((before == size) | (numbers == size), -1, code)
 
 
-def _pair_cells(vocabulary: np.ndarray):
+def _pair_counts(vocabulary: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             numbers, starts = tokens(texts, vocabulary)
-            _, cells = _pairs(numbers, starts, len(vocabulary))
-            return cells, np.repeat(np.arange(len(texts)), np.diff(starts))
+            _, codes = _pairs(numbers, starts, len(vocabulary))
+            known = codes >= 0
+            return codes[known], np.repeat(np.arange(len(texts)), np.diff(starts))[known]
 
-        yield from _counted(batches, of, "cell")
+        yield from _counted(batches, of, "pair")
 
     return count
 
@@ -106,6 +111,7 @@ class Models:
     vocabulary: np.ndarray
     words: np.ndarray
     before: np.ndarray
+    codes: np.ndarray
     pairs: np.ndarray
 
     def losses(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,18 +120,24 @@ class Models:
         A word's probability is ``PAIR_WEIGHT`` times its share among what follows the
         word before it, plus the rest times its smoothed share of all words; where the
         word before has not been seen, the latter alone counts. Both models take one
-        off each pair's count: it may be the scored text's own.
+        off each pair's count, which may be the scored text's own, so pairs seen once
+        are as good as unseen.
         """
         size = len(self.vocabulary)
         numbers, starts = tokens(texts, self.vocabulary)
-        before, cells = _pairs(numbers, starts, size)
+        before, codes = _pairs(numbers, starts, size)
         sums = np.zeros((len(texts), 2))
         counts = np.diff(starts)
         some = counts > 0
         if some.any():
             alone = (self.words + ADDED) / (self.words.sum(axis=0) + ADDED * (size + 1))
             seen = np.maximum(self.before[before] - 1, 0)
-            share = np.minimum(np.maximum(self.pairs[cells] - 1, 0) / np.maximum(seen, 1), 1.0)
+            place = np.searchsorted(self.codes, codes)
+            place[place == len(self.codes)] = 0
+            found = self.codes[place] == codes if len(self.codes) else np.zeros(len(codes), bool)
+            followed = np.zeros((len(codes), 2))
+            followed[found] = np.maximum(self.pairs[place[found]] - 1, 0)
+            share = np.minimum(followed / np.maximum(seen, 1), 1.0)
             weight = np.where(seen > 0, PAIR_WEIGHT, 0.0)
             loss = -np.log(weight * share + (1 - weight) * alone[numbers])
             sums[some] = np.add.reduceat(loss, starts[:-1][some], axis=0)
@@ -147,12 +159,27 @@ def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> Models:
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """Rows with the largest ``background``, at most ``limit``; those with an equal
+    count stay or go together, so that the choice is the same every time."""
+    levels = counts.groupBy("background").count().orderBy(F.desc("background")).collect()
+    left, least = limit, None
+    for level in levels:
+        left -= level["count"]
+        if left < 0:
+            break
+        least = level["background"]
+    return counts.limit(0) if least is None else counts.filter(F.col("background") >= least)
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, pairs: int = PAIRS
+) -> Models:
     """Count all documents, and those of the target, into two models.
 
-    Word counts of the whole table choose the vocabulary; pairs are counted in
-    ``PAIR_CELLS`` cells. Tasks add up their own counts before the shuffle, and only
-    the two tables of fixed size come to the driver.
+    Words and pairs are counted over every document; tasks add up their own counts
+    before the shuffle. Both models know the same words and pairs, the most frequent
+    ones, and only these come to the driver.
     """
     own = marked(docs, labels)
     columns = "background long, target long"
@@ -160,21 +187,26 @@ def fit(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> Mod
     words = written(
         own.mapInArrow(_words, f"word long, {columns}").groupBy("word").agg(*sums), "word-counts"
     )
-    top = words.orderBy(F.desc("background"), "word").limit(vocabulary).toPandas().sort_values("word")
+    top = most_frequent(words, vocabulary).toPandas().sort_values("word")
     every = words.agg(*sums).first()
     known = top["word"].to_numpy(dtype=np.int64)
     counts = top[["background", "target"]].to_numpy(dtype=np.float64)
     total = np.array([every["background"] or 0, every["target"] or 0], dtype=np.float64)
     counts = np.concatenate([counts, (total - counts.sum(axis=0))[None, :]])
-    cells = own.mapInArrow(_pair_cells(known), f"cell long, {columns}").groupBy("cell").agg(*sums)
-    found = cells.toPandas()
-    pairs = np.zeros((PAIR_CELLS, 2), dtype=np.float32)
-    pairs[found["cell"].to_numpy(dtype=np.int64)] = found[["background", "target"]].to_numpy()
+    seen = own.mapInArrow(_pair_counts(known), f"pair long, {columns}").groupBy("pair").agg(*sums)
+    seen = written(seen.filter("background > 1"), "pair-counts")
+    found = most_frequent(seen, pairs).toPandas().sort_values("pair")
     texts = own.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(
         F.count("*").alias("background"), F.count(F.when(F.col("is_target"), 1)).alias("target")
     ).first()
     before = np.concatenate([counts, [[texts["background"], texts["target"]]]])
-    return Models(known, counts, before, pairs)
+    return Models(
+        known,
+        counts,
+        before,
+        found["pair"].to_numpy(dtype=np.int64),
+        found[["background", "target"]].to_numpy(dtype=np.float32),
+    )
 
 
 def _losses(models: Models):

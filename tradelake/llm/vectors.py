@@ -18,7 +18,7 @@ from tradelake.llm.pairs import link_counts, units
 
 PROJECTIONS = 32
 #: Recall wanted of pairs exactly at the limit: by the cells, and by the count.
-CELL_RECALL = 0.99
+CELL_RECALL = 0.998
 COUNT_RECALL = 0.999
 #: Rows that a cell has on average, whatever the size of the table.
 CELL_ROWS = 128
