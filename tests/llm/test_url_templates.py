@@ -63,7 +63,7 @@ def test_alike_branches_merge_and_others_do_not(spark):
     urls += [f"http://x.org/files/{i}.pdf" for i in range(30)]
     found = judged(spark, urls, rules=rules)
     templates = {branch: found[30 * i].template for i, branch in enumerate(("bada", "badb", "finea", "fineb", "files"))}
-    assert templates["bada"] == templates["badb"] == "/{any block}/{n}"
+    assert templates["bada"] == templates["badb"] == "/{like bada}/{n}"
     assert templates["finea"] == templates["fineb"]
     assert templates["files"] != templates["finea"]
     assert {found[i].verdict for i in range(60, 150)} == {"allow"}

@@ -59,15 +59,19 @@ def shape_of(path: Column) -> Column:
 def _merged(rows: DataFrame, keys: list[str], segment: str, rest: str) -> DataFrame:
     """``rows`` with ``segment`` replaced where branches of a node are alike.
 
-    A branch is a node's child with all below it. The branches of one node whose
-    commonest label is the same are pooled; a branch is alike when a G-test of its
-    (rest, label) counts against the pool's stays within three standard deviations of
-    what chance gives. Two or more alike become one branch, named after the label.
+    A branch is a node's child with all below it. The branches of one node with the
+    same commonest label and commonest rest are pooled; a branch is alike when a G-test
+    of its (rest, label) counts against the pool's stays within three standard
+    deviations of what chance gives. Two or more alike become one branch, named after
+    the first of them.
     """
     branch = [*keys, segment]
     counts = rows.groupBy(*branch, rest).agg(*[F.sum(c).alias(c) for c in ("allow", "block", "none")])
     totals = counts.groupBy(*branch).agg(
-        F.sum("allow").alias("a"), F.sum("block").alias("b"), F.sum("none").alias("u")
+        F.sum("allow").alias("a"),
+        F.sum("block").alias("b"),
+        F.sum("none").alias("u"),
+        F.max(F.struct(F.expr("allow + block + none").alias("n"), rest)).alias("most"),
     )
     totals = totals.select(
         *branch,
@@ -76,6 +80,7 @@ def _merged(rows: DataFrame, keys: list[str], segment: str, rest: str) -> DataFr
         .when(F.col("b") >= F.col("u"), "block")
         .otherwise("none")
         .alias("label"),
+        F.col("most")[rest].alias("main"),
     )
     labels = F.array(*[
         F.struct(F.lit(c).alias("kind"), F.col(c).alias("n")) for c in ("allow", "block", "none")
@@ -85,22 +90,23 @@ def _merged(rows: DataFrame, keys: list[str], segment: str, rest: str) -> DataFr
         .filter("n > 0")
         .join(totals, branch)
     )
-    pool = cells.groupBy(*keys, "label", rest, "kind").agg(F.sum("n").alias("cell_n"))
-    sizes = pool.groupBy(*keys, "label").agg(
+    group = [*keys, "label", "main"]
+    pool = cells.groupBy(*group, rest, "kind").agg(F.sum("n").alias("cell_n"))
+    sizes = pool.groupBy(*group).agg(
         F.sum("cell_n").alias("pool_n"), (F.count("*") - 1).alias("free")
     )
     n = {name: F.col(name).cast("double") for name in ("n", "pool_n", "branch_n", "cell_n")}
     surprise = 2 * n["n"] * F.log(n["n"] * n["pool_n"] / (n["branch_n"] * n["cell_n"]))
     tested = (
-        cells.join(pool, [*keys, "label", rest, "kind"])
-        .join(sizes, [*keys, "label"])
-        .groupBy(*branch, "label", "free")
+        cells.join(pool, [*group, rest, "kind"])
+        .join(sizes, group)
+        .groupBy(*branch, "label", "main", "free")
         .agg(F.sum(surprise).alias("g"))
         .filter(F.col("g") <= F.col("free") + 3 * F.sqrt(2.0 * F.col("free")) + 1e-9)
     )
-    several = tested.groupBy(*keys, "label").count().filter("count > 1").drop("count")
-    alike = tested.join(several, [*keys, "label"]).select(
-        *branch, F.concat(F.lit("{any "), "label", F.lit("}")).alias("merged")
+    several = tested.groupBy(*group).agg(F.count("*").alias("n"), F.min(segment).alias("first"))
+    alike = tested.join(several.filter("n > 1").drop("n"), group).select(
+        *branch, F.concat(F.lit("{like "), "first", F.lit("}")).alias("merged")
     )
     return (
         rows.join(alike, branch, "left")
@@ -233,21 +239,23 @@ def oracle_sql(levels: int = 2, support: int = 5, variety: int = 10) -> str:
                 sum(block) AS block, sum(none) AS none FROM {last} GROUP BY ALL)""",
             f"""{c}_t AS (SELECT {keys}, {step}, sum(allow + block + none) AS branch_n,
                 CASE WHEN sum(allow) >= greatest(sum(block), sum(none)) THEN 'allow'
-                WHEN sum(block) >= sum(none) THEN 'block' ELSE 'none' END AS label
+                WHEN sum(block) >= sum(none) THEN 'block' ELSE 'none' END AS label,
+                max({{'n': allow + block + none, 'rest': rest}}).rest AS main
                 FROM {c}_c GROUP BY ALL)""",
             f"""{c}_u AS (SELECT {keys}, {step}, rest, 'allow' AS kind, allow AS n FROM {c}_c
                 UNION ALL SELECT {keys}, {step}, rest, 'block', block FROM {c}_c
                 UNION ALL SELECT {keys}, {step}, rest, 'none', none FROM {c}_c)""",
             f"""{c}_l AS (SELECT * FROM {c}_u JOIN {c}_t USING ({keys}, {step}) WHERE n > 0)""",
-            f"""{c}_p AS (SELECT *, sum(n) OVER (PARTITION BY {keys}, label, rest, kind) AS cell_n,
-                sum(n) OVER (PARTITION BY {keys}, label) AS pool_n FROM {c}_l)""",
-            f"""{c}_f AS (SELECT {keys}, label, count(DISTINCT (rest, kind)) - 1 AS free
+            f"""{c}_p AS (SELECT *, sum(n) OVER (PARTITION BY {keys}, label, main, rest, kind) AS cell_n,
+                sum(n) OVER (PARTITION BY {keys}, label, main) AS pool_n FROM {c}_l)""",
+            f"""{c}_f AS (SELECT {keys}, label, main, count(DISTINCT (rest, kind)) - 1 AS free
                 FROM {c}_l GROUP BY ALL)""",
-            f"""{c}_g AS (SELECT {keys}, {step}, label FROM {c}_p JOIN {c}_f USING ({keys}, label)
-                GROUP BY {keys}, {step}, label, free HAVING sum(2.0 * n * ln(n::DOUBLE * pool_n
+            f"""{c}_g AS (SELECT {keys}, {step}, label, main FROM {c}_p JOIN {c}_f USING ({keys}, label, main)
+                GROUP BY {keys}, {step}, label, main, free HAVING sum(2.0 * n * ln(n::DOUBLE * pool_n
                 / (branch_n::DOUBLE * cell_n))) <= free + 3 * sqrt(2.0 * free) + 1e-9)""",
-            f"""{c}_a AS (SELECT {keys}, {step}, '{{any ' || label || '}}' AS merged FROM (SELECT *,
-                count(*) OVER (PARTITION BY {keys}, label) AS several FROM {c}_g) WHERE several > 1)""",
+            f"""{c}_a AS (SELECT {keys}, {step}, '{{like ' || first || '}}' AS merged FROM (SELECT *,
+                min({step}) OVER (PARTITION BY {keys}, label, main) AS first,
+                count(*) OVER (PARTITION BY {keys}, label, main) AS several FROM {c}_g) WHERE several > 1)""",
             f"""{c} AS (SELECT * EXCLUDE (merged) REPLACE (coalesce(merged, {step}) AS {step})
                 FROM {last} LEFT JOIN {c}_a USING ({keys}, {step}))""",
         ]

@@ -242,7 +242,8 @@ def parse(record: bytes) -> dict:
     found["refers_to"] = fields.get("warc-refers-to")
     found["payload_digest"] = fields.get("warc-payload-digest", "").rpartition(":")[2] or None
     length = fields.get("content-length", "")
-    if not found["record_type"] or not found["record_id"] or not length.isdigit():
+    needed = (found["record_type"], found["record_id"], fields.get("warc-date"))
+    if not all(needed) or not length.isdigit():
         return wrong("a needed header is missing")
     if len(rest) != int(length) + 4 or rest[int(length) :] != b"\r\n\r\n":
         return wrong("the length does not match")
