@@ -16,7 +16,7 @@ from tradelake.llm.vectors import with_components
 
 SIMILARITY = 0.8
 SHINGLE = 5
-TREES = 16
+TREES = 12
 DEPTH = 8
 #: Chance with which a pair exactly at the limit must share a prefix in some tree.
 RECALL = 0.998
@@ -39,11 +39,14 @@ def prefix_length(similarity: float, trees: int, depth: int, recall: float) -> i
 
 
 def signatures(texts: list[str], steps: np.ndarray = _STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """A matrix of minimum hashes, one row per text, and the texts' numbers of shingles."""
+    """A matrix of minimum hashes, one row per text, and the texts' numbers of shingles.
+
+    Of each minimum the lower 16 bits are kept, which differ like the minima do.
+    """
     windows, ends = shingle_hashes(*word_hashes(texts))
     counts = np.diff(ends)
     some = np.flatnonzero(counts)
-    found = np.zeros((len(texts), len(steps)), dtype=np.uint32)
+    found = np.zeros((len(texts), len(steps)), dtype=np.uint16)
     if len(some):
         values = (windows >> np.uint64(32)).astype(np.uint32)
         room = np.empty_like(values)
@@ -54,28 +57,31 @@ def signatures(texts: list[str], steps: np.ndarray = _STEPS) -> tuple[np.ndarray
     return found, counts
 
 
-def _signed(trees: int, depth: int, length: int):
+def prefixes(rows: np.ndarray, trees: int, length: int) -> np.ndarray:
+    """The bucket of every signature in every tree: its first ``length`` values there."""
+    values = rows.reshape(len(rows), trees, -1).astype(np.uint64)
     tree = (np.arange(trees, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    buckets = np.broadcast_to(tree, values.shape[:2])
+    for k in range(length):
+        buckets = mixed(buckets + values[:, :, k])
+    return buckets.view(np.int64)
+
 
+def _signed(trees: int, depth: int, length: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            matrices, numbers = [np.zeros((0, trees * depth), np.uint32)], [np.zeros(0, np.int64)]
+            matrices, numbers = [np.zeros((0, trees * depth), np.uint16)], [np.zeros(0, np.int64)]
             for run in runs([text or "" for text in batch.column("text").to_pylist()]):
                 matrix, counts = signatures(run, _STEPS[: trees * depth])
                 matrices.append(matrix)
                 numbers.append(counts)
             matrix, counts = np.concatenate(matrices), np.concatenate(numbers)
-            values = matrix.reshape(-1, trees, depth).astype(np.uint64)
-            buckets = np.broadcast_to(tree, values.shape[:2])
-            for k in range(length):
-                buckets = mixed(buckets + values[:, :, k])
-            rows = buckets.astype(np.int64, copy=False).view(np.int64)
-            empty = counts == 0
+            keys = [k if n else None for k, n in zip(batch.column("key").to_pylist(), counts, strict=True)]
             arrays = [
                 batch.column("doc_id"),
-                pa.array([None if e else k for e, k in zip(empty.tolist(), batch.column("key").to_pylist(), strict=True)], pa.binary()),
+                pa.array(keys, pa.binary()),
                 pa.array(counts, pa.int64()),
-                pa.array(list(rows), pa.list_(pa.int64())),
+                pa.array(list(prefixes(matrix, trees, length)), pa.list_(pa.int64())),
                 pa.array([row.tobytes() for row in matrix], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "shingles", "buckets", "signature"])
@@ -83,13 +89,18 @@ def _signed(trees: int, depth: int, length: int):
     return sign
 
 
+def _signature_rows(table: pa.Table) -> np.ndarray:
+    raw = table.column("signature").to_pylist()
+    return np.frombuffer(b"".join(raw), dtype=np.uint16).reshape(len(raw), -1)
+
+
 def _likely(table: pa.Table, similarity: float):
     """A function that finds, among a unit's pairs, those whose signatures are alike."""
-    raw = table.column("signature").to_pylist()
+    whole = _signature_rows(table)
     sizes = table.column("shingles").to_numpy()
 
     def likely(a: int, b: int, mine: np.ndarray) -> np.ndarray:
-        rows = np.frombuffer(b"".join(raw[a:b]), dtype=np.uint32).reshape(b - a, -1)
+        rows = whole[a:b]
         least = similarity - SLACK * np.sqrt(similarity * (1 - similarity) / rows.shape[1])
         i, j = np.nonzero(np.triu(mine, 1))
         large, small = np.maximum(sizes[a + i], sizes[a + j]), np.minimum(sizes[a + i], sizes[a + j])
@@ -105,12 +116,13 @@ def _likely(table: pa.Table, similarity: float):
     return likely
 
 
-def _wanted(similarity: float):
+def _wanted(similarity: float, trees: int, length: int):
     """The rows of each unit that have a likely pair in it."""
 
     def want(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in runs_of_units(batches):
-            ids, parts, buckets, _ = unit_columns(table)
+            ids, parts, _ = unit_columns(table)
+            buckets = prefixes(_signature_rows(table), trees, length)
             likely = _likely(table, similarity)
             kept = []
             for a, b in bounds:
@@ -124,8 +136,9 @@ def _wanted(similarity: float):
     return want
 
 
-def _verified(similarity: float):
+def _verified(similarity: float, trees: int, length: int):
     def prepare(table: pa.Table):
+        buckets = prefixes(_signature_rows(table), trees, length)
         likely = _likely(table, similarity)
         sets = [np.frombuffer(raw, dtype=np.uint64) for raw in table.column("shingle_set").to_pylist()]
 
@@ -143,7 +156,7 @@ def _verified(similarity: float):
             linked[np.ix_(rows, rows)] = close & asked[np.ix_(rows, rows)]
             return linked
 
-        return compare
+        return buckets, compare
 
     return prepare
 
@@ -218,27 +231,33 @@ def jaccard_groups(
         .agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")),
         "texts",
     )
-    texts = signed.filter("key IS NOT NULL").select("key", "shingles", "buckets", "signature")
-    texts = written(texts.dropDuplicates(["key"]), "signatures-distinct")
-    met = units(texts).join(texts, "key")
+    texts = signed.filter("key IS NOT NULL")
+    met = written(units(texts.select("key", "buckets").dropDuplicates(["key"])), "units")
+    # Most texts share no prefix with any other: their signatures stay behind.
+    met_texts = written(
+        texts.select("key", "shingles", "signature")
+        .join(met.select("key").distinct(), "key", "left_semi")
+        .dropDuplicates(["key"]),
+        "texts-met",
+    )
     wanted = written(
-        together(met).mapInArrow(_wanted(similarity), "bucket long, low int, high int, part int, key binary"),
+        together(met.join(met_texts, "key")).mapInArrow(
+            _wanted(similarity, trees, length), "bucket long, low int, high int, part int, key binary"
+        ),
         "likely",
     )
     asked = written(wanted.select("key").distinct(), "likely-keys")
-    # One document for each text that is asked for.
+    # Whole texts are dealt by key, with the few keys asked for, at any size of table.
     held = written(
         own.select("key", "text")
-        .join(asked, "key", "left_semi")
+        .join(asked.hint("merge"), "key", "left_semi")
         .mapInArrow(_shingle_sets, "key binary, shingle_set binary")
         .dropDuplicates(["key"]),
         "shingle-sets",
     )
-    rows = (
-        wanted.join(texts.join(held, "key"), "key")
-        .join(counted.select("key", "copies"), "key")
-    )
-    links = written(link_counts(rows, _verified(similarity)), "text-links")
+    asked_texts = met_texts.join(held, "key").join(counted.select("key", "copies"), "key")
+    rows = wanted.join(asked_texts, "key")
+    links = written(link_counts(rows, _verified(similarity, trees, length)), "text-links")
     return with_components(signed.select("doc_id", "key"), counted, links, "doc_id").select(
         "doc_id", "key", "n_links",
         F.col("n_distinct_links").alias("n_text_links"),

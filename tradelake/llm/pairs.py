@@ -107,19 +107,20 @@ _LINKS_ARROW = pa.schema(
 
 
 def link_counts(
-    rows: DataFrame, prepare: Callable[[pa.Table], Callable[[int, int, np.ndarray], np.ndarray]]
+    rows: DataFrame,
+    prepare: Callable[[pa.Table], tuple[np.ndarray, Callable[[int, int, np.ndarray], np.ndarray]]],
 ) -> DataFrame:
     """Links of every row within its units: ``key``, ``links``, ``row_links``, ``root``.
 
-    ``rows`` are unit rows with ``key``, ``copies`` and ``buckets`` beside what
-    ``prepare`` needs: it turns a table into a function that takes the bounds of a
-    unit and the pairs to compare and gives the pairs that are linked.
+    ``rows`` are unit rows with ``key`` and ``copies`` beside what ``prepare`` needs:
+    it turns a table into the matrix of its rows' buckets, and a function that takes
+    the bounds of a unit and the pairs to compare and gives the pairs that are linked.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in runs_of_units(batches):
-            compare = prepare(table)
-            ids, parts, buckets, keys = unit_columns(table)
+            buckets, compare = prepare(table)
+            ids, parts, keys = unit_columns(table)
             copies = table.column("copies").to_numpy()
             out: list[list] = [[], [], [], []]
             for a, b in bounds:
@@ -142,9 +143,7 @@ def link_counts(
     return together(rows).mapInArrow(count, _LINKS)
 
 
-def unit_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Unit ids, parts, the matrix of buckets, and keys."""
+def unit_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Unit ids, parts and keys."""
     ids = np.stack([table.column(name).to_numpy() for name in _UNIT], axis=1)
-    flat = pa.concat_arrays([c.flatten() for c in table.column("buckets").chunks])
-    buckets = flat.to_numpy().reshape(table.num_rows, -1)
-    return ids, table.column("part").to_numpy(), buckets, table.column("key").to_pylist()
+    return ids, table.column("part").to_numpy(), table.column("key").to_pylist()

@@ -133,6 +133,8 @@ def _compare(cosine: float, projections: int):
 
     def prepare(table: pa.Table):
         raw = table.column("unit").to_pylist()
+        flat = pa.concat_arrays([c.flatten() for c in table.column("buckets").chunks])
+        buckets = flat.to_numpy().reshape(table.num_rows, -1)
 
         def compare(a: int, b: int, mine: np.ndarray) -> np.ndarray:
             linked = np.zeros_like(mine)
@@ -146,7 +148,7 @@ def _compare(cosine: float, projections: int):
                 linked[rows[i[close]], rows[j[close]]] = True
             return linked | linked.T
 
-        return compare
+        return buckets, compare
 
     return prepare
 
