@@ -130,7 +130,10 @@ def train(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     if not len(labels) or labels.min() == labels.max():
         return Model({}, share)
     random = np.random.default_rng(seed)
-    x, firsts = encode([text for text, _ in rows])
+    parts = [encode(run) for run in runs([text for text, _ in rows])]
+    x = np.concatenate([part for part, _ in parts])
+    begins = np.cumsum([0] + [len(part) for part, _ in parts])
+    firsts = np.concatenate([own + begin for (_, own), begin in zip(parts, begins, strict=False)])
     ends = np.append(firsts[1:], len(x))
     small = lambda *shape: random.normal(0, 0.1, shape).astype(np.float32)
     weights = {
