@@ -172,6 +172,14 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.limit(0) if least is None else counts.filter(F.col("background") >= least)
 
 
+def _sorted_arrays(counts: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The column ``name`` in order, and the two counts beside it."""
+    found = counts.select(name, "background", "target").toArrow()
+    order = np.argsort(found.column(name).to_numpy())
+    values, *sums = (column.to_numpy()[order] for column in found.columns)
+    return values, np.stack(sums, axis=1).astype(np.float64)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, pairs: int = PAIRS
 ) -> Models:
@@ -187,26 +195,18 @@ def fit(
     words = written(
         own.mapInArrow(_words, f"word long, {columns}").groupBy("word").agg(*sums), "word-counts"
     )
-    top = most_frequent(words, vocabulary).toPandas().sort_values("word")
+    known, counts = _sorted_arrays(most_frequent(words, vocabulary), "word")
     every = words.agg(*sums).first()
-    known = top["word"].to_numpy(dtype=np.int64)
-    counts = top[["background", "target"]].to_numpy(dtype=np.float64)
     total = np.array([every["background"] or 0, every["target"] or 0], dtype=np.float64)
     counts = np.concatenate([counts, (total - counts.sum(axis=0))[None, :]])
     seen = own.mapInArrow(_pair_counts(known), f"pair long, {columns}").groupBy("pair").agg(*sums)
     seen = written(seen.filter("background > 1"), "pair-counts")
-    found = most_frequent(seen, pairs).toPandas().sort_values("pair")
+    codes, kept = _sorted_arrays(most_frequent(seen, pairs), "pair")
     texts = own.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(
         F.count("*").alias("background"), F.count(F.when(F.col("is_target"), 1)).alias("target")
     ).first()
     before = np.concatenate([counts, [[texts["background"], texts["target"]]]])
-    return Models(
-        known,
-        counts,
-        before,
-        found["pair"].to_numpy(dtype=np.int64),
-        found[["background", "target"]].to_numpy(dtype=np.float32),
-    )
+    return Models(known, counts, before, codes, kept.astype(np.float32))
 
 
 def _losses(models: Models):
