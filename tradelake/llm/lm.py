@@ -91,15 +91,22 @@ def _pairs(numbers: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarr
     return before, np.where((before == size) | (numbers == size), -1, code)
 
 
-def _pair_counts(vocabulary: np.ndarray):
+def _model_counts(vocabulary: np.ndarray):
+    """Counts of everything that the models need, by code: a pair's own code, -1 - n
+    for word n, and -2 - size for texts that have a word."""
+    size = len(vocabulary)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             numbers, starts = tokens(texts, vocabulary)
-            _, codes = _pairs(numbers, starts, len(vocabulary))
+            _, codes = _pairs(numbers, starts, size)
+            owner = np.repeat(np.arange(len(texts)), np.diff(starts))
             known = codes >= 0
-            return codes[known], np.repeat(np.arange(len(texts)), np.diff(starts))[known]
+            worded = np.flatnonzero(np.diff(starts))
+            found = np.concatenate([codes[known], -1 - numbers, np.full(len(worded), -2 - size)])
+            return found, np.concatenate([owner[known], owner, worded])
 
-        yield from _counted(batches, of, "pair")
+        yield from _counted(batches, of, "code")
 
     return count
 
@@ -145,16 +152,15 @@ class Models:
 
 
 def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text`` and whether it is of the target: its id is labelled as of good quality."""
-    good = written(
-        labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-        .select("doc_id", F.lit(True).alias("good"))
-        .distinct(),
-        "target-ids",
-    )
+    """``text`` and whether it is of the target: its id is labelled as of good quality.
+
+    Both tables are dealt by id, whatever their sizes.
+    """
+    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
+    good = good.select("doc_id", F.lit(True).alias("good")).distinct()
     return (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(good, "doc_id", "left")
+        .join(good.hint("merge"), "doc_id", "left")
         .select("text", F.coalesce("good", F.lit(False)).alias("is_target"))
     )
 
@@ -189,24 +195,25 @@ def fit(
     before the shuffle. Both models know the same words and pairs, the most frequent
     ones, and only these come to the driver.
     """
-    own = marked(docs, labels)
     columns = "background long, target long"
     sums = (F.sum("background").alias("background"), F.sum("target").alias("target"))
+    plain = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("is_target"))
     words = written(
-        own.mapInArrow(_words, f"word long, {columns}").groupBy("word").agg(*sums), "word-counts"
+        plain.mapInArrow(_words, f"word long, {columns}").groupBy("word").agg(*sums), "word-counts"
+    )
+    known, _ = _sorted_arrays(most_frequent(words, vocabulary), "word")
+    seen = (
+        marked(docs, labels)
+        .mapInArrow(_model_counts(known), f"code long, {columns}")
+        .groupBy("code")
+        .agg(*sums)
     )
-    known, counts = _sorted_arrays(most_frequent(words, vocabulary), "word")
-    every = words.agg(*sums).first()
-    total = np.array([every["background"] or 0, every["target"] or 0], dtype=np.float64)
-    counts = np.concatenate([counts, (total - counts.sum(axis=0))[None, :]])
-    seen = own.mapInArrow(_pair_counts(known), f"pair long, {columns}").groupBy("pair").agg(*sums)
-    seen = written(seen.filter("background > 1"), "pair-counts")
-    codes, kept = _sorted_arrays(most_frequent(seen, pairs), "pair")
-    texts = own.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(
-        F.count("*").alias("background"), F.count(F.when(F.col("is_target"), 1)).alias("target")
-    ).first()
-    before = np.concatenate([counts, [[texts["background"], texts["target"]]]])
-    return Models(known, counts, before, codes, kept.astype(np.float32))
+    seen = written(seen.filter("background > 1 OR code < 0"), "model-counts")
+    codes, kept = _sorted_arrays(most_frequent(seen.filter("code >= 0"), pairs), "code")
+    numbers, found = _sorted_arrays(seen.filter("code < 0"), "code")
+    counts = np.zeros((len(known) + 2, 2))
+    counts[-1 - numbers] = found
+    return Models(known, counts[:-1], counts, codes, kept.astype(np.float32))
 
 
 def _losses(models: Models):
