@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 import folds
 from tradelake.operators import access, admission, feeds, pipeline
-from tradelake.operators.ordered import Side
 
 KINDS = ["connected", "disconnected", "restarting", "stopped", "data"]
 
@@ -35,7 +34,10 @@ def test_feed_health_equals_fold(spark):
     events = spark.createDataFrame(
         rows, "exchange int, at_ms bigint, seq bigint, kind string, reason string"
     )
-    found = {row["exchange"]: row.asDict() for row in feeds.feed_health(events).collect()}
+    parts = feeds.feed_partials(events, ["exchange"], rows_per_stretch=100)
+    assert parts.select("stretch").distinct().count() > 10
+    found = {row["exchange"]: row.asDict() for row in feeds.health_of(parts, ["exchange"]).collect()}
+    assert sorted(feeds.feed_health(events).collect()) == sorted(feeds.health_of(parts, ["exchange"]).collect())
     groups = by_key(rows)
     assert set(found) == set(groups)
     for key, group in groups.items():
@@ -80,36 +82,70 @@ def test_events_of_several_streams_count_once_per_exchange(spark):
     assert sorted(row["exchange"] for row in rows) == ["a", "b"]
 
 
-def flush_rows(seed, servers=400):
+FLUSH = "node_id int, at_ms bigint, seq bigint, kind string, n bigint, error string"
+HEALTH = [
+    "persistence_healthy", "last_flush_at", "last_flush_error", "flush_failure_count",
+    "flush_retry_pending_trades", "flush_dropped_trades",
+]
+# Each case: the events (kind, n), and what a person reading them would report.
+SEQUENCES = {
+    "only successes": ([("ok", 0), ("ok", 0)], (True, 2, None, 0, 0, 0)),
+    "a failure stands": ([("ok", 0), ("failed", 5)], (False, 1, "e2", 1, 5, 0)),
+    "a retry heals it": ([("failed", 5), ("retry_ok", 0)], (True, 2, None, 1, 0, 0)),
+    "a plain success does not, while rows wait": (
+        [("failed", 5), ("ok", 0)], (False, 2, "e1", 1, 5, 0)),
+    "but does when none wait": ([("failed", 0), ("ok", 0)], (True, 2, None, 1, 0, 0)),
+    "a loss is for ever": (
+        [("failed", 3), ("dropped", 3), ("retry_ok", 0), ("ok", 0)], (False, 4, None, 1, 0, 3)),
+    "an error outlives successes after a loss": (
+        [("failed", 3), ("dropped", 3), ("ok", 0)], (False, 3, "e1", 1, 0, 3)),
+    "an empty drop ends the wait": (
+        [("failed", 4), ("dropped", 0), ("ok", 0)], (True, 3, None, 1, 0, 0)),
+    "losses add up": ([("dropped", 2), ("dropped", 7)], (False, None, None, 0, 0, 9)),
+    "the last failure counts": (
+        [("failed", 1), ("failed", 8), ("ok", 0)], (False, 3, "e2", 2, 8, 0)),
+    "long errors stay whole": ([("failed", 1)], (False, None, "e1", 1, 1, 0)),
+}
+
+
+@pytest.mark.parametrize("case", SEQUENCES)
+def test_pipeline_health_of_worked_sequences(spark, case):
+    events, wanted = SEQUENCES[case]
+    rows = [(1, i, i, kind, n, f"e{i}") for i, (kind, n) in enumerate(events, 1)]
+    # Another node, with most of the rows, changes nothing.
+    rows += [(2, i, 100 + i, "ok", 0, "none") for i in range(300)]
+    found = pipeline.pipeline_health(spark.createDataFrame(rows, FLUSH)).filter("node_id = 1")
+    assert tuple(found.select(*HEALTH).first()) == wanted
+
+
+def test_pipeline_health_keeps_long_errors(spark):
+    rows = [(1, 1, 1, "failed", 1, "x" * 5_000)]
+    found = pipeline.pipeline_health(spark.createDataFrame(rows, FLUSH)).first()
+    assert found["last_flush_error"] == "x" * 5_000
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_pipeline_health_properties(spark, seed):
     rng = random.Random(seed)
     rows = []
-    for server in range(servers):
+    for node in range(300):
         for _ in range(rng.randrange(1, 9)):
             kind = rng.choices(["ok", "retry_ok", "failed", "dropped"], [4, 1, 3, 2])[0]
-            n = rng.choice([0, 0, 0, 1, 2])
-            rows.append((server, rng.randrange(6), len(rows), kind, n, f"e{len(rows)}"))
-    for _ in range(2_000):
-        rows.append((0, rng.randrange(50), len(rows), "ok", 0, "none"))
-    return rows
-
-
-FLUSH = "server_id int, at_ms bigint, seq bigint, kind string, n bigint, error string"
-
-
-@pytest.mark.parametrize("small", [True, False])
-@pytest.mark.parametrize("seed", [3, 4])
-def test_pipeline_health_equals_fold(spark, monkeypatch, seed, small):
-    if not small:
-        real = pipeline.measured
-        monkeypatch.setattr(pipeline, "measured", lambda df: Side(real(df).rows, False))
-    rows = flush_rows(seed)
-    events = spark.createDataFrame(rows, FLUSH)
-    found = {
-        row["server_id"]: row.asDict() for row in pipeline.pipeline_health(events).collect()
-    }
-    for key, group in by_key(rows).items():
-        wanted = folds.pipeline([row[1:] for row in sorted(group, key=lambda r: r[1:3])])
-        assert {name: found[key][name] for name in wanted} == wanted, key
+            rows.append((node, rng.randrange(6), len(rows), kind, rng.choice([0, 0, 1, 2]), f"e{len(rows)}"))
+    found = {row["node_id"]: row for row in pipeline.pipeline_health(spark.createDataFrame(rows, FLUSH)).collect()}
+    for node, group in by_key(rows).items():
+        row, kinds = found[node], [r[3] for r in sorted(group, key=lambda r: r[1:3])]
+        lost = sum(r[4] for r in group if r[3] == "dropped")
+        assert row["flush_dropped_trades"] == lost
+        assert row["flush_failure_count"] == kinds.count("failed")
+        assert not (lost and row["persistence_healthy"])
+        if kinds[-1] == "failed":
+            assert not row["persistence_healthy"] and row["last_flush_error"]
+        if kinds[-1] == "retry_ok":
+            assert row["last_flush_error"] is None and row["flush_retry_pending_trades"] == 0
+            assert row["persistence_healthy"] == (lost == 0)
+        if "failed" not in kinds:
+            assert row["last_flush_error"] is None
 
 
 def test_shared_latches_ignore_the_exchange(spark):
@@ -122,10 +158,10 @@ def test_shared_latches_ignore_the_exchange(spark):
     ]
     events = spark.createDataFrame(
         rows,
-        "server_id int, at_ms bigint, seq bigint, stage string, exchange string, "
+        "node_id int, at_ms bigint, seq bigint, stage string, exchange string, "
         "kind string, n bigint",
     )
-    found = {row["server_id"]: row for row in pipeline.saturation(events).collect()}
+    found = {row["node_id"]: row for row in pipeline.saturation(events).collect()}
     assert found[1]["persist_channel_saturated"] is False
     assert found[1]["event_channel_saturated"] is True
     assert found[2]["data_buffer_saturated"] is True
@@ -147,22 +183,22 @@ def test_shared_latches_ignore_the_exchange(spark):
 def test_overall_status(spark, healthy, pending, state, database, status):
     writes = spark.createDataFrame(
         [(1, healthy, pending, 0)],
-        "server_id int, persistence_healthy boolean, flush_retry_pending_trades bigint, "
+        "node_id int, persistence_healthy boolean, flush_retry_pending_trades bigint, "
         "flush_dropped_trades bigint",
     )
     latches = spark.createDataFrame(
         [(1, False, False, False)],
-        "server_id int, event_channel_saturated boolean, persist_channel_saturated boolean, "
+        "node_id int, event_channel_saturated boolean, persist_channel_saturated boolean, "
         "data_buffer_saturated boolean",
     )
     states = spark.createDataFrame(
-        [(1, "a", state)] if state else [], "server_id int, exchange string, state string"
+        [(1, "a", state)] if state else [], "node_id int, exchange string, state string"
     )
     found = pipeline.overall_status(writes, latches, states, database).collect()
     assert [tuple(row) for row in found] == [(1, status)]
 
 
-ACCESS = "seq bigint, server_id int, client int, at_ms bigint, kind string"
+ACCESS = "seq bigint, node_id int, client int, at_ms bigint, kind string"
 
 
 def access_rows(seed, n=4_000, span=40_000):
@@ -174,17 +210,11 @@ def access_rows(seed, n=4_000, span=40_000):
     ]
 
 
-@pytest.fixture(params=["at once", "in blocks"])
-def chaining(request, monkeypatch):
-    if request.param == "in blocks":
-        monkeypatch.setattr(admission, "CHAIN_AT_ONCE", 1)
-
-
 @pytest.mark.parametrize(("window", "limit"), [(60, 2), (1_000, 5), (100_000, 3)])
-def test_sample_equals_fold_across_chunks(spark, chaining, window, limit):
+def test_sample_equals_fold_across_chunks(spark, window, limit):
     rows = access_rows(5)
     events = spark.createDataFrame(rows, ACCESS)
-    # 4,000 rows in 40 chunks; the hot server spans a dozen of them.
+    # 4,000 rows; the hot node's are cut into a dozen chunks and more.
     found = access.access_sample(events, 0, window, limit, rows_per_chunk=100).collect()
     wanted = []
     for group in by_key(rows, 1).values():
@@ -203,7 +233,7 @@ def test_sample_keeps_real_defaults(spark):
     ("capacity", "window", "span"),
     [(3, 100, 40_000), (7, 1_000, 40_000), (5, 50, 2_000), (500, 10_000, 40_000)],
 )
-def test_limiter_equals_fold_across_chunks(spark, chaining, capacity, window, span):
+def test_limiter_equals_fold_across_chunks(spark, capacity, window, span):
     rows = access_rows(6, span=span)
     requests = spark.createDataFrame(rows, ACCESS)
     flagged = admission.rate_limit_flags(requests, capacity, window, rows_per_chunk=100)

@@ -1,40 +1,16 @@
 from __future__ import annotations
 
-import io
 import json
 
 import pyarrow as pa
 import pytest
 
-from tradelake.functions.limits import QueryBudget, arrow_rows, json_rows, query_budget
 from tradelake.operators import bounds, catalog, reads, upserts
 from tradelake.schemas import TRADES
 from tradelake.sources import exports, whitelist
 from tradelake.sources.exchanges import exchange_filter, exchanges
 
 
-@pytest.mark.parametrize(
-    ("mb", "budget"),
-    [
-        (0, QueryBudget(1_000_000, 4)),
-        (1, QueryBudget(50_000, 1)),
-        (256, QueryBudget(640_000, 1)),
-        (400, QueryBudget(1_000_000, 1)),
-        (1024, QueryBudget(1_000_000, 2)),
-        (2048, QueryBudget(1_000_000, 4)),
-        (2**64 - 1, QueryBudget(1_000_000, 4)),
-    ],
-)
-def test_query_budget(mb, budget):
-    assert query_budget(mb) == budget
-
-
-def test_row_limits():
-    assert [json_rows(n) for n in (None, 5, 20_000)] == [1_000, 5, 10_000]
-    assert [arrow_rows(n) for n in (None, 5, 2_000_000)] == [50_000, 5, 1_000_000]
-    assert arrow_rows(2_000_000, 256) == 640_000
-
-
 def ramp(spark, n):
     return spark.range(n).selectExpr(
         "'Binance Spot' AS exchange", "'btcusdt' AS symbol", "id AS ts",
@@ -42,28 +18,28 @@ def ramp(spark, n):
     )
 
 
-def test_arrow_stream_has_all_rows_in_several_batches(spark):
-    query = reads.TradeQuery("binance", "btcusdt", "spot", limit=25_000)
-    sink = io.BytesIO()
-    stats = exports.write_arrow_stream(
-        reads.export_trades(ramp(spark, 25_000), query), sink
-    )
-    assert stats.rows == 25_000
-    assert stats.batches > 1
-    table = pa.ipc.open_stream(sink.getvalue()).read_all()
-    assert table.schema == exports.ARROW_SCHEMA
-    assert table["ts"][0].as_py() == 24_999
-    assert table.num_rows == 25_000
-
-
-@pytest.mark.parametrize("low", [None, 5_000])
-def test_large_exports_are_narrowed_by_time(spark, low):
-    query = reads.TradeQuery("binance", "btcusdt", "spot", from_ms=low, limit=150_000)
-    export = reads.export_trades(ramp(spark, 200_000), query)
-    times = [row["ts"] for row in export.select("ts").collect()]
-    assert times == (
-        list(range(199_999, 49_999, -1)) if low is None else list(range(5_000, 155_000))
-    )
+def test_arrow_streams_hold_all_rows_in_order(spark):
+    query = reads.TradeQuery("binance", "btcusdt", "spot")
+    export = reads.export_trades(ramp(spark, 25_000), query)
+    rows = exports.arrow_streams(export, 1_000, 5_000).orderBy("part").collect()
+    tables = [pa.ipc.open_stream(row["stream"]).read_all() for row in rows]
+    assert all(table.schema == exports.ARROW_SCHEMA for table in tables)
+    assert [row["rows"] for row in rows] == [table.num_rows for table in tables]
+    times = [at for table in tables for at in table["ts"].to_pylist()]
+    assert times == list(range(24_999, -1, -1))
+    streams = exports.arrow_streams(export, 1_000, 5_000)
+    assert exports.stream_stats(streams).rows == 25_000
+    assert exports.stream_stats(streams).batches >= 25
+    assert exports.stream_stats(streams.limit(0)) == exports.ExportStats(0, 0)
+    assert exports.read_arrow_streams(streams).count() == 25_000
+
+
+def test_reads_without_a_limit_return_everything(spark):
+    query = reads.TradeQuery("binance", "btcusdt", "spot", from_ms=5)
+    times = [row["ts"] for row in reads.read_trades(ramp(spark, 120_000), query).collect()]
+    assert times == list(range(5, 120_000))
+    query = reads.TradeQuery("binance", "btcusdt", "spot", limit=110_000)
+    assert reads.read_trades(ramp(spark, 120_000), query).count() == 110_000
 
 
 def test_bounds_are_inclusive_and_order_follows_from(spark):
@@ -96,25 +72,34 @@ def test_exchange_filter():
 
 
 def test_export_files_are_ordered_and_counted(spark, scratch):
-    stats = exports.write_export(ramp(spark, 5_000), f"{scratch}/export", files=4)
-    assert stats == exports.ExportStats(5_000, 4)
+    stats = exports.write_export(ramp(spark, 5_000), f"{scratch}/export", rows_per_file=1_000)
+    assert stats.rows == 5_000
+    assert stats.batches >= 5
+    spans = (
+        spark.read.parquet(f"{scratch}/export")
+        .groupBy("_metadata.file_path")
+        .agg({"ts": "min", "*": "count"})
+        .collect()
+    )
+    assert len(spans) == stats.batches
+    assert max(row["count(1)"] for row in spans) <= 1_000
 
 
 def test_export_files_share_a_group_of_copies(spark, scratch):
     same = spark.range(8_000).selectExpr("1L AS ts", "1.0D AS price", "1.0D AS qty", "true AS is_sell")
-    exports.write_export(same, f"{scratch}/export", files=4)
+    exports.write_export(same, f"{scratch}/export", rows_per_file=2_000)
     written = spark.read.parquet(f"{scratch}/export")
     sizes = [r["count"] for r in written.groupBy("_metadata.file_path").count().collect()]
     assert sum(sizes) == 8_000
-    assert max(sizes) < 4_000
+    assert max(sizes) <= 2_000
 
 
 def test_json_answers(spark):
     text = exports.trades_json(ramp(spark, 1)).first()["json"]
     assert text == '{"ts":0,"price":0.0,"qty":1.0,"is_sell":true}'
     query = reads.TradeQuery("binance", "btcusdt", "spot", limit=2)
-    answer = exports.trades_document(reads.read_trades(ramp(spark, 5), query))
-    assert [t["ts"] for t in json.loads(answer)["trades"]] == [4, 3]
+    answer = exports.trades_json(reads.read_trades(ramp(spark, 5), query)).collect()
+    assert [json.loads(row["json"])["ts"] for row in answer] == [4, 3]
 
 
 # The inline dimensions of the fixture notes.
@@ -185,8 +170,6 @@ def test_exchange_symbols_list_all_tickers(spark, rules):
     lists = {r[0]: r[1] for r in catalog.exchange_symbol_lists(listed).collect()}
     assert lists["Binance Spot"] == ["BTCDOMUSDT", "BTCUSDT", "ETHUSDT"]
     assert lists["Hyperliquid Spot"] == ["BTCX/USDC", "ETH/USDC"]
-    with pytest.raises(ValueError, match="use exchange_symbols"):
-        catalog.exchange_symbol_lists(listed, max_symbols=2)
 
 
 def test_whitelist_exchanges_and_discovery(spark, rules):
@@ -219,10 +202,6 @@ def test_configured_pairs_keep_order_and_spelling(spark):
     texts = [r["json"] for r in exports.pairs_json(pairs).orderBy("pos").collect()]
     assert texts[0] == '{"ticker":"BinanceSpot:btcusdt","earliest":1,"latest":9}'
     assert texts[2].endswith('"earliest":null,"latest":null}')
-    answer = json.loads(exports.pairs_document(pairs))
-    assert answer["tracked_count"] == len(answer["pairs"]) == 3
-    with pytest.raises(ValueError, match="files"):
-        exports.pairs_document(pairs, max_pairs=2)
 
 
 def test_upsert_last_write_wins(spark):

@@ -4,7 +4,6 @@ import random
 
 import pytest
 
-import folds
 from tradelake.operators import cuts, retention
 from tradelake.operators.ordered import repeat_rows, running_total
 from tradelake.operators.reads import TradeQuery, read_trades
@@ -81,17 +80,27 @@ def test_retention_is_strict_and_zero_hours_keeps_all(spark):
     assert retention.retention_deleted(df, now, 0).first()[0] == 0
 
 
-def test_purge_plan_equals_rounds(spark):
-    rng = random.Random(4)
-    cases = [(0, 0, 50 * MIB), (200 * MIB, 0, 100 * MIB), (70 * 1024 * MIB, 10**9, 60 * 1024 * MIB)]
-    for cap in (50, 100, 125, 700, 60 * 1024):
-        for _ in range(200):
-            size = rng.randrange(3 * cap * MIB)
-            cases.append((size, rng.randrange(1, size // rng.randrange(1, 90) + 2), cap * MIB))
-    df = spark.createDataFrame(cases, "size_bytes bigint, row_count bigint, cap_bytes bigint")
-    for row in retention.with_purge_plan(df).collect():
-        wanted = folds.purge(row["size_bytes"], row["row_count"], row["cap_bytes"])
-        assert (row["to_delete"], row["converged"]) == wanted
+@pytest.mark.parametrize(
+    ("size", "rows", "cap", "per_row", "gone"),
+    [
+        # Below the target nothing goes, however many rows there are.
+        (100, 10**9, 100, 1, 0),
+        # 150 MiB of 50-byte rows, cap 100 MiB: a third goes.
+        (150, 150 * MIB // 50, 100, 50, 150 * MIB // 50 - 100 * MIB // 50),
+        # A cap of 1,000 MiB leaves 800; rows count 10 bytes here.
+        (1_200, 1_200 * MIB // 10, 1_000, 10, 1_200 * MIB // 10 - 800 * MIB // 10),
+        # Wide rows count 50 bytes at most, so fewer rows than that stay as they are.
+        (200, 1_000, 100, 50, 0),
+        (200, 0, 100, 50, 0),
+    ],
+)
+def test_purge_plan_reaches_the_target_at_once(spark, size, rows, cap, per_row, gone):
+    df = spark.createDataFrame(
+        [(size * MIB, rows, cap * MIB)], "size_bytes bigint, row_count bigint, cap_bytes bigint"
+    )
+    row = retention.with_purge_plan(df).first()
+    assert (row["bytes_per_row"], row["to_delete"]) == (per_row, gone)
+    assert row["row_count"] - row["to_delete"] <= max(row["max_rows"], row["row_count"] * (gone == 0))
 
 
 @pytest.mark.parametrize(
@@ -121,6 +130,7 @@ def stored(spark, root, days=6, per_day=50):
         for i in range(per_day)
     ]
     table.append(trades(spark, rows), 0, 1)
+    table.settle()
     return table, rows
 
 
@@ -134,23 +144,20 @@ def test_cleanup_pass_on_the_stored_table(spark, scratch, monkeypatch):
     assert metadata.get("last_cleanup") is None
     cutoff = 2 * DAY + 7_000_000
     now = cutoff + 24 * 3_600_000
-    assert retention.run_cleanup(table, metadata, now, 24) == now
+    done = retention.run_cleanup(table, metadata, now, 24)
     left = [r for r in rows if r[2] >= cutoff]
+    assert done == retention.CleanupResult(len(rows) - len(left), None)
     assert rows_of(table) == sorted(left)
     assert metadata.get("last_cleanup") == str(now)
     assert metadata.get("tls_domain") is None
 
-    # The size rule at test size: small floors, the same arithmetic.
+    # The size rule at test size: a small floor, the same arithmetic.
     monkeypatch.setattr(retention, "MIN_TARGET", 1)
-    monkeypatch.setattr(retention, "MIN_BATCH_ROWS", 10)
-    size = table.stored_bytes()
-    per_row = min(50, size // len(left))
-    cap = per_row * len(left) // 2
-    target = cap - cap // 5
-    batch = max(10, target // 10 // per_row)
-    n = -(-(len(left) - target // per_row) // batch) * batch
-    assert retention.run_cleanup(table, metadata, now + 1, 24, cap) == now + 1
     aged = [r for r in left if r[2] >= cutoff + 1]
+    cap = 25 * len(aged)
+    n = len(aged) - (cap - cap // 5) // 50
+    done = retention.run_cleanup(table, metadata, now + 1, 24, cap, 50)
+    assert done == retention.CleanupResult(len(left) - len(aged), n)
     assert rows_of(table) == sorted(oldest_first(aged)[n:])
     bounds = {(r[0], r[1]): (r[2], r[3]) for r in table.read_bounds().collect()}
     wanted = {}
@@ -158,16 +165,48 @@ def test_cleanup_pass_on_the_stored_table(spark, scratch, monkeypatch):
         low, high = wanted.get(r[:2], (r[2], r[2]))
         wanted[r[:2]] = min(low, r[2]), max(high, r[2])
     assert bounds == wanted
+    # Now it is at its target, and the next pass finds nothing to do.
+    assert retention.run_cleanup(table, metadata, now + 1, 24, cap, 50).deleted_by_size == 0
+
+
+def test_size_rule_uses_the_stored_size(spark, scratch, monkeypatch):
+    table, rows = stored(spark, scratch)
+    monkeypatch.setattr(retention, "MIN_TARGET", 1)
+    size = table.stored_bytes()
+    assert size > 0
+    assert retention.purge_by_size(table, 2 * size) == 0
+    n = retention.purge_by_size(table, size // 4)
+    assert 0 < n < len(rows)
+    assert rows_of(table) == sorted(oldest_first(rows)[n:])
+
+
+def test_only_the_boundary_period_is_rewritten(spark, scratch):
+    table, rows = stored(spark, scratch)
+    kept = table.periods()[-2:]
+    files = {str(day): table._files().children(f"{table.data}/dt={day}") for day in kept}
+    assert retention.purge_by_size(table, 130 * 50, 50) == len(rows) - 130
+    assert len(table.periods()) == 3
+    assert {str(day): table._files().children(f"{table.data}/dt={day}") for day in kept} == files
+
+
+def test_a_table_far_above_its_cap_is_refused_at_startup(spark, scratch):
+    table, rows = stored(spark, scratch, days=1)
+    metadata = MetadataTable(spark, f"{scratch}/metadata")
+    cap = table.stored_bytes() // 3
+    with pytest.raises(ValueError, match="twice"):
+        retention.run_cleanup(table, metadata, DAY, 0, cap, at_startup=True)
+    assert rows_of(table) == sorted(rows)
+    assert metadata.get("last_cleanup") is None
 
 
 def test_cutoff_may_fall_into_a_gap(spark, scratch):
     table, rows = stored(spark, scratch, days=2)
     metadata = MetadataTable(spark, f"{scratch}/metadata")
     table.append(trades(spark, [("Okex Linear", "x", 9 * DAY, 1.0, 1.0, True)]), 1, 2)
-    assert retention.run_cleanup(table, metadata, 5 * DAY + 3_600_000, 1) is not None
+    assert retention.run_cleanup(table, metadata, 5 * DAY + 3_600_000, 1).deleted_by_age == len(rows)
     assert [row[2] for row in rows_of(table)] == [9 * DAY]
     # A pass that deletes every row leaves an empty table that can be read.
-    assert retention.run_cleanup(table, metadata, 99 * DAY, 1) is not None
+    assert retention.run_cleanup(table, metadata, 99 * DAY, 1).deleted_by_age == 1
     assert rows_of(table) == []
 
 
@@ -183,7 +222,7 @@ def test_late_trades_after_a_pass_are_found(spark, scratch):
     bounds = {(r[0], r[1]): r[2] for r in table.read_bounds().collect()}
     wanted = {pair: min(r[2] for r in left if r[:2] == pair) for pair in {r[:2] for r in left}}
     assert bounds == wanted
-    for limit in (1, 5, 20, 100):
+    for limit in (1, 20, None):
         query = TradeQuery("binance", "x", "spot", from_ms=0, limit=limit)
         assert table.read_trades(query).collect() == read_trades(table.read(), query).collect()
 
@@ -196,22 +235,7 @@ def test_failed_size_rule_still_records_the_pass(spark, scratch, monkeypatch):
         raise OSError("no")
 
     monkeypatch.setattr(retention, "purge_by_size", broken)
-    assert retention.run_cleanup(table, metadata, DAY, 0, 1) == DAY
+    assert retention.run_cleanup(table, metadata, DAY, 0, 1) == retention.CleanupResult(0, None)
     monkeypatch.setattr(retention, "purge_by_age", broken)
-    assert retention.run_cleanup(table, metadata, 2 * DAY, 0) is None
+    assert retention.run_cleanup(table, metadata, 2 * DAY, 0).deleted_by_age is None
     assert metadata.get("last_cleanup") == str(DAY)
-
-
-def test_interrupted_swap_is_finished_or_undone(spark, scratch):
-    table, rows = stored(spark, scratch, days=2)
-    files, first, second = table._files(), *table.periods()
-    # A complete staged day whose old rows have moved away already.
-    staging = f"{table.root}/staging/data"
-    files.move(f"{table.data}/dt={first}", f"{staging}/dt={first}")
-    spark.range(1).write.parquet(f"{scratch}/written")
-    files.move(f"{scratch}/written/_SUCCESS", f"{staging}/dt={first}/_SUCCESS")
-    # A half-written one whose old rows are still there.
-    table.period(second).limit(5).drop("dt").write.parquet(f"{staging}/dt={second}/part")
-    table.recover()
-    assert rows_of(table) == sorted(rows)
-    assert files.children(staging) == []

@@ -8,11 +8,11 @@ import pytest
 
 import folds
 from tradelake.operators import access
-from tradelake.sources.files import Files
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health
+from tradelake.streaming.state import BatchState
 
-ACCESS = "seq bigint, server_id int, client int, at_ms bigint, kind string"
+ACCESS = "seq bigint, node_id int, client int, at_ms bigint, kind string"
 
 
 @pytest.fixture
@@ -42,39 +42,83 @@ def by_key(rows, key):
 
 def test_limiter_state_lasts_over_batches(spark, scratch, landed):
     stream, rows = landed
-    flagged = access_stream.rate_limit_stream(stream, 5, 3_000)
-    run = access_stream.run_to_files(flagged, f"{scratch}/out", f"{scratch}/offsets")
+    run = access_stream.start_rate_limit(stream, f"{scratch}/out", f"{scratch}/offsets", 5, 3_000)
     run.awaitTermination()
     assert len(run.recentProgress) >= 3
-    found = {r["seq"]: r["allowed"] for r in spark.read.parquet(f"{scratch}/out").collect()}
+    answers = access_stream.read_answers(spark, f"{scratch}/out", "seq bigint, allowed boolean")
+    found = {r["seq"]: r["allowed"] for r in answers.collect()}
+    assert len(found) == len(rows)
     for group in by_key(rows, 2).values():
         flags = folds.bucket([row[3] for row in group], 5, 3_000)
         assert [found[row[0]] for row in group] == flags
 
 
+def limited(spark, scratch, batches, capacity, window, **options):
+    """Flags of requests (seq, client, at_ms) that arrive in batches, with restarts."""
+    schema = "seq bigint, client int, at_ms bigint"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{scratch}/in")
+        access_stream.start_rate_limit(
+            stream, f"{scratch}/out", f"{scratch}/offsets", capacity, window, **options
+        ).awaitTermination()
+    answers = access_stream.read_answers(spark, f"{scratch}/out", "seq bigint, allowed boolean")
+    return {r["seq"]: r["allowed"] for r in answers.collect()}
+
+
+def test_a_late_request_finds_the_bucket_as_it_is(spark, scratch):
+    """Two tokens, one used at 100; a request of 95 that comes later takes the other."""
+    batches = [[(0, 1, 100)], [(1, 1, 95), (2, 1, 96)], [(3, 1, 149), (4, 1, 150)]]
+    found = limited(spark, scratch, batches, 2, 100)
+    assert found == {0: True, 1: True, 2: False, 3: False, 4: True}
+
+
+def test_silent_clients_are_forgotten(spark, scratch):
+    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)], [(3, 1, 5_001)]]
+    found = limited(spark, scratch, batches, 1, 100, idle_ms=1_000)
+    assert all(found.values())
+    state = BatchState(spark, f"{scratch}/out/state").read("client int, open bigint, last bigint")
+    assert sorted(r["client"] for r in state.collect()) == [1, 2]
+    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)]]
+    limited(spark, f"{scratch}/other", batches, 1, 100, idle_ms=1_000)
+    state = BatchState(spark, f"{scratch}/other/out/state").read("client int, open bigint, last bigint")
+    assert [r["client"] for r in state.collect()] == [2]
+
+
 def test_sample_state_lasts_over_batches(spark, scratch, landed):
     stream, rows = landed
-    sampled = access_stream.access_sample_stream(stream, 0, 5_000, 2)
-    access_stream.run_to_files(
-        sampled, f"{scratch}/out", f"{scratch}/offsets"
+    access_stream.start_access_sample(
+        stream, f"{scratch}/out", f"{scratch}/offsets", 0, 5_000, 2
     ).awaitTermination()
-    found = spark.read.parquet(f"{scratch}/out").collect()
+    found = access_stream.read_answers(
+        spark, f"{scratch}/out", "seq bigint, window_start_ms bigint, nth bigint"
+    ).collect()
     wanted = []
     for group in by_key(rows, 1).values():
         wanted += folds.sample([(row[3], row[0], row[4]) for row in group], 0, 5_000, 2)
     assert sorted((r["seq"], r["window_start_ms"], r["nth"]) for r in found) == sorted(wanted)
 
 
-def test_summary_reports_the_open_interval(spark, scratch, landed):
+def test_summary_counts_open_intervals_and_late_events(spark, scratch, landed):
     stream, rows = landed
     access_stream.start_summary(
-        stream, f"{scratch}/out", f"{scratch}/offsets", 0, 10_000
+        stream, f"{scratch}/out", f"{scratch}/offsets", 50_000, 10_000
     ).awaitTermination()
-    found = access_stream.read_summary(spark, f"{scratch}/out")
-    batch = access.access_summary(spark.createDataFrame(rows, ACCESS), 0, 10_000)
+    late = [(5_000 + i, 1, 1, i, "rate_limited") for i in range(-5, 20)]
+    spark.createDataFrame(late, ACCESS).write.mode("append").parquet(f"{scratch}/landing")
+    stream = spark.readStream.schema(ACCESS).parquet(f"{scratch}/landing")
+    access_stream.start_summary(
+        stream, f"{scratch}/out", f"{scratch}/offsets", 50_000, 10_000
+    ).awaitTermination()
+    found = access_stream.read_summary(spark, f"{scratch}/out", stream)
+    batch = access.access_summary(spark.createDataFrame(rows + late, ACCESS), 50_000, 10_000)
     assert sorted(map(tuple, found.select(*batch.columns).collect())) == sorted(
         map(tuple, batch.collect())
     )
+    assert batch.filter("interval_start_ms = -10000").count() == 1
+
+
+FEED = "seq bigint, exchange int, at_ms bigint, kind string, reason string"
 
 
 def test_feed_health_over_batches(spark, scratch):
@@ -84,23 +128,50 @@ def test_feed_health_over_batches(spark, scratch):
         (seq, 0 if rng.random() < 0.4 else rng.randrange(4), seq // 3, rng.choice(kinds), str(seq))
         for seq in range(600)
     ]
-    schema = "seq bigint, exchange int, at_ms bigint, kind string, reason string"
     for low in range(0, 600, 150):
-        part = spark.createDataFrame(rows[low : low + 150], schema)
+        part = spark.createDataFrame(rows[low : low + 150], FEED)
         part.coalesce(1).write.mode("append").parquet(f"{scratch}/landing")
     stream = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(FEED)
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{scratch}/landing")
     )
     health.start_feed_health(
         stream, f"{scratch}/health", f"{scratch}/offsets"
     ).awaitTermination()
-    assert sorted(Files(spark, scratch).children(f"{scratch}/health")) == ["batch=2", "batch=3"]
+    assert len(BatchState(spark, f"{scratch}/health")._names()) == 2
     found = {
         r["exchange"]: r.asDict()
-        for r in health.read_feed_health(spark, f"{scratch}/health").collect()
+        for r in health.read_feed_health(spark, f"{scratch}/health", stream).collect()
     }
     for key, group in by_key(rows, 1).items():
         wanted = folds.feed([(row[2], row[0], row[3], row[4]) for row in group])
         assert {name: found[key][name] for name in wanted} == wanted
+
+
+def test_feed_health_goes_on_with_a_new_checkpoint(spark, scratch):
+    for number, kind in enumerate(["connected", "data", "stopped"]):
+        path = f"{scratch}/landing{number // 2}"
+        spark.createDataFrame([(number, 1, number, kind, "why")], FEED).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(FEED).parquet(path)
+        health.start_feed_health(
+            stream, f"{scratch}/health", f"{scratch}/offsets{number // 2}"
+        ).awaitTermination()
+    row = health.read_feed_health(spark, f"{scratch}/health", stream).first()
+    assert (row["state"], row["connected_at"], row["last_error"]) == ("stopped", 0, "why")
+
+
+def test_states_are_kept_by_batch(spark, scratch):
+    state = BatchState(spark, f"{scratch}/state")
+    schema = "n bigint"
+    one = spark.createDataFrame([(1,)], schema)
+
+    def add(before):
+        return before.unionByName(one)
+
+    assert state.read(schema).count() == 0
+    for query, batch in [("q", 0), ("q", 1), ("q", 1), ("q", 2), ("r", 0), ("r", 0), ("q", 3)]:
+        state.fold(query, batch, schema, add)
+    assert state.read(schema).count() == 5
+    with pytest.raises(RuntimeError, match="missing"):
+        state.fold("new", 4, schema, add)

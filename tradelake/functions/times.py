@@ -11,11 +11,6 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
-def epoch_ms(timestamp: Column) -> Column:
-    """Milliseconds since the epoch; the session zone must be UTC."""
-    return F.unix_millis(timestamp.cast("timestamp"))
-
-
 def utc_day(ms: Column) -> Column:
     """UTC date of an epoch time, without using the session zone."""
     day = (ms - F.pmod(ms, F.lit(DAY_MS))) / F.lit(DAY_MS)

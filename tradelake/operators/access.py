@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.operators.admission import admit
+from tradelake.operators.admission import ROWS_PER_CHUNK, admit
 
 # Event kind and the counter it adds to.
 COUNTERS = {
@@ -25,8 +25,8 @@ def counters() -> list[Column]:
 
 
 def access_counts(events: DataFrame) -> DataFrame:
-    """Events of each kind per server since its start."""
-    return events.groupBy("server_id").agg(*counters())
+    """Events of each kind per node since its start."""
+    return events.groupBy("node_id").agg(*counters())
 
 
 def access_summary(
@@ -34,12 +34,12 @@ def access_summary(
 ) -> DataFrame:
     """Increase of each counter per interval; quiet intervals have no row.
 
-    Intervals count from the server's start, and the last, partial one is included.
+    Intervals count from the node's start, and the last, partial one is included;
+    events before the start lie in intervals before it.
     """
-    number = F.expr(f"(at_ms - {start_ms}L) div {interval_ms}L")
-    start = (F.lit(start_ms) + number * interval_ms).alias("interval_start_ms")
+    start = F.expr(f"at_ms - pmod(at_ms - {start_ms}L, {interval_ms}L)").alias("interval_start_ms")
     known = events.filter(F.col("kind").isin(list(COUNTERS)))
-    return known.groupBy("server_id", start).agg(*counters())
+    return known.groupBy("node_id", start).agg(*counters())
 
 
 def access_sample(
@@ -47,9 +47,9 @@ def access_sample(
     start_ms: int,
     window_ms: int = DETAIL_MS,
     limit: int = DETAIL_LIMIT,
-    rows_per_chunk: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """The first ``limit`` events of each kind in every detail window of a server.
+    """The first ``limit`` events of each kind in every detail window of a node.
 
     A window begins at the first event at least ``window_ms`` after the last
     window's beginning, so windows follow the events and not a grid. That is the
@@ -57,14 +57,14 @@ def access_sample(
     """
     windows = admit(
         events,
-        "server_id",
+        "node_id",
         capacity=1,
         window_ms=window_ms,
         first_open_ms=start_ms + window_ms,
         rows_per_chunk=rows_per_chunk,
     )
     # Spark keeps only `limit` rows of a group per task before it shuffles.
-    order = Window.partitionBy("server_id", "window_start_ms", "kind").orderBy("at_ms", "seq")
+    order = Window.partitionBy("node_id", "window_start_ms", "kind").orderBy("at_ms", "seq")
     numbered = windows.withColumn("nth", F.row_number().over(order))
     return numbered.filter(F.col("nth") <= limit).select(
         *events.columns, "window_start_ms", F.col("nth").cast("bigint").alias("nth")

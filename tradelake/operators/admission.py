@@ -9,11 +9,10 @@ time one token takes, but a bucket never holds more than ``capacity`` tokens:
 Times are scaled by the capacity, so ``step`` is the window length and all
 arithmetic is exact in integers.
 
-A client's log may be a third of all rows, so it is not walked in one task. The log
-is cut into order chunks. For a client that spans chunks, each chunk is turned into
-its effect, a short list saying which ``open`` leads to which; chaining the effects
-gives the ``open`` that each chunk begins with, and then all chunks are replayed at
-once.
+A client's log may be a third of all rows, so it is not walked in one task. The log of
+a client with many rows is cut into chunks of time. Each chunk is turned into its
+effect, a short list saying which ``open`` leads to which; chaining the effects gives
+the ``open`` that each chunk begins with, and then all chunks are replayed at once.
 """
 
 from __future__ import annotations
@@ -25,17 +24,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tradelake.operators.ordered import ROWS_PER_CHUNK, chunk_count, ordered_chunks
-from tradelake.session import materialize
+from tradelake.session import written
 
 FULL = -(1 << 62)
 EFFECT = "low array<bigint>, move array<bigint>, fixed array<boolean>"
-CHAIN_AT_ONCE = 1_000
+#: Rows of a key that one task walks, give or take a slice of its time.
+ROWS_PER_CHUNK = 1_000_000
+#: Slices of a key's time in which its rows are counted to place the cuts.
+SLICES = 65_536
 
 
 class Effect(NamedTuple):
@@ -123,7 +124,7 @@ class _Pieces:
             if len(self.pieces) == 1 and self.pieces[0][3]:
                 # What came before no longer matters.
                 low, high, value, _ = self.pieces[0]
-                _, value = replay(times[i:], value, self.step, self.capacity)
+                _, _, value = replay(times[i:], value, self.step, self.capacity)
                 self.pieces = [(low, high, value, True)]
                 break
             # Requests before the earliest possible ``open`` change nothing.
@@ -189,27 +190,30 @@ def _add(pieces: list, low: int, high: int, move: int, fixed: bool) -> None:
 
 
 def replay(times: list[int], value: int, step: int, capacity: int):
-    """Positions of the requests that pass, and ``open`` after the last one."""
-    burst, passed, i = (capacity - 1) * step, [], 0
+    """Positions of the requests that pass, ``open`` after each, and at the end."""
+    burst, passed, opens, i = (capacity - 1) * step, [], [], 0
     while i < len(times):
         if times[i] < value:
             i = bisect_left(times, value, i)
             continue
-        passed.append(i)
         value = max(value, times[i] - burst) + step
+        passed.append(i)
+        opens.append(value)
         i += 1
-    return passed, value
+    return passed, opens, value
 
 
-def _runs(batch: pa.RecordBatch, key: str) -> Iterator[tuple[object, int, int]]:
-    """Consecutive rows with the same key, nulls being a key like any other."""
+def _runs(batch: pa.RecordBatch, key: str) -> Iterator[tuple[tuple, int, int]]:
+    """Consecutive rows with the same key and chunk, nulls being a key like any other."""
     if batch.num_rows == 0:
         return
-    column = batch.column(key)
+    column, chunks = batch.column(key), batch.column("chunk")
     codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
-    starts = np.append(0, np.flatnonzero(np.diff(codes)) + 1)
+    new = (np.diff(codes) != 0) | (np.diff(chunks.to_numpy()) != 0)
+    starts = np.append(0, np.flatnonzero(new) + 1)
     for start, end in zip(starts, np.append(starts[1:], len(codes)), strict=True):
-        yield column[int(start)].as_py(), int(start), int(end)
+        here = (column[int(start)].as_py(), chunks[int(start)].as_py())
+        yield here, int(start), int(end)
 
 
 def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -230,9 +234,7 @@ def _effects(key: str, capacity: int, window_ms: int, first_open: int, schema: p
 
         for batch in batches:
             times = batch.column("at_ms").to_numpy() * capacity
-            chunks = batch.column("chunk")
-            for value, start, end in _runs(batch, key):
-                here = (value, chunks[start].as_py())
+            for here, start, end in _runs(batch, key):
                 if here != at:
                     if parts:
                         yield row()
@@ -300,77 +302,115 @@ def _replays(key: str, capacity: int, window_ms: int, first_open: int):
             times = batch.column("at_ms").to_numpy() * capacity
             given = batch.column("open")
             admitted = np.zeros(batch.num_rows, dtype=bool)
-            since = np.empty(batch.num_rows, dtype=np.int64)
-            for this, start, end in _runs(batch, key):
-                if this != current:
-                    current = this
+            after = np.full(batch.num_rows, FULL, dtype=np.int64)
+            for here, start, end in _runs(batch, key):
+                if here != current:
+                    current = here
                     opening = given[start].as_py()
                     value = first_open if opening is None else opening
-                run_times = times[start:end].tolist()
-                passed, after = replay(run_times, value, window_ms, capacity)
+                after[start] = value
+                passed, opens, value = replay(
+                    times[start:end].tolist(), value, window_ms, capacity
+                )
                 admitted[start:end][passed] = True
-                # With capacity 1, ``open`` is one window after the last admission.
-                since[start:end] = value - window_ms
-                for place in passed:
-                    since[start + place : end] = run_times[place]
-                value = after
-            names = batch.schema.names
-            kept = [batch.column(n) for n in names if n not in ("chunk", "open")]
+                after[start:end][passed] = opens
+                # ``open`` never falls, so the largest so far is the current one.
+                np.maximum.accumulate(after[start:end], out=after[start:end])
+            names = [n for n in batch.schema.names if n not in ("chunk", "open")]
+            kept = [batch.column(n) for n in names]
+            # With capacity 1, ``open`` is one window after the last admission.
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(admitted), pa.array(since)],
-                names=[n for n in names if n not in ("chunk", "open")]
-                + ["admitted", "window_start_ms"],
+                [*kept, pa.array(admitted), pa.array(after - window_ms), pa.array(after)],
+                names=[*names, "admitted", "window_start_ms", "open"],
             )
 
     return run
 
 
+def _chunk_bounds(log: DataFrame, key: str, rows_per_chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Keys with more rows than a chunk, and the chunk of each slice of their time.
+
+    Both are small: there are at most rows / ``rows_per_chunk`` such keys.
+    """
+    counts = log.groupBy(F.col(key).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("at_ms").alias("_low"), F.max("at_ms").alias("_high")
+    )
+    large = written(counts.filter(F.col("_n") > rows_per_chunk), "large-keys")
+    sliced = _sliced(log.select(key, "at_ms"), key, large).groupBy("_k", "_slice").count()
+    so_far = (
+        Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("count").over(so_far), F.lit(0))
+    chunk = F.floor(before / rows_per_chunk).cast("bigint").alias("_chunk")
+    return large, written(sliced.select("_k", "_slice", chunk), "chunk-bounds")
+
+
+def _sliced(log: DataFrame, key: str, large: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of large keys with the slice of the key's time that they lie in."""
+    width = f"((_high - _low) div {SLICES}L + 1L)"
+    return log.join(large, F.col(key).eqNullSafe(F.col("_k")), how).withColumn(
+        "_slice", F.expr(f"(at_ms - _low) div {width}")
+    )
+
+
 def admit(
     log: DataFrame,
     key: str,
     capacity: int,
     window_ms: int,
     first_open_ms: int | None = None,
-    rows_per_chunk: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    openings: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``admitted`` to requests ordered by (``at_ms``, ``seq``) per ``key``.
 
-    A key begins with a full bucket, or with ``first_open_ms`` when given. For
-    capacity 1, ``window_start_ms`` is the time of the last admitted request.
+    A key begins with a full bucket, or with ``first_open_ms`` when given, or with
+    its ``open`` in ``openings`` (``key``, ``open``). ``open`` is also added: the
+    bucket after the request. For capacity 1, ``window_start_ms`` is the time of the
+    last admitted request.
+
+    The cuts of large keys are stored, not the log: both passes read the log and give
+    a row the same chunk.
     """
-    order = [key, "at_ms", "seq"]
     first_open = FULL if first_open_ms is None else first_open_ms * capacity
-    chunks = chunk_count(log, rows_per_chunk or ROWS_PER_CHUNK)
-    # Both passes must see the same chunks, so they are written out.
-    chunked = materialize(
-        ordered_chunks(log, order, chunks).sortWithinPartitions(*order)
-    )
-
-    # A key in several chunks is first or last in each: two per chunk at most.
-    places = chunked.select(key, "chunk").distinct()
-    spanning = places.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    same_key = F.col("k").eqNullSafe(F.col(key))
-    split = chunked.select(key, "chunk", "at_ms").join(
-        F.broadcast(spanning.select(F.col(key).alias("k"))), same_key, "left_semi"
-    )
-    effects = split.mapInArrow(
+    schema = T.StructType([log.schema[key], T.StructField("open", T.LongType())])
+    if openings is None:
+        openings = log.sparkSession.createDataFrame([], schema)
+    known = openings.select(F.col(key).alias("_o"), F.col("open").alias("_opening"))
+    large, bounds = _chunk_bounds(log, key, rows_per_chunk)
+
+    def chunked(rows: DataFrame, how: str) -> DataFrame:
+        found = _sliced(rows, key, large, how).withColumnRenamed("_k", "_large")
+        same = F.col("_large").eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s"))
+        cuts = bounds.withColumnRenamed("_slice", "_s")
+        chunk = F.coalesce("_chunk", F.lit(0).cast("bigint")).alias("chunk")
+        return found.join(cuts, same, how).select(*rows.columns, chunk)
+
+    split = chunked(log.select(key, "at_ms"), "inner")
+    placed = split.repartition(key, "chunk").sortWithinPartitions(key, "chunk", "at_ms")
+    effects = placed.mapInArrow(
         *_stage(_effects, log, key, "chunk", EFFECT, capacity, window_ms, first_open)
     )
-    openings = _chunk_openings(effects, log, key, chunks, first_open).select(
-        F.col(key).alias("k"), F.col("chunk").alias("c"), "open"
+    begun = written(_chunk_openings(effects, log, key, known, first_open), "chunk-openings")
+    begun = begun.select(F.col(key).alias("_k"), F.col("chunk").alias("_c"), "open")
+    opened = (
+        chunked(log, "left")
+        .join(begun, F.col(key).eqNullSafe(F.col("_k")) & (F.col("chunk") == F.col("_c")), "left")
+        .join(known, F.col(key).eqNullSafe(F.col("_o")), "left")
+        .select(*log.columns, "chunk", F.coalesce("open", "_opening").alias("open"))
     )
-    opened = chunked.join(
-        F.broadcast(openings), same_key & (F.col("c") == F.col("chunk")), "left"
-    ).select(*chunked.columns, "open")
     result_schema = T.StructType(
         [
             *log.schema.fields,
             T.StructField("admitted", T.BooleanType()),
             T.StructField("window_start_ms", T.LongType()),
+            T.StructField("open", T.LongType()),
         ]
     )
-    return opened.mapInArrow(
-        _replays(key, capacity, window_ms, first_open), result_schema
+    return (
+        opened.repartition(key, "chunk")
+        .sortWithinPartitions(key, "chunk", "at_ms", "seq")
+        .mapInArrow(_replays(key, capacity, window_ms, first_open), result_schema)
     )
 
 
@@ -383,40 +423,43 @@ def _stage(make, log: DataFrame, key: str, place: str, rest: str, *arguments):
 
 
 def _chunk_openings(
-    effects: DataFrame, log: DataFrame, key: str, chunks: int, first_open: int
+    effects: DataFrame, log: DataFrame, key: str, known: DataFrame, first_open: int
 ) -> DataFrame:
-    """The ``open`` before every chunk of the keys that span chunks.
+    """The ``open`` before every chunk of the large keys.
 
-    A few chunks are chained in one go. Many are chained in blocks: first each block
-    is made one effect, then the blocks are chained, then the chunks in each block,
-    so no task sees more than the square root of a key's chunks.
+    Chained in blocks: first each block of chunks is made one effect, then a key's
+    blocks are chained, then the chunks in each block, so no task sees more than the
+    square root of a key's chunks.
     """
+    effects = written(effects, "chunk-effects")
+    size = math.isqrt(effects.agg(F.max("chunk")).first()[0] or 0) + 1
+    blocked = effects.withColumn("block", F.expr(f"chunk div {size}L"))
+    spread = blocked.repartition(key, "block").sortWithinPartitions(key, "chunk")
+    blocks = spread.mapInArrow(*_stage(_blocks, log, key, "block", EFFECT))
+    # A key's first block begins with what is known of it, and so do all that follow.
+    blocks = blocks.join(known, F.col(key).eqNullSafe(F.col("_o")), "left").select(
+        key, "block", *Effect._fields, F.col("_opening").alias("open")
+    )
+
     def chained(rows: DataFrame, place: str, *by: str) -> DataFrame:
         placed = rows.repartition(key, *by).sortWithinPartitions(key, place)
         return placed.mapInArrow(
             *_stage(_openings, log, key, place, "open bigint", place, first_open)
         )
 
-    if chunks <= CHAIN_AT_ONCE:
-        return chained(effects, "chunk")
-    size = math.isqrt(chunks)
-    blocked = materialize(effects.withColumn("block", F.expr(f"chunk div {size}L")))
-    spread = blocked.repartition(key, "block").sortWithinPartitions(key, "chunk")
-    blocks = spread.mapInArrow(*_stage(_blocks, log, key, "block", EFFECT))
-    before = chained(blocks, "block").select(
-        F.col(key).alias("k"), F.col("block").alias("b"), "open"
+    before = written(chained(blocks, "block"), "block-openings").select(
+        F.col(key).alias("_k"), F.col("block").alias("_b"), "open"
     )
-    same = F.col("k").eqNullSafe(F.col(key)) & (F.col("b") == F.col("block"))
-    # At most two rows per chunk, as for the chunks themselves.
-    known = blocked.join(F.broadcast(before), same).select(*blocked.columns, "open")
-    return chained(known, "chunk", "block")
+    same = F.col("_k").eqNullSafe(F.col(key)) & (F.col("_b") == F.col("block"))
+    opened = blocked.join(before, same).select(*blocked.columns, "open")
+    return chained(opened, "chunk", "block")
 
 
 def rate_limit_flags(
     requests: DataFrame,
     max_requests: int = 500,
     window_ms: int = 10_000,
-    rows_per_chunk: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``allowed`` to a request log by client; loopback clients always pass.
 
@@ -431,5 +474,5 @@ def rate_limit_flags(
         requests, "client", max_requests, window_ms, rows_per_chunk=rows_per_chunk
     )
     return checked.withColumn("allowed", local | F.col("admitted")).drop(
-        "admitted", "window_start_ms"
+        "admitted", "window_start_ms", "open"
     )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions.symbols import ascii_upper, shown_name, ticker_format
-from tradelake.operators.ordered import join_side, measured
+from tradelake.session import written
 from tradelake.sources.exchanges import exchanges
 
 PAIR = ["exchange", "symbol"]
@@ -102,23 +102,21 @@ def resolve_pairs(bases: DataFrame, whitelist: DataFrame, catalog: DataFrame) ->
     ticker or display symbol starts with the base. Tickers without trading
     information are never taken.
     """
-    assets = measured(bases.select(F.upper("base").alias("base")).distinct())
-    quotes = measured(wanted_quotes(whitelist))
-    named = quotes.keep(lambda rows: rows.filter("quote <> ''"))
+    assets = written(bases.select(F.upper("base").alias("base")).distinct(), "assets")
+    quotes = written(wanted_quotes(whitelist), "quotes")
+    named = quotes.filter("quote <> ''")
     names = _names(catalog)
 
     # Lists of exchanges are at most as long as the exchange dimension.
-    named_exchanges = named.rows.select("exchange").distinct()
-    open_exchanges = quotes.rows.filter("quote = ''").select("exchange")
+    named_exchanges = named.select("exchange").distinct()
+    open_exchanges = quotes.filter("quote = ''").select("exchange")
 
     parts = _taken_apart(names)
-    with_quote = join_side(
-        parts.filter("quote IS NOT NULL"), named, ["exchange", "quote"], "left_semi"
-    )
+    with_quote = parts.filter("quote IS NOT NULL").join(named, ["exchange", "quote"], "left_semi")
     alone = parts.filter("quote IS NULL").join(
         F.broadcast(named_exchanges), "exchange", "left_semi"
     )
-    fitting = join_side(with_quote.unionByName(alone), assets, ["base"], "left_semi")
+    fitting = with_quote.unionByName(alone).join(assets, "base", "left_semi")
     best = fitting.groupBy("exchange", "base", "quote").agg(
         F.min(F.struct((~F.col("exact")).alias("inexact"), "symbol")).alias("best")
     )
@@ -131,7 +129,7 @@ def resolve_pairs(bases: DataFrame, whitelist: DataFrame, catalog: DataFrame) ->
             F.expr("transform(sequence(0, length(name)), i -> left(upper(name), i))")
         ).alias("base"),
     )
-    wild = join_side(starts, assets, ["base"], "left_semi").select(*PAIR)
+    wild = starts.join(assets, "base", "left_semi").select(*PAIR)
     return templated.unionByName(wild).distinct()
 
 
@@ -148,17 +146,12 @@ def exchange_symbols(catalog: DataFrame) -> DataFrame:
     return listed.orderBy(*PAIR)
 
 
-def exchange_symbol_lists(catalog: DataFrame, max_symbols: int = 100_000) -> DataFrame:
-    """The nested answer: one sorted array per exchange.
+def exchange_symbol_lists(catalog: DataFrame) -> DataFrame:
+    """The nested answer: one sorted array per exchange, so one row for each.
 
-    An array lives in one row, so the largest list is checked first; beyond
-    ``max_symbols`` use :func:`exchange_symbols`, which has the same content.
+    :func:`exchange_symbols` has the same content in rows.
     """
     listed = exchange_symbols(catalog)
-    sizes = listed.groupBy("exchange").agg(F.sum("listed").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > max_symbols:
-        raise ValueError(f"{largest} symbols on one exchange: use exchange_symbols")
     repeated = F.flatten(F.collect_list(F.expr("array_repeat(symbol, int(listed))")))
     return listed.groupBy("exchange").agg(F.array_sort(repeated).alias("symbols"))
 

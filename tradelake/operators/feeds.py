@@ -3,7 +3,7 @@
 The state after an event depends on the event alone, so only two counters need to
 know the event before: reconnects and disconnects. Each stretch of the log is
 folded to one partial row per feed; partials of consecutive stretches merge into
-one, in any grouping. A batch run uses order chunks as stretches, a stream uses
+one, in any grouping. A batch run uses slices of time as stretches, a stream uses
 its micro-batches.
 """
 
@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.operators.ordered import chunk_count, ordered_chunks
+from tradelake.session import written
 
-ERROR_CHARS = 512
+#: Changes of a feed that one task folds, as far as they spread over its time.
+ROWS_PER_STRETCH = 1_000_000
 STATES = {
     "connected": "connected",
     "disconnected": "reconnecting",
@@ -27,6 +28,11 @@ COUNTERS = [
     "reconnect_count",
     "stream_restart_count",
 ]
+#: A partial, after the key columns.
+PARTIAL = (
+    "stretch bigint, first_kind string, state string, last_error string, "
+    "connected_at bigint, last_data_at bigint, " + ", ".join(f"{n} bigint" for n in COUNTERS)
+)
 
 
 def per_exchange(events: DataFrame) -> DataFrame:
@@ -69,27 +75,24 @@ def stretch_partials(changes: DataFrame, keys: list[str], stretch: str) -> DataF
         F.sum(_ones(kind == "restarting")).alias("stream_restart_count"),
     )
     last_kind = F.col("_last.kind")
-    reason = F.substring(F.col("_last.reason"), 1, ERROR_CHARS)
     return folded.select(
         *keys,
         F.col(stretch).cast("bigint").alias("stretch"),
         "first_kind",
         _state(last_kind).alias("state"),
-        F.when(last_kind != "connected", reason).alias("last_error"),
+        F.when(last_kind != "connected", F.col("_last.reason")).alias("last_error"),
         "connected_at",
         F.lit(None).cast("bigint").alias("last_data_at"),
         *COUNTERS,
     )
 
 
-def data_partials(events: DataFrame, keys: list[str], stretch: Column) -> DataFrame:
+def data_partials(known: DataFrame, keys: list[str]) -> DataFrame:
     """Partials of the market-data events, which only move ``last_data_at``."""
-    data = events.filter(~F.col("kind").isin(list(STATES)))
-    last = data.groupBy(*keys).agg(F.max("at_ms").alias("last_data_at"))
     text = F.lit(None).cast("string")
-    return last.select(
+    return known.filter("last_data_at IS NOT NULL").select(
         *keys,
-        stretch.cast("bigint").alias("stretch"),
+        F.lit(0).cast("bigint").alias("stretch"),
         text.alias("first_kind"),
         text.alias("state"),
         text.alias("last_error"),
@@ -99,14 +102,35 @@ def data_partials(events: DataFrame, keys: list[str], stretch: Column) -> DataFr
     )
 
 
-def feed_partials(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Partials of a whole log, one stretch per order chunk."""
-    changes = events.filter(F.col("kind").isin(list(STATES))).select(
-        *keys, "at_ms", "seq", "kind", "reason"
+def feed_partials(
+    events: DataFrame, keys: list[str], rows_per_stretch: int = ROWS_PER_STRETCH
+) -> DataFrame:
+    """Partials of a whole log in two scans and one shuffle of its changes.
+
+    The first scan finds each feed's last data, and the number and time span of its
+    changes; a feed with many has its time cut into equal stretches.
+    """
+    changing = F.col("kind").isin(list(STATES))
+    at = F.when(changing, F.col("at_ms"))
+    known = written(
+        events.groupBy(*keys).agg(
+            F.max(F.when(~changing, F.col("at_ms"))).alias("last_data_at"),
+            F.count(at).alias("_n"),
+            F.min(at).alias("_low"),
+            F.max(at).alias("_high"),
+        ),
+        "feeds",
     )
-    chunks = ordered_chunks(changes, [*keys, "at_ms", "seq"], chunk_count(changes))
-    folded = stretch_partials(chunks, keys, "chunk")
-    return folded.unionByName(data_partials(events, keys, F.lit(0)))
+    spans = known.select(*[F.col(key).alias(f"_{key}") for key in keys], "_n", "_low", "_high")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    # Twice as many stretches as the rows ask for, since no feed is quite even.
+    pieces = f"(_n * 2 div {rows_per_stretch}L + 1L)"
+    stretch = F.expr(f"(at_ms - _low) div ((_high - _low) div {pieces} + 1L)")
+    changes = events.filter(changing).select(*keys, "at_ms", "seq", "kind", "reason")
+    cut = changes.join(spans, same).select(*changes.columns, stretch.alias("stretch"))
+    return stretch_partials(cut, keys, "stretch").unionByName(data_partials(known, keys))
 
 
 def merge_partials(partials: DataFrame, keys: list[str]) -> DataFrame:

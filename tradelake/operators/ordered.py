@@ -9,17 +9,13 @@ few summaries, and so never sort or hold a whole key in one place.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.session import materialize
+from tradelake.session import written
 
 ROWS_PER_CHUNK = 1_000_000
-BROADCAST_ROWS = 100_000
-SALTS = 64
 
 
 def chunk_count(df: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
@@ -40,7 +36,7 @@ def running_total(df: DataFrame, order: list[str], value: str) -> DataFrame:
 
     Sums run inside chunks; the chunk offsets are one number per chunk.
     """
-    chunked = materialize(ordered_chunks(df, order, chunk_count(df)))
+    chunked = written(ordered_chunks(df, order, chunk_count(df)), "chunks")
     inside = (
         Window.partitionBy("chunk")
         .orderBy(*order)
@@ -51,11 +47,12 @@ def running_total(df: DataFrame, order: list[str], value: str) -> DataFrame:
     offsets = totals.select(
         "chunk", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_offset")
     )
+    offsets = written(offsets, "chunk-offsets")
     summed = chunked.withColumn(
         "_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))
     )
     return (
-        summed.join(F.broadcast(offsets), "chunk")
+        summed.join(offsets, "chunk")
         .withColumn("before", F.col("_inside") + F.col("_offset"))
         .drop("chunk", "_inside", "_offset")
     )
@@ -72,37 +69,3 @@ def repeat_rows(df: DataFrame, copies: Column, block: int = 4_096) -> DataFrame:
     return spread.withColumn("_copy", F.explode(F.expr("sequence(1L, _rest)"))).select(
         *df.columns
     )
-
-
-@dataclass(frozen=True)
-class Side:
-    """A join side that has been written out and counted."""
-
-    rows: DataFrame
-    small: bool
-
-    def keep(self, change: Callable[[DataFrame], DataFrame]) -> Side:
-        """The side after a change that cannot add rows."""
-        return Side(change(self.rows), self.small)
-
-
-def measured(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Side:
-    written = materialize(df)
-    return Side(written, written.count() <= broadcast_rows)
-
-
-def join_side(
-    big: DataFrame, side: Side, on: list[str], how: str = "inner", salts: int = SALTS
-) -> DataFrame:
-    """Equi-join a large, possibly skewed DataFrame to a measured side.
-
-    A small side is broadcast. For any other the join shuffles, with every key of
-    ``big`` spread over ``salts`` tasks.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join_side does not support {how!r}")
-    if side.small:
-        return big.join(F.broadcast(side.rows), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    copies = side.rows.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

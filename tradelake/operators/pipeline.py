@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.operators.feeds import ERROR_CHARS
-from tradelake.operators.ordered import Side, join_side, measured
+from tradelake.session import written
 
 STAGES = ["event_channel", "persist_channel", "data_buffer"]
 
@@ -38,11 +37,11 @@ def flush_outcome_events(outcomes: DataFrame) -> DataFrame:
         )
     )
     expanded = outcomes.select(
-        "seq", "server_id", "at_ms", "error", F.posexplode(steps).alias("step", "event")
+        "seq", "node_id", "at_ms", "error", F.posexplode(steps).alias("step", "event")
     )
     return expanded.select(
         (F.col("seq") * 2 + F.col("step")).alias("seq"),
-        "server_id",
+        "node_id",
         "at_ms",
         "event.kind",
         "event.n",
@@ -51,11 +50,11 @@ def flush_outcome_events(outcomes: DataFrame) -> DataFrame:
 
 
 def pipeline_health(events: DataFrame) -> DataFrame:
-    """Write health per server.
+    """Write health per node.
 
-    Written as aggregates instead of a walk through each server's log:
+    Written as aggregates instead of a walk through each node's log:
 
-    * once trades have been dropped, nothing makes a server healthy again;
+    * once trades have been dropped, nothing makes a node healthy again;
     * until then, the last event other than ``ok`` decides, together with whether
       an ``ok`` follows it while nothing is pending;
     * the last error is that of the last ``failed`` unless a later ``retry_ok``, or
@@ -63,7 +62,7 @@ def pipeline_health(events: DataFrame) -> DataFrame:
     """
     kind, n = F.col("kind"), F.col("n")
     place = F.struct("at_ms", "seq")
-    found = events.groupBy("server_id").agg(
+    found = events.groupBy("node_id").agg(
         F.max(F.when(kind.isin("ok", "retry_ok"), F.col("at_ms"))).alias("last_flush_at"),
         F.count_if(kind == "failed").alias("flush_failure_count"),
         F.coalesce(F.sum(F.when(kind == "dropped", n)), F.lit(0)).alias(
@@ -72,9 +71,7 @@ def pipeline_health(events: DataFrame) -> DataFrame:
         F.max_by("kind", place).alias("last_kind"),
         F.max_by(F.struct("kind", "n"), F.when(kind != "ok", place)).alias("told"),
         F.max_by(
-            F.struct(
-                "at_ms", "seq", "kind", "n", F.substring("error", 1, ERROR_CHARS).alias("error")
-            ),
+            F.struct("at_ms", "seq", "kind", "n", "error"),
             F.when(kind.isin("failed", "retry_ok"), place),
         ).alias("fault"),
         F.min(F.when((kind == "dropped") & (n > 0), place)).alias("first_drop"),
@@ -87,7 +84,7 @@ def pipeline_health(events: DataFrame) -> DataFrame:
         | ((pending == 0) & (F.col("last_kind") == "ok"))
     )
     summary = found.select(
-        "server_id",
+        "node_id",
         (~dropped & recovered).alias("persistence_healthy"),
         "last_flush_at",
         "flush_failure_count",
@@ -96,11 +93,11 @@ def pipeline_health(events: DataFrame) -> DataFrame:
         "fault",
         "first_drop",
     )
-    servers = measured(summary)
-    cleared = _cleared_faults(events, servers)
+    nodes = written(summary, "nodes")
+    cleared = _cleared_faults(events, nodes)
     standing = (F.col("fault.kind") == "failed") & F.col("_cleared").isNull()
-    return servers.rows.join(cleared, "server_id", "left").select(
-        "server_id",
+    return nodes.join(cleared, "node_id", "left").select(
+        "node_id",
         "persistence_healthy",
         "last_flush_at",
         F.when(standing, F.col("fault.error")).alias("last_flush_error"),
@@ -110,8 +107,8 @@ def pipeline_health(events: DataFrame) -> DataFrame:
     )
 
 
-def _cleared_faults(events: DataFrame, servers: Side) -> DataFrame:
-    """Servers whose last failure was cleared by a plain ``ok``.
+def _cleared_faults(events: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Nodes whose last failure was cleared by a plain ``ok``.
 
     Between the failure and the first loss of trades, an ``ok`` clears at once if
     nothing was pending, and otherwise after an empty drop has ended the wait.
@@ -119,20 +116,16 @@ def _cleared_faults(events: DataFrame, servers: Side) -> DataFrame:
     place = F.struct("at_ms", "seq")
     fault = F.struct("fault.at_ms", "fault.seq")
     no_drop = F.col("first_drop").isNull()
-    open_faults = servers.keep(
-        lambda rows: rows.filter(
-            (F.col("fault.kind") == "failed") & (no_drop | (fault < F.col("first_drop")))
-        ).select(
-            "server_id", fault.alias("_fault"), F.col("fault.n").alias("waiting"), "first_drop"
-        )
-    )
+    open_faults = nodes.filter(
+        (F.col("fault.kind") == "failed") & (no_drop | (fault < F.col("first_drop")))
+    ).select("node_id", fault.alias("_fault"), F.col("fault.n").alias("waiting"), "first_drop")
     candidates = events.filter(F.col("kind").isin("ok", "dropped")).select(
-        "server_id", "at_ms", "seq", "kind"
+        "node_id", "at_ms", "seq", "kind"
     )
-    after = join_side(candidates, open_faults, ["server_id"]).filter(
+    after = candidates.join(open_faults, "node_id").filter(
         (place > F.col("_fault")) & (no_drop | (place < F.col("first_drop")))
     )
-    ends = after.groupBy("server_id").agg(
+    ends = after.groupBy("node_id").agg(
         F.max("waiting").alias("waiting"),
         F.max(F.when(F.col("kind") == "ok", place)).alias("last_ok"),
         F.min(F.when(F.col("kind") == "dropped", place)).alias("wait_over"),
@@ -140,11 +133,11 @@ def _cleared_faults(events: DataFrame, servers: Side) -> DataFrame:
     clears = (F.col("waiting") == 0) & F.col("last_ok").isNotNull() | (
         F.col("last_ok") > F.col("wait_over")
     )
-    return ends.filter(clears).select("server_id", F.lit(True).alias("_cleared"))
+    return ends.filter(clears).select("node_id", F.lit(True).alias("_cleared"))
 
 
 def dropped_trades(events: DataFrame) -> DataFrame:
-    """Trades lost per server and stage; ``n`` is the trades an event carried."""
+    """Trades lost per node and stage; ``n`` is the trades an event carried."""
     lost = [
         F.coalesce(
             F.sum(F.when((F.col("kind") == "drop") & (F.col("stage") == stage), F.col("n"))),
@@ -152,20 +145,20 @@ def dropped_trades(events: DataFrame) -> DataFrame:
         ).alias(f"{stage}_dropped_trades")
         for stage in STAGES
     ]
-    return events.groupBy("server_id").agg(*lost)
+    return events.groupBy("node_id").agg(*lost)
 
 
 def saturation(events: DataFrame) -> DataFrame:
-    """Whether each stage of a server is saturated: its last event was a drop.
+    """Whether each stage of a node is saturated: its last event was a drop.
 
     The event channel has one latch per exchange and reports whether any is set;
     the other two stages have one latch each.
     """
     latch = F.when(F.col("stage") == "event_channel", F.col("exchange")).alias("latch")
-    last = events.groupBy("server_id", "stage", latch).agg(
+    last = events.groupBy("node_id", "stage", latch).agg(
         (F.max_by("kind", F.struct("at_ms", "seq")) == "drop").alias("set")
     )
-    return last.groupBy("server_id").agg(
+    return last.groupBy("node_id").agg(
         *[
             F.coalesce(
                 F.bool_or(F.when(F.col("stage") == stage, F.col("set"))), F.lit(False)
@@ -178,17 +171,17 @@ def saturation(events: DataFrame) -> DataFrame:
 def overall_status(
     pipeline: DataFrame, latches: DataFrame, feeds: DataFrame, database_ok: Column | bool = True
 ) -> DataFrame:
-    """Status per server from its write health, latches and feeds.
+    """Status per node from its write health, latches and feeds.
 
-    ``feeds`` is feed health keyed by (server_id, exchange). A server without any
+    ``feeds`` is feed health keyed by (node_id, exchange). A node without any
     feed counts as healthy unless something else is wrong.
     """
-    per_server = feeds.groupBy("server_id").agg(
+    per_node = feeds.groupBy("node_id").agg(
         F.bool_or(F.col("state").isin("reconnecting", "stopped")).alias("down"),
         F.bool_or(F.col("state") == "starting").alias("starting"),
     )
-    joined = pipeline.join(latches, "server_id", "full_outer").join(
-        per_server, "server_id", "full_outer"
+    joined = pipeline.join(latches, "node_id", "full_outer").join(
+        per_node, "node_id", "full_outer"
     )
     def known(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False))
@@ -208,4 +201,4 @@ def overall_status(
         .when(known(F.col("starting")), "starting")
         .otherwise("healthy")
     )
-    return joined.select("server_id", status.alias("status"))
+    return joined.select("node_id", status.alias("status"))

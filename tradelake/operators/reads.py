@@ -7,14 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.functions.limits import arrow_rows, json_rows
 from tradelake.functions.symbols import stored_symbol
-from tradelake.operators.cuts import time_cut
 from tradelake.schemas import ANSWER_COLUMNS, TRADE_COLUMNS
 from tradelake.sources.exchanges import exchange_filter
 
-NARROW_ABOVE = 100_000
-
 
 @dataclass(frozen=True)
 class TradeQuery:
@@ -59,34 +55,27 @@ def matching_trades(trades: DataFrame, query: TradeQuery) -> DataFrame:
     return found
 
 
-def _first_rows(found: DataFrame, query: TradeQuery, rows: int) -> DataFrame:
+def _in_order(found: DataFrame, query: TradeQuery) -> DataFrame:
     """Oldest first only when a lower bound is given; the rest breaks ties.
 
-    A top-N sends N rows of every task to one. That is fine for a small N; for a
-    large one the time of the last row is found first, and only rows up to it go.
+    Without a limit every row comes back, sorted over as many tasks as it takes. A
+    given limit is kept as it is; its rows go through one task.
     """
-    oldest_first = query.from_ms is not None
     order = [F.col(name) for name in ANSWER_COLUMNS]
-    if not oldest_first:
+    if query.from_ms is None:
         order = [column.desc() for column in order]
-    if rows > NARROW_ABOVE:
-        cut = time_cut(found, rows, newest=not oldest_first)
-        if cut is not None:
-            near = F.col("ts") <= cut.ts if oldest_first else F.col("ts") >= cut.ts
-            found = found.filter(near)
-    return found.orderBy(*order).limit(rows)
+    found = found.orderBy(*order)
+    return found if query.limit is None else found.limit(query.limit)
 
 
 def read_trades(trades: DataFrame, query: TradeQuery) -> DataFrame:
-    """The JSON read: at most 10,000 rows with their pair."""
-    found = matching_trades(trades, query).select(*TRADE_COLUMNS)
-    return _first_rows(found, query, json_rows(query.limit))
+    """The read of a pair: its rows with their pair."""
+    return _in_order(matching_trades(trades, query).select(*TRADE_COLUMNS), query)
 
 
-def export_trades(trades: DataFrame, query: TradeQuery, memory_mb: int = 0) -> DataFrame:
-    """The Arrow read: at most a million rows of four columns."""
-    found = matching_trades(trades, query).select(*ANSWER_COLUMNS)
-    return _first_rows(found, query, arrow_rows(query.limit, memory_mb))
+def export_trades(trades: DataFrame, query: TradeQuery) -> DataFrame:
+    """The same rows without their pair."""
+    return _in_order(matching_trades(trades, query).select(*ANSWER_COLUMNS), query)
 
 
 def batch_exchanges(trades: DataFrame, batch: str = "batch_id") -> DataFrame:

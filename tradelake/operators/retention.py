@@ -7,6 +7,7 @@ before a time goes, and some of the rows at that very time.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,6 @@ MIB = 1024 * 1024
 MAX_HEADROOM = 10 * 1024 * MIB
 MIN_TARGET = 100 * MIB
 MAX_BYTES_PER_ROW = 50
-MIN_BATCH_ROWS = 1_000
-MAX_BATCH_ROWS = 100_000
-MAX_ROUNDS = 200
 
 
 def retention_keep(trades: DataFrame, now_ms: int, hours: int) -> DataFrame:
@@ -45,8 +43,7 @@ def retention_deleted(trades: DataFrame, now_ms: int, hours: int) -> DataFrame:
 def with_purge_plan(sizes: DataFrame) -> DataFrame:
     """Size rule for rows with ``size_bytes``, ``row_count`` and ``cap_bytes``.
 
-    Deleting goes in rounds of ``batch_rows`` until at most ``max_rows`` are left,
-    200 rounds at most; the last round's outcome is not looked at again.
+    Above the target size, as many rows go as it takes to leave ``max_rows``.
     """
     steps = {
         "bytes_per_row": f"""CASE WHEN row_count = 0 THEN {MAX_BYTES_PER_ROW}L
@@ -54,23 +51,13 @@ def with_purge_plan(sizes: DataFrame) -> DataFrame:
         "target_bytes": f"""least(cap_bytes, greatest({MIN_TARGET}L,
             cap_bytes - least(cap_bytes div 5, {MAX_HEADROOM}L)))""",
         "max_rows": "target_bytes div bytes_per_row",
-        "batch_rows": f"""greatest({MIN_BATCH_ROWS}L,
-            least({MAX_BATCH_ROWS}L, target_bytes div 10 div bytes_per_row))""",
-        "rounds": """CASE WHEN size_bytes <= target_bytes OR row_count <= max_rows THEN 0L
-            ELSE (row_count - max_rows + batch_rows - 1) div batch_rows END""",
-        "to_delete": f"least(row_count, least(rounds, {MAX_ROUNDS}L) * batch_rows)",
-        "converged": f"rounds < {MAX_ROUNDS}",
+        "to_delete": """CASE WHEN size_bytes <= target_bytes THEN 0L
+            ELSE greatest(0L, row_count - max_rows) END""",
     }
     planned = sizes
     for name, text in steps.items():
         planned = planned.withColumn(name, F.expr(text))
-    return planned.drop("rounds")
-
-
-def rows_to_delete(row_count: int, max_rows: int, batch_rows: int) -> int:
-    """Rows that rounds of ``batch_rows`` delete to get down to ``max_rows``."""
-    rounds = -(-max(row_count - max_rows, 0) // batch_rows)
-    return min(row_count, min(rounds, MAX_ROUNDS) * batch_rows)
+    return planned
 
 
 def _tie_order(trades: DataFrame) -> list[str]:
@@ -128,44 +115,59 @@ def check_startup_size(size_bytes: int, cap_bytes: int) -> bool:
     return False
 
 
-def _delete_before(table: TradeTable, cut_ms: int, boundary_rows: DataFrame) -> None:
-    """Drop whole periods before a time; the period it lies in gets new rows."""
-    boundary = table.period_of(cut_ms)
-    for start in table.periods():
+def purge_by_age(table: TradeTable, now_ms: int, hours: int) -> int:
+    """Delete what is older than ``hours``; 0 deletes nothing. Returns the rows."""
+    if hours == 0:
+        return 0
+    table.settle()
+    cutoff = retention_cutoff(now_ms, hours)
+    boundary, deleted = table.period_of(cutoff), 0
+    for start, rows in _period_rows(table):
         if start < boundary:
             table.drop_period(start)
+            deleted += rows
         elif start == boundary:
-            table.replace_period(start, boundary_rows)
-            table.relog_period(start)
+            kept = table.period(start).filter(F.col("ts") >= cutoff)
+            left = kept.count()
+            if left < rows:
+                table.replace_period(start, kept)
+                deleted += rows - left
+    return deleted
 
 
-def purge_by_age(table: TradeTable, now_ms: int, hours: int) -> int:
-    cutoff = retention_cutoff(now_ms, hours)
-    deleted = 0 if hours == 0 else table.between(to_ms=cutoff - 1).count()
-    if deleted:
-        boundary = table.period(table.period_of(cutoff))
-        _delete_before(table, cutoff, boundary.filter(F.col("ts") >= cutoff))
-    return deleted
+def _period_rows(table: TradeTable) -> list[tuple]:
+    """Settled rows per period, oldest first, from the flush log."""
+    counts = table.read_flushes().groupBy("dt").agg(F.sum("trades"))
+    return sorted(tuple(row) for row in counts.collect())
+
 
+def purge_by_size(table: TradeTable, cap_bytes: int, bytes_per_row: int | None = None) -> int:
+    """Delete the oldest rows until the table is at its target size; returns the rows.
 
-def purge_by_size(table: TradeTable, cap_bytes: int) -> int:
-    trades = table.read()
-    rows = trades.count()
+    Counts per period say which periods go whole; only the one in which the cut lies
+    is read. ``bytes_per_row`` replaces what the stored files say.
+    """
+    table.settle()
+    periods = _period_rows(table)
+    rows = sum(n for _, n in periods)
+    size = table.stored_bytes() if bytes_per_row is None else rows * bytes_per_row
     sizes = table.spark.createDataFrame(
-        [(table.stored_bytes(), rows, cap_bytes)],
-        "size_bytes bigint, row_count bigint, cap_bytes bigint",
+        [(size, rows, cap_bytes)], "size_bytes bigint, row_count bigint, cap_bytes bigint"
     )
-    plan = with_purge_plan(sizes).first()
-    cut = time_cut(trades, plan["to_delete"], between=table.between)
-    if cut is not None:
-        start = table.period_of(cut.ts)
-        boundary = table.period(start)
-        older = trades.filter(F.col("dt") < F.lit(start)).count()
-        kept = purge_keep(boundary, plan["to_delete"] - older)
-        _delete_before(table, cut.ts, kept)
-    if not plan["converged"]:
-        log.warning("size purge stopped after %s rounds", MAX_ROUNDS)
-    return plan["to_delete"]
+    left = deleted = with_purge_plan(sizes).first()["to_delete"]
+    for start, n in periods:
+        if left >= n:
+            table.drop_period(start)
+        elif left > 0:
+            table.replace_period(start, purge_keep(table.period(start), left))
+        left = max(left - n, 0)
+    return deleted
+
+
+@dataclass(frozen=True)
+class CleanupResult:
+    deleted_by_age: int | None
+    deleted_by_size: int | None
 
 
 def run_cleanup(
@@ -174,24 +176,26 @@ def run_cleanup(
     now_ms: int,
     hours: int,
     cap_bytes: int | None = None,
-) -> int | None:
+    bytes_per_row: int | None = None,
+    at_startup: bool = False,
+) -> CleanupResult:
     """One pass: age, then size, then ``last_cleanup`` if the age rule worked.
 
-    Returns the recorded time, or None. A failing size rule does not stop it.
+    The first pass after a start refuses a table more than twice its cap. A rule that
+    fails has no count, and does not stop the other.
     """
-    table.recover()
-    aged = False
+    if at_startup and cap_bytes is not None:
+        check_startup_size(table.stored_bytes(), cap_bytes)
+    aged = sized = None
     try:
-        purge_by_age(table, now_ms, hours)
-        aged = True
+        aged = purge_by_age(table, now_ms, hours)
     except Exception:
         log.exception("age cleanup failed")
     if cap_bytes is not None:
         try:
-            purge_by_size(table, cap_bytes)
+            sized = purge_by_size(table, cap_bytes, bytes_per_row)
         except Exception:
             log.exception("size cleanup failed")
-    if not aged:
-        return None
-    metadata.set("last_cleanup", str(now_ms), now_ms)
-    return now_ms
+    if aged is not None:
+        metadata.set("last_cleanup", str(now_ms), now_ms)
+    return CleanupResult(aged, sized)

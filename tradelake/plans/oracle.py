@@ -7,7 +7,7 @@ with windows or recursion, and pair resolution enumerates assets x templates.
 from __future__ import annotations
 
 from tradelake.plans.registry import FROM_MS, HOURS, NOW_MS, SIX_HOURS, TO_MS, TWO_DAYS
-from tradelake.plans.tables import FIRST_MS
+from tradelake.plans.tables import BATCH_MS, BATCHES, FIRST_MS, LATE_EVERY
 from tradelake.sources.exchanges import EXCHANGES
 
 
@@ -114,47 +114,47 @@ PARTS = {
             CAST(epoch_us(ts) // 1000 AS VARCHAR) AS value, event_id FROM events),
         metadata AS (SELECT key, value FROM log QUALIFY row_number() OVER
             (PARTITION BY key ORDER BY event_id % 2 DESC, event_id DESC) = 1)""",
-    "feed_events": f"""feed_events AS (SELECT event_id AS seq, user_id % 10 AS server_id,
+    "feed_events": f"""feed_events AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         {_traded('user_id')} AS exchange, epoch_us(ts) // 1000 AS at_ms,
         CASE WHEN event_id % 97 = 0 THEN 'stopped' WHEN event_type = 'click' THEN 'connected'
             WHEN event_type = 'error' THEN 'disconnected' WHEN event_type = 'signup'
             THEN 'restarting' ELSE 'data' END AS kind,
         event_type || ':' || props AS reason FROM events)""",
-    "flush_events": """flush_events AS (SELECT event_id AS seq, user_id % 10 AS server_id,
+    "flush_events": """flush_events AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         epoch_us(ts) // 1000 AS at_ms, CASE WHEN event_id % 1999 = 7 THEN 'dropped'
             WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'signup' THEN 'retry_ok'
             ELSE 'ok' END AS kind,
         event_id % 50 AS n, event_type || ':' || props AS error FROM events)""",
-    "outcomes": """outcomes AS (SELECT event_id AS seq, user_id % 10 AS server_id,
+    "outcomes": """outcomes AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         epoch_us(ts) // 1000 AS at_ms, CASE WHEN event_id % 1999 = 7 THEN 'crash'
             WHEN event_id % 2503 = 11 THEN 'final_failure' WHEN event_type = 'error'
             THEN 'failure' WHEN event_type = 'signup' THEN 'retry_success'
             ELSE 'success' END AS outcome,
         event_id % 50 AS n, event_type || ':' || props AS error FROM events)""",
     "outcome_events": """outcome_events AS (
-        SELECT seq * 2 AS seq, server_id, at_ms, CASE outcome WHEN 'success' THEN 'ok'
+        SELECT seq * 2 AS seq, node_id, at_ms, CASE outcome WHEN 'success' THEN 'ok'
             WHEN 'retry_success' THEN 'retry_ok' ELSE 'failed' END AS kind,
             CASE WHEN outcome IN ('failure', 'final_failure') THEN n ELSE 0 END AS n, error
         FROM outcomes
-        UNION ALL SELECT seq * 2 + 1, server_id, at_ms, 'dropped', n, error FROM outcomes
+        UNION ALL SELECT seq * 2 + 1, node_id, at_ms, 'dropped', n, error FROM outcomes
         WHERE outcome IN ('crash', 'final_failure'))""",
-    "drop_events": f"""drop_events AS (SELECT event_id AS seq, user_id % 10 AS server_id,
+    "drop_events": f"""drop_events AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         epoch_us(ts) // 1000 AS at_ms, CASE event_id % 3 WHEN 0 THEN 'event_channel'
             WHEN 1 THEN 'persist_channel' ELSE 'data_buffer' END AS stage,
         {_traded('user_id')} AS exchange,
         CASE WHEN event_type IN ('click', 'error') THEN 'drop' ELSE 'recovered' END AS kind,
         event_id % 50 AS n FROM events)""",
-    "access_events": """access_events AS (SELECT event_id AS seq, user_id % 10 AS server_id,
+    "access_events": """access_events AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         user_id AS client, epoch_us(ts) // 1000 AS at_ms, CASE event_type
             WHEN 'click' THEN 'auth_failure' WHEN 'error' THEN 'admission_blocked'
             WHEN 'purchase' THEN 'rate_limited' WHEN 'signup' THEN 'connection_rejected'
             ELSE 'accept_timeout' END AS kind FROM events)""",
-    "saturation": """latches AS (SELECT server_id, stage,
+    "saturation": """latches AS (SELECT node_id, stage,
             CASE WHEN stage = 'event_channel' THEN exchange END AS latch,
             arg_max(kind, seq) = 'drop' AS closed
             FROM (SELECT * REPLACE (row_number() OVER (ORDER BY at_ms, seq) AS seq)
                 FROM drop_events) GROUP BY ALL),
-        saturation AS (SELECT server_id,
+        saturation AS (SELECT node_id,
             coalesce(bool_or(closed) FILTER (WHERE stage = 'event_channel'), false)
                 AS event_channel_saturated,
             coalesce(bool_or(closed) FILTER (WHERE stage = 'persist_channel'), false)
@@ -164,9 +164,22 @@ PARTS = {
 }
 
 
-def _feeds(name: str, keys: str) -> str:
+#: The batch in which an event arrives.
+_BATCH = f"""least({BATCHES - 1}, greatest(0, (at_ms - {FIRST_MS}) // {BATCH_MS})
+    + CASE WHEN seq % {LATE_EVERY} = 0 THEN 1 ELSE 0 END)"""
+
+
+def _arrived(source: str, key: str) -> str:
+    """Events in order of arrival; ``at`` never falls back behind an earlier batch."""
+    return f"""batched AS (SELECT *, {_BATCH} AS batch FROM {source}),
+        arrived AS (SELECT *, greatest(at_ms, coalesce(max(at_ms) OVER (PARTITION BY {key}
+            ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), at_ms)) AS at
+            FROM batched)"""
+
+
+def _feeds(name: str, keys: str, order: str = "at_ms, seq") -> str:
     """Feed health by walking each feed's log with windows."""
-    return f"""numbered AS (SELECT *, row_number() OVER (ORDER BY at_ms, seq) AS place,
+    return f"""numbered AS (SELECT *, row_number() OVER (ORDER BY {order}) AS place,
             CASE kind WHEN 'connected' THEN 'connected' WHEN 'stopped' THEN 'stopped'
                 WHEN 'data' THEN NULL ELSE 'reconnecting' END AS after FROM feed_events),
         walked AS (SELECT *, coalesce(lag(after) OVER (PARTITION BY {keys} ORDER BY place),
@@ -177,7 +190,7 @@ def _feeds(name: str, keys: str) -> str:
                 AS state,
             max(at_ms) FILTER (WHERE kind = 'connected') AS connected_at,
             max(at_ms) FILTER (WHERE kind = 'data') AS last_data_at,
-            (arg_max({{'e': CASE WHEN kind <> 'connected' THEN left(reason, 512) END}}, place)
+            (arg_max({{'e': CASE WHEN kind <> 'connected' THEN reason END}}, place)
                 FILTER (WHERE kind <> 'data')).e AS last_error,
             count(*) FILTER (WHERE kind = 'disconnected' AND before = 'connected')
                 AS disconnect_count,
@@ -190,14 +203,14 @@ def _feeds(name: str, keys: str) -> str:
 
 
 def _flushes(source: str) -> str:
-    """Write health by walking each server's log with windows."""
+    """Write health by walking each node's log with windows."""
     return f"""ranked AS (SELECT *, row_number() OVER (ORDER BY at_ms, seq) AS place
             FROM {source}),
         walk AS (SELECT *,
             coalesce(last_value(CASE kind WHEN 'failed' THEN n WHEN 'ok' THEN NULL ELSE 0 END
                 IGNORE NULLS) OVER before, 0) AS waiting,
             coalesce(sum(CASE kind WHEN 'dropped' THEN n ELSE 0 END) OVER before, 0) AS lost
-            FROM ranked WINDOW before AS (PARTITION BY server_id ORDER BY place
+            FROM ranked WINDOW before AS (PARTITION BY node_id ORDER BY place
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         told AS (SELECT *,
             CASE WHEN kind IN ('failed', 'dropped') THEN false
@@ -205,17 +218,17 @@ def _flushes(source: str) -> str:
                 WHEN kind = 'ok' AND waiting = 0 AND lost = 0 THEN true END AS healthy,
             kind IN ('failed', 'retry_ok') OR (kind = 'ok' AND waiting = 0 AND lost = 0)
                 AS tells_error FROM walk),
-        flush_health AS (SELECT server_id,
+        flush_health AS (SELECT node_id,
             coalesce(arg_max(healthy, place) FILTER (WHERE healthy IS NOT NULL), true)
                 AS persistence_healthy,
             max(at_ms) FILTER (WHERE kind IN ('ok', 'retry_ok')) AS last_flush_at,
-            (arg_max({{'e': CASE WHEN kind = 'failed' THEN left(error, 512) END}}, place)
+            (arg_max({{'e': CASE WHEN kind = 'failed' THEN error END}}, place)
                 FILTER (WHERE tells_error)).e AS last_flush_error,
             count(*) FILTER (WHERE kind = 'failed') AS flush_failure_count,
             CAST(coalesce(arg_max(CASE kind WHEN 'failed' THEN n ELSE 0 END, place)
                 FILTER (WHERE kind <> 'ok'), 0) AS BIGINT) AS flush_retry_pending_trades,
             CAST(coalesce(sum(n) FILTER (WHERE kind = 'dropped'), 0) AS BIGINT)
-                AS flush_dropped_trades FROM told GROUP BY server_id)"""
+                AS flush_dropped_trades FROM told GROUP BY node_id)"""
 
 
 _COUNTERS = """count(*) FILTER (WHERE kind = 'auth_failure') AS auth_failures,
@@ -234,30 +247,35 @@ _FEED_ANSWER = f"""commits AS (SELECT {_traded('user_id')} AS exchange,
         coalesce(stream_restart_count, 0) AS stream_restart_count, last_persist_at
     FROM exchanges LEFT JOIN feeds USING (exchange) LEFT JOIN commits USING (exchange)"""
 
-_SIZE_RULE = "least(n, least(ceil((n - n * 3 // 5) / 1000), 200) * 1000)"
+_SIZE_RULE = "(n - n * 3 // 5)"
 _CUTOFF = NOW_MS - HOURS * 3_600_000
 _OLDEST_FIRST = "ORDER BY ts, exchange, symbol, price, qty, is_sell"
 
-_SAMPLE = f"""starts AS (SELECT DISTINCT server_id, CAST({FIRST_MS} AS BIGINT) AS began
-            FROM access_events
-        UNION ALL SELECT server_id, began FROM (SELECT s.server_id, min(e.at_ms) AS began
-            FROM starts s JOIN access_events e ON e.server_id = s.server_id
-                AND e.at_ms >= s.began + {SIX_HOURS} GROUP BY s.server_id)),
-    windows AS (SELECT e.*, s.began AS window_start_ms FROM access_events e
-        ASOF JOIN starts s ON e.server_id = s.server_id AND e.at_ms >= s.began)
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY server_id, window_start_ms, kind
-        ORDER BY at_ms, seq) AS nth FROM windows) WHERE nth <= 3"""
-
-_LIMITER = f"""numbered AS (SELECT seq, client, at_ms, row_number() OVER
-            (PARTITION BY client ORDER BY at_ms, seq) AS nth FROM access_events),
-    walk AS (SELECT seq, client, at_ms, nth, CAST(2 AS DOUBLE) AS tokens, true AS allowed
+
+
+def _sample(source: str, at: str, order: str) -> str:
+    return f"""starts AS (SELECT DISTINCT node_id, CAST({FIRST_MS} AS BIGINT) AS began
+            FROM {source}
+        UNION ALL SELECT node_id, began FROM (SELECT s.node_id, min(e.{at}) AS began
+            FROM starts s JOIN {source} e ON e.node_id = s.node_id
+                AND e.{at} >= s.began + {SIX_HOURS} GROUP BY s.node_id)),
+    windows AS (SELECT e.*, s.began AS window_start_ms FROM {source} e
+        ASOF JOIN starts s ON e.node_id = s.node_id AND e.{at} >= s.began)
+    SELECT seq, node_id, client, at_ms, kind, window_start_ms, nth FROM (SELECT *,
+        row_number() OVER (PARTITION BY node_id, window_start_ms, kind ORDER BY {order}) AS nth
+        FROM windows) WHERE nth <= 3"""
+
+
+def _limiter(source: str, at: str, order: str) -> str:
+    return f"""numbered AS (SELECT seq, client, at_ms, {at} AS t, row_number() OVER
+            (PARTITION BY client ORDER BY {order}) AS nth FROM {source}),
+    walk AS (SELECT seq, client, at_ms, t, nth, CAST(2 AS DOUBLE) AS tokens, true AS allowed
             FROM numbered WHERE nth = 1
-        UNION ALL SELECT seq, client, at_ms, nth,
+        UNION ALL SELECT seq, client, at_ms, t, nth,
             CASE WHEN filled >= 1 THEN filled - 1 ELSE filled END, filled >= 1
-            FROM (SELECT n.*, least(CAST(3 AS DOUBLE), w.tokens + CAST(n.at_ms - w.at_ms
+            FROM (SELECT n.*, least(CAST(3 AS DOUBLE), w.tokens + CAST(n.t - w.t
                 AS DOUBLE) * (CAST(3 AS DOUBLE) / {TWO_DAYS})) AS filled FROM walk w
-                JOIN numbered n ON n.client = w.client AND n.nth = w.nth + 1))
-    SELECT seq, client, at_ms, allowed FROM walk"""
+                JOIN numbered n ON n.client = w.client AND n.nth = w.nth + 1))"""
 
 
 def _with(parts: str, body: str, recursive: bool = False) -> str:
@@ -269,11 +287,13 @@ def _trades(body: str) -> str:
     return _with("raw trades", body)
 
 
-def _read(exchange: str, symbol: str, bounds: str, order: str, limit: int, what: str = "*"):
+def _read(
+    exchange: str, symbol: str, bounds: str, order: str, limit: int | None = None, what: str = "*"
+):
     by = ", ".join(f"{name} {order}" for name in ("ts", "price", "qty", "is_sell"))
     return _trades(
         f"""SELECT {what} FROM trades WHERE exchange = '{exchange}' AND symbol = '{symbol}'
-        {bounds} ORDER BY {by} LIMIT {limit}"""
+        {bounds} ORDER BY {by} {'' if limit is None else f'LIMIT {limit}'}"""
     )
 
 
@@ -286,12 +306,17 @@ def oracle_sql() -> dict[str, str]:
     feeds = f"{PARTS['exchanges']}, {PARTS['feed_events']}, {_feeds('feeds', 'exchange')}"
     feed_answer = f"WITH {feeds}, {_FEED_ANSWER}"
     summary = _access(
-        f"""SELECT server_id, CAST({FIRST_MS} + (at_ms - {FIRST_MS}) // {SIX_HOURS}
+        f"""SELECT node_id, CAST({FIRST_MS} + (at_ms - {FIRST_MS}) // {SIX_HOURS}
         * {SIX_HOURS} AS BIGINT) AS interval_start_ms, {_COUNTERS}
         FROM access_events GROUP BY ALL"""
     )
-    sample = f"WITH RECURSIVE {PARTS['access_events']}, {_SAMPLE}"
-    limiter = f"WITH RECURSIVE {PARTS['access_events']}, {_LIMITER}"
+    recursive = f"WITH RECURSIVE {PARTS['access_events']}, "
+    in_time, in_turn = "at_ms, seq", "batch, at, seq"
+    sample = recursive + _sample("access_events", "at_ms", in_time)
+    limiter = recursive + _limiter("access_events", "at_ms", in_time)
+    late_feeds = f"""WITH {PARTS['exchanges']}, {PARTS['feed_events']},
+        {_feeds('feeds', 'exchange', f'{_BATCH}, at_ms, seq')}, {_FEED_ANSWER}"""
+    flags = "SELECT seq, client, at_ms, allowed FROM walk"
     health = _flushes("flush_events")
     between = f"AND ts >= {FROM_MS} AND ts <= {TO_MS}"
     shown = "upper(coalesce(display_symbol, symbol))"
@@ -300,19 +325,37 @@ def oracle_sql() -> dict[str, str]:
         "normalize_trades": _trades("SELECT * FROM trades"),
         "route_trades": _with("raw routed", "SELECT * FROM routed"),
         "ingest_trades": _with("raw routed", "SELECT * FROM routed"),
+        "ingest_merged": _with("raw routed", "SELECT * FROM routed"),
+        "ingest_dead_letters": _with(
+            "raw",
+            """SELECT unparsed, CAST(sum(stored) AS BIGINT) AS trades, count(*) AS n FROM (
+            SELECT CASE WHEN seq % 29 = 0 THEN left('{"seq":' || seq || ',"at_ms":' || ts || ',', 20)
+                ELSE '{"seq":' || seq || '}' END AS unparsed, 0 AS stored FROM raw
+                WHERE seq % 29 = 0 OR seq % 31 = 0
+            UNION ALL SELECT NULL, 1 FROM (SELECT unnest(generate_series(0, seq % 3)) FROM raw
+                WHERE seq % 17 NOT IN (0, 1, 2) AND seq % 29 <> 0 AND seq % 31 <> 0))
+            GROUP BY ALL""",
+        ),
+        "ingest_rejects": _trades(
+            """SELECT exchange, symbol, ts, CAST(NULL AS DOUBLE) AS price, qty, is_sell,
+            'batch' AS source, CAST(0 AS BIGINT) AS batch_id FROM trades WHERE qty = 7"""
+        ),
         "batch_exchanges": _trades(
             "SELECT DISTINCT ts // 604800000 AS batch_id, exchange FROM trades"
         ),
-        "trades_range_asc": _read("Binance Spot", "btcusdt", between, "ASC", 1_000),
-        "trades_latest_desc": _read("Binance Spot", "btcusdt", "", "DESC", 10_000),
+        "trades_range_asc": _read("Binance Spot", "btcusdt", between, "ASC"),
+        "trades_latest_desc": _read("Binance Spot", "btcusdt", "", "DESC", 25_000),
         "trades_to_only": _read(
             "Bybit Linear", "ethusdt", f"AND ts <= {TO_MS}", "DESC", 100
         ),
-        "trades_unsupported_pair": _read("hyperliquid/inverse", "btcusdt", "", "DESC", 1_000),
+        "trades_unsupported_pair": _read("hyperliquid/inverse", "btcusdt", "", "DESC"),
         "trades_export": _read(
-            "Okex Linear", "xrpusdt", f"AND ts >= {FROM_MS}", "ASC", 50_000, answer
+            "Okex Linear", "xrpusdt", f"AND ts >= {FROM_MS}", "ASC", None, answer
         ),
         "trades_export_files": _trades(f"SELECT {answer} FROM trades"),
+        "trades_arrow_streams": _read("Binance Spot", "btcusdt", "", "DESC", None, answer),
+        "trades_export_stats": """SELECT count(*) AS rows_written, count(*) AS rows_read,
+            count(*) AS rows_streamed, count(*) > 0 AS any_batches FROM lineitem""",
         "trades_stored_latest": _read("Bybit Spot", "solusdt", "", "DESC", 50),
         "trades_json": _trades("SELECT * FROM trades"),
         "venue_market_exchange": _with(
@@ -335,6 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "pair_bounds_by_day": _with("raw trades bounds", "SELECT * FROM bounds"),
         "oldest_trades": _trades(f"SELECT * FROM trades {_OLDEST_FIRST} LIMIT 5000"),
         "pairs": _with("raw trades bounds pairs", "SELECT * FROM pairs"),
+        "pairs_stored": _with("raw trades bounds pairs", "SELECT * FROM pairs"),
         "pairs_json": _with(
             "raw trades bounds pairs",
             """SELECT pos, '{"ticker":"' || replace(exchange, ' ', '') || ':' || symbol
@@ -366,6 +410,11 @@ def oracle_sql() -> dict[str, str]:
                 JOIN exchanges x ON x.venue = lower(w.venue) AND x.market = lower(w.market))
             GROUP BY ALL""",
         ),
+        "discovery_exchanges": _with(
+            "exchanges whitelist",
+            """SELECT venue, string_agg(exchange, ',' ORDER BY exchange) AS exchanges
+            FROM exchanges WHERE venue IN (SELECT lower(venue) FROM whitelist) GROUP BY ALL""",
+        ),
         "resolve_pairs": _with(resolve, "SELECT * FROM resolved"),
         "exchange_symbols": _with(
             "exchanges catalog",
@@ -394,17 +443,9 @@ def oracle_sql() -> dict[str, str]:
         "retention_deleted": _trades(
             f"SELECT count(*) AS deleted FROM trades WHERE ts < {_CUTOFF}"
         ),
-        "purge_plan": """SELECT o_orderkey, size_bytes, row_count, cap_bytes, bytes_per_row,
-                target_bytes, max_rows, batch_rows,
-                CAST(CASE WHEN size_bytes <= target_bytes OR row_count <= max_rows THEN 0
-                    ELSE least(row_count, least(rounds, 200) * batch_rows) END AS BIGINT)
-                    AS to_delete,
-                size_bytes <= target_bytes OR row_count <= max_rows OR rounds < 200
-                    AS converged
-            FROM (SELECT *, (row_count - max_rows + batch_rows - 1) // batch_rows AS rounds
-            FROM (SELECT *, target_bytes // bytes_per_row AS max_rows,
-                least(100000, greatest(1000, target_bytes // 10 // bytes_per_row))
-                    AS batch_rows
+        "purge_plan": """SELECT *, CAST(CASE WHEN size_bytes <= target_bytes THEN 0
+                ELSE greatest(0, row_count - max_rows) END AS BIGINT) AS to_delete
+            FROM (SELECT *, target_bytes // bytes_per_row AS max_rows
             FROM (SELECT *, CASE WHEN row_count = 0 THEN 50
                     ELSE least(50, greatest(1, size_bytes // row_count)) END AS bytes_per_row,
                 least(cap_bytes, greatest(104857600, cap_bytes
@@ -412,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * 4000 AS size_bytes,
                 (o_custkey * 7919) % 60000 * (1 + o_orderkey % 1000) AS row_count,
                 CASE WHEN o_orderkey % 50 = 0 THEN CAST(64424509440 AS BIGINT)
-                    ELSE (1 + o_orderkey % 100) * 7340032 END AS cap_bytes FROM orders))))""",
+                    ELSE (1 + o_orderkey % 100) * 7340032 END AS cap_bytes FROM orders)))""",
         "purge_keep": _trades(
             f"""SELECT exchange, symbol, ts, price, qty, is_sell FROM (SELECT *,
                 row_number() OVER ({_OLDEST_FIRST}) AS nth, count(*) OVER () AS n
@@ -427,8 +468,13 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER ({_OLDEST_FIRST}) AS nth,
                 count(*) OVER () AS n FROM trades WHERE ts >= {_CUTOFF})"""
         ),
+        "cleanup_kept": _trades(
+            f"""SELECT exchange, symbol, ts, price, qty, is_sell FROM (SELECT *,
+                row_number() OVER ({_OLDEST_FIRST}) AS nth, count(*) OVER () AS n
+                FROM trades WHERE ts >= {_CUTOFF}) WHERE nth > {_SIZE_RULE}"""
+        ),
         "feed_health": feed_answer,
-        "feed_health_stream": feed_answer,
+        "feed_health_stream": late_feeds,
         "flush_outcomes": _with("outcomes outcome_events", "SELECT * FROM outcome_events"),
         "pipeline_health": f"WITH {PARTS['flush_events']}, {health} SELECT * FROM flush_health",
         "pipeline_health_of_outcomes": f"""WITH {PARTS['outcomes']},
@@ -436,7 +482,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM flush_health""",
         "dropped_trades": _with(
             "drop_events",
-            """SELECT server_id,
+            """SELECT node_id,
             CAST(coalesce(sum(n) FILTER (WHERE kind = 'drop' AND stage = 'event_channel'), 0)
                 AS BIGINT) AS event_channel_dropped_trades,
             CAST(coalesce(sum(n) FILTER (WHERE kind = 'drop' AND stage = 'persist_channel'), 0)
@@ -447,23 +493,32 @@ def oracle_sql() -> dict[str, str]:
         "saturation": _with("drop_events saturation", "SELECT * FROM saturation"),
         "overall_status": f"""WITH {PARTS['flush_events']}, {health},
             {PARTS['drop_events']}, {PARTS['saturation']}, {PARTS['feed_events']},
-            {_feeds('feeds', 'server_id, exchange')},
-            states AS (SELECT server_id, bool_or(state IN ('reconnecting', 'stopped')) AS down,
+            {_feeds('feeds', 'node_id, exchange')},
+            states AS (SELECT node_id, bool_or(state IN ('reconnecting', 'stopped')) AS down,
                 bool_or(state = 'starting') AS starting FROM feeds GROUP BY ALL)
-            SELECT server_id, CASE WHEN server_id = 3 OR NOT persistence_healthy
+            SELECT node_id, CASE WHEN node_id = 3 OR NOT persistence_healthy
                 OR flush_retry_pending_trades > 0 OR flush_dropped_trades > 0
                 OR event_channel_saturated OR persist_channel_saturated
                 OR data_buffer_saturated OR down THEN 'degraded'
                 WHEN starting THEN 'starting' ELSE 'healthy' END AS status
-            FROM flush_health FULL JOIN saturation USING (server_id)
-                FULL JOIN states USING (server_id)""",
+            FROM flush_health FULL JOIN saturation USING (node_id)
+                FULL JOIN states USING (node_id)""",
         "access_counts": _access(
-            f"SELECT server_id, {_COUNTERS} FROM access_events GROUP BY ALL"
+            f"SELECT node_id, {_COUNTERS} FROM access_events GROUP BY ALL"
         ),
         "access_summary": summary,
         "access_summary_stream": summary,
         "access_sample": sample,
-        "access_sample_stream": sample,
-        "rate_limit_flags": limiter,
-        "rate_limit_stream": limiter,
+        "access_sample_stream": recursive
+        + _arrived("access_events", "node_id")
+        + ", "
+        + _sample("arrived", "at", in_turn),
+        "rate_limit_flags": f"{limiter} {flags}",
+        "rate_limit_loopback": f"""{limiter} SELECT seq, client, at_ms, client % 5 = 0 AS loopback,
+            allowed OR client % 5 = 0 AS allowed FROM walk""",
+        "rate_limit_stream": recursive
+        + _arrived("access_events", "client")
+        + ", "
+        + _limiter("arrived", "at", in_turn)
+        + flags,
     }

@@ -16,7 +16,7 @@ from tradelake.schemas import TICKER_INFO, TRADE_COLUMNS
 from tradelake.session import prepare, scratch_path
 from tradelake.sources import exports
 from tradelake.sources.exchanges import exchanges, with_exchange_filter
-from tradelake.sources.table import TradeTable
+from tradelake.sources.table import MetadataTable, TradeTable
 from tradelake.sources.whitelist import whitelist_rows
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health as health_stream
@@ -60,6 +60,15 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.catalog(t.given(spark, sf_dir, "part"))
 
 
+def _arriving(spark: SparkSession, batches: list[DataFrame], root: str, start) -> None:
+    """Run a stream over batches that arrive one after the other, stopping in between."""
+    path = f"{root}/arrived"
+    for batch in batches:
+        batch.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(batch.schema).parquet(path)
+        start(stream, f"{root}/offsets").awaitTermination()
+
+
 # Ingest
 
 
@@ -73,21 +82,73 @@ def route_trades(spark, sf_dir):
     return reads.route_trades(t.market_events(t.given(spark, sf_dir, "lineitem")))
 
 
+def _ingested(spark, sf_dir) -> TradeTable:
+    """Two venues' streams in one table, over several batches and restarts.
+
+    These trades spread over years, a few per day: yearly periods fit them.
+    """
+    root = scratch_path(spark, "ingest")
+    table = TradeTable(spark, f"{root}/table", "year")
+    events = t.market_events(t.given(spark, sf_dir, "lineitem"))
+    binance = F.col("exchange").startswith("Binance")
+    for name, own in (("binance", events.filter(binance)), ("others", events.filter(~binance))):
+        parts = [own.filter(F.pmod("seq", F.lit(2)) == n) for n in (0, 1)]
+        _arriving(
+            spark, parts, f"{root}/{name}", lambda s, c: ingest.start_ingest(s, table, c, until_caught_up=True)
+        )
+        table.settle()
+    return table
+
+
 @registered
 def ingest_trades(spark, sf_dir):
-    """Two venue streams merged into the stored table by a streaming run."""
-    root = scratch_path(spark, "ingest")
-    # These trades spread over years, a few per day: yearly periods fit them.
+    return _ingested(spark, sf_dir).read().select(*TRADE_COLUMNS)
+
+
+@registered
+def ingest_merged(spark, sf_dir):
+    """Both venues as one stream, whose batches have landed but are not settled."""
+    root = scratch_path(spark, "merged")
     table = TradeTable(spark, f"{root}/table", "year")
-    lines = t.given_stream(spark, sf_dir, "lineitem")
-    binance = t.market_events(lines.filter("l_suppkey % 6 IN (0, 1)"))
-    others = t.market_events(lines.filter("l_suppkey % 6 NOT IN (0, 1)"))
-    merged = ingest.merge_streams(binance, others)
-    run = ingest.start_ingest(merged, table, f"{root}/offsets", until_caught_up=True)
-    run.awaitTermination()
+    events = t.market_events(t.given(spark, sf_dir, "lineitem"))
+    binance = F.col("exchange").startswith("Binance")
+
+    def start(stream, checkpoint):
+        both = ingest.merge_streams(stream.filter(binance), stream.filter(~binance))
+        return ingest.start_ingest(both, table, checkpoint, until_caught_up=True)
+
+    _arriving(spark, [events], root, start)
     return table.read().select(*TRADE_COLUMNS)
 
 
+@registered
+def ingest_dead_letters(spark, sf_dir):
+    """Messages that are no events, and the trades of those that are, counted."""
+    root = scratch_path(spark, "dead")
+    table = TradeTable(spark, f"{root}/table", "year")
+    _arriving(
+        spark,
+        [t.messages(t.given(spark, sf_dir, "lineitem"))],
+        root,
+        lambda s, c: ingest.start_ingest(ingest.parse_events(s), table, c, until_caught_up=True),
+    )
+    dead = ingest.dead_letters(spark, table).select("unparsed", F.lit(0).alias("stored"))
+    stored = table.read().select(F.lit(None).cast("string").alias("unparsed"), F.lit(1).alias("stored"))
+    return dead.union(stored).groupBy("unparsed").agg(F.sum("stored").alias("trades"), F.count("*").alias("n"))
+
+
+@registered
+def ingest_rejects(spark, sf_dir):
+    """Trades with a null are kept apart, with the batch they came with."""
+    table = TradeTable(spark, scratch_path(spark, "rejects"), "year")
+    trades = _trades(spark, sf_dir)
+    broken = trades.withColumn("price", F.when(F.col("qty") != 7, F.col("price")))
+    table.append(broken, 0, NOW_MS)
+    table.settle()
+    table.append(broken.limit(0), 1, NOW_MS)
+    return table.read_rejects().select(*TRADE_COLUMNS, "source", "batch_id")
+
+
 @registered
 def batch_exchanges(spark, sf_dir):
     weekly = _trades(spark, sf_dir).withColumn("batch_id", F.expr(f"ts div {7 * DAY_MS}L"))
@@ -131,15 +192,40 @@ def trades_export(spark, sf_dir):
 def trades_export_files(spark, sf_dir):
     """All trades written as time-ordered files, read back."""
     path = scratch_path(spark, "export")
-    exports.write_export(_trades(spark, sf_dir), path, files=8)
+    exports.write_export(_trades(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
+@registered
+def trades_arrow_streams(spark, sf_dir):
+    """A pair's trades as Arrow IPC streams, read back."""
+    query = reads.TradeQuery("binance", "btcusdt", "spot")
+    streams = exports.arrow_streams(reads.export_trades(_trades(spark, sf_dir), query), 500, 1_000)
+    return exports.read_arrow_streams(streams)
+
+
+@registered
+def trades_export_stats(spark, sf_dir):
+    """What the export reports: rows written, and rows in its files and streams."""
+    path = scratch_path(spark, "export")
+    trades = _trades(spark, sf_dir)
+    stats = exports.write_export(trades, path)
+    streamed = exports.stream_stats(exports.arrow_streams(trades))
+    counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read"))
+    return counted.select(
+        F.lit(stats.rows).cast("bigint").alias("rows_written"),
+        "rows_read",
+        F.lit(streamed.rows).cast("bigint").alias("rows_streamed"),
+        F.lit(stats.batches > 0 and streamed.batches > 0).alias("any_batches"),
+    )
+
+
 @registered
 def trades_stored_latest(spark, sf_dir):
     """The newest rows of a pair from the stored table, reading few periods."""
     table = TradeTable(spark, scratch_path(spark, "stored"), "year")
     table.append(_trades(spark, sf_dir), batch_id=0, flushed_at=NOW_MS)
+    table.settle()
     return table.read_trades(reads.TradeQuery("bybit", "solusdt", "spot", limit=50))
 
 
@@ -194,6 +280,19 @@ def pairs(spark, sf_dir):
     return bounds.configured_pairs(wanted, bounds.pair_bounds(_trades(spark, sf_dir)))
 
 
+@registered
+def pairs_stored(spark, sf_dir):
+    """The same answer from the stored table's flush log, half of it settled."""
+    table = TradeTable(spark, scratch_path(spark, "bounds"), "year")
+    trades = _trades(spark, sf_dir)
+    early = F.col("ts") % 2 == 0
+    table.append(trades.filter(early), 0, NOW_MS)
+    table.settle()
+    table.append(trades.filter(~early), 1, NOW_MS)
+    wanted = t.configured(t.given(spark, sf_dir, "part"))
+    return bounds.configured_pairs(wanted, table.read_bounds())
+
+
 @registered
 def pairs_json(spark, sf_dir):
     answer = exports.pairs_json(pairs(spark, sf_dir))
@@ -229,6 +328,14 @@ def whitelist_exchanges(spark, sf_dir):
     return wanted.withColumn("exchanges", F.concat_ws(",", "exchanges"))
 
 
+@registered
+def discovery_exchanges(spark, sf_dir):
+    """Discovery mode, for the venues that the whitelists name."""
+    venues = _whitelist(spark, sf_dir).select(F.lower("venue").alias("venue")).distinct()
+    found = cat.all_exchanges(spark).join(venues, "venue", "left_semi")
+    return found.withColumn("exchanges", F.concat_ws(",", "exchanges"))
+
+
 @registered
 def resolve_pairs(spark, sf_dir):
     assets = t.bases(t.given(spark, sf_dir, "customer"))
@@ -284,36 +391,52 @@ def purge_plan(spark, sf_dir):
     return retention.with_purge_plan(t.table_sizes(t.given(spark, sf_dir, "orders")))
 
 
-def _size_rule(rows: int) -> int:
-    """Rows to delete to keep three fifths, in rounds of 1,000."""
-    return retention.rows_to_delete(rows, rows * 3 // 5, retention.MIN_BATCH_ROWS)
-
-
 @registered
 def purge_keep(spark, sf_dir):
+    """The newest three fifths."""
     trades = _trades(spark, sf_dir)
-    return retention.purge_keep(trades, _size_rule(trades.count()))
+    rows = trades.count()
+    return retention.purge_keep(trades, rows - rows * 3 // 5)
+
+
+BYTES_PER_ROW = 50
 
 
 @registered
 def cleanup_pass(spark, sf_dir):
-    """Age rule, then size rule on what is left, as one summary row."""
+    """A pass on a stored table: age rule, size rule, and the time it records."""
+    root = scratch_path(spark, "cleanup")
+    table = TradeTable(spark, f"{root}/table", "year")
+    metadata = MetadataTable(spark, f"{root}/metadata")
     trades = _trades(spark, sf_dir)
-    aged = retention.retention_keep(trades, NOW_MS, HOURS)
-    left = aged.count()
-    by_size = _size_rule(left)
-    kept = retention.purge_keep(aged, by_size)
-    by_age = retention.retention_deleted(trades, NOW_MS, HOURS)
-    summary = kept.agg(F.count(F.lit(1)).alias("kept"), F.min("ts").alias("oldest_kept"))
-    return summary.join(by_age.withColumnRenamed("deleted", "deleted_by_age")).select(
-        "deleted_by_age",
-        F.lit(by_size).cast("bigint").alias("deleted_by_size"),
+    table.append(trades, 0, NOW_MS)
+    left = retention.retention_keep(trades, NOW_MS, HOURS).count()
+    cap = left * BYTES_PER_ROW * 3 // 5
+    done = retention.run_cleanup(table, metadata, NOW_MS, HOURS, cap, BYTES_PER_ROW)
+    summary = table.read().agg(
+        F.count(F.lit(1)).alias("kept"), F.min("ts").alias("oldest_kept")
+    )
+    return summary.select(
+        F.lit(done.deleted_by_age).cast("bigint").alias("deleted_by_age"),
+        F.lit(done.deleted_by_size).cast("bigint").alias("deleted_by_size"),
         "kept",
         "oldest_kept",
-        F.lit(str(NOW_MS)).alias("last_cleanup"),
+        F.lit(metadata.get("last_cleanup")).alias("last_cleanup"),
     )
 
 
+@registered
+def cleanup_kept(spark, sf_dir):
+    """The rows that such a pass leaves."""
+    table = TradeTable(spark, scratch_path(spark, "kept"), "year")
+    trades = _trades(spark, sf_dir)
+    table.append(trades, 0, NOW_MS)
+    retention.purge_by_age(table, NOW_MS, HOURS)
+    left = table.read().count()
+    retention.purge_by_size(table, left * BYTES_PER_ROW * 3 // 5, BYTES_PER_ROW)
+    return table.read().select(*TRADE_COLUMNS)
+
+
 # Health
 
 
@@ -330,11 +453,13 @@ def feed_health(spark, sf_dir):
 
 @registered
 def feed_health_stream(spark, sf_dir):
+    """Over several batches and restarts, with events that come late."""
     root = scratch_path(spark, "feeds")
-    stream = t.feed_events(t.given_stream(spark, sf_dir, "events"))
-    run = health_stream.start_feed_health(stream, f"{root}/health", f"{root}/offsets")
-    run.awaitTermination()
-    rows = health_stream.read_feed_health(spark, f"{root}/health")
+    events = t.feed_events(_events(spark, sf_dir))
+    _arriving(
+        spark, t.in_arrival(events), root, lambda s, c: health_stream.start_feed_health(s, f"{root}/health", c)
+    )
+    rows = health_stream.read_feed_health(spark, f"{root}/health", events)
     return _with_rest(spark, rows, _events(spark, sf_dir))
 
 
@@ -369,8 +494,8 @@ def overall_status(spark, sf_dir):
     return pipeline.overall_status(
         pipeline.pipeline_health(t.flush_events(events)),
         pipeline.saturation(t.drop_events(events)),
-        feeds.feed_health(t.feed_events(events), ["server_id", "exchange"]),
-        database_ok=F.col("server_id") != 3,
+        feeds.feed_health(t.feed_events(events), ["node_id", "exchange"]),
+        database_ok=F.col("node_id") != 3,
     )
 
 
@@ -391,12 +516,13 @@ def access_summary(spark, sf_dir):
 @registered
 def access_summary_stream(spark, sf_dir):
     root = scratch_path(spark, "summary")
-    stream = t.access_events(t.given_stream(spark, sf_dir, "events"))
-    run = access_stream.start_summary(
-        stream, f"{root}/out", f"{root}/offsets", t.FIRST_MS, SIX_HOURS
-    )
-    run.awaitTermination()
-    return access_stream.read_summary(spark, f"{root}/out")
+    events = t.access_events(_events(spark, sf_dir))
+
+    def start(stream, checkpoint):
+        return access_stream.start_summary(stream, f"{root}/out", checkpoint, t.FIRST_MS, SIX_HOURS)
+
+    _arriving(spark, t.in_arrival(events), root, start)
+    return access_stream.read_summary(spark, f"{root}/out", events)
 
 
 @registered
@@ -407,9 +533,20 @@ def access_sample(spark, sf_dir):
 
 @registered
 def access_sample_stream(spark, sf_dir):
-    stream = t.access_events(t.given_stream(spark, sf_dir, "events"))
-    sampled = access_stream.access_sample_stream(stream, t.FIRST_MS, SIX_HOURS, limit=3)
-    return _run(spark, sampled, "sample")
+    root = scratch_path(spark, "sample")
+    events = t.access_events(_events(spark, sf_dir))
+
+    def start(stream, checkpoint):
+        return access_stream.start_access_sample(
+            stream, f"{root}/out", checkpoint, t.FIRST_MS, SIX_HOURS, limit=3
+        )
+
+    _arriving(spark, t.in_arrival(events), root, start)
+    columns = (
+        "seq bigint, node_id bigint, client bigint, at_ms bigint, kind string, "
+        "window_start_ms bigint, nth bigint"
+    )
+    return access_stream.read_answers(spark, f"{root}/out", columns)
 
 
 @registered
@@ -418,14 +555,25 @@ def rate_limit_flags(spark, sf_dir):
     return admission.rate_limit_flags(requests, 3, TWO_DAYS)
 
 
+@registered
+def rate_limit_loopback(spark, sf_dir):
+    """Requests of the machine itself always pass."""
+    requests = t.access_events(_events(spark, sf_dir)).selectExpr(
+        "seq", "client", "at_ms", "client % 5 = 0 AS loopback"
+    )
+    return admission.rate_limit_flags(requests, 3, TWO_DAYS)
+
+
 @registered
 def rate_limit_stream(spark, sf_dir):
-    stream = t.access_events(t.given_stream(spark, sf_dir, "events"))
-    requests = stream.select("seq", "client", "at_ms")
-    return _run(spark, access_stream.rate_limit_stream(requests, 3, TWO_DAYS), "limit")
+    root = scratch_path(spark, "limit")
+    requests = t.access_events(_events(spark, sf_dir)).select("seq", "client", "at_ms")
 
+    def start(stream, checkpoint):
+        return access_stream.start_rate_limit(
+            stream, f"{root}/out", checkpoint, 3, TWO_DAYS, idle_ms=365 * 24 * HOUR_MS
+        )
 
-def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    root = scratch_path(spark, name)
-    access_stream.run_to_files(stream, f"{root}/out", f"{root}/offsets").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    _arriving(spark, t.in_arrival(requests), root, start)
+    columns = "seq bigint, client bigint, at_ms bigint, allowed boolean"
+    return access_stream.read_answers(spark, f"{root}/out", columns)

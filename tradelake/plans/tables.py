@@ -12,19 +12,21 @@ from pyspark.sql import functions as F
 from tradelake.sources.exchanges import EXCHANGES
 
 FIRST_MS = 1_704_067_200_000
+#: Events arrive in four batches by time, some of them one batch late.
+BATCHES = 4
+BATCH_MS = 8 * 86_400_000
+LATE_EVERY = 23
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = given(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+def in_arrival(rows: DataFrame) -> list[DataFrame]:
+    """Rows with ``seq`` and ``at_ms`` as the batches in which they arrive."""
+    batch = f"""least({BATCHES - 1}L, greatest(0L, (at_ms - {FIRST_MS}L) div {BATCH_MS}L)
+        + if(seq % {LATE_EVERY} = 0, 1L, 0L))"""
+    return [rows.filter(f"{batch} = {n}") for n in range(BATCHES)]
 
 
 def _pick(key: str, *names: str) -> str:
@@ -111,7 +113,7 @@ def _events(events: DataFrame, *columns: str) -> DataFrame:
 def feed_events(events: DataFrame) -> DataFrame:
     return _events(
         events,
-        "pmod(user_id, 10) AS server_id",
+        "pmod(user_id, 10) AS node_id",
         f"{traded_exchange('user_id')} AS exchange",
         """CASE WHEN event_id % 97 = 0 THEN 'stopped' WHEN event_type = 'click'
             THEN 'connected' WHEN event_type = 'error' THEN 'disconnected'
@@ -130,7 +132,7 @@ def commits(events: DataFrame) -> DataFrame:
 def flush_events(events: DataFrame) -> DataFrame:
     return _events(
         events,
-        "pmod(user_id, 10) AS server_id",
+        "pmod(user_id, 10) AS node_id",
         """CASE WHEN event_id % 1999 = 7 THEN 'dropped' WHEN event_type = 'error'
             THEN 'failed' WHEN event_type = 'signup' THEN 'retry_ok'
             ELSE 'ok' END AS kind""",
@@ -142,7 +144,7 @@ def flush_events(events: DataFrame) -> DataFrame:
 def flush_outcomes(events: DataFrame) -> DataFrame:
     return _events(
         events,
-        "pmod(user_id, 10) AS server_id",
+        "pmod(user_id, 10) AS node_id",
         """CASE WHEN event_id % 1999 = 7 THEN 'crash' WHEN event_id % 2503 = 11
             THEN 'final_failure' WHEN event_type = 'error' THEN 'failure'
             WHEN event_type = 'signup' THEN 'retry_success'
@@ -155,7 +157,7 @@ def flush_outcomes(events: DataFrame) -> DataFrame:
 def drop_events(events: DataFrame) -> DataFrame:
     return _events(
         events,
-        "pmod(user_id, 10) AS server_id",
+        "pmod(user_id, 10) AS node_id",
         """CASE pmod(event_id, 3) WHEN 0 THEN 'event_channel'
             WHEN 1 THEN 'persist_channel' ELSE 'data_buffer' END AS stage""",
         f"{traded_exchange('user_id')} AS exchange",
@@ -167,7 +169,7 @@ def drop_events(events: DataFrame) -> DataFrame:
 def access_events(events: DataFrame) -> DataFrame:
     return _events(
         events,
-        "pmod(user_id, 10) AS server_id",
+        "pmod(user_id, 10) AS node_id",
         "user_id AS client",
         """CASE event_type WHEN 'click' THEN 'auth_failure'
             WHEN 'error' THEN 'admission_blocked' WHEN 'purchase' THEN 'rate_limited'
@@ -254,6 +256,15 @@ def configured(part: DataFrame) -> DataFrame:
     )
 
 
+def messages(lineitem: DataFrame) -> DataFrame:
+    """Events as JSON text; every 29th is cut short, every 31st no event at all."""
+    return market_events(lineitem).selectExpr(
+        "seq",
+        """CASE WHEN seq % 29 = 0 THEN left(to_json(struct(*)), 20)
+            WHEN seq % 31 = 0 THEN '{"seq":' || seq || '}' ELSE to_json(struct(*)) END AS value""",
+    )
+
+
 def table_sizes(orders: DataFrame) -> DataFrame:
     """Sizes, row counts and caps of many tables, small, large and empty."""
     return orders.selectExpr(

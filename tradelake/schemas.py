@@ -4,15 +4,15 @@ TRADES = (
     "exchange string, symbol string, ts bigint, price double, qty double, is_sell boolean"
 )
 TRADE_COLUMNS = ["exchange", "symbol", "ts", "price", "qty", "is_sell"]
-# Trades as stored: the six columns plus the three directory levels.
+# Trades as stored: the six columns, the batch they came with, and the period.
 STORED_TRADES = (
-    "symbol string, ts bigint, price double, qty double, is_sell boolean, "
-    "dt date, exchange string, batch_id bigint"
+    "exchange string, symbol string, ts bigint, price double, qty double, is_sell boolean, "
+    "source string, batch_id bigint, flushed_at bigint, dt date"
 )
-# One row per batch, day and pair, written when a batch is committed.
+# One row per period and pair.
 FLUSH_LOG = (
-    "dt date, exchange string, symbol string, trades bigint, earliest bigint, "
-    "latest bigint, flushed_at bigint, batch_id bigint"
+    "exchange string, symbol string, trades bigint, earliest bigint, latest bigint, "
+    "flushed_at bigint, dt date"
 )
 ANSWER_COLUMNS = ["ts", "price", "qty", "is_sell"]
 MARKET_EVENTS = (
@@ -23,15 +23,3 @@ MARKET_EVENTS = (
 TICKER_INFO = (
     "exchange string, symbol string, min_ticksize int, min_qty int, contract_size int"
 )
-METADATA = "key string, value string"
-FEED_EVENTS = "seq bigint, exchange string, at_ms bigint, kind string, reason string"
-FLUSH_EVENTS = (
-    "seq bigint, server_id bigint, at_ms bigint, kind string, n bigint, error string"
-)
-DROP_EVENTS = (
-    "seq bigint, server_id bigint, at_ms bigint, stage string, exchange string, "
-    "kind string, n bigint"
-)
-ACCESS_EVENTS = (
-    "seq bigint, server_id bigint, client bigint, at_ms bigint, kind string"
-)

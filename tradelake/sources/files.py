@@ -23,8 +23,8 @@ class Files:
     def delete(self, path: str) -> None:
         self._fs.delete(self._new_path(path), True)
 
-    def move(self, path: str, target: str) -> None:
-        moved = self._new_path(target)
-        self._fs.mkdirs(moved.getParent())
-        if not self._fs.rename(self._new_path(path), moved):
-            raise OSError(f"cannot move {path} to {target}")
+    def size(self, path: str) -> int:
+        """Bytes of all files below ``path``."""
+        if not self.exists(path):
+            return 0
+        return self._fs.getContentSummary(self._new_path(path)).getLength()

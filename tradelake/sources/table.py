@@ -1,8 +1,14 @@
-"""The stored trades table: Parquet by ``dt``, ``exchange`` and ``batch_id``.
+"""The stored trades table.
+
+A batch lands as one folder, named by its source (the streaming query) and number, so
+writing it again replaces it. ``settle`` merges what has landed into ``data``, Parquet
+by ``dt``, and brings the flush log of those periods in line; it is run by every
+cleanup pass. A read takes the settled periods it needs and what has landed since, so
+the folders it lists do not grow with the number of batches.
 
 ``dt`` is the first day of a stored period: a day, or a month or year for sparse data.
-It comes first so that dropping a period is dropping one directory. A batch only ever
-writes its own ``batch_id`` directories, so writing it again replaces it.
+Periods are rewritten with Spark's dynamic partition overwrite. There is one writer of
+settled periods at a time; a reader that meets a rewrite should retry.
 """
 
 from __future__ import annotations
@@ -10,11 +16,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake import schemas
-from tradelake.functions.limits import arrow_rows, json_rows
 from tradelake.functions.times import period_of_ms, period_start, utc_day
 from tradelake.operators import reads
 from tradelake.operators.bounds import merge_bounds, pair_bounds
@@ -23,6 +28,8 @@ from tradelake.operators.upserts import latest, metadata_value
 from tradelake.sources.exchanges import exchange_filter
 from tradelake.sources.files import Files
 
+_SETTLED = "source string, batch_id bigint"
+
 
 @dataclass(frozen=True)
 class TradeTable:
@@ -38,14 +45,28 @@ class TradeTable:
     def flushes(self) -> str:
         return f"{self.root}/flushes"
 
+    @property
+    def landing(self) -> str:
+        return f"{self.root}/landing"
+
     @property
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    # Reading
+
     def read(self) -> DataFrame:
         return self._read(self.periods())
 
     def _read(self, periods: list[dt.date]) -> DataFrame:
+        """Settled rows of these periods, and all rows that have landed since."""
+        settled = self._settled_rows(periods)
+        landed = self._landed_names()
+        if not landed:
+            return settled
+        return settled.filter(~_came_with(landed)).unionByName(self._landed_rows(landed))
+
+    def _settled_rows(self, periods: list[dt.date]) -> DataFrame:
         # Naming the directories spares Spark from listing the whole table.
         if not periods:
             return self.spark.createDataFrame([], schemas.STORED_TRADES)
@@ -53,6 +74,23 @@ class TradeTable:
         reader = self.spark.read.schema(schemas.STORED_TRADES)
         return reader.option("basePath", self.data).parquet(*paths)
 
+    def _landed_names(self) -> list[str]:
+        """Landed batches that are complete and not settled yet."""
+        files, done = self._files(), self._settled_batches()
+        return [
+            name
+            for name in files.children(self.landing)
+            if files.exists(f"{self.landing}/{name}/_SUCCESS")
+            and _number(name) > done.get(_source(name), -1)
+        ]
+
+    def _landed_rows(self, names: list[str], whole: bool = True) -> DataFrame:
+        schema = f"{schemas.STORED_TRADES}, whole boolean"
+        if not names:
+            return self.spark.createDataFrame([], schemas.STORED_TRADES)
+        found = self.spark.read.schema(schema).parquet(*[f"{self.landing}/{n}" for n in names])
+        return found.filter(F.col("whole") == whole).drop("whole")
+
     def between(self, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
         """Trades within inclusive bounds, reading only the periods they touch."""
         first = dt.date.min if from_ms is None else self.period_of(from_ms)
@@ -64,178 +102,198 @@ class TradeTable:
             rows = rows.filter(F.col("ts") <= to_ms)
         return rows
 
-    def for_query(self, query: TradeQuery, rows: int) -> DataFrame:
-        """The fewest periods sure to hold a query's first ``rows`` rows.
+    def for_query(self, query: TradeQuery) -> DataFrame:
+        """The fewest periods sure to hold a query's rows.
 
-        The flush log knows how many trades a pair has per period. The period that
-        a bound cuts, and the oldest one, which a deletion may have cut, count as
-        empty, so no period is left out that could matter.
+        The flush log between the query's bounds says how many trades the pair has
+        per settled period. The period that a bound cuts counts as empty, so no
+        period is left out that could matter.
         """
-        wanted = (F.col("exchange") == exchange_filter(query.venue, query.market)) & (
-            F.col("symbol") == query.symbol.lower()
-        )
-        per_period = self.read_flushes().filter(wanted).groupBy("dt").agg(F.sum("trades"))
-        counts = dict(per_period.collect())
-        live = self.periods()
         ends = [self.period_of(ms) for ms in (query.from_ms, query.to_ms) if ms is not None]
         first = dt.date.min if query.from_ms is None else ends[0]
         last = dt.date.max if query.to_ms is None else ends[-1]
+        live = [start for start in self.periods() if first <= start <= last]
+        if query.limit is None:
+            return self._read(live)
+        wanted = (F.col("exchange") == exchange_filter(query.venue, query.market)) & (
+            F.col("symbol") == query.symbol.lower()
+        )
+        counts = dict(
+            self._log(live).filter(wanted).groupBy("dt").agg(F.sum("trades")).collect()
+        )
         needed, found = [], 0
         for start in sorted(live, reverse=query.from_ms is None):
-            if first <= start <= last and found < rows:
+            if found < query.limit:
                 needed.append(start)
-                found += 0 if start in (*ends, live[0]) else counts.get(start, 0)
+                found += 0 if start in ends else counts.get(start, 0)
         return self._read(needed)
 
     def read_trades(self, query: TradeQuery) -> DataFrame:
-        return reads.read_trades(self.for_query(query, json_rows(query.limit)), query)
+        return reads.read_trades(self.for_query(query), query)
 
-    def export_trades(self, query: TradeQuery, memory_mb: int = 0) -> DataFrame:
-        rows = arrow_rows(query.limit, memory_mb)
-        return reads.export_trades(self.for_query(query, rows), query, memory_mb)
-
-    def period_of(self, ms: int) -> dt.date:
-        return period_of_ms(ms, self.period_length)
-
-    def period(self, start: dt.date) -> DataFrame:
-        return self._read([held for held in self.periods() if held == start])
+    def export_trades(self, query: TradeQuery) -> DataFrame:
+        return reads.export_trades(self.for_query(query), query)
 
     def read_flushes(self) -> DataFrame:
-        """What each batch committed, per day and pair."""
-        if not self._files().exists(self.flushes):
+        """Stored trades per period and pair."""
+        log, landed = self._log(self.periods()), self._landed_names()
+        if not landed:
+            return log
+        return log.unionByName(_totals(self._landed_rows(landed)))
+
+    def _log(self, periods: list[dt.date]) -> DataFrame:
+        if not periods:
             return self.spark.createDataFrame([], schemas.FLUSH_LOG)
-        return self.spark.read.schema(schemas.FLUSH_LOG).parquet(self.flushes)
+        paths = [f"{self.flushes}/dt={start}" for start in periods]
+        reader = self.spark.read.schema(schemas.FLUSH_LOG)
+        return reader.option("basePath", self.flushes).parquet(*paths)
 
     def read_bounds(self) -> DataFrame:
-        """First and last time of every stored pair, without scanning the trades.
+        """First and last time of every stored pair, without scanning settled trades."""
+        logged = self._log(self.periods()).select("exchange", "symbol", "earliest", "latest")
+        return merge_bounds(pair_bounds(self._landed_rows(self._landed_names())), logged)
 
-        Deleting always takes the oldest rows, so only the first period left can
-        differ from the flush log, and only that period is read again.
-        """
-        periods = self.periods()
-        if not periods:
-            return pair_bounds(self.read())
-        live = pair_bounds(self.period(periods[0]))
-        logged = self.read_flushes().filter(F.col("dt") > F.lit(periods[0]))
-        return merge_bounds(live, logged.select(*live.columns))
-
-    def append(self, trades: DataFrame, batch_id: int, flushed_at: int) -> None:
-        """Store one batch. Rows with a null are set aside, not lost."""
-        batch = trades.select(*schemas.TRADE_COLUMNS).persist()
-        try:
-            whole = F.lit(True)
-            for name in schemas.TRADE_COLUMNS:
-                whole = whole & F.col(name).isNotNull()
-            stamped = F.lit(batch_id).cast("bigint").alias("batch_id")
-            start = period_start(utc_day(F.col("ts")), self.period_length)
-            good = batch.filter(whole).withColumn("dt", start)
-            self._overwrite(
-                good.select("*", stamped), self.data, ["dt", "exchange", "batch_id"]
-            )
-            bad = batch.filter(~whole).select("*", stamped)
-            self._overwrite(bad, self.rejects, ["batch_id"])
-            committed = self._committed(good).withColumn(
-                "flushed_at", F.lit(flushed_at).cast("bigint")
-            )
-            self._overwrite(
-                committed.select("*", stamped), self.flushes, ["dt", "batch_id"]
-            )
-        finally:
-            batch.unpersist()
+    def read_rejects(self) -> DataFrame:
+        """Rows with a null, which were set aside, with the batch they came with."""
+        settled = self.spark.createDataFrame([], schemas.STORED_TRADES)
+        if self._files().exists(self.rejects):
+            settled = self.spark.read.schema(schemas.STORED_TRADES).parquet(self.rejects)
+        return settled.unionByName(self._landed_rows(self._landed_names(), whole=False))
 
     def stored_bytes(self) -> int:
-        """Size of the live data files."""
-        if not self.periods():
-            return 0
-        files = self.read().select("_metadata.file_path", "_metadata.file_size").distinct()
-        return files.agg(F.sum("file_size")).first()[0] or 0
+        """Size of the stored files."""
+        return self._files().size(self.data) + self._files().size(self.landing)
 
-    def periods(self) -> list[dt.date]:
-        return self._starts(self.data)
+    def period_of(self, ms: int) -> dt.date:
+        return period_of_ms(ms, self.period_length)
 
-    def drop_period(self, start: dt.date) -> None:
-        for part in (self.data, self.flushes):
-            self._files().delete(f"{part}/dt={start}")
+    def period(self, start: dt.date) -> DataFrame:
+        return self._read([held for held in self.periods() if held == start]).filter(
+            F.col("dt") == F.lit(start)
+        )
 
-    def replace_period(self, start: dt.date, rows: DataFrame, part: str = "data") -> None:
-        """Swap a period's rows for ``rows``, which may read the table itself.
+    def periods(self) -> list[dt.date]:
+        """Settled periods, oldest first."""
+        names = self._files().children(self.data)
+        return sorted(dt.date.fromisoformat(name[3:]) for name in names if name[:3] == "dt=")
+
+    # Writing
 
-        The new rows are complete in a staging folder before the old ones move
-        away, so :meth:`recover` can finish a swap that was cut short.
+    def append(
+        self, trades: DataFrame, batch_id: int, flushed_at: int, source: str = "batch"
+    ) -> None:
+        """Store one batch of a source; its numbers must rise. Writing a batch again
+        replaces it, and does nothing once it has been settled. Rows with a null are
+        kept as rejects.
         """
-        levels = ["exchange", "batch_id"] if part == "data" else ["batch_id"]
-        live, staged, old = (
-            f"{self.root}/{folder}/dt={start}"
-            for folder in (part, f"staging/{part}", f"replaced/{part}")
+        if batch_id <= self._settled_batches().get(source, -1):
+            return
+        whole = F.lit(True)
+        for name in schemas.TRADE_COLUMNS:
+            whole = whole & F.col(name).isNotNull()
+        rows = trades.select(
+            *schemas.TRADE_COLUMNS,
+            F.lit(source).alias("source"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(flushed_at).cast("bigint").alias("flushed_at"),
+            period_start(utc_day(F.col("ts")), self.period_length).alias("dt"),
+            whole.alias("whole"),
         )
-        self._overwrite(rows.drop("dt"), staged, levels, dynamic=False)
-        files = self._files()
-        files.move(live, old)
-        files.move(staged, live)
-        files.delete(old)
-
-    def recover(self) -> None:
-        """Finish or undo swaps that stopped half-way."""
-        files = self._files()
-        for part in ("data", "flushes"):
-            for start in self._starts(f"{self.root}/staging/{part}"):
-                live = f"{self.root}/{part}/dt={start}"
-                staged = f"{self.root}/staging/{part}/dt={start}"
-                if files.exists(f"{staged}/_SUCCESS") and not files.exists(live):
-                    files.move(staged, live)
-                else:
-                    files.delete(staged)
-        files.delete(f"{self.root}/replaced")
-
-    def relog_period(self, start: dt.date) -> None:
-        """Bring a period's flush log in line with its rows, merging its batches."""
-        logged = self.read_flushes().filter(F.col("dt") == F.lit(start))
-        flushed = logged.groupBy("exchange", "symbol").agg(
-            F.max("flushed_at").alias("flushed_at")
-        )
-        held = self._committed(self.period(start)).drop("dt")
-        merged = F.lit(-1).cast("bigint").alias("batch_id")
-        totals = held.join(flushed, ["exchange", "symbol"], "left").select("*", merged)
-        self.replace_period(start, totals, "flushes")
+        rows.write.mode("overwrite").parquet(f"{self.landing}/{source}-{batch_id}")
 
-    def compact_period(self, start: dt.date) -> None:
-        """Merge a closed period's many small batch files into few sorted ones."""
-        trades = self.period(start).withColumn("batch_id", F.lit(-1).cast("bigint"))
-        self.replace_period(start, trades)
-        self.relog_period(start)
+    def settle(self) -> None:
+        """Merge what has landed into its periods. Running it again is harmless.
 
-    @staticmethod
-    def _committed(trades: DataFrame) -> DataFrame:
-        return trades.groupBy("dt", "exchange", "symbol").agg(
-            F.count(F.lit(1)).alias("trades"),
-            F.min("ts").alias("earliest"),
-            F.max("ts").alias("latest"),
-        )
+        Rows already settled from the same batches are replaced, so a pass that was
+        cut short is simply done again; the batches are marked last, then dropped.
+        """
+        files, landed = self._files(), self._landed_names()
+        if landed:
+            fresh = self._landed_rows(landed)
+            touched = [row[0] for row in fresh.select("dt").distinct().collect()]
+            held = self._settled_rows([start for start in self.periods() if start in touched])
+            self._rewrite(held.filter(~_came_with(landed)).unionByName(fresh), touched)
+            bad = self._landed_rows(landed, whole=False)
+            self._overwrite(bad, self.rejects, ["source", "batch_id"])
+            done = self._settled_batches()
+            for name in landed:
+                done[_source(name)] = max(_number(name), done.get(_source(name), -1))
+            rows = self.spark.createDataFrame(sorted(done.items()), _SETTLED)
+            marks = len(files.children(f"{self.root}/settled"))
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/settled/{marks:012d}")
+        for name in files.children(self.landing):
+            if _number(name) <= self._settled_batches().get(_source(name), -1):
+                files.delete(f"{self.landing}/{name}")
+
+    def _rewrite(self, rows: DataFrame, periods: list[dt.date]) -> None:
+        """Replace whole periods, then their flush log."""
+        self._overwrite(rows, self.data, ["dt"])
+        live = [start for start in self.periods() if start in periods]
+        self._overwrite(_totals(self._settled_rows(live)), self.flushes, ["dt"])
+
+    def drop_period(self, start: dt.date) -> None:
+        for part in (self.data, self.flushes):
+            self._files().delete(f"{part}/dt={start}")
+
+    def replace_period(self, start: dt.date, rows: DataFrame) -> None:
+        """Rewrite a settled period with ``rows``, which may read the period itself."""
+        if rows.isEmpty():
+            self.drop_period(start)
+        else:
+            self._rewrite(rows, [start])
+
+    def _settled_batches(self) -> dict[str, int]:
+        """The last settled batch of every source."""
+        marks = f"{self.root}/settled"
+        whole = [
+            name
+            for name in sorted(self._files().children(marks))
+            if self._files().exists(f"{marks}/{name}/_SUCCESS")
+        ]
+        if not whole:
+            return {}
+        return dict(self.spark.read.schema(_SETTLED).parquet(f"{marks}/{whole[-1]}").collect())
 
     @staticmethod
-    def _overwrite(
-        rows: DataFrame, path: str, partition_by: list[str], dynamic: bool = True
-    ) -> None:
+    def _overwrite(rows: DataFrame, path: str, partition_by: list[str]) -> None:
         # The rebalance hint lets AQE split a directory that holds most of the rows.
         levels = [F.col(name) for name in partition_by]
-        inner = [name for name in ("symbol", "ts") if name in rows.columns]
+        inner = [name for name in ("exchange", "symbol", "ts") if name in rows.columns]
         (
             rows.hint("rebalance", *levels)
             .sortWithinPartitions(*partition_by, *inner)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by)
             .parquet(path)
         )
 
-    def _starts(self, path: str) -> list[dt.date]:
-        names = self._files().children(path)
-        return sorted(dt.date.fromisoformat(name[3:]) for name in names if name[:3] == "dt=")
-
     def _files(self) -> Files:
         return Files(self.spark, self.root)
 
 
+def _source(name: str) -> str:
+    return name.rpartition("-")[0]
+
+
+def _number(name: str) -> int:
+    return int(name.rpartition("-")[2])
+
+
+def _came_with(names: list[str]) -> Column:
+    """Rows of these batches; there are as many as have landed since the last pass."""
+    return F.concat_ws("-", "source", "batch_id").isin(names)
+
+
+def _totals(trades: DataFrame) -> DataFrame:
+    return trades.groupBy("exchange", "symbol", "dt").agg(
+        F.count(F.lit(1)).alias("trades"),
+        F.min("ts").alias("earliest"),
+        F.max("ts").alias("latest"),
+        F.max("flushed_at").alias("flushed_at"),
+    )
+
+
 @dataclass(frozen=True)
 class MetadataTable:
     """Key-value settings kept as an append-only log; the last write wins."""

@@ -1,165 +1,187 @@
-"""Streaming forms of the access summary, detail sample and rate limit."""
+"""Streaming forms of the access summary, detail sample and rate limit.
 
-from __future__ import annotations
+Each micro-batch is worked on by the batch operators, which split a key that has most
+of the rows, and a small table of state goes from batch to batch. Rows that come late
+count: a late request is taken at the latest time its key has been seen.
+"""
 
-from collections.abc import Iterator
-from typing import Any
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from tradelake.operators.access import COUNTERS, DETAIL_LIMIT, DETAIL_MS, SUMMARY_MS, counters
-from tradelake.operators.admission import FULL, replay
-from tradelake.operators.upserts import latest
-from tradelake.session import ROCKSDB
+from tradelake.operators.access import (
+    COUNTERS,
+    DETAIL_LIMIT,
+    DETAIL_MS,
+    SUMMARY_MS,
+    access_summary,
+)
+from tradelake.operators.admission import admit
+from tradelake.streaming.state import BatchState, each_batch
 
-WATERMARK = "60 seconds"
+SUMMARY = "node_id {node}, interval_start_ms bigint, " + ", ".join(
+    f"{name} bigint" for name in COUNTERS.values()
+)
+LIMITER = "client {client}, open bigint, last bigint"
+SAMPLER = "node_id {node}, open bigint, last bigint, seen map<string, bigint>"
+#: A client that has been silent this long is forgotten; its bucket is full by then.
+IDLE_MS = 3_600_000
 
 
-def access_windows(
-    events: DataFrame, start_ms: int, interval_ms: int = SUMMARY_MS
-) -> DataFrame:
-    """Counter increases per interval of an event stream.
+def _kind(rows: DataFrame, name: str) -> str:
+    return rows.schema[name].dataType.simpleString()
 
-    In append mode an interval is emitted when the watermark passes its end; update
-    mode also reports the intervals that are still open.
-    """
-    timed = events.filter(F.col("kind").isin(list(COUNTERS))).withColumn(
-        "at", F.timestamp_millis("at_ms")
-    )
-    offset = start_ms % interval_ms
-    window = F.window(
-        "at", f"{interval_ms} milliseconds", startTime=f"{offset} milliseconds"
-    )
-    counted = timed.withWatermark("at", WATERMARK).groupBy("server_id", window)
-    return counted.agg(*counters()).select(
-        "server_id",
-        F.unix_millis("window.start").alias("interval_start_ms"),
-        *COUNTERS.values(),
-    )
+
+# Summary
 
 
 def start_summary(
     events: DataFrame, path: str, checkpoint: str, start_ms: int, interval_ms: int = SUMMARY_MS
 ) -> StreamingQuery:
-    """Store interval counts as they change, so the open interval is reported too."""
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return (
-        access_windows(events, start_ms, interval_ms)
-        .writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """The last stored count of every interval."""
-    stored = spark.read.parquet(path)
-    return latest(stored, ["server_id", "interval_start_ms"], "batch")
+    """Keep every interval's counts, the open interval and late events included."""
+    schema = SUMMARY.format(node=_kind(events, "node_id"))
 
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        def step(before: DataFrame) -> DataFrame:
+            both = before.unionByName(access_summary(batch, start_ms, interval_ms))
+            sums = [F.sum(name).alias(name) for name in COUNTERS.values()]
+            return both.groupBy("node_id", "interval_start_ms").agg(*sums)
 
-class _Ordered(StatefulProcessor):
-    """One value of state per key; a micro-batch's rows are put in order first."""
+        BatchState(batch.sparkSession, path).fold(query, batch_id, schema, step)
 
-    state_schema = ""
+    return each_batch(events, checkpoint, work)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.state_schema)
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[Row], timerValues: Any
-    ) -> Iterator[Row]:
-        batch = sorted(rows, key=lambda row: (row.at_ms, row.seq))
-        before = tuple(self.state.get()) if self.state.exists() else None
-        answers, after = self.walk(batch, before)
-        self.state.update(after)
-        yield from answers
+def read_summary(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
+    """The counts of every interval of ``events`` so far."""
+    return BatchState(spark, path).read(SUMMARY.format(node=_kind(events, "node_id")))
 
-    def close(self) -> None:
-        pass
 
+# Rate limit and sample
 
-class _Limiter(_Ordered):
-    state_schema = "open bigint"
 
-    def __init__(self, max_requests: int, window_ms: int):
-        self.max_requests, self.window_ms = max_requests, window_ms
+def _not_before(rows: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``at``: their time, or the last time of their key if that is later."""
+    known = state.select(F.col(key).alias("_key"), F.col("last").alias("_last"))
+    joined = rows.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+    at = F.greatest("at_ms", F.coalesce("_last", "at_ms"))
+    return joined.withColumn("at", at).drop("_key", "_last")
 
-    def walk(self, batch, before):
-        times = [row.at_ms * self.max_requests for row in batch]
-        passed, after = replay(
-            times, before[0] if before else FULL, self.window_ms, self.max_requests
-        )
-        allowed = set(passed)
-        answers = [Row(**row.asDict(), allowed=i in allowed) for i, row in enumerate(batch)]
-        return answers, (after,)
 
+def _admitted(rows: DataFrame, state: DataFrame, key: str, *rule, **options) -> DataFrame:
+    """:func:`admit` by ``at``, going on from the state; ``rows`` keep their own time."""
+    timed = _not_before(rows, state, key)
+    timed = timed.withColumnRenamed("at_ms", "own_ms").withColumnRenamed("at", "at_ms")
+    found = admit(timed, key, *rule, openings=state.select(key, "open"), **options)
+    return found.withColumnRenamed("at_ms", "at").withColumnRenamed("own_ms", "at_ms")
 
-class _Sampler(_Ordered):
-    state_schema = "started bigint, " + ", ".join(f"{kind} int" for kind in COUNTERS)
 
-    def __init__(self, start_ms: int, window_ms: int, limit: int):
-        self.start_ms, self.window_ms, self.limit = start_ms, window_ms, limit
+def _stored(spark: SparkSession, path: str, query: str, batch_id: int, rows: DataFrame) -> DataFrame:
+    """The batch's answers, written once under its own name."""
+    out = f"{path}/query={query}/batch={batch_id}"
+    rows.write.mode("overwrite").parquet(out)
+    return spark.read.schema(rows.schema).parquet(out)
 
-    def walk(self, batch, before):
-        started, *seen = before or (self.start_ms, *[0] * len(COUNTERS))
-        seen = dict(zip(COUNTERS, seen, strict=True))
-        answers = []
-        for row in batch:
-            if row.at_ms - started >= self.window_ms:
-                started, seen = row.at_ms, dict.fromkeys(COUNTERS, 0)
-            if seen[row.kind] < self.limit:
-                seen[row.kind] += 1
-                answers.append(
-                    Row(**row.asDict(), window_start_ms=started, nth=seen[row.kind])
-                )
-        return answers, (started, *seen.values())
 
-
-def _stateful(events: DataFrame, key: str, walker: _Ordered, extra: str) -> DataFrame:
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    added = T._parse_datatype_string(extra)
-    schema = T.StructType([*events.schema.fields, *added.fields])
-    return events.groupBy(key).transformWithState(
-        statefulProcessor=walker, outputStructType=schema, outputMode="append", timeMode="None"
-    )
-
-
-def rate_limit_stream(
-    requests: DataFrame, max_requests: int = 500, window_ms: int = 10_000
+def start_rate_limit(
+    requests: DataFrame,
+    path: str,
+    checkpoint: str,
+    max_requests: int = 500,
+    window_ms: int = 10_000,
+    idle_ms: int = IDLE_MS,
+) -> StreamingQuery:
+    """Store every request with ``allowed``, keeping two numbers per client."""
+    schema = LIMITER.format(client=_kind(requests, "client"))
+
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def step(before: DataFrame) -> DataFrame:
+            flagged = _admitted(batch, before, "client", max_requests, window_ms)
+            flagged = flagged.withColumnRenamed("admitted", "allowed").drop("window_start_ms")
+            answers = _stored(spark, f"{path}/answers", query, batch_id, flagged)
+            now = answers.select("client", "open", F.col("at").alias("last"))
+            after = before.unionByName(now).groupBy("client").agg(
+                F.max("open").alias("open"), F.max("last").alias("last")
+            )
+            newest = after.agg(F.max("last")).first()[0]
+            return after if newest is None else after.filter(F.col("last") >= newest - idle_ms)
+
+        BatchState(spark, f"{path}/state").fold(query, batch_id, schema, step)
+
+    return each_batch(requests, checkpoint, work)
+
+
+def start_access_sample(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    start_ms: int,
+    window_ms: int = DETAIL_MS,
+    limit: int = DETAIL_LIMIT,
+) -> StreamingQuery:
+    """Store the sampled detail of access events, keeping a few numbers per node."""
+    schema = SAMPLER.format(node=_kind(events, "node_id"))
+
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def step(before: DataFrame) -> DataFrame:
+            windows = _admitted(
+                batch, before, "node_id", 1, window_ms, first_open_ms=start_ms + window_ms
+            )
+            order = Window.partitionBy("node_id", "window_start_ms", "kind").orderBy("at", "seq")
+            numbered = windows.withColumn("nth", F.row_number().over(order).cast("bigint"))
+            first = numbered.filter(F.col("nth") <= limit).drop("admitted", "open")
+            known = before.select(
+                F.col("node_id").alias("_node"),
+                (F.col("open") - window_ms).alias("_began"),
+                F.col("seen").alias("_seen"),
+            )
+            goes_on = F.col("node_id").eqNullSafe(F.col("_node")) & (
+                F.col("window_start_ms") == F.col("_began")
+            )
+            already = F.coalesce(F.try_element_at("_seen", F.col("kind")), F.lit(0))
+            sampled = (
+                first.join(known, goes_on, "left")
+                .withColumn("nth", F.col("nth") + already)
+                .filter(F.col("nth") <= limit)
+                .drop("_node", "_began", "_seen")
+            )
+            answers = _stored(spark, f"{path}/answers", query, batch_id, sampled)
+            return _sampler_state(before, answers, batch, window_ms)
+
+        BatchState(spark, f"{path}/state").fold(query, batch_id, schema, step)
+
+    return each_batch(events, checkpoint, work)
+
+
+def _sampler_state(
+    before: DataFrame, answers: DataFrame, batch: DataFrame, window_ms: int
 ) -> DataFrame:
-    """Add ``allowed`` to a stream of requests, with one number of state per client."""
-    return _stateful(
-        requests, "client", _Limiter(max_requests, window_ms), "allowed boolean"
+    """Window, last time and counts of every node; a window's first event is sampled."""
+    counts = before.select(
+        "node_id",
+        (F.col("open") - window_ms).alias("began"),
+        F.explode_outer("seen").alias("kind", "n"),
+    ).unionByName(answers.select("node_id", F.col("window_start_ms").alias("began"), "kind", F.col("nth").alias("n")))
+    counts = counts.groupBy("node_id", "began", "kind").agg(F.max("n").alias("n"))
+    per_window = counts.groupBy("node_id", "began").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "n")))).alias("seen")
     )
-
-
-def access_sample_stream(
-    events: DataFrame, start_ms: int, window_ms: int = DETAIL_MS, limit: int = DETAIL_LIMIT
-) -> DataFrame:
-    """Sampled detail of a stream of access events, with a few numbers per server."""
-    return _stateful(
-        events,
-        "server_id",
-        _Sampler(start_ms, window_ms, limit),
-        "window_start_ms bigint, nth bigint",
+    latest = per_window.groupBy("node_id").agg(F.max_by("seen", "began").alias("seen"), F.max("began").alias("began"))
+    lasts = before.select("node_id", "last").unionByName(
+        batch.select("node_id", F.col("at_ms").alias("last"))
+    ).groupBy("node_id").agg(F.max("last").alias("last"))
+    same = latest["node_id"].eqNullSafe(lasts["node_id"])
+    return latest.join(lasts, same).select(
+        latest["node_id"], (F.col("began") + window_ms).alias("open"), "last", "seen"
     )
 
 
-def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and store the rows a stream emits."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def read_answers(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """The stored answers of all batches."""
+    return spark.read.schema(columns).parquet(f"{path}/answers/query=*/batch=*")

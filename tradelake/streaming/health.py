@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradelake.operators.feeds import feed_partials, health_of, merge_partials
-from tradelake.sources.files import Files
+from tradelake.operators.feeds import PARTIAL, feed_partials, health_of, merge_partials
+from tradelake.streaming.state import BatchState, each_batch
+
+
+def _schema(keys: list[str], events: DataFrame) -> str:
+    kinds = [f"{key} {events.schema[key].dataType.simpleString()}" for key in keys]
+    return ", ".join([*kinds, PARTIAL])
 
 
 def start_feed_health(
@@ -15,46 +20,28 @@ def start_feed_health(
 ) -> StreamingQuery:
     """Keep one partial per feed, as of the last micro-batch.
 
-    A micro-batch is folded over order chunks, so a feed that sends most of the
-    events does not end up in one task. The result is merged with what the batch
-    before it stored, and stored under its own number: a retried batch starts from
-    the same place and replaces only itself.
+    A micro-batch is folded over slices of time, so a feed that sends most of the
+    events does not end up in one task, and merged with the state before it. Batches
+    count as consecutive: an event that comes late follows what came before it.
     """
     keys = keys or ["exchange"]
+    schema = _schema(keys, events)
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        files = Files(spark, path)
-        # The batch is counted and sampled before it is folded.
-        batch = batch.persist()
-        try:
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        def step(before: DataFrame) -> DataFrame:
             parts = merge_partials(feed_partials(batch, keys), keys)
-            parts = parts.withColumn("stretch", F.lit(batch_id).cast("bigint"))
-            before = _stored(path, batch_id - 1)
-            if files.exists(before):
-                parts = parts.unionByName(spark.read.schema(parts.schema).parquet(before))
-            merged = merge_partials(parts, keys)
-            merged.write.mode("overwrite").parquet(_stored(path, batch_id))
-        finally:
-            batch.unpersist()
-        files.delete(_stored(path, batch_id - 2))
+            last = before.withColumn("stretch", F.lit(-1).cast("bigint"))
+            now = parts.withColumn("stretch", F.lit(0).cast("bigint"))
+            return merge_partials(last.unionByName(now), keys)
 
-    return (
-        events.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        BatchState(batch.sparkSession, path).fold(query, batch_id, schema, step)
 
-
-def _stored(path: str, batch_id: int) -> str:
-    return f"{path}/batch={batch_id}"
+    return each_batch(events, checkpoint, work)
 
 
 def read_feed_health(
-    spark: SparkSession, path: str, keys: list[str] | None = None
+    spark: SparkSession, path: str, events: DataFrame, keys: list[str] | None = None
 ) -> DataFrame:
-    """Health as of the last stored micro-batch."""
-    stored = Files(spark, path).children(path)
-    last = max(int(name.removeprefix("batch=")) for name in stored)
-    return health_of(spark.read.parquet(_stored(path, last)), keys or ["exchange"])
+    """Health as of the last stored micro-batch of ``events``."""
+    keys = keys or ["exchange"]
+    return health_of(BatchState(spark, path).read(_schema(keys, events)), keys)

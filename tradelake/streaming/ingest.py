@@ -5,13 +5,15 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradelake import schemas
 from tradelake.operators.reads import route_trades
 from tradelake.sources.table import TradeTable
+from tradelake.streaming.state import query_id
 
-FLUSH_INTERVAL_MS = 2_000
+FLUSH_INTERVAL_MS = 120_000
 
 
 def events_from_files(
@@ -25,21 +27,29 @@ def events_from_files(
     )
 
 
+def parse_events(messages: DataFrame) -> DataFrame:
+    """Events from JSON text in ``value``; what is no event stays as ``unparsed``."""
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        text.alias("_text"), F.from_json(text, schemas.MARKET_EVENTS).alias("event")
+    )
+    bad = F.col("event").isNull() | F.col("event.kind").isNull()
+    unparsed = F.when(bad, F.coalesce("_text", F.lit(""))).alias("unparsed")
+    return parsed.select("event.*", unparsed)
+
+
 def events_from_kafka(
-    spark: SparkSession, servers: str, topics: list[str], rows_per_batch: int = 10_000_000
+    spark: SparkSession, brokers: str, topics: list[str], rows_per_batch: int = 10_000_000
 ) -> DataFrame:
     """Market events from one topic per venue, as JSON. Needs the Kafka package."""
-    from pyspark.sql import functions as F
-
     source = (
         spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
+        .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", ",".join(topics))
         .option("maxOffsetsPerTrigger", rows_per_batch)
         .load()
     )
-    event = F.from_json(F.col("value").cast("string"), schemas.MARKET_EVENTS)
-    return source.select(event.alias("event")).select("event.*")
+    return parse_events(source)
 
 
 def merge_streams(*venues: DataFrame) -> DataFrame:
@@ -50,6 +60,13 @@ def merge_streams(*venues: DataFrame) -> DataFrame:
     return merged
 
 
+def dead_letters(spark: SparkSession, table: TradeTable) -> DataFrame:
+    """Messages that were no events, with the query and batch they came with."""
+    return spark.read.schema("unparsed string, query string, batch bigint").parquet(
+        f"{table.root}/dead"
+    )
+
+
 def start_ingest(
     events: DataFrame,
     table: TradeTable,
@@ -57,14 +74,21 @@ def start_ingest(
     flush_interval_ms: int = FLUSH_INTERVAL_MS,
     until_caught_up: bool = False,
 ) -> StreamingQuery:
-    """Store the trades of an event stream.
+    """Store the trades of an event stream; messages that are no events are kept apart.
 
-    Offsets are committed only after a batch is written, and a batch that is
-    retried overwrites its own directories: nothing is lost or stored twice.
+    Offsets are committed only after a batch is written, and a batch that is retried
+    overwrites its own folder, which is named by the query and the batch: nothing is
+    lost or stored twice, whichever streams write to the table.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id, flushed_at=int(time.time() * 1000))
+        source = query_id(batch.sparkSession, checkpoint)
+        if "unparsed" in batch.columns:
+            dead = batch.filter("unparsed IS NOT NULL").select("unparsed")
+            dead.write.mode("overwrite").parquet(
+                f"{table.root}/dead/query={source}/batch={batch_id}"
+            )
+        table.append(route_trades(batch), batch_id, int(time.time() * 1000), source)
 
     trigger = (
         {"availableNow": True}
@@ -72,8 +96,7 @@ def start_ingest(
         else {"processingTime": f"{max(flush_interval_ms, 1)} milliseconds"}
     )
     return (
-        route_trades(events)
-        .writeStream.foreachBatch(store)
+        events.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
