@@ -170,10 +170,10 @@ _BATCH = f"""least({BATCHES - 1}, greatest(0, (at_ms - {FIRST_MS}) // {BATCH_MS}
 
 
 def _arrived(source: str, key: str) -> str:
-    """Events in order of arrival; ``at`` never falls back behind an earlier batch."""
+    """Events in order of arrival; ``came`` never falls back behind an earlier batch."""
     return f"""batched AS (SELECT *, {_BATCH} AS batch FROM {source}),
         arrived AS (SELECT *, greatest(at_ms, coalesce(max(at_ms) OVER (PARTITION BY {key}
-            ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), at_ms)) AS at
+            ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), at_ms)) AS came
             FROM batched)"""
 
 
@@ -311,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
         FROM access_events GROUP BY ALL"""
     )
     recursive = f"WITH RECURSIVE {PARTS['access_events']}, "
-    in_time, in_turn = "at_ms, seq", "batch, at, seq"
+    in_time, in_turn = "at_ms, seq", "batch, came, seq"
     sample = recursive + _sample("access_events", "at_ms", in_time)
     limiter = recursive + _limiter("access_events", "at_ms", in_time)
     late_feeds = f"""WITH {PARTS['exchanges']}, {PARTS['feed_events']},
@@ -512,13 +512,13 @@ def oracle_sql() -> dict[str, str]:
         "access_sample_stream": recursive
         + _arrived("access_events", "node_id")
         + ", "
-        + _sample("arrived", "at", in_turn),
+        + _sample("arrived", "came", in_turn),
         "rate_limit_flags": f"{limiter} {flags}",
         "rate_limit_loopback": f"""{limiter} SELECT seq, client, at_ms, client % 5 = 0 AS loopback,
             allowed OR client % 5 = 0 AS allowed FROM walk""",
         "rate_limit_stream": recursive
         + _arrived("access_events", "client")
         + ", "
-        + _limiter("arrived", "at", in_turn)
+        + _limiter("arrived", "came", in_turn)
         + flags,
     }
