@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +49,28 @@ def runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
             run, size = [], 0
     if run:
         yield run
+
+
+def with_answers(
+    docs: DataFrame, answer: Callable[[list[str]], list[pa.Array]], answers: str
+) -> DataFrame:
+    """``row`` (all columns of ``docs``) and what ``answer`` says of each whole text.
+
+    ``answer`` is given about a million characters of texts at a time, null as empty,
+    and gives the columns that ``answers`` describes. A row's text travels once.
+    """
+    names = [part.split()[0] for part in answers.split(", ")]
+    place = docs.columns.index("text")
+    own = docs.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for run in runs([text or "" for text in batch.column(place).to_pylist()]):
+                part = batch.slice(at, len(run))
+                row = pa.StructArray.from_arrays(part.columns, names=own)
+                yield pa.RecordBatch.from_arrays([row, *answer(run)], ["row", *names])
+                at += len(run)
+
+    row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
+    return docs.mapInArrow(work, f"row {row}, {answers}")

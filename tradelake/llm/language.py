@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import held_out, runs, written
+from tradelake.llm.common import held_out, with_answers, written
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -188,31 +187,19 @@ def fit(docs: DataFrame, per_language: int = PASSAGES) -> Model | None:
     return train([(row["text"], row["lang"]) for row in rows])
 
 
-def _predict(model: Model | None):
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            best: list[str] = []
-            score: list[float] = []
-            for run in runs([text or "" for text in batch.column("text").to_pylist()]):
-                if model is None:
-                    best += [UNKNOWN] * len(run)
-                    score += [0.0] * len(run)
-                    continue
-                shares, counts = model.scores(run)
-                names = [model.languages[i] for i in shares.argmax(axis=1)]
-                best += [n if c else UNKNOWN for n, c in zip(names, counts, strict=True)]
-                score += np.where(counts > 0, shares.max(axis=1), 0.0).tolist()
-            limit = model.limit if model else 0.0
-            rejected = [n == UNKNOWN or s < limit for n, s in zip(best, score, strict=True)]
-            arrays = [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *arrays], [*batch.schema.names[1:], *_FOUND]
-            )
+def _answer(model: Model | None):
+    def answer(texts: list[str]) -> list[pa.Array]:
+        if model is None:
+            names, score, limit = [UNKNOWN] * len(texts), np.zeros(len(texts)), 0.0
+        else:
+            shares, counts = model.scores(texts)
+            best = [model.languages[i] for i in shares.argmax(axis=1)]
+            names = [n if c else UNKNOWN for n, c in zip(best, counts, strict=True)]
+            score, limit = np.where(counts > 0, shares.max(axis=1), 0.0), model.limit
+        rejected = [n == UNKNOWN or s < limit for n, s in zip(names, score, strict=True)]
+        return [pa.array(names, pa.string()), pa.array(score), pa.array(rejected, pa.bool_())]
 
-    return predict
-
-
-_FOUND = ("lang_pred", "lang_score", "lang_rejected")
+    return answer
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -223,10 +210,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     letter, is ``und`` with score 0 and rejected; so is everything without a model.
     Only the text decides; equal texts get equal answers.
     """
-    own = docs.select(F.col("text"), F.struct("*").alias("row"))
-    kind = own.schema["row"].dataType.simpleString()
-    return own.mapInArrow(
-        _predict(model), f"row {kind}, lang_pred string, lang_score double, lang_rejected boolean"
+    return with_answers(
+        docs, _answer(model), "lang_pred string, lang_score double, lang_rejected boolean"
     )
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import runs, written
+from tradelake.llm.common import runs, with_answers, written
 from tradelake.llm.hashing import word_hashes
 
 #: The models know at most this many words, the most frequent ones of all documents;
@@ -216,18 +216,12 @@ def fit(
     return Models(known, counts[:-1], counts, codes, kept.astype(np.float32))
 
 
-def _losses(models: Models):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [models.losses(run) for run in runs([t or "" for t in batch.column("text").to_pylist()])]
-            loss = np.concatenate([np.zeros((0, 2)), *[f[0] for f in found]])
-            words = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
-            arrays = [pa.array(words), pa.array(loss[:, 1]), pa.array(loss[:, 0])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *arrays], [*batch.schema.names[1:], "n_words", "target_loss", "background_loss"]
-            )
+def _answer(models: Models):
+    def answer(texts: list[str]) -> list[pa.Array]:
+        loss, words = models.losses(texts)
+        return [pa.array(words, pa.int64()), pa.array(loss[:, 1]), pa.array(loss[:, 0])]
 
-    return score
+    return answer
 
 
 def score(docs: DataFrame, models: Models) -> DataFrame:
@@ -238,9 +232,7 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     the lower, the closer to the target). A text without a word, or null, has losses
     and a difference of 0. Equal texts score alike; an empty table gives no rows.
     """
-    own = docs.select(F.col("text"), F.struct("*").alias("row"))
-    kind = own.schema["row"].dataType.simpleString()
-    found = own.mapInArrow(
-        _losses(models), f"row {kind}, n_words long, target_loss double, background_loss double"
+    found = with_answers(
+        docs, _answer(models), "n_words long, target_loss double, background_loss double"
     )
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,8 +22,9 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs together; the number of groups follows the table.
 GROUP = 16_384
-#: Words remembered by a worker; a full memory is emptied and filled anew.
-REMEMBERED = 700_000
+#: Words that a worker remembers. With a full memory the others are learned anew, run by
+#: run; they are rare, unless the texts change, and then the memory is emptied.
+REMEMBERED = 400_000
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
@@ -40,18 +42,19 @@ class _Words(dict):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {"": b""}
+        self.passing: dict[str, bytes] = {}
 
     def _encode(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
+    def _punctuation(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
             found = self.parts[part] = self._encode(part)
         return found
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learned(self, parts: list[str]) -> dict[str, bytes]:
         """All new parts in one call; a part of letters only is one word to the tokenizer."""
         found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, dtype="<u4")
@@ -59,28 +62,37 @@ class _Words(dict):
         ends = np.flatnonzero(np.append(words[1:] != words[:-1], True)) + 1
         if len(ends) != len(parts):
             raise ValueError("the tokenizer splits runs of letters")
-        begin = 0
-        for part, end in zip(parts, ends.tolist(), strict=True):
-            self.parts[part] = ids[begin:end].tobytes()
-            begin = end
+        data, ends = ids.tobytes(), (4 * ends).tolist()
+        return {p: data[a:b] for p, a, b in zip(parts, [0, *ends], ends, strict=False)}
 
     def prepare(self, words: set[str]) -> None:
-        if len(self) > REMEMBERED:
+        """Make sure of the ids of these words, the next ones to be asked for."""
+        new = list(words.difference(self))
+        if len(self) > REMEMBERED and 2 * len(new) > len(words):
             self.clear()
             self[""] = b""
-        if len(self.parts) > REMEMBERED:
             self.parts = {"": b""}
-        new = list(words.difference(self))
+            new = list(words)
+        self.passing = {}
+        store = self if len(self) <= REMEMBERED else self.passing
         cores = [word.rstrip(PUNCTUATION) for word in new]
         parts = [part for part in set(cores).difference(self.parts) if _LETTERS.fullmatch(part)]
+        known = self.parts
         if parts:
-            self._learn(parts)
-        for word, core, ids in zip(new, cores, map(self.parts.get, cores), strict=True):
+            learned = self._learned(parts)
+            if len(known) <= REMEMBERED:
+                known.update(learned)
+            else:
+                known = ChainMap(learned, known)
+        for word, core, ids in zip(new, cores, map(known.get, cores), strict=True):
             if ids is not None:
-                self[word] = ids if len(core) == len(word) else ids + self._part(word[len(core) :])
+                end = word[len(core) :]
+                store[word] = ids + self._punctuation(end) if end else ids
 
     def __missing__(self, word: str) -> bytes:
-        found = self[word] = self._encode(word)
+        found = self.passing.get(word)
+        if found is None:
+            found = self.passing[word] = self._encode(word)
         return found
 
     def encode(self, words: list[str]) -> bytes:

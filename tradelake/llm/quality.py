@@ -6,7 +6,6 @@ encodings, and the weighted sum is scored, so one bad passage among good ones co
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import held_out, runs
+from tradelake.llm.common import held_out, runs, with_answers
 
 PASSAGE = 512
 HASHED = 256
@@ -192,8 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED) -> Model:
     return train([(row["text"], row["quality"]) for row in found.collect()])
 
 
-def _score(model: Model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [text or "" for text in batch.column("text").to_pylist()]
             found = [model.scores(run) for run in runs(texts)]
@@ -211,9 +209,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     The whole text decides and nothing else; a null text counts as empty and is
     scored too. Equal texts score alike; an empty table gives no rows.
     """
-    own = docs.select(F.col("text"), F.struct("*").alias("row"))
-    kind = own.schema["row"].dataType.simpleString()
-    found = own.mapInArrow(_score(model), f"row {kind}, quality_score double")
+    found = with_answers(
+        docs, lambda texts: [pa.array(model.scores(texts), pa.float64())], "quality_score double"
+    )
     return found.withColumn("predicted", (F.col("quality_score") >= THRESHOLD).cast("int"))
 
 
