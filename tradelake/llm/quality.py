@@ -191,18 +191,6 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED) -> Model:
     return train([(row["text"], row["quality"]) for row in found.collect()])
 
 
-def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            found = [model.scores(run) for run in runs(texts)]
-            values = pa.array(np.concatenate([np.zeros(0), *found]), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], values], [*batch.schema.names[1:], "quality_score"]
-            )
-
-    return score
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``row`` (the document, all its columns), ``quality_score`` and ``predicted``.
 
