@@ -30,7 +30,7 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 
 
-class _Words(dict):
+class _Words:
     """Token ids, as little-endian bytes, of each blank-free run of characters.
 
     The tokenizer drops blanks and never joins across them, so the ids of a text are
@@ -39,10 +39,9 @@ class _Words(dict):
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
+        self.whole: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
-        self.passing: dict[str, bytes] = {}
 
     def _encode(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -54,7 +53,7 @@ class _Words(dict):
             found = self.parts[part] = self._encode(part)
         return found
 
-    def _learned(self, parts: list[str]) -> dict[str, bytes]:
+    def _letters(self, parts: list[str]) -> dict[str, bytes]:
         """All new parts in one call; a part of letters only is one word to the tokenizer."""
         found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, dtype="<u4")
@@ -65,39 +64,38 @@ class _Words(dict):
         data, ends = ids.tobytes(), (4 * ends).tolist()
         return {p: data[a:b] for p, a, b in zip(parts, [0, *ends], ends, strict=False)}
 
-    def prepare(self, words: set[str]) -> None:
-        """Make sure of the ids of these words, the next ones to be asked for."""
-        new = list(words.difference(self))
-        if len(self) > REMEMBERED and 2 * len(new) > len(words):
-            self.clear()
-            self[""] = b""
-            self.parts = {"": b""}
-            new = list(words)
-        self.passing = {}
-        store = self if len(self) <= REMEMBERED else self.passing
+    def _learned(self, new: list[str]) -> dict[str, bytes]:
         cores = [word.rstrip(PUNCTUATION) for word in new]
         parts = [part for part in set(cores).difference(self.parts) if _LETTERS.fullmatch(part)]
         known = self.parts
         if parts:
-            learned = self._learned(parts)
+            letters = self._letters(parts)
             if len(known) <= REMEMBERED:
-                known.update(learned)
+                known.update(letters)
             else:
-                known = ChainMap(learned, known)
+                known = ChainMap(letters, known)
+        out = {}
         for word, core, ids in zip(new, cores, map(known.get, cores), strict=True):
-            if ids is not None:
+            if ids is None:
+                out[word] = self._encode(word)
+            else:
                 end = word[len(core) :]
-                store[word] = ids + self._punctuation(end) if end else ids
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.passing.get(word)
-        if found is None:
-            found = self.passing[word] = self._encode(word)
+                out[word] = ids + self._punctuation(end) if end else ids
+        return out
+
+    def ids_of(self, words: set[str]) -> dict[str, bytes]:
+        names = list(words)
+        found = dict(zip(names, map(self.whole.get, names), strict=True))
+        new = [word for word, ids in found.items() if ids is None]
+        if len(self.whole) > REMEMBERED and 2 * len(new) > len(names):
+            self.whole.clear()
+            self.parts = {"": b""}
+        learned = self._learned(new)
+        if len(self.whole) <= REMEMBERED:
+            self.whole.update(learned)
+        found.update(learned)
         return found
 
-    def encode(self, words: list[str]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
-
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> _Words:
@@ -124,9 +122,9 @@ def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
     known = _words(path)
     for run in runs(texts):
         split = [_split(text) for text in run]
-        known.prepare(set().union(*split))
+        ids_of = known.ids_of(set().union(*split)).__getitem__
         for words in split:
-            yield known.encode(words)
+            yield b"".join(map(ids_of, words))
 
 
 def _cut(path: str, capacity: int, end_id: int, keep_ids: bool):
