@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import runs, written
@@ -268,24 +268,25 @@ def jaccard_groups(
 def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     """One document of every group: the one with the smallest doc_id.
 
-    Rows that repeat both id and text are one document; a document that links with
-    nothing stays.
+    Where that id stands on several texts of the group, the text with the smallest
+    digest stays; rows that repeat both id and text are one document. Documents
+    without a word stay as they are.
     """
     groups = jaccard_groups(docs, **options)
     groups = written(groups.filter("key IS NOT NULL"), "text-groups")
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").distinct()
-    # A group's smallest id can stand on several of its texts: the smallest key stays.
-    heads = groups.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("n_links") > 0))
-    several = heads.groupBy("class_id").agg(F.min("key").alias("stays"), F.count("*").alias("n"), F.countDistinct("key").alias("k"))
-    several = written(several.filter("n > 1"), "several-heads")
-    more = heads.join(several, heads["class_id"].eqNullSafe(several["class_id"])).filter("key <> stays")
-    gone = written(gone.union(more.select("doc_id", "key")).distinct(), "gone")
-    repeated = several.select(F.col("class_id").alias("doc_id"), F.col("stays").alias("key"))
-    keyed = docs.withColumn("_text_key", _key(F.col("text")))
-
-    def same(other: DataFrame):
-        return (keyed["_text_key"] == other["key"]) & keyed["doc_id"].eqNullSafe(other["doc_id"])
-
-    left = keyed.join(gone, same(gone), "left_anti")
-    once = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return left.join(repeated, same(repeated), "left_anti").unionByName(once).drop("_text_key")
+    first = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    gone = groups.filter(~first).select("doc_id", "key")
+    heads = groups.filter(first & (F.col("n_links") > 0)).select("class_id", "key").distinct()
+    stays = heads.groupBy("class_id").agg(F.min("key").alias("stays"), F.count("*").alias("n"))
+    stays = written(stays.filter("n > 1"), "heads")
+    more = heads.join(stays, heads["class_id"].eqNullSafe(stays["class_id"]))
+    more = more.filter("key <> stays").select(heads["class_id"].alias("doc_id"), "key")
+    # One plain key for both the join and the window, so that texts are dealt once.
+    row_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("no id")).alias("_row_id")
+    gone = gone.union(more).select("key", row_id).distinct().withColumnRenamed("key", "_text_key")
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.filter(worded).select("*", _key(F.col("text")).alias("_text_key"), row_id)
+    left = keyed.join(gone.hint("merge"), ["_text_key", "_row_id"], "left_anti")
+    once = Window.partitionBy("_text_key", "_row_id").orderBy("_text_key")
+    left = left.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1")
+    return left.select(docs.columns).unionByName(docs.filter(~worded))
