@@ -22,7 +22,7 @@ PAIRS = 1 << 20
 PAIR_WEIGHT = 0.7
 ADDED = 0.1
 #: Distinct words or pairs that a task adds up before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 
 def _flushed(values: list[np.ndarray], weights: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
