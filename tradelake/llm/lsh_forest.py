@@ -189,6 +189,11 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], ["key", "shingle_set"])
 
 
+def _row_id(name: str):
+    """An id as text without nulls, for joins."""
+    return F.coalesce(F.col(name).cast("string"), F.lit("no id")).alias("_row_id")
+
+
 def _key(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
@@ -236,8 +241,8 @@ def jaccard_groups(
     # Most texts share no prefix with any other: their signatures stay behind.
     met_texts = written(
         texts.select("key", "shingles", "signature")
-        .join(met.select("key").distinct(), "key", "left_semi")
-        .dropDuplicates(["key"]),
+        .dropDuplicates(["key"])
+        .join(met.select("key").distinct(), "key", "left_semi"),
         "texts-met",
     )
     wanted = written(
@@ -246,11 +251,14 @@ def jaccard_groups(
         ),
         "likely",
     )
-    asked = written(wanted.select("key").distinct(), "likely-keys")
-    # Whole texts are dealt by key, with the few keys asked for, at any size of table.
+    asked = wanted.select("key").distinct().join(counted, "key")
+    asked = written(asked.select("key", _row_id("first_id")), "likely-keys")
+    # One document of each text asked for: dealt by text and id, so that a text with many
+    # copies is not one heap, and alike at any size of table.
     held = written(
-        own.select("key", "text")
-        .join(asked.hint("merge"), "key", "left_semi")
+        own.select("key", _row_id("doc_id"), "text")
+        .join(asked.hint("merge"), ["key", "_row_id"], "left_semi")
+        .select("key", "text")
         .mapInArrow(_shingle_sets, "key binary, shingle_set binary")
         .dropDuplicates(["key"]),
         "shingle-sets",
@@ -282,7 +290,7 @@ def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     more = heads.join(stays, heads["class_id"].eqNullSafe(stays["class_id"]))
     more = more.filter("key <> stays").select(heads["class_id"].alias("doc_id"), "key")
     # One plain key for both the join and the window, so that texts are dealt once.
-    row_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("no id")).alias("_row_id")
+    row_id = _row_id("doc_id")
     gone = gone.union(more).select("key", row_id).distinct().withColumnRenamed("key", "_text_key")
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     keyed = docs.filter(worded).select("*", _key(F.col("text")).alias("_text_key"), row_id)
