@@ -13,6 +13,8 @@ from tradelake.session import prepare, scratch_path
 #: A word is a run of anything but the six ASCII blanks, as ``bytes.split()`` has it.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
+#: Rows whose texts a worker holds as Python strings at a time.
+ROWS_AT_ONCE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +67,16 @@ def with_answers(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for run in runs([text or "" for text in batch.column(place).to_pylist()]):
-                part = batch.slice(at, len(run))
-                row = pa.StructArray.from_arrays(part.columns, names=own)
-                yield pa.RecordBatch.from_arrays([row, *answer(run)], ["row", *names])
-                at += len(run)
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(first, ROWS_AT_ONCE)
+                at = 0
+                for run in runs([text or "" for text in rows.column(place).to_pylist()]):
+                    part = rows.slice(at, len(run))
+                    row = pa.StructArray.from_arrays(part.columns, names=own)
+                    yield pa.RecordBatch.from_arrays([row, *answer(run)], ["row", *names])
+                    at += len(run)
+        # Workers live on after their task; what Arrow keeps for later would stay with them.
+        pa.default_memory_pool().release_unused()
 
     row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     return docs.mapInArrow(work, f"row {row}, {answers}")

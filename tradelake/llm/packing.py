@@ -24,7 +24,7 @@ END_ID = 1
 GROUP = 16_384
 #: Words that a worker remembers. With a full memory the others are learned anew, run by
 #: run; they are rare, unless the texts change, and then the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
