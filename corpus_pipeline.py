@@ -38,7 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return packing.pack_documents(docs)
+    # The workers of earlier stages live on, so this one remembers fewer words.
+    return packing.pack_documents(docs, remembered=150_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

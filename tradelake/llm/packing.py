@@ -24,7 +24,7 @@ END_ID = 1
 GROUP = 16_384
 #: Words that a worker remembers. With a full memory the others are learned anew, run by
 #: run; they are rare, unless the texts change, and then the memory is emptied.
-REMEMBERED = 150_000
+REMEMBERED = 500_000
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
@@ -38,7 +38,8 @@ class _Words:
     them: ``parts`` has those of letters only, and of punctuation only.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int) -> None:
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.whole: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
@@ -70,7 +71,7 @@ class _Words:
         known = self.parts
         if parts:
             letters = self._letters(parts)
-            if len(known) <= REMEMBERED:
+            if len(known) <= self.remembered:
                 known.update(letters)
             else:
                 known = ChainMap(letters, known)
@@ -87,19 +88,19 @@ class _Words:
         names = list(words)
         found = dict(zip(names, map(self.whole.get, names), strict=True))
         new = [word for word, ids in found.items() if ids is None]
-        if len(self.whole) > REMEMBERED and 2 * len(new) > len(names):
+        if len(self.whole) > self.remembered and 2 * len(new) > len(names):
             self.whole.clear()
             self.parts = {"": b""}
         learned = self._learned(new)
-        if len(self.whole) <= REMEMBERED:
+        if len(self.whole) <= self.remembered:
             self.whole.update(learned)
         found.update(learned)
         return found
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
-    return _Words(path)
+def _words(path: str, remembered: int) -> _Words:
+    return _Words(path, remembered)
 
 
 def _split(text: str) -> list[str]:
@@ -117,9 +118,9 @@ def _split(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").split(" ")
 
 
-def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
+def token_ids(texts: list[str], path: str, remembered: int = REMEMBERED) -> Iterator[bytes]:
     """Little-endian unsigned 32-bit ids of each text."""
-    known = _words(path)
+    known = _words(path, remembered)
     for run in runs(texts):
         split = [_split(text) for text in run]
         ids_of = known.ids_of(set().union(*split)).__getitem__
@@ -127,14 +128,14 @@ def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
             yield b"".join(map(ids_of, words))
 
 
-def _cut(path: str, capacity: int, end_id: int, keep_ids: bool):
+def _cut(path: str, capacity: int, end_id: int, keep_ids: bool, remembered: int):
     end = np.array([end_id], dtype="<u4").tobytes()
     width = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, out = batch["key"].tolist(), []
-            for key, ids in zip(keys, token_ids(batch["text"].tolist(), path), strict=True):
+            for key, ids in zip(keys, token_ids(batch["text"].tolist(), path, remembered), strict=True):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
@@ -152,6 +153,7 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     keep_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Every document's ids, then ``end_id``, cut after each ``capacity`` ids.
 
@@ -164,7 +166,7 @@ def pieces(
     return docs.select(
         F.col("doc_id").cast("string").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).mapInPandas(
-        _cut(path, capacity, end_id, keep_ids), schema + (", ids binary" if keep_ids else "")
+        _cut(path, capacity, end_id, keep_ids, remembered), schema + (", ids binary" if keep_ids else "")
     )
 
 
@@ -238,6 +240,7 @@ def pack_documents(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     keep_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Every document's pieces and their places in sequences of ``capacity`` ids.
 
@@ -245,7 +248,7 @@ def pack_documents(
     asked for, ``sequence_id``, ``offset``. Only documents longer than a sequence are
     cut. An empty table gives no rows; other columns of ``docs`` are ignored.
     """
-    cut = pieces(docs, path, capacity, end_id, keep_ids)
+    cut = pieces(docs, path, capacity, end_id, keep_ids, remembered)
     packed = pack(cut, docs.count(), capacity)
     doc_id = F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id")
     return packed.select(doc_id, *[name for name in packed.columns if name != "key"])
