@@ -132,6 +132,21 @@ def test_same_id_on_linked_texts(spark):
     assert len(kept) == 2 and rows[2][1] in [r.text for r in kept]
 
 
+def test_repeated_passages(spark):
+    """Sets are compared, so a text stands with its own repetitions."""
+    text = " ".join(f"w{i}" for i in range(100))
+    line = " ".join(f"w{i}" for i in range(40, 60))
+    other = " ".join(f"x{i}" for i in range(100))
+    texts = [text, f"{text} {text}", f"{text} {text} {text}", f"{text} {line} {line} {line}", other, f"{other} {text}"]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    docs = documents(spark, rows)
+    found = lsh_forest.jaccard_groups(docs).collect()
+    wanted = plain_groups(rows, linked_sets(rows))
+    assert [n for _, n, _ in wanted] == [3, 3, 3, 3, 0, 0]
+    assert sorted((r.doc_id, r.n_links, r.class_id) for r in found) == wanted
+    assert sorted(r.doc_id for r in lsh_forest.without_near_copies(docs).collect()) == [0, 4, 5]
+
+
 def test_empty_documents(spark):
     assert lsh_forest.jaccard_groups(documents(spark, [])).collect() == []
     assert lsh_forest.without_near_copies(documents(spark, [])).collect() == []

@@ -39,13 +39,14 @@ def prefix_length(similarity: float, trees: int, depth: int, recall: float) -> i
 
 
 def signatures(texts: list[str], steps: np.ndarray = _STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """A matrix of minimum hashes, one row per text, and the texts' numbers of shingles.
+    """A matrix of minimum hashes, one row per text, and the texts' numbers of distinct
+    shingles.
 
     Of each minimum the lower 16 bits are kept, which differ like the minima do.
     """
     windows, ends = shingle_hashes(*word_hashes(texts))
-    counts = np.diff(ends)
-    some = np.flatnonzero(counts)
+    some = np.flatnonzero(np.diff(ends))
+    counts = np.array([len(np.unique(windows[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)], dtype=np.int64)
     found = np.zeros((len(texts), len(steps)), dtype=np.uint16)
     if len(some):
         values = (windows >> np.uint64(32)).astype(np.uint32)
