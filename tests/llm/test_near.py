@@ -132,6 +132,20 @@ def test_same_id_on_linked_texts(spark):
     assert len(kept) == 2 and rows[2][1] in [r.text for r in kept]
 
 
+def test_groups_with_the_same_first_id(spark):
+    """Unconnected groups leave one document each, also without an id or with a shared one."""
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    rows = [(5, texts[0]), (7, texts[0] + " now"), (5, texts[1]), (9, texts[1] + " now"),
+            (None, texts[2]), (None, texts[2] + " now"), (None, texts[3]), (None, texts[3]),
+            (None, texts[4]), (3, texts[4] + " now")]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    roots = {r.key: r.root for r in lsh_forest.jaccard_groups(docs).collect()}
+    assert len(set(roots.values())) == 5
+    kept = [(r.doc_id, r.text) for r in lsh_forest.without_near_copies(docs).collect()]
+    assert sorted(t[0] for _, t in kept) == list("abcde")
+    assert sorted(kept, key=str)[:3] == [(3, texts[4] + " now"), (5, texts[0]), (5, texts[1])]
+
+
 def test_repeated_passages(spark):
     """Sets are compared, so a text stands with its own repetitions."""
     text = " ".join(f"w{i}" for i in range(100))

@@ -216,10 +216,12 @@ def jaccard_groups(
 
     Columns: ``doc_id``, ``key`` (digest of the text; null if it has no word),
     ``n_links`` (other documents linked, copies included), ``n_text_links`` (other
-    texts), ``class_id`` (smallest doc_id of the connected group). Texts under five
-    words are one shingle; null texts and texts without a word link with nothing and
-    are a class of their own. Rows with an equal doc_id count each; other columns are
-    ignored; an empty table gives no rows.
+    texts), ``class_id`` (smallest doc_id of the connected group), ``root`` (smallest
+    key of the group). Groups are told apart by ``root``: they share a ``class_id``
+    where a doc_id stands in several of them, or where none of their documents has
+    one. Texts under five words are one shingle; null texts and texts without a word
+    link with nothing and are a class of their own. Rows with an equal doc_id count
+    each; other columns are ignored; an empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     own = docs.select("doc_id", _key(F.col("text")).alias("key"), "text")
@@ -271,6 +273,7 @@ def jaccard_groups(
         "doc_id", "key", "n_links",
         F.col("n_distinct_links").alias("n_text_links"),
         F.col("component_id").alias("class_id"),
+        "root",
     )
 
 
@@ -285,11 +288,10 @@ def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     groups = written(groups.filter("key IS NOT NULL"), "text-groups")
     first = F.col("doc_id").eqNullSafe(F.col("class_id"))
     gone = groups.filter(~first).select("doc_id", "key")
-    heads = groups.filter(first & (F.col("n_links") > 0)).select("class_id", "key").distinct()
-    stays = heads.groupBy("class_id").agg(F.min("key").alias("stays"), F.count("*").alias("n"))
+    heads = groups.filter(first & (F.col("n_links") > 0)).select("root", "doc_id", "key").distinct()
+    stays = heads.groupBy("root").agg(F.min("key").alias("stays"), F.count("*").alias("n"))
     stays = written(stays.filter("n > 1"), "heads")
-    more = heads.join(stays, heads["class_id"].eqNullSafe(stays["class_id"]))
-    more = more.filter("key <> stays").select(heads["class_id"].alias("doc_id"), "key")
+    more = heads.join(stays, "root").filter("key <> stays").select("doc_id", "key")
     # One plain key for both the join and the window, so that texts are dealt once.
     row_id = _row_id("doc_id")
     gone = gone.union(more).select("key", row_id).distinct().withColumnRenamed("key", "_text_key")

@@ -201,10 +201,11 @@ def near_vectors(
 
 
 def with_components(members: DataFrame, distinct: DataFrame, links: DataFrame, id_name: str) -> DataFrame:
-    """Every member with ``n_links``, ``n_distinct_links`` and ``component_id``.
+    """Every member with ``n_links``, ``n_distinct_links``, ``component_id`` and ``root``.
 
     ``members`` has the id and ``key`` (null: links with nothing), ``distinct`` has
     ``key``, ``copies`` and ``first_id``, ``links`` what :func:`link_counts` gave.
+    ``root`` is a component's smallest key, also where components share their first id.
     """
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     sums = links.groupBy("key").agg(F.sum("links").alias("links"), F.sum("row_links").alias("row_links"))
@@ -215,7 +216,7 @@ def with_components(members: DataFrame, distinct: DataFrame, links: DataFrame, i
         "linked",
     )
     first = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = linked.join(first, "root").select("key", "links", "row_links", "component_id")
+    known = linked.join(first, "root").select("key", "links", "row_links", "root", "component_id")
     known = written(
         distinct.select("key", "copies", "first_id")
         .join(known, "key", "left")
@@ -225,6 +226,7 @@ def with_components(members: DataFrame, distinct: DataFrame, links: DataFrame, i
             (F.col("copies") - 1 + F.coalesce("row_links", F.lit(0))).alias("n_links"),
             F.coalesce("links", F.lit(0)).alias("n_distinct_links"),
             F.when(F.col("links").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+            "root",
             F.lit(True).alias("known"),
         ),
         "groups",
@@ -234,4 +236,5 @@ def with_components(members: DataFrame, distinct: DataFrame, links: DataFrame, i
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_distinct_links", F.lit(0)).cast("long").alias("n_distinct_links"),
         F.when(F.col("known"), F.col("component_id")).otherwise(F.col(id_name)).alias("component_id"),
+        F.coalesce("root", "key").alias("root"),
     )
