@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -209,6 +210,25 @@ def test_counts_of_all_documents(spark, sf_dir):
     assert 250 < len(models.codes) <= 300
 
 
+def test_no_word_or_pair_is_left_out(spark, monkeypatch):
+    """More words than 65,536 and more pairs seen twice than 2**20, over many chunks and buckets."""
+    rng = random.Random(9)
+    rare = [f"w{i}" for i in range(70_000)]
+    once = [" ".join(rare[k : k + 1000]) for k in range(0, 70_000, 1000)]
+    frequent = rng.choices([f"v{i}" for i in range(3000)], k=1_100_000)
+    many = [" ".join(frequent[k : k + 10_000]) for k in range(0, len(frequent), 10_000)]
+    rows = list(enumerate([*many, *many, *once, *once]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    good = set(range(0, len(rows), 3))
+    models = lm.fit(docs, labels(spark, [(i, 1) for i in good]))
+    monkeypatch.setattr(lm, "CHUNK", 1 << 16)
+    found = {r.row.doc_id: r for r in lm.score(docs, models).collect()}
+    assert len(found) == len(rows)
+    for (doc_id, _), (background, target) in zip(rows, plain_losses(rows, good, math.inf), strict=True):
+        assert found[doc_id].background_loss == pytest.approx(background)
+        assert found[doc_id].target_loss == pytest.approx(target)
+
+
 def test_losses_of_odd_documents(spark):
     docs = documents(spark)
     models = lm.fit(docs, labels(spark))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,19 +11,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import runs, with_answers, written
-from tradelake.llm.hashing import word_hashes
+from tradelake.llm.common import WORD, runs, with_answers, written
+from tradelake.llm.hashing import mixed, word_hashes
 
-#: The models know at most this many words, the most frequent ones of all documents;
-#: the rest is one unknown word.
-VOCABULARY = 1 << 16
-#: And at most this many pairs of known words; other pairs are judged by their second word.
-PAIRS = 1 << 20
+#: How many words and pairs the models know: all. A caller may ask for the most frequent
+#: ones only, as :class:`Models` on the driver.
+VOCABULARY = PAIRS = math.inf
 #: Weight of the pair estimate, and what is added to every word count.
 PAIR_WEIGHT = 0.7
 ADDED = 0.1
 #: Distinct words or pairs that a task adds up before it hands them on.
 HELD = 1 << 18
+#: Characters of the texts that are scored together, and least number of the parts of
+#: the counts, which grow in number from about 16 million characters each.
+CHUNK = 3 << 19
+BUCKETS = 1 << 11
+#: Keys in a row of the written counts.
+ROW = 1 << 10
+#: What stands before a text's first word.
+_START = np.uint64(0x5851F42D4C957F2C)
+_PAIR = np.uint64(0xA24BAED4963EE407)
 
 
 def _flushed(values: list[np.ndarray], weights: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -186,15 +194,8 @@ def _sorted_arrays(counts: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray
     return values, np.stack(sums, axis=1).astype(np.float64)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, pairs: int = PAIRS
-) -> Models:
-    """Count all documents, and those of the target, into two models.
-
-    Words and pairs are counted over every document; tasks add up their own counts
-    before the shuffle. Both models know the same words and pairs, the most frequent
-    ones, and only these come to the driver.
-    """
+def _limited(docs: DataFrame, labels: DataFrame, vocabulary: float, pairs: float) -> Models:
+    """Models of the most frequent words and pairs, which come to the driver."""
     columns = "background long, target long"
     sums = (F.sum("background").alias("background"), F.sum("target").alias("target"))
     plain = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("is_target"))
@@ -216,6 +217,305 @@ def fit(
     return Models(known, counts[:-1], counts, codes, kept.astype(np.float32))
 
 
+def keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all words (even), of what stands before them, and of both (odd), and
+    where texts start."""
+    hashes, starts = word_hashes(texts)
+    word = hashes & ~np.uint64(1)
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[starts[:-1][np.diff(starts) > 0]] = _START
+    return word, before, mixed(before * _PAIR + word) | np.uint64(1), starts
+
+
+def _cuts(found: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
+    """Buckets of sorted keys, and the bounds of each bucket's keys."""
+    bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    new = np.flatnonzero(np.diff(bucket)) + 1
+    bounds = [0, *new.tolist(), len(found)] if len(found) else [0]
+    return bucket[bounds[:-1]].tolist(), bounds
+
+
+def _added(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their summed counts."""
+    distinct, place = np.unique(np.concatenate(found), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    begins = np.searchsorted(place[order], np.arange(len(distinct)))
+    if not len(distinct):
+        return distinct, np.zeros((0, 2), np.int64)
+    return distinct, np.add.reduceat(np.concatenate(counts)[order], begins, axis=0)
+
+
+_PARTS = "bucket int, keys binary, counts binary"
+_TABLE = f"{_PARTS}, n_words long, background long, target long"
+
+
+def _counted_keys(buckets: int):
+    """Counts of all keys, added up over a stretch of texts and cut by bucket."""
+
+    def part(found: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        distinct, sums = _added(found, counts)
+        numbers, bounds = _cuts(distinct, buckets)
+        cut = list(zip(bounds, bounds[1:], strict=False))
+        arrays = [
+            pa.array(numbers, pa.int32()),
+            pa.array([distinct[a:b].tobytes() for a, b in cut], pa.binary()),
+            pa.array([sums[a:b].tobytes() for a, b in cut], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["bucket", "keys", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(np.int64)
+            at = 0
+            for run in runs(batch.column("text").to_pylist()):
+                word, _, pair, starts = keys(run)
+                numbers = np.diff(starts)
+                owner = at + np.repeat(np.arange(len(run)), numbers)
+                worded = at + np.flatnonzero(numbers)
+                own = np.concatenate([word, pair, np.full(len(worded), _START)])
+                marks = target[np.concatenate([owner, owner, worded])]
+                distinct, sums = _added([own], [np.stack([np.ones_like(marks), marks], axis=1)])
+                found.append(distinct)
+                counts.append(sums)
+                at += len(run)
+                size += len(distinct)
+                if size >= 4 * HELD:
+                    yield part(found, counts)
+                    found, counts, size = [], [], 0
+        if size:
+            yield part(found, counts)
+
+    return count
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The stretches of rows with an equal value of ``by``."""
+    for batch in batches:
+        if batch.num_rows:
+            values = batch.column(by).to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                yield int(values[a]), batch.slice(a, b - a)
+
+
+def _arrays(rows: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    found = [np.frombuffer(raw, np.uint64) for raw in rows.column("keys").to_pylist()]
+    counts = [np.frombuffer(raw, np.int64).reshape(-1, 2) for raw in rows.column("counts").to_pylist()]
+    return found, counts
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of each bucket; pairs seen once, which are as good as unseen, go."""
+
+    def table(bucket: int) -> pa.RecordBatch:
+        distinct, sums = _added(found, counts)
+        word = distinct & np.uint64(1) == 0
+        stay = word | (sums[:, 0] > 1)
+        word &= distinct != _START
+        totals = [int(word.sum()), *sums[word].sum(axis=0).tolist()]
+        distinct, sums = distinct[stay], sums[stay]
+        at = range(0, max(len(distinct), 1), ROW)
+        arrays = [
+            pa.array([bucket] * len(at), pa.int32()),
+            pa.array([distinct[a : a + ROW].tobytes() for a in at], pa.binary()),
+            pa.array([sums[a : a + ROW].tobytes() for a in at], pa.binary()),
+            *(pa.array([n] + [0] * (len(at) - 1), pa.int64()) for n in totals),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["bucket", "keys", "counts", "n_words", "background", "target"])
+
+    last, size = -1, 0
+    found: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    for bucket, rows in _pieces(batches, "bucket"):
+        if bucket != last and found:
+            yield table(last)
+            found, counts, size = [], [], 0
+        last = bucket
+        more, sums = _arrays(rows)
+        found += more
+        counts += sums
+        size += sum(map(len, more))
+        if size >= 16 * HELD:
+            distinct, own = _added(found, counts)
+            found, counts, size = [distinct], [own], 0
+    if found:
+        yield table(last)
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Counts of all words and pairs under both models, as a table cut by bucket."""
+
+    table: DataFrame
+    buckets: int
+    n_words: int
+    totals: tuple[int, int]
+
+
+def _characters(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, vocabulary: float = VOCABULARY, pairs: float = PAIRS
+) -> Counts | Models:
+    """Count all documents, and those of the target, into two models.
+
+    Words and pairs are counted over every document; tasks add up their own counts
+    before the shuffle, so that a frequent word is one entry of each. All words, and
+    all pairs seen twice, stay in a written table. With a limit, only the most frequent
+    ones are known, and these come to the driver.
+    """
+    if vocabulary < math.inf or pairs < math.inf:
+        return _limited(docs, labels, vocabulary, pairs)
+    buckets = max(BUCKETS, _characters(docs) >> 24)
+    counted = marked(docs, labels).mapInArrow(_counted_keys(buckets), _PARTS)
+    counted = counted.repartition("bucket").sortWithinPartitions("bucket")
+    table = written(counted.mapInArrow(_summed, _TABLE), "model-counts")
+    n, background, target = table.agg(F.sum("n_words"), F.sum("background"), F.sum("target")).first()
+    return Counts(table, buckets, n or 0, (background or 0, target or 0))
+
+
+def _asked(buckets: int):
+    """The distinct keys of every chunk, cut by bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def request(chunk: int) -> pa.RecordBatch:
+            distinct = np.unique(np.concatenate(found))
+            numbers, bounds = _cuts(distinct, buckets)
+            cut = [distinct[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+            arrays = [pa.array(numbers, pa.int32()), pa.array([chunk] * len(cut), pa.int32()), pa.array(cut, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk", "keys"])
+
+        last = -1
+        found: list[np.ndarray] = []
+        for chunk, rows in _pieces(batches, "chunk"):
+            if chunk != last and found:
+                yield request(last)
+                found = []
+            last = chunk
+            for run in runs(rows.column("text").to_pylist()):
+                word, _, pair, _ = keys(run)
+                found.append(np.unique(np.concatenate([word, pair, [_START]])))
+        if found:
+            yield request(last)
+
+    return ask
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of all keys that chunks ask for, in the order of the keys. The table's
+    own rows have chunk -1 and come first in their bucket."""
+    last, known, sums = -1, np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
+    for bucket, rows in _pieces(batches, "bucket"):
+        if bucket != last:
+            last, known, sums = bucket, known[:0], sums[:0]
+        own = rows.column("chunk").to_numpy() == -1
+        if own.any():
+            found, counts = _arrays(rows.filter(pa.array(own)))
+            known, sums = np.concatenate([known, *found]), np.concatenate([sums, *counts])
+            order = np.argsort(known)
+            known, sums = known[order], sums[order]
+        asked = rows.filter(pa.array(~own))
+        answers = []
+        for raw in asked.column("keys").to_pylist():
+            wanted = np.frombuffer(raw, np.uint64)
+            counts = np.zeros((2, len(wanted)), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                counts[:, known[place] == wanted] = sums[place[known[place] == wanted]].T
+            narrow = counts.max(initial=0) < 1 << 16
+            answers.append(counts.astype(np.uint16 if narrow else np.int64).tobytes())
+        arrays = [asked.column("chunk"), asked.column("bucket"), pa.array(answers, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["chunk", "bucket", "counts"])
+
+
+def _judged(buckets: int, n_words: int, totals: tuple[int, int]):
+    """Losses of a chunk's texts; the counts come before the rows, in order of bucket."""
+
+    def losses(texts: list[str], parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        at = [keys(run) for run in runs(texts)]
+        distinct = np.unique(np.concatenate([k for word, _, pair, _ in at for k in (word, pair)] + [[_START]]))
+        counts = np.zeros((len(distinct), 2))
+        _, bounds = _cuts(distinct, buckets)
+        for a, b, raw in zip(bounds[:-1], bounds[1:], parts, strict=True):
+            kind = np.uint16 if len(raw) == 4 * (b - a) else np.int64
+            counts[a:b] = np.frombuffer(raw, kind).reshape(2, -1).T
+        means, numbers = [], []
+        for word, before, pair, starts in at:
+            own = counts[np.searchsorted(distinct, word)]
+            seen = np.maximum(counts[np.searchsorted(distinct, before)] - 1, 0)
+            followed = np.maximum(counts[np.searchsorted(distinct, pair)] - 1, 0)
+            alone = (own + ADDED) / (np.array(totals) + ADDED * (n_words + 1))
+            share = np.minimum(followed / np.maximum(seen, 1), 1.0)
+            weight = np.where(seen > 0, PAIR_WEIGHT, 0.0)
+            loss = -np.log(weight * share + (1 - weight) * alone)
+            size = np.diff(starts)
+            sums = np.zeros((len(size), 2))
+            if size.any():
+                sums[size > 0] = np.add.reduceat(loss, starts[:-1][size > 0], axis=0)
+            means.append(sums / np.maximum(size, 1)[:, None])
+            numbers.append(size)
+        return np.concatenate(means), np.concatenate(numbers)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answer() -> Iterator[pa.RecordBatch]:
+            row = pa.concat_arrays(rows)
+            loss, words = losses(row.field(row.type.get_field_index("text")).to_pylist(), parts)
+            arrays = [row, pa.array(words, pa.int64()), pa.array(loss[:, 1]), pa.array(loss[:, 0])]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "n_words", "target_loss", "background_loss"])
+
+        last = -1
+        parts: list[bytes] = []
+        rows: list[pa.Array] = []
+        for chunk, piece in _pieces(batches, "chunk"):
+            if chunk != last and rows:
+                yield from answer()
+                parts, rows = [], []
+            last = chunk
+            is_row = piece.column("bucket").to_numpy() == buckets
+            parts += piece.column("counts").filter(pa.array(~is_row)).to_pylist()
+            if is_row.any():
+                rows.append(piece.column("row").filter(pa.array(is_row)))
+        if rows:
+            yield from answer()
+
+    return judge
+
+
+def _score_all(docs: DataFrame, models: Counts) -> DataFrame:
+    """Texts are dealt into chunks by id and text. A chunk asks for its distinct keys,
+    which the table's buckets answer, and is scored with what they know of them."""
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    chunks = _characters(docs) // CHUNK + 1
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
+    some = docs.filter(worded)
+    asked = some.select(chunk, "text").repartition("chunk").sortWithinPartitions("chunk")
+    asked = asked.mapInArrow(_asked(models.buckets), "bucket int, chunk int, keys binary")
+    table = models.table.select("bucket", F.lit(-1).alias("chunk"), "keys", "counts")
+    both = table.unionByName(asked, allowMissingColumns=True)
+    both = both.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    found = both.mapInArrow(_found, "chunk int, bucket int, counts binary")
+    rows = some.select(chunk, F.lit(models.buckets).alias("bucket"), F.struct("*").alias("row"))
+    rows = found.unionByName(rows, allowMissingColumns=True)
+    rows = rows.repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
+    scored = rows.mapInArrow(
+        _judged(models.buckets, models.n_words, models.totals),
+        f"row {row}, n_words long, target_loss double, background_loss double",
+    )
+    zero = F.lit(0.0)
+    blank = docs.filter(~worded).select(
+        F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
+        zero.alias("target_loss"), zero.alias("background_loss"),
+    )
+    return scored.unionByName(blank)
+
+
 def _answer(models: Models):
     def answer(texts: list[str]) -> list[pa.Array]:
         loss, words = models.losses(texts)
@@ -224,7 +524,7 @@ def _answer(models: Models):
     return answer
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
+def score(docs: DataFrame, models: Counts | Models) -> DataFrame:
     """The cross-entropy difference of every whole text.
 
     Columns: ``row`` (the document, all its columns), ``n_words``, ``target_loss``,
@@ -232,7 +532,10 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     the lower, the closer to the target). A text without a word, or null, has losses
     and a difference of 0. Equal texts score alike; an empty table gives no rows.
     """
-    found = with_answers(
-        docs, _answer(models), "n_words long, target_loss double, background_loss double"
-    )
+    if isinstance(models, Counts):
+        found = _score_all(docs, models)
+    else:
+        found = with_answers(
+            docs, _answer(models), "n_words long, target_loss double, background_loss double"
+        )
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
