@@ -34,6 +34,6 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert in_order(found) == in_order(wanted)
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in llm.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

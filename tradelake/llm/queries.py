@@ -15,7 +15,10 @@ from tradelake.llm import (
     mixing,
     packing,
     quality,
+    spelling,
+    toxicity,
     url_templates,
+    vafile,
     vectors,
     warc,
 )
@@ -96,6 +99,25 @@ def op10_jaccard_join(spark, sf_dir):
     return found.select("doc_id", "class_id", "n_links", "n_text_links")
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_score_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        "predicted",
+    )
+
+
+def op13_centroid_clusters(spark, sf_dir):
+    return vafile.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -108,6 +130,9 @@ def queries() -> dict[str, Query]:
         "op8_url_templates": op8_url_templates,
         "op9_mix_sources": op9_mix_sources,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_score_toxicity": op12_score_toxicity,
+        "op13_centroid_clusters": op13_centroid_clusters,
     }
 
 
@@ -116,4 +141,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_archives": WARC_SQL,
         "op8_url_templates": url_templates.oracle_sql(),
         "op9_mix_sources": mixing.ORACLE_SQL,
+        "op13_centroid_clusters": vafile.oracle_sql(),
     }
