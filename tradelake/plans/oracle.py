@@ -125,19 +125,26 @@ PARTS = {
             WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'signup' THEN 'retry_ok'
             ELSE 'ok' END AS kind,
         event_id % 50 AS n, event_type || ':' || props AS error FROM events)""",
-    "outcomes": """outcomes AS (SELECT event_id AS seq, user_id % 10 AS node_id,
-        epoch_us(ts) // 1000 AS at_ms, CASE WHEN event_id % 1999 = 7 THEN 'crash'
-            WHEN event_id % 2503 = 11 THEN 'final_failure' WHEN event_type = 'error'
-            THEN 'failure' WHEN event_type = 'signup' THEN 'retry_success'
-            ELSE 'success' END AS outcome,
-        event_id % 50 AS n, event_type || ':' || props AS error FROM events)""",
+    # Trades of two batches of three nodes; see tables.REFUSALS.
+    "flushed": f"""flushed AS (SELECT CASE WHEN exchange LIKE 'Binance%' THEN 1
+            WHEN exchange LIKE 'Bybit%' THEN 2 ELSE 3 END AS node_id, seq % 2 AS batch,
+            CAST(sum(CASE WHEN seq % 17 > 2 THEN seq % 3 + 1 ELSE 0 END) AS BIGINT) AS n
+        FROM (SELECT l_orderkey * 10 + l_linenumber AS seq, {_traded('l_suppkey')} AS exchange
+            FROM lineitem) GROUP BY ALL)""",
+    "outcomes": """outcomes AS (SELECT batch * 65536 + attempt AS seq, CAST(node_id AS BIGINT) AS node_id,
+        batch * 65536 + attempt AS at_ms, outcome, n,
+        CASE WHEN outcome LIKE '%failure' THEN 'no space for batch 0' END AS error
+        FROM flushed JOIN (VALUES (1, 0, 0, 'success'), (1, 1, 0, 'success'), (2, 0, 0, 'failure'),
+            (2, 0, 1, 'failure'), (2, 0, 2, 'retry_success'), (2, 1, 0, 'success'),
+            (3, 0, 0, 'failure'), (3, 0, 1, 'final_failure'), (3, 1, 0, 'success'))
+            AS told(node_id, batch, attempt, outcome) USING (node_id, batch))""",
     "outcome_events": """outcome_events AS (
         SELECT seq * 2 AS seq, node_id, at_ms, CASE outcome WHEN 'success' THEN 'ok'
             WHEN 'retry_success' THEN 'retry_ok' ELSE 'failed' END AS kind,
             CASE WHEN outcome IN ('failure', 'final_failure') THEN n ELSE 0 END AS n, error
         FROM outcomes
         UNION ALL SELECT seq * 2 + 1, node_id, at_ms, 'dropped', n, error FROM outcomes
-        WHERE outcome IN ('crash', 'final_failure'))""",
+        WHERE outcome = 'final_failure')""",
     "drop_events": f"""drop_events AS (SELECT event_id AS seq, user_id % 10 AS node_id,
         epoch_us(ts) // 1000 AS at_ms, CASE event_id % 3 WHEN 0 THEN 'event_channel'
             WHEN 1 THEN 'persist_channel' ELSE 'data_buffer' END AS stage,
@@ -475,11 +482,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feed_health": feed_answer,
         "feed_health_stream": late_feeds,
-        "flush_outcomes": _with("outcomes outcome_events", "SELECT * FROM outcome_events"),
+        "flush_outcomes": _with(
+            "flushed outcomes outcome_events", "SELECT * EXCLUDE (at_ms) FROM outcome_events"
+        ),
         "pipeline_health": f"WITH {PARTS['flush_events']}, {health} SELECT * FROM flush_health",
-        "pipeline_health_of_outcomes": f"""WITH {PARTS['outcomes']},
+        "pipeline_health_of_outcomes": f"""WITH {PARTS['flushed']}, {PARTS['outcomes']},
             {PARTS['outcome_events']}, {_flushes('outcome_events')}
-            SELECT * FROM flush_health""",
+            SELECT * EXCLUDE (last_flush_at), last_flush_at IS NOT NULL AS flushed
+            FROM flush_health""",
         "dropped_trades": _with(
             "drop_events",
             """SELECT node_id,

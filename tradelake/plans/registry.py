@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from tradelake.sources.whitelist import whitelist_rows
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health as health_stream
 from tradelake.streaming import ingest
+from tradelake.streaming.outcomes import FlushLog, supervise, write_attempts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -463,9 +465,36 @@ def feed_health_stream(spark, sf_dir):
     return _with_rest(spark, rows, _events(spark, sf_dir))
 
 
+def _write_attempts(spark, sf_dir) -> DataFrame:
+    """What became of the batches of three nodes: node 1 writes at once, node 2 at the
+    third attempt, and node 3 gives its first batch up after two."""
+    root = scratch_path(spark, "attempts")
+    events = t.market_events(t.given(spark, sf_dir, "lineitem"))
+    found = []
+    for node, (refusals, give_up_after) in t.REFUSALS.items():
+        own = events.filter(f"{t.NODE_OF_EXCHANGE} = {node}")
+        path = f"{root}/{node}"
+        table = t.UnreliableTable(spark, f"{path}/table", "year", {0: refusals})
+        log = FlushLog(spark, f"{path}/outcomes", node)
+
+        def start(stream, checkpoint, table=table, log=log, give_up_after=give_up_after):
+            def run():
+                return ingest.start_ingest(
+                    stream, table, checkpoint, until_caught_up=True, log=log, give_up_after=give_up_after
+                )
+
+            return supervise(run, restarts=3, pause_s=0, log=log)
+
+        _arriving(spark, [own.filter(F.pmod("seq", F.lit(2)) == n) for n in (0, 1)], path, start)
+        log.close()
+        found.append(write_attempts(spark, f"{path}/outcomes"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @registered
 def flush_outcomes(spark, sf_dir):
-    return pipeline.flush_outcome_events(t.flush_outcomes(_events(spark, sf_dir)))
+    """Flush events of streams that really failed; their times are the clock's."""
+    return pipeline.flush_outcome_events(_write_attempts(spark, sf_dir)).drop("at_ms")
 
 
 @registered
@@ -475,7 +504,9 @@ def pipeline_health(spark, sf_dir):
 
 @registered
 def pipeline_health_of_outcomes(spark, sf_dir):
-    return pipeline.pipeline_health(flush_outcomes(spark, sf_dir))
+    events = pipeline.flush_outcome_events(_write_attempts(spark, sf_dir))
+    flushed = F.col("last_flush_at").isNotNull().alias("flushed")
+    return pipeline.pipeline_health(events).select("*", flushed).drop("last_flush_at")
 
 
 @registered

@@ -6,10 +6,13 @@ one of the engine's input shapes.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.sources.exchanges import EXCHANGES
+from tradelake.sources.table import TradeTable
 
 FIRST_MS = 1_704_067_200_000
 #: Events arrive in four batches by time, some of them one batch late.
@@ -141,17 +144,23 @@ def flush_events(events: DataFrame) -> DataFrame:
     )
 
 
-def flush_outcomes(events: DataFrame) -> DataFrame:
-    return _events(
-        events,
-        "pmod(user_id, 10) AS node_id",
-        """CASE WHEN event_id % 1999 = 7 THEN 'crash' WHEN event_id % 2503 = 11
-            THEN 'final_failure' WHEN event_type = 'error' THEN 'failure'
-            WHEN event_type = 'signup' THEN 'retry_success'
-            ELSE 'success' END AS outcome""",
-        "event_id % 50 AS n",
-        "event_type || ':' || props AS error",
-    )
+#: Nodes of the ingest that fails: how often each is refused its first batch, and after
+#: how many failures it gives a batch up.
+REFUSALS: dict[int, tuple[int, int | None]] = {1: (0, None), 2: (2, None), 3: (9, 2)}
+NODE_OF_EXCHANGE = "CASE WHEN exchange LIKE 'Binance%' THEN 1 WHEN exchange LIKE 'Bybit%' THEN 2 ELSE 3 END"
+
+
+@dataclass(frozen=True)
+class UnreliableTable(TradeTable):
+    """A table whose store turns batches away, each as often as ``refusals`` says."""
+
+    refusals: dict[int, int] = field(default_factory=dict)
+
+    def append(self, trades: DataFrame, batch_id: int, flushed_at: int, source: str = "batch") -> int:
+        if self.refusals.get(batch_id, 0) > 0:
+            self.refusals[batch_id] -= 1
+            raise OSError(f"no space for batch {batch_id}")
+        return super().append(trades, batch_id, flushed_at, source)
 
 
 def drop_events(events: DataFrame) -> DataFrame:

@@ -28,3 +28,13 @@ class Files:
         if not self.exists(path):
             return 0
         return self._fs.getContentSummary(self._new_path(path)).getLength()
+
+    def write_text(self, path: str, text: str) -> None:
+        """A small file that is there as a whole or not at all."""
+        parent, _, name = path.rpartition("/")
+        partial = self._new_path(f"{parent}/.{name}.part")
+        stream = self._fs.create(partial, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        self._fs.delete(self._new_path(path), False)
+        self._fs.rename(partial, self._new_path(path))

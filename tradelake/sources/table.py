@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake import schemas
@@ -181,13 +181,13 @@ class TradeTable:
 
     def append(
         self, trades: DataFrame, batch_id: int, flushed_at: int, source: str = "batch"
-    ) -> None:
+    ) -> int:
         """Store one batch of a source; its numbers must rise. Writing a batch again
         replaces it, and does nothing once it has been settled. Rows with a null are
-        kept as rejects.
+        kept as rejects. Gives the number of trades stored.
         """
         if batch_id <= self._settled_batches().get(source, -1):
-            return
+            return 0
         whole = F.lit(True)
         for name in schemas.TRADE_COLUMNS:
             whole = whole & F.col(name).isNotNull()
@@ -199,7 +199,10 @@ class TradeTable:
             period_start(utc_day(F.col("ts")), self.period_length).alias("dt"),
             whole.alias("whole"),
         )
+        counted = Observation()
+        rows = rows.observe(counted, F.count_if("whole").alias("stored"))
         rows.write.mode("overwrite").parquet(f"{self.landing}/{source}-{batch_id}")
+        return counted.get["stored"]
 
     def settle(self) -> None:
         """Merge what has landed into its periods. Running it again is harmless.
