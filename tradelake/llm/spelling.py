@@ -288,14 +288,15 @@ def near_words(found: DataFrame) -> DataFrame:
     roots, depths = tries(found)
     routed = written(_routes(found, depths).join(roots, "key"), "letter-routes")
     asked = routed.groupBy("key").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("chunks"))
-    routed = routed.join(asked, "key")
+    routed = routed.join(written(asked, "letter-askers"), "key")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     part = F.pmod(F.xxhash64("word", F.lit(1)), "parts").cast("int")
     chunk = F.pmod(F.xxhash64("word", F.lit(2)), "chunks").cast("int")
     members = routed.filter("own").select("key", "word", "n", F.lit(True).alias("member"), part.alias("part"), every("chunks").alias("chunk"))
     askers = routed.select("key", "word", "n", F.lit(False).alias("member"), every("parts").alias("part"), chunk.alias("chunk"))
-    units = members.unionByName(askers).groupBy("key", "part", "chunk")
-    answers = units.applyInArrow(_search, "word string, n_near long, form string, form_n long")
+    # Dealt by unit and not by key alone, so that a trie asked by many spreads too.
+    units = members.unionByName(askers).repartition("key", "part", "chunk")
+    answers = units.groupBy("key", "part", "chunk").applyInArrow(_search, "word string, n_near long, form string, form_n long")
     best = F.min(F.struct((-F.col("form_n")).alias("n"), F.col("form").alias("form")))
     return (
         answers.groupBy("word")
