@@ -8,8 +8,10 @@ import pytest
 
 import folds
 from tradelake.operators import access
+from tradelake.sources.files import Files
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health
+from tradelake.streaming.keyed import KeyedState
 from tradelake.streaming.state import BatchState
 
 ACCESS = "seq bigint, node_id int, client int, at_ms bigint, kind string"
@@ -73,16 +75,65 @@ def test_a_late_request_finds_the_bucket_as_it_is(spark, scratch):
     assert found == {0: True, 1: True, 2: False, 3: False, 4: True}
 
 
+def known_clients(spark, path):
+    state = KeyedState(spark, f"{path}/out/state", "client", "int", 1_000)
+    return sorted(r["client"] for r in state.read().collect())
+
+
 def test_silent_clients_are_forgotten(spark, scratch):
-    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)], [(3, 1, 5_001)]]
+    """The state is as of the last question, before that batch's own answers."""
+    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)], [(3, 1, 5_001)], [(4, 3, 5_100)]]
     found = limited(spark, scratch, batches, 1, 100, idle_ms=1_000)
     assert all(found.values())
-    state = BatchState(spark, f"{scratch}/out/state").read("client int, open bigint, last bigint")
-    assert sorted(r["client"] for r in state.collect()) == [1, 2]
-    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)]]
+    assert known_clients(spark, scratch) == [1, 2]
+    batches = [[(0, 1, 0), (1, 2, 0)], [(2, 2, 5_000)], [(3, 3, 5_001)]]
     limited(spark, f"{scratch}/other", batches, 1, 100, idle_ms=1_000)
-    state = BatchState(spark, f"{scratch}/other/out/state").read("client int, open bigint, last bigint")
-    assert [r["client"] for r in state.collect()] == [2]
+    assert known_clients(spark, f"{scratch}/other") == [2]
+    with pytest.raises(ValueError, match="full after"):
+        limited(spark, f"{scratch}/bad", batches, 1, 1_001, idle_ms=1_000)
+
+
+def test_a_null_client_has_a_state_too(spark, scratch):
+    batches = [[(0, None, 0), (1, 4, 0)], [(2, None, 10), (3, 4, 20)], [(4, None, 50), (5, None, 101)]]
+    found = limited(spark, scratch, batches, 1, 100)
+    assert found == {0: True, 1: True, 2: False, 3: False, 4: False, 5: True}
+
+
+STATES = "client int, open bigint, last bigint, seen map<string, bigint>"
+
+
+def test_states_are_told_once_and_follow_the_batch(spark, scratch):
+    """A batch writes its own keys, whatever the number of keys that are known."""
+
+    def state():
+        return KeyedState(spark, f"{scratch}/state", "client", "int", 1 << 40)
+
+    def asked(rows, batch):
+        df = spark.createDataFrame(rows, "client int, at_ms bigint")
+        return {r["client"]: (r["open"], r["last"], r["seen"]) for r in state().ask(df, "q", batch).collect()}
+
+    def told(rows, batch):
+        state().tell(spark.createDataFrame(rows, STATES), "q", batch)
+
+    def stored():
+        return Files(spark, scratch).size(f"{scratch}/state/store/state")
+
+    assert asked([(i, 10) for i in range(20_000)], 0) == {}
+    told([(i, i, 10, {}) for i in range(20_000)], 0)
+    assert state().is_done("q", 0) and not state().is_done("q", 1)
+    assert asked([(7, 5), (-1, 5)], 1) == {7: (7, 10, {})}
+    large = stored()
+    # The same question again, as after a failure: the same answer.
+    assert asked([(7, 5), (-1, 5)], 1) == {7: (7, 10, {})}
+    told([(7, 9, 12, {"a": 1, "b": 2}), (7, 9, 11, {"b": 3})], 1)
+    assert asked([(7, 5)], 2) == {7: (9, 12, {"a": 1, "b": 3})}
+    # An earlier state that comes later only moves the last time; a later one replaces.
+    told([(7, 8, 30, {"a": 9})], 2)
+    assert asked([(7, 5)], 3) == {7: (9, 30, {"a": 1, "b": 3})}
+    told([(7, 11, 31, {"c": 1})], 3)
+    assert asked([(7, 5)], 4) == {7: (11, 31, {"c": 1})}
+    assert stored() - large < large / 4
+    assert len(Files(spark, scratch).children(f"{scratch}/state/inbox")) <= 3
 
 
 def test_sample_state_lasts_over_batches(spark, scratch, landed):

@@ -1,12 +1,15 @@
 """Streaming forms of the access summary, detail sample and rate limit.
 
-Each micro-batch is worked on by the batch operators, which split a key that has most
-of the rows, and a small table of state goes from batch to batch. Rows that come late
-count: a late request is taken at the latest time its key has been seen.
+Each micro-batch is worked on by the batch operators, which split a key that has most of
+the rows; what they need to know of earlier batches is kept per key in a state store.
+Rows that come late count: a late request is taken at the latest time its key has been
+seen.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,15 +22,17 @@ from tradelake.operators.access import (
     access_summary,
 )
 from tradelake.operators.admission import admit
+from tradelake.session import written
+from tradelake.streaming.keyed import KeyedState
 from tradelake.streaming.state import BatchState, each_batch
 
 SUMMARY = "node_id {node}, interval_start_ms bigint, " + ", ".join(
     f"{name} bigint" for name in COUNTERS.values()
 )
-LIMITER = "client {client}, open bigint, last bigint"
-SAMPLER = "node_id {node}, open bigint, last bigint, seen map<string, bigint>"
 #: A client that has been silent this long is forgotten; its bucket is full by then.
 IDLE_MS = 3_600_000
+NEVER_MS = 1 << 50
+NOTHING_SEEN = "CAST(map() AS map<string, bigint>)"
 
 
 def _kind(rows: DataFrame, name: str) -> str:
@@ -85,6 +90,37 @@ def _stored(spark: SparkSession, path: str, query: str, batch_id: int, rows: Dat
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _kept(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str,
+    idle_ms: int,
+    judged: Callable[[DataFrame, DataFrame], DataFrame],
+    states: Callable[[DataFrame, DataFrame], DataFrame],
+) -> StreamingQuery:
+    """Store what ``judged`` says of every micro-batch and the states before it, and tell
+    ``states`` of these answers and the batch to the keyed state.
+
+    A batch that is run again finds the state as it was before it. Answers are written
+    before states are told; a batch whose states are all told is done.
+    """
+    kind = _kind(stream, key)
+
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = KeyedState(spark, f"{path}/state", key, kind, idle_ms)
+        if state.is_done(query, batch_id):
+            return
+        # The batch is read several times below, its source once.
+        rows = written(batch, "arrived")
+        before = state.ask(rows, query, batch_id)
+        answers = _stored(spark, f"{path}/answers", query, batch_id, judged(rows, before))
+        state.tell(states(answers, rows), query, batch_id)
+
+    return each_batch(stream, checkpoint, work)
+
+
 def start_rate_limit(
     requests: DataFrame,
     path: str,
@@ -93,26 +129,23 @@ def start_rate_limit(
     window_ms: int = 10_000,
     idle_ms: int = IDLE_MS,
 ) -> StreamingQuery:
-    """Store every request with ``allowed``, keeping two numbers per client."""
-    schema = LIMITER.format(client=_kind(requests, "client"))
+    """Store every request with ``allowed``, keeping two numbers per client.
 
-    def work(batch: DataFrame, query: str, batch_id: int) -> None:
-        spark = batch.sparkSession
+    A client is forgotten after ``idle_ms`` of silence. Its bucket must be full by
+    then, so that is at least ``window_ms``.
+    """
+    if idle_ms < window_ms:
+        raise ValueError(f"a bucket is full after {window_ms} ms; idle_ms is {idle_ms}")
 
-        def step(before: DataFrame) -> DataFrame:
-            flagged = _admitted(batch, before, "client", max_requests, window_ms)
-            flagged = flagged.withColumnRenamed("admitted", "allowed").drop("window_start_ms")
-            answers = _stored(spark, f"{path}/answers", query, batch_id, flagged)
-            now = answers.select("client", "open", F.col("at").alias("last"))
-            after = before.unionByName(now).groupBy("client").agg(
-                F.max("open").alias("open"), F.max("last").alias("last")
-            )
-            newest = after.agg(F.max("last")).first()[0]
-            return after if newest is None else after.filter(F.col("last") >= newest - idle_ms)
+    def judged(rows: DataFrame, before: DataFrame) -> DataFrame:
+        flagged = _admitted(rows, before, "client", max_requests, window_ms)
+        return flagged.withColumnRenamed("admitted", "allowed").drop("window_start_ms")
 
-        BatchState(spark, f"{path}/state").fold(query, batch_id, schema, step)
+    def states(answers: DataFrame, rows: DataFrame) -> DataFrame:
+        latest = [F.max("open").alias("open"), F.max("at").alias("last")]
+        return answers.groupBy("client").agg(*latest).withColumn("seen", F.expr(NOTHING_SEEN))
 
-    return each_batch(requests, checkpoint, work)
+    return _kept(requests, path, checkpoint, "client", idle_ms, judged, states)
 
 
 def start_access_sample(
@@ -123,62 +156,64 @@ def start_access_sample(
     window_ms: int = DETAIL_MS,
     limit: int = DETAIL_LIMIT,
 ) -> StreamingQuery:
-    """Store the sampled detail of access events, keeping a few numbers per node."""
-    schema = SAMPLER.format(node=_kind(events, "node_id"))
-
-    def work(batch: DataFrame, query: str, batch_id: int) -> None:
-        spark = batch.sparkSession
-
-        def step(before: DataFrame) -> DataFrame:
-            windows = _admitted(
-                batch, before, "node_id", 1, window_ms, first_open_ms=start_ms + window_ms
-            )
-            order = Window.partitionBy("node_id", "window_start_ms", "kind").orderBy("at", "seq")
-            numbered = windows.withColumn("nth", F.row_number().over(order).cast("bigint"))
-            first = numbered.filter(F.col("nth") <= limit).drop("admitted", "open")
-            known = before.select(
-                F.col("node_id").alias("_node"),
-                (F.col("open") - window_ms).alias("_began"),
-                F.col("seen").alias("_seen"),
-            )
-            goes_on = F.col("node_id").eqNullSafe(F.col("_node")) & (
-                F.col("window_start_ms") == F.col("_began")
-            )
-            already = F.coalesce(F.try_element_at("_seen", F.col("kind")), F.lit(0))
-            sampled = (
-                first.join(known, goes_on, "left")
-                .withColumn("nth", F.col("nth") + already)
-                .filter(F.col("nth") <= limit)
-                .drop("_node", "_began", "_seen")
-            )
-            answers = _stored(spark, f"{path}/answers", query, batch_id, sampled)
-            return _sampler_state(before, answers, batch, window_ms)
-
-        BatchState(spark, f"{path}/state").fold(query, batch_id, schema, step)
-
-    return each_batch(events, checkpoint, work)
-
-
-def _sampler_state(
-    before: DataFrame, answers: DataFrame, batch: DataFrame, window_ms: int
+    """Store the sampled detail of access events, keeping a few numbers per node.
+
+    Nodes are few and none is forgotten: the last window of a silent one still counts.
+    """
+
+    def judged(rows: DataFrame, before: DataFrame) -> DataFrame:
+        windows = _admitted(
+            rows, before, "node_id", 1, window_ms, first_open_ms=start_ms + window_ms
+        )
+        order = Window.partitionBy("node_id", "window_start_ms", "kind").orderBy("at", "seq")
+        numbered = windows.withColumn("nth", F.row_number().over(order).cast("bigint"))
+        first = numbered.filter(F.col("nth") <= limit).drop("admitted", "open")
+        known = before.select(
+            F.col("node_id").alias("_node"),
+            (F.col("open") - window_ms).alias("_began"),
+            F.col("seen").alias("_seen"),
+        )
+        goes_on = F.col("node_id").eqNullSafe(F.col("_node")) & (
+            F.col("window_start_ms") == F.col("_began")
+        )
+        already = F.coalesce(F.try_element_at("_seen", F.col("kind")), F.lit(0))
+        return (
+            first.join(known, goes_on, "left")
+            .withColumn("nth", F.col("nth") + already)
+            .filter(F.col("nth") <= limit)
+            .drop("_node", "_began", "_seen")
+        )
+
+    def states(answers: DataFrame, rows: DataFrame) -> DataFrame:
+        return _sampler_states(answers, rows, start_ms, window_ms)
+
+    return _kept(events, path, checkpoint, "node_id", NEVER_MS, judged, states)
+
+
+def _sampler_states(
+    answers: DataFrame, rows: DataFrame, start_ms: int, window_ms: int
 ) -> DataFrame:
-    """Window, last time and counts of every node; a window's first event is sampled."""
-    counts = before.select(
-        "node_id",
-        (F.col("open") - window_ms).alias("began"),
-        F.explode_outer("seen").alias("kind", "n"),
-    ).unionByName(answers.select("node_id", F.col("window_start_ms").alias("began"), "kind", F.col("nth").alias("n")))
-    counts = counts.groupBy("node_id", "began", "kind").agg(F.max("n").alias("n"))
-    per_window = counts.groupBy("node_id", "began").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "n")))).alias("seen")
+    """Last window, its counts and the last time of the nodes of a batch.
+
+    A window's first event is sampled, so the answers show every window that began. A
+    node without any only moves its time; the window before the start is the least.
+    """
+    counts = answers.groupBy("node_id", F.col("window_start_ms").alias("began"), "kind").agg(
+        F.max("nth").alias("n")
     )
-    latest = per_window.groupBy("node_id").agg(F.max_by("seen", "began").alias("seen"), F.max("began").alias("began"))
-    lasts = before.select("node_id", "last").unionByName(
-        batch.select("node_id", F.col("at_ms").alias("last"))
-    ).groupBy("node_id").agg(F.max("last").alias("last"))
-    same = latest["node_id"].eqNullSafe(lasts["node_id"])
-    return latest.join(lasts, same).select(
-        latest["node_id"], (F.col("began") + window_ms).alias("open"), "last", "seen"
+    windows = counts.groupBy("node_id", "began").agg(
+        F.map_from_entries(F.collect_list(F.struct("kind", "n"))).alias("seen")
+    )
+    latest = windows.groupBy(F.col("node_id").alias("_node")).agg(
+        F.max_by("seen", "began").alias("seen"), F.max("began").alias("began")
+    )
+    lasts = rows.groupBy("node_id").agg(F.max("at_ms").alias("last"))
+    began = F.coalesce("began", F.lit(start_ms).cast("bigint"))
+    return lasts.join(latest, F.col("node_id").eqNullSafe(F.col("_node")), "left").select(
+        "node_id",
+        (began + window_ms).alias("open"),
+        "last",
+        F.coalesce("seen", F.expr(NOTHING_SEEN)).alias("seen"),
     )
 
 
