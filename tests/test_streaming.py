@@ -169,6 +169,32 @@ def test_summary_counts_open_intervals_and_late_events(spark, scratch, landed):
     assert batch.filter("interval_start_ms = -10000").count() == 1
 
 
+def test_intervals_are_written_once_and_late_events_correct_them(spark, scratch):
+    """Four batches; late events come after their interval has been closed."""
+    def rows(*times):
+        return [(at, at % 2, 0, at, "rate_limited") for at in times]
+
+    batches = [rows(*range(1_000, 9_000, 500)), rows(*range(20_000, 26_000, 500)), rows(1_500, 3_001, 25_000, 29_000), rows(21_000, 60_000)]
+    for number, batch in enumerate(batches):
+        spark.createDataFrame(batch, ACCESS).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema(ACCESS).parquet(f"{scratch}/in")
+        access_stream.start_summary(
+            stream, f"{scratch}/out", f"{scratch}/offsets", 0, 2_000, late_ms=3_000
+        ).awaitTermination()
+        so_far = [row for some in batches[: number + 1] for row in some]
+        found = access_stream.read_summary(spark, f"{scratch}/out", stream)
+        wanted = access.access_summary(spark.createDataFrame(so_far, ACCESS), 0, 2_000)
+        assert sorted(map(tuple, found.select(*wanted.columns).collect())) == sorted(map(tuple, wanted.collect()))
+    parts = access_stream.written_intervals(spark, f"{scratch}/out", stream)
+    closed = parts.filter("NOT late").groupBy("node_id", "interval_start_ms").count()
+    assert closed.count() == 9 and closed.filter("count > 1").count() == 0
+    late = {(r["node_id"], r["interval_start_ms"]): r["rate_limited"] for r in parts.filter("late").collect()}
+    # 21,000 came when all before 26,000 was closed; 25,000 came in time.
+    assert late == {(0, 0): 1, (1, 2_000): 1, (0, 20_000): 1}
+    left = access_stream.open_intervals(spark, f"{scratch}/out", stream)
+    assert [(r["interval_start_ms"], r["rate_limited"]) for r in left.collect()] == [(60_000, 1)]
+
+
 FEED = "seq bigint, exchange int, at_ms bigint, kind string, reason string"
 
 

@@ -29,6 +29,11 @@ def access_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("node_id").agg(*counters())
 
 
+def interval_start(start_ms: int, interval_ms: int) -> Column:
+    rest = f"pmod(at_ms - {start_ms}L, {interval_ms}L)"
+    return F.expr(f"at_ms - {rest}").alias("interval_start_ms")
+
+
 def access_summary(
     events: DataFrame, start_ms: int, interval_ms: int = SUMMARY_MS
 ) -> DataFrame:
@@ -37,9 +42,8 @@ def access_summary(
     Intervals count from the node's start, and the last, partial one is included;
     events before the start lie in intervals before it.
     """
-    start = F.expr(f"at_ms - pmod(at_ms - {start_ms}L, {interval_ms}L)").alias("interval_start_ms")
     known = events.filter(F.col("kind").isin(list(COUNTERS)))
-    return known.groupBy("node_id", start).agg(*counters())
+    return known.groupBy("node_id", interval_start(start_ms, interval_ms)).agg(*counters())
 
 
 def access_sample(

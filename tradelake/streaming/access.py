@@ -8,6 +8,7 @@ seen.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,12 +20,14 @@ from tradelake.operators.access import (
     DETAIL_LIMIT,
     DETAIL_MS,
     SUMMARY_MS,
-    access_summary,
+    counters,
+    interval_start,
 )
 from tradelake.operators.admission import admit
 from tradelake.session import written
+from tradelake.sources.files import Files
 from tradelake.streaming.keyed import KeyedState
-from tradelake.streaming.state import BatchState, each_batch
+from tradelake.streaming.state import each_batch
 
 SUMMARY = "node_id {node}, interval_start_ms bigint, " + ", ".join(
     f"{name} bigint" for name in COUNTERS.values()
@@ -32,6 +35,8 @@ SUMMARY = "node_id {node}, interval_start_ms bigint, " + ", ".join(
 #: A client that has been silent this long is forgotten; its bucket is full by then.
 IDLE_MS = 3_600_000
 NEVER_MS = 1 << 50
+#: An interval is kept open for events that come so much later than the newest one.
+LATE_MS = 60_000
 NOTHING_SEEN = "CAST(map() AS map<string, bigint>)"
 
 
@@ -43,25 +48,83 @@ def _kind(rows: DataFrame, name: str) -> str:
 
 
 def start_summary(
-    events: DataFrame, path: str, checkpoint: str, start_ms: int, interval_ms: int = SUMMARY_MS
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    start_ms: int,
+    interval_ms: int = SUMMARY_MS,
+    late_ms: int = LATE_MS,
 ) -> StreamingQuery:
-    """Keep every interval's counts, the open interval and late events included."""
-    schema = SUMMARY.format(node=_kind(events, "node_id"))
-
-    def work(batch: DataFrame, query: str, batch_id: int) -> None:
-        def step(before: DataFrame) -> DataFrame:
-            both = before.unionByName(access_summary(batch, start_ms, interval_ms))
-            sums = [F.sum(name).alias(name) for name in COUNTERS.values()]
-            return both.groupBy("node_id", "interval_start_ms").agg(*sums)
+    """Count events per interval in event time; see :func:`read_summary`.
 
-        BatchState(batch.sparkSession, path).fold(query, batch_id, schema, step)
+    An interval is written once, when event time has passed its end by ``late_ms``.
+    Events that come after that are counted apart, as corrections of their interval.
+    Intervals that are open are in the query's state store and nowhere else.
+    """
+    names = list(COUNTERS.values())
+    timed = events.filter(F.col("kind").isin(list(COUNTERS))).withColumn("at", F.timestamp_millis("at_ms"))
+    timed = timed.withWatermark("at", f"{late_ms} milliseconds")
+    offset = f"{start_ms % interval_ms} milliseconds"
+    window = F.window("at", f"{interval_ms} milliseconds", f"{interval_ms} milliseconds", offset)
+    began = F.unix_millis("window.start").alias("interval_start_ms")
+    closed = timed.groupBy("node_id", window).agg(*counters()).select("node_id", began, *names, F.lit(False).alias("late"))
+    ones = [(F.col("kind") == kind).cast("bigint").alias(name) for kind, name in COUNTERS.items()]
+    came = timed.select("node_id", interval_start(start_ms, interval_ms), *ones, F.lit(True).alias("late"))
 
-    return each_batch(events, checkpoint, work)
+    def work(batch: DataFrame, query: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+        Files(spark, path).write_text(f"{path}/queries/{query}", checkpoint)
+        passed = _late_before(spark, checkpoint, batch_id)
+        # Of the events themselves only those count here that Spark has left out as late.
+        due = batch.filter(~F.col("late") | (F.col("interval_start_ms") + interval_ms <= passed))
+        sums = [F.sum(name).alias(name) for name in names]
+        counted = due.groupBy("node_id", "interval_start_ms", "late").agg(*sums)
+        counted.write.mode("overwrite").parquet(f"{path}/intervals/query={query}/batch={batch_id}")
+
+    return each_batch(closed.unionByName(came), checkpoint, work)
+
+
+def _late_before(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The event time up to which a batch's intervals are closed: Spark judges lateness
+    by the watermark of the batch before, which the offset log holds."""
+    if batch_id == 0:
+        return 0
+    text = spark.read.text(f"{checkpoint}/offsets/{batch_id - 1}", wholetext=True).first()[0]
+    return json.loads(text.splitlines()[1])["batchWatermarkMs"]
+
+
+def written_intervals(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
+    """Closed intervals and corrections (``late``), each as its batch has counted it."""
+    schema = SUMMARY.format(node=_kind(events, "node_id")) + ", late boolean"
+    if not Files(spark, path).children(f"{path}/intervals"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/intervals/query=*/batch=*")
+
+
+def open_intervals(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
+    """The counts so far of the intervals that are not closed, from the state stores."""
+    found = spark.createDataFrame([], SUMMARY.format(node=_kind(events, "node_id")))
+    for query in Files(spark, path).children(f"{path}/queries"):
+        checkpoint = spark.read.text(f"{path}/queries/{query}").first()[0]
+        if not Files(spark, checkpoint).children(f"{checkpoint}/commits"):
+            continue
+        state = spark.read.format("statestore").load(checkpoint)
+        # The store calls every count "count"; they come in the order of the counters.
+        named = ", ".join(f"{name}: bigint" for name in COUNTERS.values())
+        began = F.unix_millis("key.window.start").alias("interval_start_ms")
+        found = found.unionByName(
+            state.select("key.node_id", began, F.col("value").cast(f"struct<{named}>").alias("n"))
+            .select("node_id", "interval_start_ms", "n.*")
+        )
+    return found
 
 
 def read_summary(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
-    """The counts of every interval of ``events`` so far."""
-    return BatchState(spark, path).read(SUMMARY.format(node=_kind(events, "node_id")))
+    """The counts of every interval of ``events`` so far: closed ones, their corrections
+    and the open ones."""
+    both = written_intervals(spark, path, events).drop("late").unionByName(open_intervals(spark, path, events))
+    sums = [F.sum(name).alias(name) for name in COUNTERS.values()]
+    return both.groupBy("node_id", "interval_start_ms").agg(*sums)
 
 
 # Rate limit and sample
