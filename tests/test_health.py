@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import folds
-from tradelake.operators import access, admission, feeds, pipeline
+from tradelake.operators import access, admission, feeds, flushes, pipeline
 
 KINDS = ["connected", "disconnected", "restarting", "stopped", "data"]
 
@@ -254,3 +254,33 @@ def test_limiter_passes_loopback_and_keeps_null_payload(spark):
     assert [row["allowed"] for row in flagged] == [True, True, False, True, False, False]
     assert all(row["note"] is None for row in flagged)
     assert admission.rate_limit_flags(requests, 0).filter("allowed").count() == 6
+
+
+def test_write_health_from_partials_equals_the_whole(spark):
+    """Any cut of each node's log into stretches, merged in one or two steps."""
+    rng = random.Random(4)
+    kinds = ["ok"] * 6 + ["failed", "retry_ok", "dropped"]
+    rows = []
+    for seq, key in enumerate(hot(rng, 4_000, 300)):
+        kind = rng.choice(kinds)
+        lost = 0 if kind == "dropped" and rng.random() < 0.8 else rng.choice([0, 1, 5])
+        rows.append((key, rng.randrange(2_000), seq, kind, lost, f"why {seq}"))
+    events = spark.createDataFrame(
+        rows, "node_id int, at_ms bigint, seq bigint, kind string, n bigint, error string"
+    )
+    wanted = sorted(map(tuple, pipeline.pipeline_health(events).collect()))
+    assert {True, False} == {row[1] for row in wanted}
+    keys = ["node_id"]
+    parts = flushes.flush_partials(events, keys, rows_per_stretch=50)
+    assert parts.select("stretch").distinct().count() > 10
+    assert sorted(map(tuple, flushes.health_of(parts, keys).collect())) == wanted
+    assert sorted(map(tuple, flushes.health_of(flushes.flush_partials(events, keys), keys).collect())) == wanted
+    even = parts.withColumn("group", F.expr("stretch div 3"))
+    some = [
+        flushes.merge_partials(even.filter(F.col("group") == g).drop("group"), keys)
+        for g in sorted(r[0] for r in even.select("group").distinct().collect())
+    ]
+    both = some[0]
+    for part in some[1:]:
+        both = both.unionByName(part)
+    assert sorted(map(tuple, flushes.health_of(both, keys).collect())) == wanted

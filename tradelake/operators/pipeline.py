@@ -148,17 +148,20 @@ def dropped_trades(events: DataFrame) -> DataFrame:
     return events.groupBy("node_id").agg(*lost)
 
 
-def saturation(events: DataFrame) -> DataFrame:
-    """Whether each stage of a node is saturated: its last event was a drop.
+def last_signals(events: DataFrame) -> DataFrame:
+    """Whether the last event of each latch was a drop (``set``).
 
-    The event channel has one latch per exchange and reports whether any is set;
-    the other two stages have one latch each.
+    The event channel of a node has one latch per exchange, the other stages one each.
     """
     latch = F.when(F.col("stage") == "event_channel", F.col("exchange")).alias("latch")
-    last = events.groupBy("node_id", "stage", latch).agg(
+    return events.groupBy("node_id", "stage", latch).agg(
         (F.max_by("kind", F.struct("at_ms", "seq")) == "drop").alias("set")
     )
-    return last.groupBy("node_id").agg(
+
+
+def saturation_of(signals: DataFrame) -> DataFrame:
+    """Whether any latch of each stage of a node is set."""
+    return signals.groupBy("node_id").agg(
         *[
             F.coalesce(
                 F.bool_or(F.when(F.col("stage") == stage, F.col("set"))), F.lit(False)
@@ -168,6 +171,11 @@ def saturation(events: DataFrame) -> DataFrame:
     )
 
 
+def saturation(events: DataFrame) -> DataFrame:
+    """Whether each stage of a node is saturated: its last event was a drop."""
+    return saturation_of(last_signals(events))
+
+
 def overall_status(
     pipeline: DataFrame, latches: DataFrame, feeds: DataFrame, database_ok: Column | bool = True
 ) -> DataFrame:

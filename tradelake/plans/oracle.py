@@ -209,9 +209,9 @@ def _feeds(name: str, keys: str, order: str = "at_ms, seq") -> str:
             FROM walked GROUP BY {keys})"""
 
 
-def _flushes(source: str) -> str:
+def _flushes(source: str, order: str = "at_ms, seq") -> str:
     """Write health by walking each node's log with windows."""
-    return f"""ranked AS (SELECT *, row_number() OVER (ORDER BY at_ms, seq) AS place
+    return f"""ranked AS (SELECT *, row_number() OVER (ORDER BY {order}) AS place
             FROM {source}),
         walk AS (SELECT *,
             coalesce(last_value(CASE kind WHEN 'failed' THEN n WHEN 'ok' THEN NULL ELSE 0 END
@@ -254,6 +254,16 @@ _FEED_ANSWER = f"""commits AS (SELECT {_traded('user_id')} AS exchange,
         coalesce(stream_restart_count, 0) AS stream_restart_count, last_persist_at
     FROM exchanges LEFT JOIN feeds USING (exchange) LEFT JOIN commits USING (exchange)"""
 
+_STATUS = """states AS (SELECT node_id, bool_or(state IN ('reconnecting', 'stopped')) AS down,
+        bool_or(state = 'starting') AS starting FROM feeds GROUP BY ALL)
+    SELECT node_id, CASE WHEN node_id = 3 OR NOT persistence_healthy
+        OR flush_retry_pending_trades > 0 OR flush_dropped_trades > 0
+        OR event_channel_saturated OR persist_channel_saturated
+        OR data_buffer_saturated OR down THEN 'degraded'
+        WHEN starting THEN 'starting' ELSE 'healthy' END AS status
+    FROM flush_health FULL JOIN saturation USING (node_id)
+        FULL JOIN states USING (node_id)"""
+
 _SIZE_RULE = "(n - n * 3 // 5)"
 _CUTOFF = NOW_MS - HOURS * 3_600_000
 _OLDEST_FIRST = "ORDER BY ts, exchange, symbol, price, qty, is_sell"
@@ -325,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         {_feeds('feeds', 'exchange', f'{_BATCH}, at_ms, seq')}, {_FEED_ANSWER}"""
     flags = "SELECT seq, client, at_ms, allowed FROM walk"
     health = _flushes("flush_events")
+    late_health = _flushes("flush_events", f"{_BATCH}, at_ms, seq")
     between = f"AND ts >= {FROM_MS} AND ts <= {TO_MS}"
     shown = "upper(coalesce(display_symbol, symbol))"
     answer = "ts, price, qty, is_sell"
@@ -503,16 +514,13 @@ def oracle_sql() -> dict[str, str]:
         "saturation": _with("drop_events saturation", "SELECT * FROM saturation"),
         "overall_status": f"""WITH {PARTS['flush_events']}, {health},
             {PARTS['drop_events']}, {PARTS['saturation']}, {PARTS['feed_events']},
-            {_feeds('feeds', 'node_id, exchange')},
-            states AS (SELECT node_id, bool_or(state IN ('reconnecting', 'stopped')) AS down,
-                bool_or(state = 'starting') AS starting FROM feeds GROUP BY ALL)
-            SELECT node_id, CASE WHEN node_id = 3 OR NOT persistence_healthy
-                OR flush_retry_pending_trades > 0 OR flush_dropped_trades > 0
-                OR event_channel_saturated OR persist_channel_saturated
-                OR data_buffer_saturated OR down THEN 'degraded'
-                WHEN starting THEN 'starting' ELSE 'healthy' END AS status
-            FROM flush_health FULL JOIN saturation USING (node_id)
-                FULL JOIN states USING (node_id)""",
+            {_feeds('feeds', 'node_id, exchange')}, {_STATUS}""",
+        "pipeline_health_stream": f"""WITH {PARTS['flush_events']}, {late_health}
+            SELECT * FROM flush_health""",
+        "overall_status_stream": f"""WITH {PARTS['flush_events']}, {late_health},
+            {PARTS['drop_events']}, {PARTS['saturation'].replace('ORDER BY at_ms', f'ORDER BY {_BATCH}, at_ms')},
+            {PARTS['feed_events']}, {_feeds('feeds', 'node_id, exchange', f'{_BATCH}, at_ms, seq')},
+            {_STATUS}""",
         "access_counts": _access(
             f"SELECT node_id, {_COUNTERS} FROM access_events GROUP BY ALL"
         ),

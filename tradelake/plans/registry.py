@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -530,6 +530,35 @@ def overall_status(spark, sf_dir):
     )
 
 
+@registered
+def pipeline_health_stream(spark, sf_dir):
+    """Over several batches and restarts, with events that come late."""
+    root = scratch_path(spark, "flushes")
+    events = t.flush_events(_events(spark, sf_dir))
+    _arriving(
+        spark, t.in_arrival(events), root, lambda s, c: health_stream.start_pipeline_health(s, f"{root}/health", c)
+    )
+    return health_stream.read_pipeline_health(spark, f"{root}/health", events)
+
+
+@registered
+def overall_status_stream(spark, sf_dir):
+    """Three streams per node, each in batches of its own, with events that come late."""
+    root, source = scratch_path(spark, "status"), _events(spark, sf_dir)
+    events = {"flushes": t.flush_events(source), "drops": t.drop_events(source), "feeds": t.feed_events(source)}
+    paths = {name: f"{root}/{name}/state" for name in events}
+    starts = {
+        "flushes": health_stream.start_pipeline_health,
+        "drops": health_stream.start_saturation,
+        "feeds": partial(health_stream.start_feed_health, keys=["node_id", "exchange"]),
+    }
+    for name, start in starts.items():
+        _arriving(
+            spark, t.in_arrival(events[name]), f"{root}/{name}", lambda s, c, n=name, go=start: go(s, paths[n], c)
+        )
+    return health_stream.read_overall_status(spark, paths, events, database_ok=F.col("node_id") != 3)
+
+
 # Access
 
 
