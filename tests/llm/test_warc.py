@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import struct
 
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -101,3 +102,59 @@ def test_faults_are_named(spark):
 
 def test_empty_table(pages):
     assert warc.pages_through_archives(pages.limit(0)).collect() == []
+
+
+def sound(text: bytes) -> bytes:
+    return warc.page_record("1", "http://a/", hashlib.sha256(text).hexdigest(), len(text), None, text)
+
+
+def read(content):
+    """Payloads of the sound records and the number of errors, as a task reads them."""
+    batch = pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+    rows = [row for part in warc._read(iter([batch])) for row in part.to_pylist()]
+    return [r["payload"] for r in rows if r["error"] is None], sum(r["error"] is not None for r in rows)
+
+
+@pytest.mark.parametrize("with_dictionary", [False, True])
+def test_an_archive_cut_anywhere(with_dictionary):
+    texts = [b"<p>%d</p>" % i * 30 for i in range(20 if with_dictionary else 3)]
+    content = warc.archive([sound(t) for t in texts])
+    data = memoryview(content)
+    places = [p for p in warc.frame_places(data) if int.from_bytes(data[p[0] : p[0] + 4], "little") == warc.FRAME_MAGIC]
+    assert (int.from_bytes(content[:4], "little") == warc.DICTIONARY_MAGIC) == with_dictionary
+    for cut in range(len(content)):
+        whole = sum(end <= cut for _, end in places)
+        at_a_border = cut in (0, places[0][0], *(end for _, end in places))
+        assert read(content[:cut]) == (texts[:whole], 0 if at_a_border else 1), cut
+
+
+def test_any_byte_of_an_archive_may_be_wrong():
+    """No crash; records before the damaged frame come back, as do those after it as long
+    as its end is known."""
+    texts = [b"<p>%d</p>" % i * 20 for i in range(3)]
+    content = warc.archive([sound(t) for t in texts])
+    ends = [end for _, end in warc.frame_places(memoryview(content))]
+    after = 0
+    for at in range(len(content)):
+        for value in (0, 255, content[at] ^ 1):
+            found, _ = read(content[:at] + bytes([value]) + content[at + 1 :])
+            hit = sum(end <= at for end in ends)
+            assert found[:hit] == texts[:hit]
+            after += hit == 1 and found[-1:] == texts[2:]
+    assert after > 30
+
+
+def test_a_record_with_odd_lengths_ends_nothing():
+    good = sound(b"x")
+    odd = [good.replace(b"Content-Length: 1\r\n", b"Content-Length: %s\r\n" % n) for n in ("²".encode(), b"9" * 5000, b"-1", b"")]
+    odd += [good.replace(b"Length: ", "Length: ²".encode(), 1), b"\xff\xfe\r\n\r\n", b""]
+    content = b"".join(zstandard.ZstdCompressor().compress(r) for r in [good, *odd, good])
+    found, errors = read(content)
+    assert found[0] == found[-1] == b"x" and len(found) + errors == len(odd) + 2
+
+
+def test_frames_may_not_decode_to_any_size(monkeypatch):
+    monkeypatch.setattr(warc, "LARGEST_RECORD", 10_000)
+    bomb = zstandard.ZstdCompressor().compress(b"\0" * 1_000_000)
+    ok = zstandard.ZstdCompressor().compress(sound(b"x"))
+    assert read(ok + bomb + ok) == ([b"x", b"x"], 1)

@@ -29,6 +29,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 LEAST_REVISIT = 100
 #: Bytes of records in an archive; one longer record has an archive of its own.
 ARCHIVE_BYTES = 4 << 20
+#: A record that decodes to more is an error: a small frame can claim any size.
+LARGEST_RECORD = 1 << 29
 DICTIONARY_BYTES = 16 << 10
 #: An archive's dictionary learns from at most this much of its records, evenly spread.
 LEARNED_BYTES = 1 << 20
@@ -178,6 +180,8 @@ def frame_end(data: memoryview, at: int) -> int:
     """Where the frame at ``at`` ends, from its header and block headers."""
     if int.from_bytes(data[at : at + 4], "little") != FRAME_MAGIC:
         raise ValueError("not a zstandard frame")
+    if at + 5 > len(data):
+        raise ValueError("a frame is cut short")
     described_by = data[at + 4]
     single = described_by >> 5 & 1
     size_bytes = (1 if single else 0, 2, 4, 8)[described_by >> 6]
@@ -186,6 +190,8 @@ def frame_end(data: memoryview, at: int) -> int:
         if at + 3 > len(data):
             raise ValueError("a frame is cut short")
         block = int.from_bytes(data[at : at + 3], "little")
+        if block >> 1 & 3 == 3:
+            raise ValueError("a block of a kind that does not exist")
         at += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)
         if block & 1:
             break
@@ -195,27 +201,58 @@ def frame_end(data: memoryview, at: int) -> int:
     return at
 
 
-def frames(content: bytes) -> Iterator[bytes]:
-    """The decoded frames of an archive, one at a time."""
-    data, at = memoryview(content), 0
-    options = {}
+def decode(frame: bytes | memoryview, trained: zstandard.ZstdCompressionDict | None = None) -> bytes:
+    """One frame, decoded; more than ``LARGEST_RECORD`` bytes are an error."""
+    options = {"dict_data": trained} if trained else {}
+    out = zstandard.ZstdDecompressor(**options).stream_reader(frame).read(LARGEST_RECORD + 1)
+    if len(out) > LARGEST_RECORD:
+        raise ValueError("a frame is too large")
+    return out
+
+
+def frame_places(data: memoryview) -> Iterator[tuple[int, int]]:
+    """Where the frames of an archive begin and end, skippable ones included."""
+    at = 0
     while at < len(data):
-        magic = int.from_bytes(data[at : at + 4], "little")
-        if magic & 0xFFFFFFF0 == 0x184D2A50:
+        if int.from_bytes(data[at : at + 4], "little") & 0xFFFFFFF0 == 0x184D2A50:
             end = at + 8 + int.from_bytes(data[at + 4 : at + 8], "little")
             if end > len(data):
                 raise ValueError("a frame is cut short")
-            if magic == DICTIONARY_MAGIC and at == 0:
-                trained = bytes(data[8:end])
-                if int.from_bytes(trained[:4], "little") == FRAME_MAGIC:
-                    trained = zstandard.ZstdDecompressor().decompressobj().decompress(trained)
-                options = {"dict_data": zstandard.ZstdCompressionDict(trained)}
         else:
             end = frame_end(data, at)
-            yield zstandard.ZstdDecompressor(**options).decompressobj().decompress(data[at:end])
+        yield at, end
         at = end
 
 
+def frames(content: bytes) -> Iterator[bytes | ValueError]:
+    """The decoded frames of an archive, one at a time.
+
+    A frame whose end is known but that cannot be decoded gives an error in its place,
+    and what follows it is read; one whose end cannot be found raises it.
+    """
+    data, trained = memoryview(content), None
+    for at, end in frame_places(data):
+        magic = int.from_bytes(data[at : at + 4], "little")
+        if magic != FRAME_MAGIC:
+            if magic == DICTIONARY_MAGIC and at == 0:
+                own = bytes(data[8:end])
+                try:
+                    packed = int.from_bytes(own[:4], "little") == FRAME_MAGIC
+                    trained = zstandard.ZstdCompressionDict(decode(own) if packed else own)
+                except zstandard.ZstdError as error:
+                    raise ValueError(f"the dictionary cannot be read: {error}") from error
+            continue
+        try:
+            yield decode(data[at:end], trained)
+        except (ValueError, zstandard.ZstdError) as error:
+            yield ValueError(str(error))
+
+
+def _number(text: str) -> int | None:
+    """A length as headers write it: ASCII digits and not too many of them."""
+    return int(text) if text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
 def parse(record: bytes) -> dict:
     """The fields of ``_RECORDS`` of one record; ``error`` says what is wrong with it."""
     found = dict.fromkeys(
@@ -241,19 +278,20 @@ def parse(record: bytes) -> dict:
     found["target_uri"] = fields.get("warc-target-uri")
     found["refers_to"] = fields.get("warc-refers-to")
     found["payload_digest"] = fields.get("warc-payload-digest", "").rpartition(":")[2] or None
-    length = fields.get("content-length", "")
+    length = _number(fields.get("content-length", ""))
     needed = (found["record_type"], found["record_id"], fields.get("warc-date"))
-    if not all(needed) or not length.isdigit():
+    if not all(needed) or length is None:
         return wrong("a needed header is missing")
-    if len(rest) != int(length) + 4 or rest[int(length) :] != b"\r\n\r\n":
+    if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         return wrong("the length does not match")
-    block = rest[: int(length)]
+    block = rest[:length]
     if found["record_type"] not in ("response", "revisit"):
         found["payload"], found["payload_bytes"] = block, len(block)
         return found
     http, _, payload = block.partition(b"\r\n\r\n")
     sizes = [x.split(b":")[1].strip() for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-    found["payload_bytes"] = int(sizes[0]) if sizes and sizes[0].isdigit() else len(payload)
+    told = _number(sizes[0].decode("latin-1")) if sizes else None
+    found["payload_bytes"] = len(payload) if told is None else told
     if found["record_type"] == "response":
         found["payload"] = payload
         if found["payload_bytes"] != len(payload):
@@ -279,12 +317,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
             try:
                 for frame in frames(content.as_py() or b""):
+                    if isinstance(frame, ValueError):
+                        rows.append(parse(b"") | {"error": str(frame)})
+                        continue
                     rows.append(parse(frame))
                     size += len(frame)
                     if size > ARCHIVE_BYTES:
                         yield of(rows)
                         rows, size = [], 0
-            except (ValueError, zstandard.ZstdError) as error:
+            except ValueError as error:
                 # What follows a broken frame cannot be found: say so in a row.
                 rows.append(parse(b"") | {"error": str(error)})
             if rows:
@@ -295,8 +336,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """The records of archives in the column ``content``.
 
     Every record's headers, lengths and payload digest are checked; ``error`` names
-    the first fault and is null for a sound record. A frame that cannot be decoded
-    ends its archive with a row that has only an error. A null content has no rows.
+    the first fault and is null for a sound record. A frame that cannot be decoded, or
+    that decodes to more than ``LARGEST_RECORD`` bytes, is a row that has only an error;
+    one whose end cannot be found ends its archive with such a row. A null content has no
+    rows, nor has an empty one.
     """
     return archives.select("content").mapInArrow(_read, _RECORDS)
 
@@ -306,7 +349,12 @@ def page_of(record_id):
 
 
 def pages_through_archives(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` as archives and read these back, one row per page."""
+    """Write ``pages`` as archives and read these back, one row per page.
+
+    A null html is an empty payload; a null page_id stays null and is never referred to
+    while another page has the payload; repeated rows give a record each; an empty table
+    gives no rows. Other columns are not looked at.
+    """
     archives = prepare_archives(pages)
     kind = pages.schema["page_id"].dataType
     return read_archives(archives).select(
