@@ -77,3 +77,60 @@ def test_slots_follow_the_shares(spark):
     assert len(slots) > 200
     begun = [source for _, source in slots]
     assert 0.5 < begun[:60].count("a") / 60 < 0.95
+
+
+def test_every_block_has_a_slot_and_no_slot_two(spark):
+    """Sources of very unequal sizes: the smallest has a single word."""
+    rows = [(i, " ".join(["w"] * 500), "en", "big") for i in range(80)] + [(1000, "one", "en", "tiny")]
+    rows += [(2000 + i, "a b c", "en", f"s{i:02d}") for i in range(30)]
+    found = mixing.mix(documents(spark, rows), block_words=16).collect()
+    by_source = defaultdict(int)
+    for row in found:
+        by_source[row.source] += row.taken
+        assert row.taken == sum(p.words for p in row.parts or [])
+        assert row.first_slot == min((p.slot for p in row.parts or []), default=None)
+        assert all(p.words <= row.size for p in row.parts or [])
+    targets = {row.source: row.target for row in found}
+    assert all(abs(by_source[s] - targets[s]) <= 1 for s in targets)
+    sources = spark.createDataFrame(
+        [(1, 5000, 5000), (2, 1, 5001), (3, 70, 5071), (4, 1, 5072), (5, 0, 5072)], "sid int, blocks long, upto long"
+    )
+    slots = mixing.schedule(sources).collect()
+    assert len({r.slot for r in slots}) == len(slots) == 5072
+    for sid, blocks in ((1, 5000), (2, 1), (3, 70), (4, 1)):
+        own = sorted((r.slot, r.block) for r in slots if r.sid == sid)
+        assert [block for _, block in own] == list(range(blocks))
+
+
+def test_an_empty_schedule_gives_an_empty_mix(spark, monkeypatch):
+    docs = documents(spark)
+    nothing = spark.createDataFrame([], "sid int, block long, slot long")
+    monkeypatch.setattr(mixing, "schedule", lambda sources: nothing)
+    assert {row.taken for row in mixing.mix(docs).collect()} == {0}
+    assert mixing.mixed_documents(docs).count() == 0
+
+
+def test_the_mix_is_in_the_order_of_its_slots(spark):
+    rows = [(i, f"t{i} " * 20, "en", "ab"[i % 2]) for i in range(200)]
+    docs = documents(spark, rows)
+    slots = {(row.row.doc_id, p.turn): p.slot for row in mixing.mix(docs, block_words=64).collect() for p in row.parts or []}
+    order = [row.doc_id for row in mixing.mixed_documents(docs, block_words=64).collect()]
+    assert len(order) == len(slots)
+    wanted = [doc_id for doc_id, _ in sorted(slots, key=lambda k: slots[k])]
+    known = {doc_id: sorted(s for (d, _), s in slots.items() if d == doc_id) for doc_id in order}
+    seen = defaultdict(int)
+    placed = []
+    for doc_id in order:
+        placed.append(known[doc_id][seen[doc_id]])
+        seen[doc_id] += 1
+    assert placed == sorted(placed) and sorted(wanted) == sorted(order)
+
+
+def test_rows_without_an_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 10)
+    rows = [(None if i % 2 else 7, f"word{i} " * 3, "en", "a") for i in range(300)]
+    docs = documents(spark, rows)
+    found = mixing.mix(docs, block_words=8)
+    assert sum(row.taken for row in found.collect()) == sum(int(row.target) for row in found.limit(1).collect())
+    again = sorted(map(str, mixing.mix(docs.repartition(3), block_words=8).collect()))
+    assert sorted(map(str, found.collect())) == again
