@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import pathlib
 import random
+from collections import Counter
 
 import pytest
 
 from tradelake.functions.times import period_of_ms
 from tradelake.operators import bounds, reads
 from tradelake.schemas import MARKET_EVENTS, TRADE_COLUMNS, TRADES
+from tradelake.sources import table as table_module
 from tradelake.sources.table import TradeTable
 from tradelake.streaming import ingest
 
@@ -263,3 +266,80 @@ def test_messages_that_are_no_events_are_kept(spark, scratch):
     parsed = ingest.parse_events(rows).collect()
     assert sorted(r["unparsed"] for r in parsed if r["unparsed"] is not None) == sorted([*bad, ""])
     assert [r["kind"] for r in parsed if r["unparsed"] is None] == ["trades"]
+
+
+def files_of(table):
+    """Data files of every period with their sizes."""
+    found = {}
+    for start in table.periods():
+        folder = pathlib.Path(f"{table.data}/dt={start}".removeprefix("file:"))
+        found |= {(start, p.name): p.stat().st_size for p in folder.glob("*.parquet")}
+    return found
+
+
+def spread(spark, days, per_day, price):
+    """Trades of one pair, ``per_day`` a day."""
+    return spark.range(days * per_day).selectExpr(
+        "'Binance Spot' AS exchange", "'btcusdt' AS symbol",
+        f"id div {per_day} * 86400000L + id % {per_day} AS ts",
+        f"CAST({price} + id AS double) AS price", "1.0D AS qty", "false AS is_sell",
+    )
+
+
+def test_late_trades_add_files(spark, scratch):
+    """One late trade in every period: the files that are there stay as they are."""
+    table = TradeTable(spark, f"{scratch}/table")
+    table.append(spread(spark, 6, 5_000, 0), 0, 1)
+    table.settle()
+    before = files_of(table)
+    assert len({start for start, _ in before}) == 6
+    table.append(spread(spark, 6, 1, 0.5), 1, 2)
+    table.settle()
+    after = files_of(table)
+    assert before.items() <= after.items()
+    assert sum(after.values()) - sum(before.values()) < sum(before.values()) / 10
+    assert table.read().count() == 6 * 5_001
+    counts = table.read_flushes().groupBy("dt").agg({"trades": "sum"}).collect()
+    assert sorted(r[1] for r in counts) == [5_001] * 6
+    bounds = table.read_bounds().first()
+    assert (bounds["earliest"], bounds["latest"]) == (0, 5 * 86_400_000 + 4_999)
+
+
+def test_a_settle_that_was_cut_short_is_done_again(spark, scratch, monkeypatch):
+    table = TradeTable(spark, f"{scratch}/table")
+    table.append(spread(spark, 3, 100, 0), 0, 1)
+    table.settle()
+    table.append(spread(spark, 3, 10, 0.5), 1, 2)
+    wanted = sorted(map(tuple, table.read().select("ts", "price").collect()))
+    stored = TradeTable._store
+
+    def fail(rows, path, *rest):
+        if path == table.flushes:
+            raise RuntimeError("stopped")
+        stored(rows, path, *rest)
+
+    monkeypatch.setattr(TradeTable, "_store", staticmethod(fail))
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="stopped"):
+            table.settle()
+        assert sorted(map(tuple, table.read().select("ts", "price").collect())) == wanted
+    monkeypatch.undo()
+    for _ in range(2):
+        table.settle()
+        assert sorted(map(tuple, table.read().select("ts", "price").collect())) == wanted
+        assert table.read_flushes().agg({"trades": "sum"}).first()[0] == 330
+        assert {r["batch_id"] for r in table.read().select("batch_id").distinct().collect()} == {0, 1}
+
+
+def test_periods_of_many_files_are_rewritten(spark, scratch, monkeypatch):
+    monkeypatch.setattr(table_module, "MANY_FILES", 3)
+    table = TradeTable(spark, f"{scratch}/table")
+    most = 0
+    for batch in range(7):
+        table.append(spread(spark, 2, 3, batch * 10), batch, batch)
+        table.settle()
+        per_period = Counter(start for start, _ in files_of(table))
+        most = max(most, *per_period.values())
+    assert most == 3
+    assert table.read().count() == 7 * 6
+    assert table.read_flushes().agg({"trades": "sum"}).first()[0] == 7 * 6

@@ -486,6 +486,11 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER ({_OLDEST_FIRST}) AS nth,
                 count(*) OVER () AS n FROM trades WHERE ts >= {_CUTOFF})"""
         ),
+        "cleanup_at_startup": _trades(
+            """SELECT told.*, n AS row_count, true AS rest_is_there FROM (SELECT count(*) AS n FROM trades),
+                (VALUES ('refused', true, CAST(NULL AS BOOLEAN), false), ('halved', false, true, true),
+                    ('kept', false, true, false)) AS told("case", refused, as_planned, any_deleted)"""
+        ),
         "cleanup_kept": _trades(
             f"""SELECT exchange, symbol, ts, price, qty, is_sell FROM (SELECT *,
                 row_number() OVER ({_OLDEST_FIRST}) AS nth, count(*) OVER () AS n

@@ -439,6 +439,43 @@ def cleanup_kept(spark, sf_dir):
     return table.read().select(*TRADE_COLUMNS)
 
 
+@registered
+def cleanup_at_startup(spark, sf_dir):
+    """First passes under three caps, by what the stored files and the flush log say: more
+    than half the table too small, exactly half, and room for all."""
+    trades, found = _trades(spark, sf_dir), []
+    for case, cap_of in (
+        ("refused", lambda size: (size - 1) // 2),
+        ("halved", lambda size: (size + 1) // 2),
+        ("kept", lambda size: size),
+    ):
+        root = scratch_path(spark, "startup")
+        table = TradeTable(spark, f"{root}/table", "year")
+        table.append(trades, 0, NOW_MS)
+        table.settle()
+        size, cap = table.stored_bytes(), cap_of(table.stored_bytes())
+        counted = table.read_flushes().agg(F.sum("trades").alias("row_count"))
+        plan = retention.with_purge_plan(counted.selectExpr(f"{size}L AS size_bytes", "row_count", f"{cap}L AS cap_bytes")).first()
+        try:
+            done = retention.run_cleanup(
+                table, MetadataTable(spark, f"{root}/metadata"), NOW_MS, 0, cap, at_startup=True
+            )
+            deleted, refused = done.deleted_by_size, False
+        except ValueError:
+            deleted, refused = None, True
+        rows = table.read().agg(F.count("*").alias("left")).select(
+            F.lit(case).alias("case"),
+            F.lit(refused).alias("refused"),
+            F.lit(plan["row_count"]).cast("bigint").alias("row_count"),
+            # What the pass deleted is what the plan asks for; nothing where it refused.
+            (F.lit(deleted).cast("bigint") == plan["to_delete"]).alias("as_planned"),
+            (F.col("left") == plan["row_count"] - (deleted or 0)).alias("rest_is_there"),
+            F.lit(bool(deleted)).alias("any_deleted"),
+        )
+        found.append(rows)
+    return reduce(DataFrame.unionByName, found)
+
+
 # Health
 
 

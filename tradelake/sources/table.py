@@ -1,10 +1,11 @@
 """The stored trades table.
 
 A batch lands as one folder, named by its source (the streaming query) and number, so
-writing it again replaces it. ``settle`` merges what has landed into ``data``, Parquet
-by ``dt``, and brings the flush log of those periods in line; it is run by every
-cleanup pass. A read takes the settled periods it needs and what has landed since, so
-the folders it lists do not grow with the number of batches.
+writing it again replaces it. ``settle`` moves what has landed into ``data``, Parquet by
+``dt``, and adds it to the flush log of those periods; it is run by every cleanup pass.
+Late trades add a file to their period; a period is rewritten only when it has come to
+consist of many files. A read takes the settled periods it needs and what has landed
+since, so the folders it lists do not grow with the number of batches.
 
 ``dt`` is the first day of a stored period: a day, or a month or year for sparse data.
 Periods are rewritten with Spark's dynamic partition overwrite. There is one writer of
@@ -29,6 +30,8 @@ from tradelake.sources.exchanges import exchange_filter
 from tradelake.sources.files import Files
 
 _SETTLED = "source string, batch_id bigint"
+#: A period of so many files is rewritten as a whole when more is added to it.
+MANY_FILES = 32
 
 
 @dataclass(frozen=True)
@@ -135,7 +138,7 @@ class TradeTable:
         return reads.export_trades(self.for_query(query), query)
 
     def read_flushes(self) -> DataFrame:
-        """Stored trades per period and pair."""
+        """Stored trades per period and pair, in one row for each time some were added."""
         log, landed = self._log(self.periods()), self._landed_names()
         if not landed:
             return log
@@ -205,19 +208,32 @@ class TradeTable:
         return counted.get["stored"]
 
     def settle(self) -> None:
-        """Merge what has landed into its periods. Running it again is harmless.
+        """Move what has landed into its periods. Running it again is harmless.
 
-        Rows already settled from the same batches are replaced, so a pass that was
-        cut short is simply done again; the batches are marked last, then dropped.
+        New rows are added to the files of their periods, then to the flush log. The
+        batches are marked as settled, then dropped. Periods that hold rows of these
+        batches already were added to by a pass that was cut short: they are rewritten
+        with these rows replaced, as are periods of many files.
         """
         files, landed = self._files(), self._landed_names()
         if landed:
             fresh = self._landed_rows(landed)
             touched = [row[0] for row in fresh.select("dt").distinct().collect()]
             held = self._settled_rows([start for start in self.periods() if start in touched])
-            self._rewrite(held.filter(~_came_with(landed)).unionByName(fresh), touched)
+            # Stored batches are older than new ones: the files' statistics rule them out.
+            mine = held.filter(F.col("batch_id") >= min(map(_number, landed))).filter(_came_with(landed))
+            again = {row[0] for row in mine.select("dt").distinct().collect()}
+            whole = [start for start in touched if start in again or self._has_many_files(start)]
+            if whole:
+                held = held.filter(F.col("dt").isin(whole))
+                mine = fresh.filter(F.col("dt").isin(whole))
+                self._rewrite(held.filter(~_came_with(landed)).unionByName(mine), whole)
+            if len(whole) < len(touched):
+                added = fresh.filter(~F.col("dt").isin(whole)) if whole else fresh
+                self._store(added, self.data, ["dt"], "append")
+                self._store(_totals(added), self.flushes, ["dt"], "append")
             bad = self._landed_rows(landed, whole=False)
-            self._overwrite(bad, self.rejects, ["source", "batch_id"])
+            self._store(bad, self.rejects, ["source", "batch_id"], "overwrite")
             done = self._settled_batches()
             for name in landed:
                 done[_source(name)] = max(_number(name), done.get(_source(name), -1))
@@ -228,11 +244,15 @@ class TradeTable:
             if _number(name) <= self._settled_batches().get(_source(name), -1):
                 files.delete(f"{self.landing}/{name}")
 
+    def _has_many_files(self, start: dt.date) -> bool:
+        names = self._files().children(f"{self.data}/dt={start}")
+        return sum(name.endswith(".parquet") for name in names) >= MANY_FILES
+
     def _rewrite(self, rows: DataFrame, periods: list[dt.date]) -> None:
         """Replace whole periods, then their flush log."""
-        self._overwrite(rows, self.data, ["dt"])
+        self._store(rows, self.data, ["dt"], "overwrite")
         live = [start for start in self.periods() if start in periods]
-        self._overwrite(_totals(self._settled_rows(live)), self.flushes, ["dt"])
+        self._store(_totals(self._settled_rows(live)), self.flushes, ["dt"], "overwrite")
 
     def drop_period(self, start: dt.date) -> None:
         for part in (self.data, self.flushes):
@@ -258,14 +278,14 @@ class TradeTable:
         return dict(self.spark.read.schema(_SETTLED).parquet(f"{marks}/{whole[-1]}").collect())
 
     @staticmethod
-    def _overwrite(rows: DataFrame, path: str, partition_by: list[str]) -> None:
+    def _store(rows: DataFrame, path: str, partition_by: list[str], mode: str) -> None:
         # The rebalance hint lets AQE split a directory that holds most of the rows.
         levels = [F.col(name) for name in partition_by]
         inner = [name for name in ("exchange", "symbol", "ts") if name in rows.columns]
         (
             rows.hint("rebalance", *levels)
             .sortWithinPartitions(*partition_by, *inner)
-            .write.mode("overwrite")
+            .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by)
             .parquet(path)
