@@ -24,19 +24,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tradelake.operators.stretches import Stretches
 from tradelake.session import written
 
 FULL = -(1 << 62)
 EFFECT = "low array<bigint>, move array<bigint>, fixed array<boolean>"
-#: Rows of a key that one task walks, give or take a slice of its time.
+#: Rows of a key that one task walks, up to twice as many.
 ROWS_PER_CHUNK = 1_000_000
-#: Slices of a key's time in which its rows are counted to place the cuts.
-SLICES = 65_536
 
 
 class Effect(NamedTuple):
@@ -327,32 +326,6 @@ def _replays(key: str, capacity: int, window_ms: int, first_open: int):
     return run
 
 
-def _chunk_bounds(log: DataFrame, key: str, rows_per_chunk: int) -> tuple[DataFrame, DataFrame]:
-    """Keys with more rows than a chunk, and the chunk of each slice of their time.
-
-    Both are small: there are at most rows / ``rows_per_chunk`` such keys.
-    """
-    counts = log.groupBy(F.col(key).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("at_ms").alias("_low"), F.max("at_ms").alias("_high")
-    )
-    large = written(counts.filter(F.col("_n") > rows_per_chunk), "large-keys")
-    sliced = _sliced(log.select(key, "at_ms"), key, large).groupBy("_k", "_slice").count()
-    so_far = (
-        Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("count").over(so_far), F.lit(0))
-    chunk = F.floor(before / rows_per_chunk).cast("bigint").alias("_chunk")
-    return large, written(sliced.select("_k", "_slice", chunk), "chunk-bounds")
-
-
-def _sliced(log: DataFrame, key: str, large: DataFrame, how: str = "inner") -> DataFrame:
-    """Rows of large keys with the slice of the key's time that they lie in."""
-    width = f"((_high - _low) div {SLICES}L + 1L)"
-    return log.join(large, F.col(key).eqNullSafe(F.col("_k")), how).withColumn(
-        "_slice", F.expr(f"(at_ms - _low) div {width}")
-    )
-
-
 def admit(
     log: DataFrame,
     key: str,
@@ -377,16 +350,8 @@ def admit(
     if openings is None:
         openings = log.sparkSession.createDataFrame([], schema)
     known = openings.select(F.col(key).alias("_o"), F.col("open").alias("_opening"))
-    large, bounds = _chunk_bounds(log, key, rows_per_chunk)
-
-    def chunked(rows: DataFrame, how: str) -> DataFrame:
-        found = _sliced(rows, key, large, how).withColumnRenamed("_k", "_large")
-        same = F.col("_large").eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s"))
-        cuts = bounds.withColumnRenamed("_slice", "_s")
-        chunk = F.coalesce("_chunk", F.lit(0).cast("bigint")).alias("chunk")
-        return found.join(cuts, same, how).select(*rows.columns, chunk)
-
-    split = chunked(log.select(key, "at_ms"), "inner")
+    stretches = Stretches(log, [key], rows_per_chunk)
+    split = stretches.place(log.select(key, "at_ms", "seq"), "inner")
     placed = split.repartition(key, "chunk").sortWithinPartitions(key, "chunk", "at_ms")
     effects = placed.mapInArrow(
         *_stage(_effects, log, key, "chunk", EFFECT, capacity, window_ms, first_open)
@@ -394,7 +359,7 @@ def admit(
     begun = written(_chunk_openings(effects, log, key, known, first_open), "chunk-openings")
     begun = begun.select(F.col(key).alias("_k"), F.col("chunk").alias("_c"), "open")
     opened = (
-        chunked(log, "left")
+        stretches.place(log)
         .join(begun, F.col(key).eqNullSafe(F.col("_k")) & (F.col("chunk") == F.col("_c")), "left")
         .join(known, F.col(key).eqNullSafe(F.col("_o")), "left")
         .select(*log.columns, "chunk", F.coalesce("open", "_opening").alias("open"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelake.operators.stretches import Stretches
 from tradelake.session import written
 
 #: Changes of a feed that one task folds, as far as they spread over its time.
@@ -108,7 +109,7 @@ def feed_partials(
     """Partials of a whole log in two scans and one shuffle of its changes.
 
     The first scan finds each feed's last data, and the number and time span of its
-    changes; a feed with many has its time cut into equal stretches.
+    changes; a feed with many has its time cut into stretches of half the given rows or more.
     """
     changing = F.col("kind").isin(list(STATES))
     at = F.when(changing, F.col("at_ms"))
@@ -122,14 +123,9 @@ def feed_partials(
         "feeds",
     )
     spans = known.select(*[F.col(key).alias(f"_{key}") for key in keys], "_n", "_low", "_high")
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    # Twice as many stretches as the rows ask for, since no feed is quite even.
-    pieces = f"(_n * 2 div {rows_per_stretch}L + 1L)"
-    stretch = F.expr(f"(at_ms - _low) div ((_high - _low) div {pieces} + 1L)")
     changes = events.filter(changing).select(*keys, "at_ms", "seq", "kind", "reason")
-    cut = changes.join(spans, same).select(*changes.columns, stretch.alias("stretch"))
+    cut = Stretches(changes, keys, max(rows_per_stretch // 2, 1), spans).place(changes)
+    cut = cut.withColumnRenamed("chunk", "stretch")
     return stretch_partials(cut, keys, "stretch").unionByName(data_partials(known, keys))
 
 

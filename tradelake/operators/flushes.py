@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.session import written
+from tradelake.operators.stretches import Stretches
 
 #: What came before: nothing pending and nothing lost, something pending, something lost.
 CASES = ("clean", "waiting", "lost")
@@ -72,18 +72,8 @@ def flush_partials(
     events: DataFrame, keys: list[str], rows_per_stretch: int = ROWS_PER_STRETCH
 ) -> DataFrame:
     """Partials of a whole log; a node with many events has its time cut into stretches."""
-    spans = written(
-        events.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(
-            F.count("*").alias("_n"), F.min("at_ms").alias("_low"), F.max("at_ms").alias("_high")
-        ),
-        "nodes",
-    )
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    pieces = f"(_n * 2 div {rows_per_stretch}L + 1L)"
-    stretch = F.expr(f"(at_ms - _low) div ((_high - _low) div {pieces} + 1L)").alias("stretch")
-    cut = events.join(spans, same).select(*keys, "at_ms", "seq", "kind", "n", "error", stretch)
+    own = events.select(*keys, "at_ms", "seq", "kind", "n", "error")
+    cut = Stretches(own, keys, rows_per_stretch).place(own).withColumnRenamed("chunk", "stretch")
     return stretch_partials(cut, keys, "stretch")
 
 
