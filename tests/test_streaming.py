@@ -7,10 +7,11 @@ import random
 import pytest
 
 import folds
-from tradelake.operators import access
+from tradelake.operators import access, bounds
 from tradelake.sources.files import Files
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health
+from tradelake.streaming import pairs as pairs_stream
 from tradelake.streaming.keyed import KeyedState
 from tradelake.streaming.state import BatchState
 
@@ -252,3 +253,21 @@ def test_states_are_kept_by_batch(spark, scratch):
     assert state.read(schema).count() == 5
     with pytest.raises(RuntimeError, match="missing"):
         state.fold("new", 4, schema, add)
+
+
+def test_live_pairs_follow_the_stream_and_the_configuration(spark, scratch):
+    trades = [("Binance Spot", "btcusdt", ts) for ts in (50, 70, 10, 90)] + [("Okex Spot", "x", 5)]
+    configured = [(1, "Binance Spot", "BTCUSDT", None), (2, "Okex Spot", "Y", None)]
+    schema = "exchange string, symbol string, ts bigint"
+    wanted = "pos int, exchange string, symbol string, display_symbol string"
+    offsets = f"{scratch}/offsets"
+    assert pairs_stream.live_bounds(spark, offsets).count() == 0
+    for n in range(len(trades)):
+        spark.createDataFrame(trades[n : n + 1], schema).write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{scratch}/in")
+        pairs_stream.start_pair_bounds(stream, offsets, until_caught_up=True).awaitTermination()
+        now = spark.createDataFrame(configured[: 1 + n % 2], wanted)
+        found = pairs_stream.live_pairs(spark, offsets, now).collect()
+        so_far = spark.createDataFrame(trades[: n + 1], schema)
+        assert found == bounds.configured_pairs(now, bounds.pair_bounds(so_far)).collect()
+    assert found[0]["earliest"] == 10 and found[0]["latest"] == 90

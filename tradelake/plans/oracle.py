@@ -397,6 +397,7 @@ def oracle_sql() -> dict[str, str]:
         "oldest_trades": _trades(f"SELECT * FROM trades {_OLDEST_FIRST} LIMIT 5000"),
         "pairs": _with("raw trades bounds pairs", "SELECT * FROM pairs"),
         "pairs_stored": _with("raw trades bounds pairs", "SELECT * FROM pairs"),
+        "pairs_live": _with("raw trades bounds pairs", "SELECT * FROM pairs"),
         "pairs_json": _with(
             "raw trades bounds pairs",
             """SELECT pos, '{"ticker":"' || replace(exchange, ' ', '') || ':' || symbol

@@ -22,6 +22,7 @@ from tradelake.sources.whitelist import whitelist_rows
 from tradelake.streaming import access as access_stream
 from tradelake.streaming import health as health_stream
 from tradelake.streaming import ingest
+from tradelake.streaming import pairs as pairs_stream
 from tradelake.streaming.outcomes import FlushLog, supervise, write_attempts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +296,17 @@ def pairs_stored(spark, sf_dir):
     return bounds.configured_pairs(wanted, table.read_bounds())
 
 
+@registered
+def pairs_live(spark, sf_dir):
+    """The same answer from a stream of trades in several batches, with restarts."""
+    root = scratch_path(spark, "live")
+    trades = _trades(spark, sf_dir)
+    parts = [trades.filter(F.pmod("ts", F.lit(3)) == n) for n in range(3)]
+    _arriving(spark, parts, root, lambda s, c: pairs_stream.start_pair_bounds(s, c, until_caught_up=True))
+    wanted = t.configured(t.given(spark, sf_dir, "part"))
+    return pairs_stream.live_pairs(spark, f"{root}/offsets", wanted)
+
+
 @registered
 def pairs_json(spark, sf_dir):
     answer = exports.pairs_json(pairs(spark, sf_dir))
