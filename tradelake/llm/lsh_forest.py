@@ -208,9 +208,9 @@ def jaccard_groups(
 ) -> DataFrame:
     """Links and groups of documents whose sets of five-word shingles are alike.
 
-    Equal texts are one text with a count. Every tree holds the texts sorted by their
-    own ``depth`` minimum hashes; texts with a common prefix of :func:`prefix_length`
-    values meet in a unit of work (see :mod:`pairs`), alike signatures are sent to be
+    Equal texts are one text with a count. Every tree gives a text ``depth`` minimum
+    hashes; texts that agree in the first :func:`prefix_length` of them meet in a unit of
+    work (see :mod:`pairs`; the length is the same for all), alike signatures are sent to be
     verified with their whole sets of shingles, and every pair with a Jaccard
     similarity of ``similarity`` or more is a link.
 
