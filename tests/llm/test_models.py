@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from cases import TEXTS, documents, labels, words
+from pyspark.sql import functions as F
 
 from tradelake.llm import language, lm, quality
 from tradelake.llm.common import held_out
@@ -46,6 +47,17 @@ def test_language_learns_nothing_from_held_out_rows(given):
     assert language.fit(swapped, 50).languages == ["de", "en", "es", "fr"]
 
 
+def test_repeated_rows_do_not_add_passages(spark):
+    same = spark.range(3_000).selectExpr("7L AS doc_id", "'one and the same text' AS text", "'en' AS lang")
+    for seven in range(7, 60):
+        own = same.withColumn("doc_id", F.lit(seven).cast("long")).filter(~held_out(F.col("doc_id")))
+        n = language.passages(own, 50).count()
+        assert n in (0, 100)
+        if n:
+            break
+    assert n == 100
+
+
 def test_language_of_odd_documents(spark, given):
     docs = documents(spark)
     model = language.fit(given, per_language=100)
@@ -124,6 +136,79 @@ def test_passages_are_encoded_one_by_one():
     assert np.allclose(shares.sum(axis=1)[1:], 1)
 
 
+def test_a_text_scores_alike_beside_any_other():
+    texts = ["", "abc", "aaaa", "xyz " * 300, "a", "é" * 700, "abc"]
+    together, firsts = quality.encode(texts)
+    for i, text in enumerate(texts):
+        alone, _ = quality.encode([text])
+        assert (together[firsts[i] : firsts[i] + len(alone)] == alone).all()
+
+
+def test_quality_scores_equal_plain_loops():
+    """The whole forward pass, one byte, one passage and one weight at a time."""
+    texts = ["good words here " * 70, "$$$ %%% bad " * 90, "", "é ñ 中", "ab"]
+    model = quality.train([(t, i % 2) for i, t in enumerate(texts)] * 3)
+    w = {name: np.asarray(value, dtype=np.float64) for name, value in model.weights.items()}
+
+    def passage(data, begin):
+        part = data[begin : begin + quality.PASSAGE]
+        x = [0.0] * quality.FEATURES
+        for i in range(begin, begin + len(part)):
+            x[data[i]] += 1
+            if i + 2 < len(data):
+                h = (data[i] * 0x9E3779B1 & 0xFFFFFFFF) ^ (data[i + 1] * 0x85EBCA77 & 0xFFFFFFFF)
+                h ^= data[i + 2] * 0xC2B2AE3D & 0xFFFFFFFF
+                x[256 + ((h * 0x27D4EB2F & 0xFFFFFFFF) >> 24)] += 1
+            for k, lag in enumerate(quality.LAGS):
+                x[512 + k] += i + lag < len(data) and data[i] == data[i + lag]
+        x = [math.sqrt(v / max(len(part), 1)) for v in x]
+        x[-2] = math.log1p(len(part)) / math.log1p(quality.PASSAGE)
+        x[-1] = math.log1p(len(data)) / 12
+        return x
+
+    for text, score in zip(texts, model.scores(texts), strict=True):
+        data = text.encode()
+        hidden, raw = [], []
+        for begin in range(0, max(len(data), 1), quality.PASSAGE):
+            x = (np.array(passage(data, begin)) - w["mean"]) * w["scale"]
+            h = [math.tanh(sum(x * w["encode"][:, j]) + w["encode_bias"][j]) for j in range(quality.HIDDEN)]
+            gated = [
+                math.tanh(sum(h[j] * w["tanh"][j, g] for j in range(quality.HIDDEN)))
+                / (1 + math.exp(-sum(h[j] * w["gate"][j, g] for j in range(quality.HIDDEN))))
+                for g in range(quality.GATES)
+            ]
+            hidden.append(h)
+            raw.append(sum(gated[g] * w["attend"][g] for g in range(quality.GATES)))
+        weight = [math.exp(r) / sum(math.exp(q) for q in raw) for r in raw]
+        pooled = [sum(a * h[j] for a, h in zip(weight, hidden, strict=True)) for j in range(quality.HIDDEN)]
+        plain = sum(pooled[j] * w["score"][j] for j in range(quality.HIDDEN)) + float(w["score_bias"])
+        assert score == pytest.approx(1 / (1 + math.exp(-plain)), abs=1e-4)
+
+
+def test_language_scores_equal_plain_loops():
+    """Subwords one by one, their mean, the output layer and the softmax."""
+    model = language.train([("ab cd été", "x"), ("ef gh straße", "y"), ("ij kl ñu", "z")] * 20)
+    for text in ["ab ef", "", "12", "Été ß", "a", "x'y  kl9mn", "中文 ab"]:
+        points = [0, 0, *[ord(c) if c.isalpha() else 0 for c in text.lower()], 0, 0]
+        sums, count = np.zeros(3), 0
+        for n in language.SUBWORDS:
+            # A word's edges count as signs; nothing else that is no letter does.
+            for i in range(len(points) - n + 1):
+                gram = points[i : i + n]
+                if not (any(gram) if n == 2 else all(gram[1:-1])) or i == 0 and n == 2:
+                    continue
+                h = 0x811C9DC5 * n & 0xFFFFFFFF
+                for point, mix in zip(gram, language._MIX, strict=False):
+                    h = (h ^ point) * mix & 0xFFFFFFFF
+                    h ^= h >> 15
+                sums += model.table[h >> (32 - language.BUCKET_BITS)]
+                count += 1
+        found, counts = model.scores([text])
+        logits = (sums / max(count, 1) + model.bias) / model.temperature
+        assert counts[0] == count
+        assert found[0] == pytest.approx(np.exp(logits) / np.exp(logits).sum(), abs=1e-6)
+
+
 def test_gradients_of_the_quality_model():
     rng = np.random.default_rng(0)
     model = quality.train([("good words here", 1), ("$$$ %%%", 0)] * 4)

@@ -49,6 +49,8 @@ def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.minimum(PASSAGE, np.repeat(sizes, counts) - order * PASSAGE)
     n = int(sizes.sum())
     owner = np.repeat(np.arange(total), lengths)
+    # How many bytes of its own text follow each byte: nothing looks into the next text.
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n) - 1
     out = np.zeros((total, FEATURES), dtype=np.float32)
     per = np.maximum(lengths, 1)[:, None].astype(np.float32)
     text = joined[:n]
@@ -56,13 +58,14 @@ def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     wide = joined.astype(np.uint32)
     grams = wide[:n] * np.uint32(0x9E3779B1) ^ wide[1 : n + 1] * np.uint32(0x85EBCA77)
     grams = (grams ^ wide[2 : n + 2] * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F) >> np.uint32(24)
+    own = left >= 2
     out[:, 256 : 256 + HASHED] = np.bincount(
-        owner * HASHED + grams, minlength=total * HASHED
+        owner[own] * HASHED + grams[own], minlength=total * HASHED
     ).reshape(total, HASHED)
     some = np.flatnonzero(lengths > 0)
     if n:
         for i, lag in enumerate(LAGS):
-            same = (joined[:n] == joined[lag : n + lag]).astype(np.int32)
+            same = ((joined[:n] == joined[lag : n + lag]) & (left >= lag)).astype(np.int32)
             out[some, 512 + i] = np.add.reduceat(same, begins[some])
     out[:, : 512 + len(LAGS)] = np.sqrt(out[:, : 512 + len(LAGS)] / per)
     out[:, -2] = np.log1p(lengths) / np.log1p(PASSAGE)
