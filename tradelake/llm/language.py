@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import held_out, with_answers, written
@@ -160,7 +160,8 @@ def train(passages: list[tuple[str, str]], seed: int = 7) -> Model | None:
 
 
 def passages(docs: DataFrame, per_language: int = PASSAGES) -> DataFrame:
-    """About ``per_language`` passages of each language (``text``, ``lang``).
+    """About ``per_language`` passages of each language (``text``, ``lang``), and never more
+    than twice as many, however often a row is repeated.
 
     Only rows outside the held-out fold that have a text and a language. A hash of
     the row picks documents, and the place of the one passage that each of them gives.
@@ -173,12 +174,16 @@ def passages(docs: DataFrame, per_language: int = PASSAGES) -> DataFrame:
     )
     draw = F.crc32(F.concat(F.md5(F.substring("text", 1, 200).cast("binary")), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     place = F.pmod(F.xxhash64("draw"), F.greatest(F.length("text") - PASSAGE_CHARS + 1, F.lit(1))) + 1
-    return (
+    drawn = (
         able.select("text", "lang", draw.alias("draw"))
         .join(shares, "lang")
         .filter(F.col("draw") / float(1 << 32) < F.col("share"))
         .select("lang", "draw", F.substring(F.col("text"), place, F.lit(PASSAGE_CHARS)).alias("text"))
     )
+    # Equal rows draw alike. Spark keeps no more rows than these per task before it shuffles.
+    order = Window.partitionBy("lang").orderBy("draw", "text")
+    numbered = drawn.withColumn("nth", F.row_number().over(order))
+    return numbered.filter(F.col("nth") <= 2 * per_language).drop("nth")
 
 
 def fit(docs: DataFrame, per_language: int = PASSAGES) -> Model | None:
