@@ -234,50 +234,41 @@ def test_gradients_of_the_quality_model():
         assert slopes[name][at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-7)
 
 
-def plain_losses(rows, good, vocabulary):
-    """Both models' mean losses by counting words and pairs in plain dictionaries."""
-    counts = Counter(w for _, text in rows for w in words(text))
-    known = {w for w, n in counts.items()} if len(counts) <= vocabulary else None
-    assert known is not None
+def plain_losses(rows, good):
+    """Both models' mean losses by counting words and pairs in plain dictionaries; every
+    event is judged by the counts of all others."""
     models = []
     for own in ([t for _, t in rows], [t for d, t in rows if d in good]):
-        single, before, pair = Counter(), Counter(), Counter()
+        single, pair = Counter(), Counter()
         for text in own:
-            last = None
-            for word in words(text):
-                single[word] += 1
-                before[last] += 1
-                pair[last, word] += 1
-                last = word
-        models.append((single, before, pair))
-    size = len(known)
+            if words(text):
+                line = [None, *words(text), None]
+                single.update(line[1:])
+                pair.update(zip(line, line[1:]))
+        models.append((single, pair))
+    size = len(models[0][0])
     out = []
-    for _, text in rows:
+    for doc_id, text in rows:
+        line = [None, *words(text), None] if words(text) else [None]
         found = []
-        for single, before, pair in models:
-            total, last, n = sum(single.values()), None, 0
+        for (single, pair), off in zip(models, (1, int(doc_id in good))):
+            total = sum(single.values()) - off
             loss = 0.0
-            for word in words(text):
-                seen = max((before[last] if last is None else single[last]) - 1, 0)
-                share = min(max(pair[last, word] - 1, 0) / max(seen, 1), 1)
-                weight = lm.PAIR_WEIGHT if seen > 0 else 0.0
-                alone = (single[word] + lm.ADDED) / (total + lm.ADDED * (size + 1))
+            for last, event in zip(line, line[1:]):
+                before = max(single[last] - off, 0)
+                weight = lm.PAIR_WEIGHT if before > 0 else 0.0
+                share = max(pair[last, event] - off, 0) / max(before, 1)
+                alone = (max(single[event] - off, 0) + lm.ADDED) / (total + lm.ADDED * (size + 1))
                 loss -= math.log(weight * share + (1 - weight) * alone)
-                last, n = word, n + 1
-            found.append(loss / max(n, 1))
+            found.append(loss / max(len(line) - 1, 1))
         out.append(found)
     return out
 
 
-def test_cross_entropy_difference(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
-    marks = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    good = {r.doc_id for r in marks.collect() if r.quality == 1}
-    models = lm.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), marks)
-    found = {r.row.doc_id: r for r in lm.score(docs, models).collect()}
-    wanted = plain_losses(rows, good, lm.VOCABULARY)
-    for (doc_id, text), (background, target) in zip(rows, wanted, strict=True):
+def same_losses(found, rows, good):
+    found = {r.row.doc_id: r for r in found.collect()}
+    assert len(found) == len(rows)
+    for (doc_id, text), (background, target) in zip(rows, plain_losses(rows, good), strict=True):
         row = found[doc_id]
         assert row.n_words == len(words(text))
         assert row.background_loss == pytest.approx(background)
@@ -285,18 +276,48 @@ def test_cross_entropy_difference(spark, sf_dir):
         assert row.difference == pytest.approx(row.target_loss - row.background_loss)
 
 
-def test_counts_of_all_documents(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    models = lm.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabulary=500, pairs=300)
-    seen = Counter(w for r in docs.collect() for w in words(r.text))
-    assert models.words[:, 0].sum() == sum(seen.values())
-    least = sorted(seen.values())[-501]
-    assert len(models.vocabulary) == sum(n > least for n in seen.values()) <= 500
-    assert 250 < len(models.codes) <= 300
+def test_cross_entropy_difference(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    good = {r.doc_id for r in marks.collect() if r.quality == 1}
+    same_losses(lm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), marks), rows, good)
+
+
+def test_probabilities_add_up_to_one():
+    """After every word and in both models, over all words, the end and one unknown word,
+    with the counts of everything but one event."""
+    rng = random.Random(4)
+    texts = [rng.choices("abcdefghijk", k=rng.randrange(1, 30)) for _ in range(40)]
+    for own in (texts, texts[:7]):
+        single, pair = Counter(), Counter()
+        for text in own:
+            line = [None, *text, None]
+            single.update(line[1:])
+            pair.update(zip(line, line[1:]))
+        vocabulary = [None, *"abcdefghijk"]
+        for taken in ([], *([p] for p in pair)):
+            ones, twos = single - Counter(p[1] for p in taken), pair - Counter(taken)
+            for last in {p[0] for p in taken} or vocabulary:
+                before = single[last] - len(taken)
+                events = [*vocabulary, "never seen"]
+                likely = lm.probability(
+                    np.array([twos[last, e] for e in events]), np.array([before] * len(events)),
+                    np.array([ones[e] for e in events]), sum(ones.values()), len(vocabulary),
+                )
+                assert likely.min() > 0
+                assert likely.sum() == pytest.approx(1)
+
+
+def test_packed_numbers_come_back():
+    for arrays in ([[0, 1, 255]], [[], []], [[1 << 63, 0], [0, 0], [256, 3]]):
+        arrays = [np.array(values, np.uint64) for values in arrays]
+        back = lm.unpacked(lm.packed(*arrays))
+        assert [b.tolist() for b in back] == [a.tolist() for a in arrays]
 
 
 def test_no_word_or_pair_is_left_out(spark, monkeypatch):
-    """More words than 65,536 and more pairs seen twice than 2**20, over many chunks and buckets."""
+    """Over 65,536 words and 2**20 pairs seen twice, over many chunks and buckets."""
     rng = random.Random(9)
     rare = [f"w{i}" for i in range(70_000)]
     once = [" ".join(rare[k : k + 1000]) for k in range(0, 70_000, 1000)]
@@ -305,19 +326,33 @@ def test_no_word_or_pair_is_left_out(spark, monkeypatch):
     rows = list(enumerate([*many, *many, *once, *once]))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     good = set(range(0, len(rows), 3))
-    models = lm.fit(docs, labels(spark, [(i, 1) for i in good]))
     monkeypatch.setattr(lm, "CHUNK", 1 << 16)
-    found = {r.row.doc_id: r for r in lm.score(docs, models).collect()}
-    assert len(found) == len(rows)
-    for (doc_id, _), (background, target) in zip(rows, plain_losses(rows, good, math.inf), strict=True):
-        assert found[doc_id].background_loss == pytest.approx(background)
-        assert found[doc_id].target_loss == pytest.approx(target)
+    same_losses(lm.score(docs, labels(spark, [(i, 1) for i in good])), rows, good)
+
+
+def test_texts_are_dealt_once(spark, sf_dir):
+    """The exchange of the texts that ask is the one of the texts that are judged."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scored = lm.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
+
+
+def test_equal_rows_are_dealt_to_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 1 << 10)
+    same = spark.range(0, 4000, 1, 8).selectExpr("7L AS doc_id", "'one and the same text' AS text")
+    chunks = same.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    chunks = chunks.select(F.pmod(F.xxhash64("doc_id", "text", "part"), F.lit(83)).alias("chunk"))
+    assert chunks.groupBy("chunk").count().agg(F.max("count")).first()[0] <= 1000
+    rows = lm.score(same, labels(spark, [(7, 1)])).collect()
+    assert len(rows) == 4000
+    assert len({(r.target_loss, r.background_loss) for r in rows}) == 1
+    assert rows[0].difference == pytest.approx(0)
 
 
 def test_losses_of_odd_documents(spark):
-    docs = documents(spark)
-    models = lm.fit(docs, labels(spark))
-    rows = lm.score(docs, models).collect()
+    rows = lm.score(documents(spark), labels(spark)).collect()
     assert len(rows) == len(TEXTS)
     for row in rows:
         assert row.n_words == len(words(row.row.text))
@@ -327,6 +362,5 @@ def test_losses_of_odd_documents(spark):
 
 
 def test_language_model_of_empty_tables(spark):
-    models = lm.fit(documents(spark, []), labels(spark, []))
-    assert lm.score(documents(spark, []), models).collect() == []
-    assert all(math.isfinite(r.difference) for r in lm.score(documents(spark), models).collect())
+    assert lm.score(documents(spark, []), labels(spark, [])).collect() == []
+    assert all(math.isfinite(r.difference) for r in lm.score(documents(spark), labels(spark, [])).collect())

@@ -2,540 +2,280 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tradelake.llm.common import WORD, runs, with_answers, written
+from tradelake.llm.common import WORD, runs
 from tradelake.llm.hashing import mixed, word_hashes
 
-#: How many words and pairs the models know: all. A caller may ask for the most frequent
-#: ones only, as :class:`Models` on the driver.
-VOCABULARY = PAIRS = math.inf
 #: Weight of the pair estimate, and what is added to every word count.
 PAIR_WEIGHT = 0.7
 ADDED = 0.1
-#: Distinct words or pairs that a task adds up before it hands them on.
-HELD = 1 << 18
-#: Characters of the texts that are scored together, and least number of the parts of
-#: the counts, which grow in number from about 16 million characters each.
-CHUNK = 3 << 19
-BUCKETS = 1 << 11
-#: Keys in a row of the written counts.
-ROW = 1 << 10
-#: What stands before a text's first word.
-_START = np.uint64(0x5851F42D4C957F2C)
+#: Distinct words that a task adds up before it hands them on.
+HELD = 1 << 20
+#: Characters of the texts that are counted and scored together: at least, at most, and
+#: as the share of all (a power of two) that lies between.
+CHUNK, LARGEST_CHUNK, CHUNK_SHARE = 1 << 23, 1 << 26, 14
+#: Least number of the parts of the counts, and characters of text for each.
+BUCKETS, BUCKET = 1 << 8, 1 << 25
+#: Bits of a key within its bucket.
+KEPT = 48
+#: What stands before a text's first word and after its last.
+EDGE = np.uint64(0x5851F42D4C957F2C)
 _PAIR = np.uint64(0xA24BAED4963EE407)
 
 
-def _flushed(values: list[np.ndarray], weights: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """Distinct values with their summed weights (background, target)."""
-    keys, place = np.unique(np.concatenate(values), return_inverse=True)
-    sums = [np.bincount(place, np.concatenate([w[:, k] for w in weights]), len(keys)) for k in (0, 1)]
-    arrays = [pa.array(keys)] + [pa.array(s.astype(np.int64)) for s in sums]
-    return pa.RecordBatch.from_arrays(arrays, names)
+def events(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What the models predict in the texts: every word, and the end of a text.
 
-
-def _counted(batches: Iterator[pa.RecordBatch], of, name: str) -> Iterator[pa.RecordBatch]:
-    """Counts of what ``of`` finds in the texts, added up before they are handed on."""
-    values: list[np.ndarray] = []
-    weights: list[np.ndarray] = []
-    size = 0
-    names = [name, "background", "target"]
-    for batch in batches:
-        target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(np.int64)
-        at = 0
-        for run in runs(batch.column("text").to_pylist()):
-            found, owner = of(run)
-            values.append(found)
-            weights.append(np.stack([np.ones(len(found), np.int64), target[at + owner]], axis=1))
-            at += len(run)
-            size += len(found)
-            if size >= 4 * HELD:
-                part = _flushed(values, weights, names)
-                if part.num_rows >= HELD:
-                    yield part
-                    values, weights, size = [], [], 0
-                else:
-                    values = [part.column(0).to_numpy()]
-                    weights = [np.stack([part.column(k).to_numpy() for k in (1, 2)], axis=1)]
-                    size = part.num_rows
-    if values:
-        yield _flushed(values, weights, names)
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        hashes, starts = word_hashes(texts)
-        return hashes.view(np.int64), np.repeat(np.arange(len(texts)), np.diff(starts))
-
-    yield from _counted(batches, of, "word")
-
-
-def tokens(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers (``len(vocabulary)`` for any other word), and where texts start."""
-    hashes, starts = word_hashes(texts)
-    hashes = hashes.view(np.int64)
-    place = np.searchsorted(vocabulary, hashes)
-    known = place < len(vocabulary)
-    known[known] = vocabulary[place[known]] == hashes[known]
-    return np.where(known, place, len(vocabulary)), starts
-
-
-def _pairs(numbers: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word (``size + 1`` at a text's start), and the pair's code.
-
-    A pair with an unknown word has the code -1.
-    """
-    before = np.empty_like(numbers)
-    before[1:] = numbers[:-1]
-    before[starts[:-1][np.diff(starts) > 0]] = size + 1
-    code = before * (size + 2) + numbers
-    return before, np.where((before == size) | (numbers == size), -1, code)
-
-
-def _model_counts(vocabulary: np.ndarray):
-    """Counts of everything that the models need, by code: a pair's own code, -1 - n
-    for word n, and -2 - size for texts that have a word."""
-    size = len(vocabulary)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            numbers, starts = tokens(texts, vocabulary)
-            _, codes = _pairs(numbers, starts, size)
-            owner = np.repeat(np.arange(len(texts)), np.diff(starts))
-            known = codes >= 0
-            worded = np.flatnonzero(np.diff(starts))
-            found = np.concatenate([codes[known], -1 - numbers, np.full(len(worded), -2 - size)])
-            return found, np.concatenate([owner[known], owner, worded])
-
-        yield from _counted(batches, of, "code")
-
-    return count
-
-
-@dataclass(frozen=True)
-class Models:
-    """Both models over one vocabulary: columns are background and target."""
-
-    vocabulary: np.ndarray
-    words: np.ndarray
-    before: np.ndarray
-    codes: np.ndarray
-    pairs: np.ndarray
-
-    def losses(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean loss per word in nats of every text under both models, and its words.
-
-        A word's probability is ``PAIR_WEIGHT`` times its share among what follows the
-        word before it, plus the rest times its smoothed share of all words; where the
-        word before has not been seen, the latter alone counts. Both models take one
-        off each pair's count, which may be the scored text's own, so pairs seen once
-        are as good as unseen.
-        """
-        size = len(self.vocabulary)
-        numbers, starts = tokens(texts, self.vocabulary)
-        before, codes = _pairs(numbers, starts, size)
-        sums = np.zeros((len(texts), 2))
-        counts = np.diff(starts)
-        some = counts > 0
-        if some.any():
-            alone = (self.words + ADDED) / (self.words.sum(axis=0) + ADDED * (size + 1))
-            seen = np.maximum(self.before[before] - 1, 0)
-            place = np.searchsorted(self.codes, codes)
-            place[place == len(self.codes)] = 0
-            found = self.codes[place] == codes if len(self.codes) else np.zeros(len(codes), bool)
-            followed = np.zeros((len(codes), 2))
-            followed[found] = np.maximum(self.pairs[place[found]] - 1, 0)
-            share = np.minimum(followed / np.maximum(seen, 1), 1.0)
-            weight = np.where(seen > 0, PAIR_WEIGHT, 0.0)
-            loss = -np.log(weight * share + (1 - weight) * alone[numbers])
-            sums[some] = np.add.reduceat(loss, starts[:-1][some], axis=0)
-        return sums / np.maximum(counts, 1)[:, None], counts
-
-
-def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text`` and whether it is of the target: its id is labelled as of good quality.
-
-    Both tables are dealt by id, whatever their sizes.
+    Keys of the events, of what stands before them and of both together, and how many
+    events each text has: one more than its words, none if it has no word.
     """
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    good = good.select("doc_id", F.lit(True).alias("good")).distinct()
-    return (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(good.hint("merge"), "doc_id", "left")
-        .select("text", F.coalesce("good", F.lit(False)).alias("is_target"))
-    )
-
-
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """Rows with the largest ``background``, at most ``limit``; those with an equal
-    count stay or go together, so that the choice is the same every time."""
-    levels = counts.groupBy("background").count().orderBy(F.desc("background")).collect()
-    left, least = limit, None
-    for level in levels:
-        left -= level["count"]
-        if left < 0:
-            break
-        least = level["background"]
-    return counts.limit(0) if least is None else counts.filter(F.col("background") >= least)
-
-
-def _sorted_arrays(counts: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """The column ``name`` in order, and the two counts beside it."""
-    found = counts.select(name, "background", "target").toArrow()
-    order = np.argsort(found.column(name).to_numpy())
-    values, *sums = (column.to_numpy()[order] for column in found.columns)
-    return values, np.stack(sums, axis=1).astype(np.float64)
-
-
-def _limited(docs: DataFrame, labels: DataFrame, vocabulary: float, pairs: float) -> Models:
-    """Models of the most frequent words and pairs, which come to the driver."""
-    columns = "background long, target long"
-    sums = (F.sum("background").alias("background"), F.sum("target").alias("target"))
-    plain = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("is_target"))
-    words = written(
-        plain.mapInArrow(_words, f"word long, {columns}").groupBy("word").agg(*sums), "word-counts"
-    )
-    known, _ = _sorted_arrays(most_frequent(words, vocabulary), "word")
-    seen = (
-        marked(docs, labels)
-        .mapInArrow(_model_counts(known), f"code long, {columns}")
-        .groupBy("code")
-        .agg(*sums)
-    )
-    seen = written(seen.filter("background > 1 OR code < 0"), "model-counts")
-    codes, kept = _sorted_arrays(most_frequent(seen.filter("code >= 0"), pairs), "code")
-    numbers, found = _sorted_arrays(seen.filter("code < 0"), "code")
-    counts = np.zeros((len(known) + 2, 2))
-    counts[-1 - numbers] = found
-    return Models(known, counts[:-1], counts, codes, kept.astype(np.float32))
-
-
-def keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all words (even), of what stands before them, and of both (odd), and
-    where texts start."""
-    hashes, starts = word_hashes(texts)
-    word = hashes & ~np.uint64(1)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[starts[:-1][np.diff(starts) > 0]] = _START
-    return word, before, mixed(before * _PAIR + word) | np.uint64(1), starts
-
-
-def _cuts(found: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
-    """Buckets of sorted keys, and the bounds of each bucket's keys."""
-    bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    new = np.flatnonzero(np.diff(bucket)) + 1
-    bounds = [0, *new.tolist(), len(found)] if len(found) else [0]
-    return bucket[bounds[:-1]].tolist(), bounds
+    word, starts = word_hashes(texts)
+    some = np.diff(starts) > 0
+    event = np.insert(word, starts[1:][some], EDGE)
+    before = np.concatenate([np.full(min(len(event), 1), EDGE), event[:-1]])
+    return event, before, mixed(before * _PAIR + event), np.diff(starts) + some
 
 
 def _added(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with their summed counts."""
+    """Distinct keys in order, with their summed counts (one row per model)."""
     distinct, place = np.unique(np.concatenate(found), return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    begins = np.searchsorted(place[order], np.arange(len(distinct)))
-    if not len(distinct):
-        return distinct, np.zeros((0, 2), np.int64)
-    return distinct, np.add.reduceat(np.concatenate(counts)[order], begins, axis=0)
-
-
-_PARTS = "bucket int, keys binary, counts binary"
-_TABLE = f"{_PARTS}, n_words long, background long, target long"
+    both = np.concatenate(counts, axis=1)
+    sums = [np.bincount(place, own, len(distinct)) for own in both]
+    return distinct, np.stack(sums).astype(np.int64)
 
 
-def _counted_keys(buckets: int):
-    """Counts of all keys, added up over a stretch of texts and cut by bucket."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words and ends, added up before they are handed on."""
 
-    def part(found: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    def part() -> pa.RecordBatch:
         distinct, sums = _added(found, counts)
-        numbers, bounds = _cuts(distinct, buckets)
-        cut = list(zip(bounds, bounds[1:], strict=False))
-        arrays = [
-            pa.array(numbers, pa.int32()),
-            pa.array([distinct[a:b].tobytes() for a, b in cut], pa.binary()),
-            pa.array([sums[a:b].tobytes() for a, b in cut], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, ["bucket", "keys", "counts"])
+        arrays = [pa.array(distinct.view(np.int64)), pa.array(sums[0]), pa.array(sums[1])]
+        return pa.RecordBatch.from_arrays(arrays, ["word", "background", "target"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        size = 0
-        for batch in batches:
-            target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(np.int64)
-            at = 0
-            for run in runs(batch.column("text").to_pylist()):
-                word, _, pair, starts = keys(run)
-                numbers = np.diff(starts)
-                owner = at + np.repeat(np.arange(len(run)), numbers)
-                worded = at + np.flatnonzero(numbers)
-                own = np.concatenate([word, pair, np.full(len(worded), _START)])
-                marks = target[np.concatenate([owner, owner, worded])]
-                distinct, sums = _added([own], [np.stack([np.ones_like(marks), marks], axis=1)])
-                found.append(distinct)
-                counts.append(sums)
-                at += len(run)
-                size += len(distinct)
-                if size >= 4 * HELD:
-                    yield part(found, counts)
-                    found, counts, size = [], [], 0
-        if size:
-            yield part(found, counts)
-
-    return count
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """The stretches of rows with an equal value of ``by``."""
+    found: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    size = 0
     for batch in batches:
-        if batch.num_rows:
-            values = batch.column(by).to_numpy()
-            bounds = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                yield int(values[a]), batch.slice(a, b - a)
+        target = batch.column("is_target").to_numpy(zero_copy_only=False)
+        at = 0
+        for run in runs(batch.column("text").to_pylist()):
+            event, _, _, numbers = events(run)
+            own = np.repeat(target[at : at + len(run)], numbers).astype(np.int64)
+            at += len(run)
+            distinct, sums = _added([event], [np.stack([np.ones_like(own), own])])
+            found.append(distinct)
+            counts.append(sums)
+            size += len(distinct)
+            if size >= HELD:
+                yield part()
+                found, counts, size = [], [], 0
+    if size:
+        yield part()
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of equal length of numbers from 0, byte by byte of their places, compressed."""
+    parts = [len(arrays[0]).to_bytes(8, "little")]
+    for values in arrays:
+        width = (int(values.max(initial=0)).bit_length() + 7) // 8
+        parts.append(bytes([width]))
+        parts.append(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def unpacked(raw: bytes) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    n, at, arrays = int(data[:8].view("<u8")[0]), 8, []
+    while at < len(data):
+        width = int(data[at])
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :width] = data[at + 1 : at + 1 + n * width].reshape(width, n).T
+        arrays.append(values.view("<u8").ravel())
+        at += 1 + n * width
+    return arrays
+
+
+def _cuts(distinct: np.ndarray, bits: int) -> tuple[list[int], list[int]]:
+    """Buckets of sorted keys, and the bounds of each bucket's keys."""
+    bucket = distinct >> np.uint64(64 - bits)
+    bounds = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(distinct)]
+    return bucket[bounds[:-1]].astype(np.int64).tolist(), bounds
 
 
-def _arrays(rows: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    found = [np.frombuffer(raw, np.uint64) for raw in rows.column("keys").to_pylist()]
-    counts = [np.frombuffer(raw, np.int64).reshape(-1, 2) for raw in rows.column("counts").to_pylist()]
-    return found, counts
+def _texts(rows: pa.Table) -> list[str]:
+    row = rows.column("row").combine_chunks()
+    return row.field(row.type.get_field_index("text")).to_pylist()
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of each bucket; pairs seen once, which are as good as unseen, go."""
+def _targets(rows: pa.Table) -> np.ndarray:
+    return rows.column("is_target").to_numpy().astype(np.int64)
 
-    def table(bucket: int) -> pa.RecordBatch:
-        distinct, sums = _added(found, counts)
-        word = distinct & np.uint64(1) == 0
-        stay = word | (sums[:, 0] > 1)
-        word &= distinct != _START
-        totals = [int(word.sum()), *sums[word].sum(axis=0).tolist()]
-        distinct, sums = distinct[stay], sums[stay]
-        at = range(0, max(len(distinct), 1), ROW)
-        arrays = [
-            pa.array([bucket] * len(at), pa.int32()),
-            pa.array([distinct[a : a + ROW].tobytes() for a in at], pa.binary()),
-            pa.array([sums[a : a + ROW].tobytes() for a in at], pa.binary()),
-            *(pa.array([n] + [0] * (len(at) - 1), pa.int64()) for n in totals),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, ["bucket", "keys", "counts", "n_words", "background", "target"])
 
-    last, size = -1, 0
-    found: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    for bucket, rows in _pieces(batches, "bucket"):
-        if bucket != last and found:
-            yield table(last)
-            found, counts, size = [], [], 0
-        last = bucket
-        more, sums = _arrays(rows)
-        found += more
-        counts += sums
-        size += sum(map(len, more))
-        if size >= 16 * HELD:
-            distinct, own = _added(found, counts)
-            found, counts, size = [distinct], [own], 0
-    if found:
-        yield table(last)
-
-
-@dataclass(frozen=True)
-class Counts:
-    """Counts of all words and pairs under both models, as a table cut by bucket."""
-
-    table: DataFrame
-    buckets: int
-    n_words: int
-    totals: tuple[int, int]
-
-
-def _characters(docs: DataFrame) -> int:
-    return docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, vocabulary: float = VOCABULARY, pairs: float = PAIRS
-) -> Counts | Models:
-    """Count all documents, and those of the target, into two models.
-
-    Words and pairs are counted over every document; tasks add up their own counts
-    before the shuffle, so that a frequent word is one entry of each. All words, and
-    all pairs seen twice, stay in a written table. With a limit, only the most frequent
-    ones are known, and these come to the driver.
-    """
-    if vocabulary < math.inf or pairs < math.inf:
-        return _limited(docs, labels, vocabulary, pairs)
-    buckets = max(BUCKETS, _characters(docs) >> 24)
-    counted = marked(docs, labels).mapInArrow(_counted_keys(buckets), _PARTS)
-    counted = counted.repartition("bucket").sortWithinPartitions("bucket")
-    table = written(counted.mapInArrow(_summed, _TABLE), "model-counts")
-    n, background, target = table.agg(F.sum("n_words"), F.sum("background"), F.sum("target")).first()
-    return Counts(table, buckets, n or 0, (background or 0, target or 0))
-
-
-def _asked(buckets: int):
-    """The distinct keys of every chunk, cut by bucket."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def request(chunk: int) -> pa.RecordBatch:
-            distinct = np.unique(np.concatenate(found))
-            numbers, bounds = _cuts(distinct, buckets)
-            cut = [distinct[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-            arrays = [pa.array(numbers, pa.int32()), pa.array([chunk] * len(cut), pa.int32()), pa.array(cut, pa.binary())]
-            return pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk", "keys"])
-
-        last = -1
+def _asked(bits: int):
+    """The distinct keys of a chunk and how often it has them, cut by bucket."""
+
+    def ask(rows: pa.Table) -> pa.Table:
+        target = _targets(rows)
         found: list[np.ndarray] = []
-        for chunk, rows in _pieces(batches, "chunk"):
-            if chunk != last and found:
-                yield request(last)
-                found = []
-            last = chunk
-            for run in runs(rows.column("text").to_pylist()):
-                word, _, pair, _ = keys(run)
-                found.append(np.unique(np.concatenate([word, pair, [_START]])))
-        if found:
-            yield request(last)
+        counts: list[np.ndarray] = []
+        at = 0
+        for run in runs(_texts(rows)):
+            event, _, pair, numbers = events(run)
+            own = np.tile(np.repeat(target[at : at + len(run)], numbers), 2)
+            at += len(run)
+            distinct, sums = _added([event, pair], [np.stack([np.ones_like(own), own])])
+            found.append(distinct)
+            counts.append(sums)
+        distinct, sums = _added(found, counts)
+        numbers, bounds = _cuts(distinct, bits)
+        within = (distinct << np.uint64(bits)) >> np.uint64(64 - KEPT)
+        asks = [
+            packed(np.diff(within[a:b], prepend=np.uint64(0)), *sums[:, a:b])
+            for a, b in zip(bounds, bounds[1:], strict=False)
+        ]
+        chunk = [rows.column("chunk")[0].as_py()] * len(asks)
+        arrays = [pa.array(numbers, pa.int64()), pa.array(chunk, pa.int64()), pa.array(asks, pa.binary())]
+        return pa.table(arrays, ["bucket", "chunk", "asked"])
 
     return ask
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of all keys that chunks ask for, in the order of the keys. The table's
-    own rows have chunk -1 and come first in their bucket."""
-    last, known, sums = -1, np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
-    for bucket, rows in _pieces(batches, "bucket"):
-        if bucket != last:
-            last, known, sums = bucket, known[:0], sums[:0]
-        own = rows.column("chunk").to_numpy() == -1
-        if own.any():
-            found, counts = _arrays(rows.filter(pa.array(own)))
-            known, sums = np.concatenate([known, *found]), np.concatenate([sums, *counts])
-            order = np.argsort(known)
-            known, sums = known[order], sums[order]
-        asked = rows.filter(pa.array(~own))
-        answers = []
-        for raw in asked.column("keys").to_pylist():
-            wanted = np.frombuffer(raw, np.uint64)
-            counts = np.zeros((2, len(wanted)), np.int64)
-            if len(known):
-                place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-                counts[:, known[place] == wanted] = sums[place[known[place] == wanted]].T
-            narrow = counts.max(initial=0) < 1 << 16
-            answers.append(counts.astype(np.uint16 if narrow else np.int64).tobytes())
-        arrays = [asked.column("chunk"), asked.column("bucket"), pa.array(answers, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["chunk", "bucket", "counts"])
-
-
-def _judged(buckets: int, n_words: int, totals: tuple[int, int]):
-    """Losses of a chunk's texts; the counts come before the rows, in order of bucket."""
-
-    def losses(texts: list[str], parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        at = [keys(run) for run in runs(texts)]
-        distinct = np.unique(np.concatenate([k for word, _, pair, _ in at for k in (word, pair)] + [[_START]]))
-        counts = np.zeros((len(distinct), 2))
-        _, bounds = _cuts(distinct, buckets)
-        for a, b, raw in zip(bounds[:-1], bounds[1:], parts, strict=True):
-            kind = np.uint16 if len(raw) == 4 * (b - a) else np.int64
-            counts[a:b] = np.frombuffer(raw, kind).reshape(2, -1).T
-        means, numbers = [], []
-        for word, before, pair, starts in at:
-            own = counts[np.searchsorted(distinct, word)]
-            seen = np.maximum(counts[np.searchsorted(distinct, before)] - 1, 0)
-            followed = np.maximum(counts[np.searchsorted(distinct, pair)] - 1, 0)
-            alone = (own + ADDED) / (np.array(totals) + ADDED * (n_words + 1))
-            share = np.minimum(followed / np.maximum(seen, 1), 1.0)
-            weight = np.where(seen > 0, PAIR_WEIGHT, 0.0)
-            loss = -np.log(weight * share + (1 - weight) * alone)
-            size = np.diff(starts)
-            sums = np.zeros((len(size), 2))
-            if size.any():
-                sums[size > 0] = np.add.reduceat(loss, starts[:-1][size > 0], axis=0)
-            means.append(sums / np.maximum(size, 1)[:, None])
-            numbers.append(size)
-        return np.concatenate(means), np.concatenate(numbers)
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answer() -> Iterator[pa.RecordBatch]:
-            row = pa.concat_arrays(rows)
-            loss, words = losses(row.field(row.type.get_field_index("text")).to_pylist(), parts)
-            arrays = [row, pa.array(words, pa.int64()), pa.array(loss[:, 1]), pa.array(loss[:, 0])]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "n_words", "target_loss", "background_loss"])
-
-        last = -1
-        parts: list[bytes] = []
-        rows: list[pa.Array] = []
-        for chunk, piece in _pieces(batches, "chunk"):
-            if chunk != last and rows:
-                yield from answer()
-                parts, rows = [], []
-            last = chunk
-            is_row = piece.column("bucket").to_numpy() == buckets
-            parts += piece.column("counts").filter(pa.array(~is_row)).to_pylist()
-            if is_row.any():
-                rows.append(piece.column("row").filter(pa.array(is_row)))
-        if rows:
-            yield from answer()
+def _answered(asks: pa.Table) -> pa.Table:
+    """What a bucket knows of the keys that each chunk asks for, in the order of the keys.
+
+    Counts of the background are sent less one, the asking text's own; of what the
+    background has once, both counts are 0 then.
+    """
+    asked = [unpacked(raw) for raw in asks.column("asked").to_pylist()]
+    within = [np.cumsum(steps) for steps, _, _ in asked]
+    _, place = np.unique(np.concatenate(within), return_inverse=True)
+    sums = [np.bincount(place, np.concatenate([own[k] for own in asked])).astype(np.int64) for k in (1, 2)]
+    background = sums[0] - 1
+    target = np.where(background > 0, sums[1], 0)
+    bounds = np.cumsum([0, *map(len, within)])
+    answers = [
+        packed(background[place[a:b]], target[place[a:b]])
+        for a, b in zip(bounds, bounds[1:], strict=False)
+    ]
+    return pa.table([asks.column("chunk"), asks.column("bucket"), pa.array(answers, pa.binary())], ["chunk", "bucket", "known"])
+
+
+def probability(
+    pair: np.ndarray, before: np.ndarray, single: np.ndarray, total: np.ndarray, n_words: int
+) -> np.ndarray:
+    """How likely an event is after another: ``PAIR_WEIGHT`` times its share among what
+    follows that one, and the rest times its smoothed share of all events; the latter
+    alone where nothing else is known to follow.
+
+    The counts are of the pair, of what stands before, of the event and of all events;
+    ``n_words`` is the number of distinct events. One more event stands for any that
+    is not known, so the probabilities of all events after one another add up to 1.
+    """
+    weight = np.where(before > 0, PAIR_WEIGHT, 0.0)
+    return weight * pair / np.maximum(before, 1) + (1 - weight) * (single + ADDED) / (total + ADDED * (n_words + 1))
+
+
+def _judged(bits: int, n_words: int, totals: tuple[int, int]):
+    """Losses of a chunk's texts, given the answers to all its keys."""
+
+    def judge(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        target = _targets(rows)
+        texts = list(runs(_texts(rows)))
+        distinct = np.unique(np.concatenate([np.unique(np.concatenate([e, p])) for e, _, p, _ in map(events, texts)]))
+        known = np.zeros((2, len(distinct)), np.int64)
+        numbers, bounds = _cuts(distinct, bits)
+        raw = dict(zip(answers.column("bucket").to_pylist(), answers.column("known").to_pylist(), strict=True))
+        for number, a, b in zip(numbers, bounds, bounds[1:], strict=False):
+            known[:, a:b] = unpacked(raw[number])
+        means, sizes, at = [], [], 0
+        for run in texts:
+            event, before, pair, size = events(run)
+            own = np.repeat(target[at : at + len(run)], size)
+            at += len(run)
+            places = [np.searchsorted(distinct, k) for k in (pair, before, event)]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            mean = np.zeros((2, len(run)))
+            # The background's counts come without the text's own, the target's with it.
+            for k, off in ((0, np.zeros_like(own)), (1, own)):
+                counts = [np.maximum(known[k][place] - off, 0) for place in places]
+                total = totals[k] - (1 if k == 0 else own)
+                loss = -np.log(probability(*counts, np.maximum(total, 0), n_words))
+                mean[k] = np.add.reduceat(loss, ends[:-1]) / size
+            means.append(mean)
+            sizes.append(size - 1)
+        background, to_target = np.concatenate(means, axis=1)
+        arrays = [rows.column("row"), pa.array(np.concatenate(sizes)), pa.array(to_target), pa.array(background)]
+        return pa.table(arrays, ["row", "n_words", "target_loss", "background_loss"])
 
     return judge
 
 
-def _score_all(docs: DataFrame, models: Counts) -> DataFrame:
-    """Texts are dealt into chunks by id and text. A chunk asks for its distinct keys,
-    which the table's buckets answer, and is scored with what they know of them."""
-    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    chunks = _characters(docs) // CHUNK + 1
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
-    some = docs.filter(worded)
-    asked = some.select(chunk, "text").repartition("chunk").sortWithinPartitions("chunk")
-    asked = asked.mapInArrow(_asked(models.buckets), "bucket int, chunk int, keys binary")
-    table = models.table.select("bucket", F.lit(-1).alias("chunk"), "keys", "counts")
-    both = table.unionByName(asked, allowMissingColumns=True)
-    both = both.repartition("bucket").sortWithinPartitions("bucket", "chunk")
-    found = both.mapInArrow(_found, "chunk int, bucket int, counts binary")
-    rows = some.select(chunk, F.lit(models.buckets).alias("bucket"), F.struct("*").alias("row"))
-    rows = found.unionByName(rows, allowMissingColumns=True)
-    rows = rows.repartition("chunk").sortWithinPartitions("chunk", "bucket")
-    row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        _judged(models.buckets, models.n_words, models.totals),
-        f"row {row}, n_words long, target_loss double, background_loss double",
+def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``row`` (the document), ``part`` (of the table as it is read) and ``is_target``:
+    the document's id is labelled as of good quality."""
+    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
+    good = good.select("doc_id", F.lit(True).alias("good")).distinct()
+    rows = docs.select("doc_id", F.struct("*").alias("row"), F.spark_partition_id().alias("part"))
+    return rows.join(good, "doc_id", "left").select(
+        "row", "part", F.coalesce("good", F.lit(False)).alias("is_target")
     )
-    zero = F.lit(0.0)
-    blank = docs.filter(~worded).select(
-        F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
-        zero.alias("target_loss"), zero.alias("background_loss"),
-    )
-    return scored.unionByName(blank)
-
 
-def _answer(models: Models):
-    def answer(texts: list[str]) -> list[pa.Array]:
-        loss, words = models.losses(texts)
-        return [pa.array(words, pa.int64()), pa.array(loss[:, 1]), pa.array(loss[:, 0])]
 
-    return answer
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The cross-entropy difference of every whole text, under models of all others.
 
+    Both models, of all documents and of those that ``labels`` call good, share one
+    vocabulary: all words there are, and the end of a text. They know every word and
+    every pair of neighbours. An event is judged by :func:`probability` with the counts
+    of everything but itself, so what a model knows from that event alone is as good
+    as unseen; in the target's counts only where the text is of the target.
 
-def score(docs: DataFrame, models: Counts | Models) -> DataFrame:
-    """The cross-entropy difference of every whole text.
+    The texts are dealt into chunks. A chunk adds up its own keys (words and pairs) and
+    sends each bucket of keys one row; the bucket adds up the rows of all chunks and
+    answers each with the counts of its keys; the chunk scores its texts with the
+    answers. So no model comes to one machine, and a frequent key is one entry of each
+    chunk. Buckets follow the size of the corpus, and so do chunks between ``CHUNK`` and
+    ``LARGEST_CHUNK`` characters. Equal rows share a chunk only where they are read
+    together, in one part of the table.
 
     Columns: ``row`` (the document, all its columns), ``n_words``, ``target_loss``,
-    ``background_loss`` (nats per word) and ``difference`` (target less background:
-    the lower, the closer to the target). A text without a word, or null, has losses
-    and a difference of 0. Equal texts score alike; an empty table gives no rows.
+    ``background_loss`` (nats per event, of which a text has one more than words) and
+    ``difference`` (target less background: the lower, the closer to the target). A text
+    without a word, or null, has losses and a difference of 0. Equal texts of equal
+    labels score alike; a null id is of no target; an empty table gives no rows.
     """
-    if isinstance(models, Counts):
-        found = _score_all(docs, models)
-    else:
-        found = with_answers(
-            docs, _answer(models), "n_words long, target_loss double, background_loss double"
-        )
+    characters = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    bits = max(BUCKETS.bit_length() - 1, (characters // BUCKET).bit_length())
+    chunks = characters // min(max(CHUNK, characters >> CHUNK_SHARE), LARGEST_CHUNK) + 1
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    some = marked(docs.filter(worded), labels)
+    words = some.select(F.col("row.text").alias("text"), "is_target")
+    words = words.mapInArrow(_words, "word long, background long, target long")
+    words = words.groupBy("word").agg(F.sum("background").alias("b"), F.sum("target").alias("t"))
+    n_words, *totals = (n or 0 for n in words.agg(F.count("*"), F.sum("b"), F.sum("t")).first())
+
+    chunk = F.pmod(F.xxhash64("row.doc_id", "row.text", "part"), F.lit(chunks)).alias("chunk")
+    # Read twice below, dealt once: the planner reuses the exchange.
+    rows = some.select(chunk, "row", "is_target").repartition("chunk")
+    asked = rows.groupBy("chunk").applyInArrow(_asked(bits), "bucket long, chunk long, asked binary")
+    known = asked.groupBy("bucket").applyInArrow(_answered, "chunk long, bucket long, known binary")
+    answer = StructType([rows.schema["row"]])
+    for name, kind in (("n_words", "long"), ("target_loss", "double"), ("background_loss", "double")):
+        answer.add(name, kind)
+    scored = rows.groupBy("chunk").cogroup(known.groupBy("chunk"))
+    scored = scored.applyInArrow(_judged(bits, n_words, tuple(totals)), answer)
+    zero = F.lit(0.0)
+    blank = docs.filter(~worded).select(
+        F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
+        zero.alias("target_loss"), zero.alias("background_loss"),
+    )
+    found = scored.unionByName(blank)
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

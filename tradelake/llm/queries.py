@@ -69,7 +69,7 @@ def op6_score_quality(spark, sf_dir):
 
 def op7_cross_entropy_difference(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    found = lm.score(docs, lm.fit(docs, table(spark, sf_dir, "labels")))
+    found = lm.score(docs, table(spark, sf_dir, "labels"))
     return found.select("row.doc_id", "n_words", "target_loss", "background_loss", "difference")
 
 
