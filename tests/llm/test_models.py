@@ -342,9 +342,11 @@ def test_texts_are_dealt_once(spark, sf_dir):
 def test_equal_rows_are_dealt_to_several_chunks(spark, monkeypatch):
     monkeypatch.setattr(lm, "CHUNK", 1 << 10)
     same = spark.range(0, 4000, 1, 8).selectExpr("7L AS doc_id", "'one and the same text' AS text")
-    chunks = same.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    chunks = chunks.select(F.pmod(F.xxhash64("doc_id", "text", "part"), F.lit(83)).alias("chunk"))
+    marks = labels(spark, [(7, 1)]).selectExpr("doc_id", "true AS good")
+    sizes = same.groupBy("doc_id").agg(F.count("*").alias("n_rows"))
+    chunks, _ = lm._chunked(same, marks, sizes, 4000, 83)
     assert chunks.groupBy("chunk").count().agg(F.max("count")).first()[0] <= 1000
+    assert chunks.filter("is_target").count() == 4000
     rows = lm.score(same, labels(spark, [(7, 1)])).collect()
     assert len(rows) == 4000
     assert len({(r.target_loss, r.background_loss) for r in rows}) == 1
