@@ -69,6 +69,30 @@ def test_alike_branches_merge_and_others_do_not(spark):
     assert {found[i].verdict for i in range(60, 150)} == {"allow"}
 
 
+def test_branches_that_differ_far_down(spark):
+    """A rule on 11 of 30 pages of a branch blocks the others, and no page beside them."""
+    rules = (("x.org/a/b/bad/p1", "block"), ("x.org/a/b/c/d/e/good/p", "allow"))
+    urls = [f"http://x.org/a/b/bad/p{i}" for i in range(30)]
+    urls += [f"http://x.org/a/b/good/p{i}" for i in range(30)]
+    for name in ("good", "bad"):
+        urls += [f"http://x.org/a/b/c/d/e/{name}/p{i}" for i in range(30)]
+    found = judged(spark, urls, rules=rules)
+    assert [found[i].verdict for i in range(30)] == ["block"] * 30
+    assert {found[i].verdict for i in range(30, 120)} == {"allow"}
+    assert {found[i].rule for i in (0, *range(30, 60))} == {None}
+    assert found[0].template != found[40].template
+    assert found[70].template != found[100].template
+
+
+def test_the_rest_of_a_rare_branch_is_a_wildcard(spark):
+    urls = [f"http://x.org/a/b/{i}x/y/z" for i in range(4)] + ["http://y.org/" + "d/" * 5000]
+    urls += [f"http://x.org/k/l/m{i}" for i in range(5)]
+    found = judged(spark, urls)
+    assert {found[i].template for i in range(4)} == {"/a/{below}"}
+    assert found[4].template == "/d/{below}"
+    assert {found[i].template for i in range(5, 10)} == {"/k/l/m{n}"}
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_few_pages(spark, n):
     assert len(judged(spark, ["http://a.org/x"] * n)) == n

@@ -24,7 +24,7 @@ VARIABLE = (
     (r"[0-9a-fA-F]{16,}", "{id}"),
     (r"[0-9]+", "{n}"),
 )
-#: Where a path has ended; anything below the levels of the tree.
+#: Where a path has ended; anything below a branch with too few pages.
 END, BELOW = "{end}", "{below}"
 
 
@@ -115,18 +115,58 @@ def _merged(rows: DataFrame, keys: list[str], segment: str, rest: str) -> DataFr
     )
 
 
+def _grown(rows: DataFrame, support: int, variety: int) -> tuple[DataFrame, list[str]]:
+    """``rows`` with a column for each level of the tree, and these columns' names.
+
+    Level by level, a path gives its next segment as long as at least ``support`` pages
+    go on below the branch that it has come to; where fewer do, what is left of it is
+    one wildcard. The tree ends where no branch goes on.
+    """
+    n = F.expr("allow + block + none")
+    rows = rows.withColumn("parts", F.split("shape", "/", -1)).withColumn("state", F.lit("open"))
+    steps: list[str] = []
+    while True:
+        step = f"s{len(steps) + 1}"
+        steps.append(step)
+        part = F.coalesce(F.try_element_at("parts", F.lit(len(steps) + 1)), F.lit(END))
+        is_open = F.col("state") == "open"
+        rows = rows.withColumn(
+            step, F.when(is_open, part).when(F.col("state") == "cut", BELOW).otherwise(END)
+        )
+        rare = (
+            rows.filter(is_open & ~F.col(step).contains("{") & (F.col(step) != ""))
+            .groupBy("host", step)
+            .agg(F.sum(n).alias("n"))
+            .filter(F.col("n") < support)
+            .select("host", step)
+        )
+        varied = rare.groupBy("host").count().filter(F.col("count") >= variety).select("host")
+        rare = rare.join(varied, "host").withColumn("any", F.lit("{any}"))
+        rows = rows.join(rare, ["host", step], "left")
+        rows = rows.withColumn(step, F.when(is_open, F.coalesce("any", step)).otherwise(F.col(step)))
+        goes_on = is_open & (F.size("parts") > len(steps) + 1)
+        branch = ["host", *steps]
+        support_of = rows.filter(goes_on).groupBy(*branch).agg(F.sum(n).alias("on"))
+        rows = rows.drop("any").join(support_of, branch, "left")
+        state = F.when(goes_on, F.when(F.col("on") >= support, "open").otherwise("cut")).otherwise("done")
+        rows = written(rows.withColumn("state", state).drop("on"), "url-tree")
+        if rows.filter("state <> 'done'").isEmpty():
+            return rows.drop("parts", "state"), steps
+
+
 def templates(
-    paths: DataFrame, levels: int = 2, support: int = 5, variety: int = 10, prior: float = 1.0
+    paths: DataFrame, support: int = 5, variety: int = 10, prior: float = 1.0
 ) -> DataFrame:
     """The template of every (host, shape), and whether the template is rejected.
 
     ``paths`` has ``host``, ``shape``, ``label`` (allow, block or null), one row per
-    page. Per host, the shapes form a tree of ``levels`` segments; what lies deeper
-    is one wildcard. Where a host and level have ``variety`` literal segments of fewer
-    than ``support`` pages, these become a wildcard; alike branches merge, level by level. A
-    template's purity is its share of allowed among labelled pages, smoothed by
-    ``prior`` allowed and ``prior`` blocked ones; below one half it is rejected, so a
-    template without labels is not. Everything runs on counts per shape.
+    page. Per host, the shapes form a tree of segments that goes as deep as branches
+    have ``support`` pages below them; the rest of a path is one wildcard. Where a host
+    and level have ``variety`` literal segments of fewer than ``support`` pages, these
+    become a wildcard; alike branches merge, level by level. A template's purity is its
+    share of allowed among labelled pages, smoothed by ``prior`` allowed and ``prior``
+    blocked ones; below one half it is rejected, so a template without labels is not.
+    Everything runs on counts per shape.
     """
     label = F.col("label")
     rows = paths.groupBy("host", "shape").agg(
@@ -134,30 +174,13 @@ def templates(
         F.count(F.when(label == "block", 1)).alias("block"),
         F.count(F.when(label.isNull(), 1)).alias("none"),
     )
-    parts = F.split("shape", "/", -1)
-    steps = [f"s{k}" for k in range(1, levels + 1)]
-    for k, step in enumerate(steps, 1):
-        rows = rows.withColumn(step, F.coalesce(F.try_element_at(parts, F.lit(k + 1)), F.lit(END)))
-    rows = rows.withColumn("deep", F.when(F.size(parts) > levels + 1, BELOW).otherwise(END))
-    rows = written(rows, "url-shapes")
-    for step in steps:
-        rare = (
-            rows.filter(~F.col(step).contains("{") & (F.col(step) != ""))
-            .groupBy("host", step)
-            .agg(F.sum(F.expr("allow + block + none")).alias("n"))
-            .filter(F.col("n") < support)
-            .select("host", step)
-        )
-        varied = rare.groupBy("host").count().filter(F.col("count") >= variety).select("host")
-        rare = rare.join(varied, "host").withColumn("any", F.lit("{any}"))
-        rows = rows.join(rare, ["host", step], "left")
-        rows = rows.withColumn(step, F.coalesce("any", step)).drop("any")
-    rows = written(rows, "url-tree")
+    rows, steps = _grown(written(rows, "url-shapes"), support, variety)
     for k, step in enumerate(steps):
-        below = F.concat_ws("/", *steps[k + 1 :], "deep")
+        # Ends in a slash, so that the order does not depend on how deep the tree is.
+        below = F.concat_ws("/", *steps[k + 1 :], F.lit(""))
         rows = _merged(rows.withColumn("rest", below), ["host", *steps[:k]], step, "rest")
         rows = written(rows.drop("rest"), "url-tree")
-    template = F.concat(F.lit("/"), F.concat_ws("/", *steps, "deep"))
+    template = F.concat(F.lit("/"), F.concat_ws("/", *steps))
     rows = rows.withColumn("template", F.replace(template, F.lit(f"/{END}"), F.lit("")))
     purity = (F.sum("allow") + prior) / (F.sum("allow") + F.sum("block") + 2 * prior)
     judged = rows.groupBy("host", "template").agg(purity.alias("purity"))
@@ -191,8 +214,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, **options)
     )
 
 
-def oracle_sql(levels: int = 2, support: int = 5, variety: int = 10) -> str:
-    """The same verdicts in DuckDB SQL, for the table ``pages``."""
+def oracle_sql(levels: int = 6, support: int = 5, variety: int = 10) -> str:
+    """The same verdicts in DuckDB SQL, for the table ``pages``, whose tree has at most
+    ``levels`` levels."""
 
     def fits(rule: str) -> str:
         name, _, rest = rule.partition("/")
@@ -205,39 +229,43 @@ def oracle_sql(levels: int = 2, support: int = 5, variety: int = 10) -> str:
     for pattern, sign in VARIABLE:
         shape = f"regexp_replace({shape}, '{pattern}', '{sign}', 'g')"
     steps = [f"s{k}" for k in range(1, levels + 1)]
-    segments = ", ".join(
-        f"coalesce(string_split(shape, '/')[{k + 1}], '{END}') AS {step}"
-        for k, step in enumerate(steps, 1)
-    )
     ctes = [
         f"""parsed AS (SELECT page_id,
             translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages)""",
-        f"""found AS (SELECT *, {shape} AS shape, CASE {rule} END AS rule, CASE {label} END AS label
-            FROM parsed)""",
-        f"""t0 AS (SELECT host, shape, count(*) FILTER (label = 'allow') AS allow,
+        f"""found AS MATERIALIZED (SELECT *, {shape} AS shape, CASE {rule} END AS rule,
+            CASE {label} END AS label FROM parsed)""",
+        """t0 AS MATERIALIZED (SELECT host, shape, count(*) FILTER (label = 'allow') AS allow,
             count(*) FILTER (label = 'block') AS block, count(*) FILTER (label IS NULL) AS none,
-            {segments}, CASE WHEN len(string_split(shape, '/')) > {levels + 1}
-            THEN '{BELOW}' ELSE '{END}' END AS deep FROM found GROUP BY host, shape)""",
+            string_split(shape, '/') AS parts, 'open' AS state FROM found GROUP BY host, shape)""",
     ]
     last = "t0"
-    for step in steps:
+    for k, step in enumerate(steps, 1):
+        branch = ", ".join(["host", *steps[:k]])
         ctes += [
+            f"""a_{step} AS MATERIALIZED (SELECT *, CASE state WHEN 'open' THEN coalesce(parts[{k + 1}], '{END}')
+                WHEN 'cut' THEN '{BELOW}' ELSE '{END}' END AS {step} FROM {last})""",
             f"""r_{step} AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY host) AS several
-                FROM (SELECT host, {step} FROM {last} WHERE {step} <> '' AND NOT contains({step}, '{{')
-                GROUP BY ALL HAVING sum(allow + block + none) < {support})) WHERE several >= {variety})""",
-            f"""{last}_{step} AS (SELECT * EXCLUDE (several) REPLACE (CASE WHEN several IS NULL
-                THEN {step} ELSE '{{any}}' END AS {step}) FROM {last} LEFT JOIN r_{step} USING (host, {step}))""",
+                FROM (SELECT host, {step} FROM a_{step} WHERE state = 'open' AND {step} <> ''
+                AND NOT contains({step}, '{{') GROUP BY ALL
+                HAVING sum(allow + block + none) < {support})) WHERE several >= {variety})""",
+            f"""b_{step} AS MATERIALIZED (SELECT * EXCLUDE (several) REPLACE (CASE WHEN several IS NULL
+                OR state <> 'open' THEN {step} ELSE '{{any}}' END AS {step})
+                FROM a_{step} LEFT JOIN r_{step} USING (host, {step}))""",
+            f"""g_{step} AS (SELECT *, state = 'open' AND len(parts) > {k + 1} AS goes_on FROM b_{step})""",
+            f"""t_{step} AS MATERIALIZED (SELECT * EXCLUDE (goes_on) REPLACE (CASE WHEN NOT goes_on THEN 'done'
+                WHEN sum(allow + block + none) FILTER (goes_on) OVER (PARTITION BY {branch}) >= {support}
+                THEN 'open' ELSE 'cut' END AS state) FROM g_{step})""",
         ]
-        last = f"{last}_{step}"
+        last = f"t_{step}"
     for k, step in enumerate(steps):
         keys = ", ".join(["host", *steps[:k]])
-        below = "concat_ws('/', " + ", ".join([*steps[k + 1 :], "deep"]) + ")"
+        below = "concat_ws('/', " + ", ".join([*steps[k + 1 :], "''"]) + ")"
         c = f"m{k}"
         ctes += [
-            f"""{c}_c AS (SELECT {keys}, {step}, {below} AS rest, sum(allow) AS allow,
+            f"""{c}_c AS MATERIALIZED (SELECT {keys}, {step}, {below} AS rest, sum(allow) AS allow,
                 sum(block) AS block, sum(none) AS none FROM {last} GROUP BY ALL)""",
-            f"""{c}_t AS (SELECT {keys}, {step}, sum(allow + block + none) AS branch_n,
+            f"""{c}_t AS MATERIALIZED (SELECT {keys}, {step}, sum(allow + block + none) AS branch_n,
                 CASE WHEN sum(allow) >= greatest(sum(block), sum(none)) THEN 'allow'
                 WHEN sum(block) >= sum(none) THEN 'block' ELSE 'none' END AS label,
                 max({{'n': allow + block + none, 'rest': rest}}).rest AS main
@@ -245,7 +273,7 @@ def oracle_sql(levels: int = 2, support: int = 5, variety: int = 10) -> str:
             f"""{c}_u AS (SELECT {keys}, {step}, rest, 'allow' AS kind, allow AS n FROM {c}_c
                 UNION ALL SELECT {keys}, {step}, rest, 'block', block FROM {c}_c
                 UNION ALL SELECT {keys}, {step}, rest, 'none', none FROM {c}_c)""",
-            f"""{c}_l AS (SELECT * FROM {c}_u JOIN {c}_t USING ({keys}, {step}) WHERE n > 0)""",
+            f"""{c}_l AS MATERIALIZED (SELECT * FROM {c}_u JOIN {c}_t USING ({keys}, {step}) WHERE n > 0)""",
             f"""{c}_p AS (SELECT *, sum(n) OVER (PARTITION BY {keys}, label, main, rest, kind) AS cell_n,
                 sum(n) OVER (PARTITION BY {keys}, label, main) AS pool_n FROM {c}_l)""",
             f"""{c}_f AS (SELECT {keys}, label, main, count(DISTINCT (rest, kind)) - 1 AS free
@@ -256,11 +284,11 @@ def oracle_sql(levels: int = 2, support: int = 5, variety: int = 10) -> str:
             f"""{c}_a AS (SELECT {keys}, {step}, '{{like ' || first || '}}' AS merged FROM (SELECT *,
                 min({step}) OVER (PARTITION BY {keys}, label, main) AS first,
                 count(*) OVER (PARTITION BY {keys}, label, main) AS several FROM {c}_g) WHERE several > 1)""",
-            f"""{c} AS (SELECT * EXCLUDE (merged) REPLACE (coalesce(merged, {step}) AS {step})
+            f"""{c} AS MATERIALIZED (SELECT * EXCLUDE (merged) REPLACE (coalesce(merged, {step}) AS {step})
                 FROM {last} LEFT JOIN {c}_a USING ({keys}, {step}))""",
         ]
         last = c
-    template = "replace('/' || concat_ws('/', " + ", ".join([*steps, "deep"]) + f"), '/{END}', '')"
+    template = "replace('/' || concat_ws('/', " + ", ".join(steps) + f"), '/{END}', '')"
     ctes += [
         f"named AS (SELECT host, shape, allow, block, {template} AS template FROM {last})",
         """judged AS (SELECT host, shape, (sum(allow) OVER w + 1.0) / (sum(allow) OVER w
